@@ -18,12 +18,54 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import language_id
+
+    return language_id.identify(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import packing
 
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import secrets
+
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pii
+
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import exact_dedup
+
+    return exact_dedup.dedup(_table(spark, sf_dir, "documents"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import html_text
+
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import mixing
+
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import token_output
 
@@ -34,7 +76,14 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_language_id,
         op2_best_fit_packing,
+        op4_secret_scan,
+        op5_personal_data,
+        op6_exact_dedup,
+        op7_quality_rules,
+        op8_html_text,
+        op9_source_mixing,
         op10_token_output,
     )
 }
