@@ -100,8 +100,9 @@ def pieces(documents: DataFrame, vocabulary: str, capacity: int = 2048, end_id:
         encode, end, ranks = encoder(vocabulary).encode, np.array([end_id], "<u4").tobytes(), defaultdict(int)
         for batch in batches:
             out = []
-            for doc_id, text, part in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                ids = encode(text) + end
+            doc_ids, texts, parts = (batch.column(i).to_pylist() for i in range(3))
+            for doc_id, coded, part in zip(doc_ids, encode(texts), parts, strict=True):
+                ids = coded + end
                 low, high, k = 0, (len(ids) // 4 - 1) % capacity + 1, 0
                 while low < len(ids) // 4:
                     out.append((doc_id, k, low, high - low, zlib.crc32(ids[4 * low : 4 * high]), part, ranks[high - low]))

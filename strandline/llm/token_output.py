@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +46,10 @@ def write(documents: DataFrame, vocabulary: str, end_id: int = 2, layout: dict[s
         encode, end, start = encoder(vocabulary).encode, np.array([end_id], "<u4").tobytes(), 0
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in (0, 1, 2)]
+            coding = encode(columns[2])
             for low in range(0, len(columns[0]), 256):
-                doc_ids, files, texts = (c[low : low + 256] for c in columns)
-                coded = [encode(t) + end for t in texts]
+                doc_ids, files = (c[low : low + 256] for c in columns[:2])
+                coded = [ids + end for ids in islice(coding, 256)]
                 sizes = np.array([len(c) // 4 for c in coded], np.int64)
                 starts = start + np.concatenate([[0], np.cumsum(sizes)])
                 start = int(starts[-1])

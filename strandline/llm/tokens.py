@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: The pre-tokenizer of byte-level BPE (fixed value); pieces with characters from U+0250 on are left to the library.
@@ -22,6 +25,9 @@ _BEFORE = tuple(chr(c) + " " for c in range(0x3001) if chr(c).isspace())
 #: Added tokens may hold these, and characters that Python and the library class differently.
 _ODD = ("<|", "\x1c", "\x1d", "\x1e", "\x1f", "\x85")
 
+#: Characters that are cut together.
+GROUP = 4_000_000
+
 _LOADED: dict[str, Any] = {}
 
 
@@ -56,7 +62,7 @@ class _Pieces(dict):
         return found
 
     def __missing__(self, piece: str) -> bytes:
-        if piece and max(piece) >= "\u0250":
+        if not piece.isascii() and max(piece) >= "\u0250":
             ids = self.whole(" " + piece)
         elif piece.isalpha():
             ids = self.word(" " + piece)
@@ -72,19 +78,45 @@ class _Pieces(dict):
 class Encoder:
     """Encodes texts; holds one tokenizer and at most ``most`` memoised pieces and words."""
 
-    def __init__(self, path: str, most: int = 600_000) -> None:
+    def __init__(self, path: str, most: int = 500_000) -> None:
         from tokenizers import Tokenizer
 
         self.pieces = _Pieces(Tokenizer.from_file(path), most)
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers; none for a null or empty text."""
-        if not text:
-            return b""
-        if any(x in text for x in _ODD) or any(x in text for x in _BEFORE) and _DOUBTFUL.search(text):
-            return self.pieces.whole(text)
-        first, *rest = text.split(" ")
-        return b"".join([self.pieces.whole(first) if first else b"", *map(self.pieces.__getitem__, rest)])
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; none for a null or empty text.
+
+        Texts are cut in groups of about ``GROUP`` characters; each distinct piece of a group is looked up once.
+        """
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            group.append(text or "")
+            size += len(group[-1])
+            if size >= GROUP:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, texts: list[str]) -> Iterator[bytes]:
+        heads, tails = [], []
+        for text in texts:
+            if any(x in text for x in _ODD) or any(x in text for x in _BEFORE) and _DOUBTFUL.search(text):
+                head, tail = self.pieces.whole(text), None
+            else:
+                first, space, rest = text.partition(" ")
+                head, tail = self.pieces.whole(first) if first else b"", rest if space else None
+            heads.append(head)
+            tails.append(tail)
+        cut = pc.split_pattern(pa.array(tails, pa.large_string()), " ")
+        coded = cut.flatten().dictionary_encode()
+        known = pa.array(list(map(self.pieces.__getitem__, coded.dictionary.to_pylist())), pa.large_binary())
+        ids = known.take(coded.indices)
+        data, places = memoryview(ids.buffers()[2] or b""), np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1) if len(ids) else np.zeros(1, np.int64)
+        lengths = pc.fill_null(pc.list_value_length(cut), 0).to_numpy()
+        ends = places[np.concatenate([[0], np.cumsum(lengths)])].tolist()
+        for head, low, high in zip(heads, ends, ends[1:]):
+            yield head + data[low:high]
 
 
 def encoder(path: str) -> Encoder:
@@ -95,8 +127,3 @@ def encoder(path: str) -> Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _LOADED[path] = Encoder(path)
     return _LOADED[path]
-
-
-def encode_all(path: str, texts: Iterable[str | None]) -> Iterable[bytes]:
-    encode = encoder(path).encode
-    return (encode(t) for t in texts)
