@@ -145,7 +145,7 @@ def classifier(found: DataFrame) -> dict[tuple[int, int], float]:
     """Probability of personal data for each (vote pattern, form): at most 3 ** 5 patterns by 40 forms."""
     counts = found.select(F.explode("found").alias("c")).groupBy("c.pattern", "c.form").agg(F.count("*").alias("n"))
     counts = keep(counts, "pii-patterns")
-    fitted = posteriors(counts.groupBy("pattern").agg(F.sum("n").alias("n")), 5, prior=0.6, accuracy=0.9).select("pattern", "posterior", "prior")
+    fitted = posteriors(counts.groupBy("pattern").agg(F.sum("n").alias("n")), 5, prior=0.7, votes_if_yes=(0.05, 0.25, 0.7), votes_if_no=(0.5, 0.3, 0.2)).select("pattern", "posterior", "prior")
     labelled = keep(counts.join(fitted, "pattern"), "pii-posteriors")
     # the final classifier: weight of a form = log of its share among true candidates over that among false ones
     yes, no = F.sum(F.col("n") * F.col("posterior")), F.sum(F.col("n") * (1 - F.col("posterior")))

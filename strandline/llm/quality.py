@@ -1,8 +1,8 @@
 """Quality by weak supervision, in DataFrame operations only.
 
-Each rule votes good, bad or abstains on a document. Documents fall into vote patterns, at most 3 ** rules of them;
-expectation-maximisation over the counted patterns estimates how many documents are good and how often each rule is
-right on good and on bad ones, without labels. A document stays if its pattern's posterior probability of being good is
+Each rule votes good or bad on a document or abstains. Documents fall into vote patterns, at most 3 ** rules of them;
+expectation-maximisation over the counted patterns estimates how many documents are good and how often each rule's votes
+are right, without labels. A document stays if its pattern's posterior probability of being good is
 at least the threshold, unless a hard limit (too few words, mostly repeated) rejects it.
 
 Repeated three-word windows are found within each row: windows become 64-bit hashes, and only rows where one repeats
@@ -62,17 +62,26 @@ def features(documents: DataFrame) -> DataFrame:
 
 
 def rules() -> dict[str, tuple[Column, Column]]:
-    """Name -> (votes bad, votes good); neither: abstains."""
+    """Name -> (votes bad, votes good); neither: abstains.
+
+    Rules that find a defect abstain where there is none, as one defect is enough for a bad document.
+    """
     words, chars, lines, letters = F.col("n_words"), F.col("word_chars"), F.col("n_lines"), F.col("n_letters")
+    never = F.lit(False)
+    clean = (
+        (20 * F.col("n_symbols") <= words) & (100 * F.col("n_repeat_words") <= 40 * words) & (10 * F.col("n_upper") <= 3 * letters)
+        & (50 * F.col("n_exclaimed") <= words) & (5 * F.col("n_dup_lines") <= 2 * lines) & (2 * letters >= chars)
+    )
     return {
-        "word_length": ((chars > 10 * words) | (chars < 3 * words), (chars >= 4 * words) & (2 * chars <= 13 * words)),
-        "symbols": (10 * F.col("n_symbols") > words, 100 * F.col("n_symbols") <= words),
-        "repeated_windows": (10 * F.col("n_repeat_words") > 3 * words, 5 * F.col("n_repeat_words") <= words),
-        "repeated_lines": (10 * F.col("n_dup_lines") > 3 * lines, (F.col("n_dup_lines") == 0) & (lines > 1)),
-        "capitals": (10 * F.col("n_upper") > 4 * letters, 10 * F.col("n_upper") <= letters),
-        "exclamations": (10 * F.col("n_exclaimed") > words, F.col("n_exclaimed") == 0),
-        "closed_lines": (10 * F.col("n_closed_lines") < 3 * lines, 10 * F.col("n_closed_lines") >= 7 * lines),
-        "letters": (10 * letters < 6 * chars, 10 * letters >= 8 * chars),
+        "symbols": (10 * F.col("n_symbols") > words, never),
+        "repeated_windows": (100 * F.col("n_repeat_words") > 45 * words, never),
+        "repeated_lines": (2 * F.col("n_dup_lines") > lines, never),
+        "capitals": (10 * F.col("n_upper") > 4 * letters, never),
+        "exclamations": (10 * F.col("n_exclaimed") > words, never),
+        "letters": (5 * letters < 2 * chars, never),
+        "word_length": ((chars > 12 * words) | (2 * chars < 5 * words), never),
+        "open_lines": ((lines >= 5) & (10 * F.col("n_closed_lines") < lines), never),
+        "clean": (never, clean),
     }
 
 
@@ -81,7 +90,7 @@ def judge(documents: DataFrame, threshold: float = 0.5, rounds: int = 30) -> Dat
     counted = keep(features(documents).withColumn("pattern", vote_pattern(list(rules().values()))), "quality-features")
     fitted = keep(posteriors(counted.groupBy("pattern").agg(F.count("*").alias("n")), len(rules()), rounds).select("pattern", "posterior"), "quality-posteriors")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    return counted.join(F.broadcast(fitted), "pattern").select(  # at most 3 ** 8 patterns
+    return counted.join(F.broadcast(fitted), "pattern").select(  # at most 3 ** 9 patterns
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & (F.col("posterior") >= threshold)).alias("kept"), "posterior",
     )

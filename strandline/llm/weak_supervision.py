@@ -14,34 +14,39 @@ def vote_pattern(rules: list[tuple[Column, Column]]) -> Column:
     return code
 
 
-def posteriors(patterns: DataFrame, n_rules: int, rounds: int = 30, prior: float = 0.8, accuracy: float = 0.85) -> DataFrame:
+def posteriors(
+    patterns: DataFrame,
+    n_rules: int,
+    rounds: int = 30,
+    prior: float = 0.8,
+    votes_if_yes: tuple[float, float, float] = (0.02, 0.48, 0.5),
+    votes_if_no: tuple[float, float, float] = (0.35, 0.6, 0.05),
+) -> DataFrame:
     """From (pattern, n): pattern, posterior probability of yes, and the estimates (prior, yes, no) behind it.
 
-    ``yes`` and ``no`` are each rule's probabilities of being right on true and on false cases where it votes. All
-    patterns fit one row (at most 3 ** n_rules), so the rounds are one fold over them there. Estimates stay within
-    0.02 and 0.98, and two pseudo-cases for each rule hold it near its start where it never votes.
+    ``yes`` and ``no`` hold, for each rule, the probabilities that it votes no, abstains or votes yes on true and on
+    false cases: its accuracy and its coverage, as a rule that finds defects abstains more often where there are none.
+    They start from ``votes_if_yes`` and ``votes_if_no``, which also weigh as two cases of each kind in every estimate.
+    All patterns fit one row (at most 3 ** n_rules), so the rounds are one fold over them there.
     """
-    last = n_rules - 1
-    vote = "(p.pattern div element_at(powers, j + 1)) % 3L"
     log_odds = (
-        f"ln(e.prior / (1 - e.prior)) + aggregate(sequence(0, {last}), 0D, (s, j) -> s + CASE {vote}"
-        " WHEN 2L THEN ln(e.yes[j] / (1 - e.no[j])) WHEN 0L THEN ln((1 - e.yes[j]) / e.no[j]) ELSE 0D END)"
+        f"ln(e.prior / (1 - e.prior)) + aggregate(sequence(0, {n_rules - 1}), 0D,"
+        " (s, j) -> s + ln(e.yes[3 * j + p.votes[j]] / e.no[3 * j + p.votes[j]]))"
     )
-    weighed = f"transform(patterns, p -> named_struct('pattern', p.pattern, 'n', p.n, 'w', p.n / (1 + exp(-({log_odds})))))"
+    weighed = f"transform(patterns, p -> named_struct('votes', p.votes, 'n', p.n, 'w', p.n / (1 + exp(-({log_odds})))))"
 
-    def share(x: str) -> str:
-        return f"greatest(0.02D, least(0.98D, {x}))"
+    def flat(start: tuple[float, ...]) -> str:
+        return f"array({', '.join(f'{x}D' for x in start * n_rules)})"
 
-    def right(side: str, weight: str) -> str:
-        hits = f"aggregate(q, 2D * {accuracy}D, (s, p) -> s + if({vote} = {side}, {weight}, 0D))"
-        votes = f"aggregate(q, 2D, (s, p) -> s + if({vote} <> 1L, {weight}, 0D))"
-        return f"transform(sequence(0, {last}), j -> {share(f'{hits} / {votes}')})"
+    def rates(start: tuple[float, ...], weight: str) -> str:
+        hits = f"aggregate(q, 2D * {flat(start)}[k], (s, p) -> s + if(p.votes[cast(k div 3 AS int)] = k % 3, {weight}, 0D))"
+        return f"transform(sequence(0, {3 * n_rules - 1}), k -> {hits} / aggregate(q, 2D, (s, p) -> s + {weight}))"
 
-    new_prior = share("aggregate(q, 1D, (s, p) -> s + p.w) / aggregate(q, 2D, (s, p) -> s + p.n)")
-    estimates = f"named_struct('prior', {new_prior}, 'yes', {right('2L', 'p.w')}, 'no', {right('0L', 'p.n - p.w')})"
-    start = f"named_struct('prior', {prior}D, 'yes', array_repeat({accuracy}D, {n_rules}), 'no', array_repeat({accuracy}D, {n_rules}))"
-    row = patterns.agg(F.array_sort(F.collect_list(F.struct("pattern", F.col("n").cast("double").alias("n")))).alias("patterns"))
-    row = row.withColumn("powers", F.array(*(F.lit(3**k).cast("long") for k in range(n_rules))))
+    new_prior = "aggregate(q, 1D, (s, p) -> s + p.w) / aggregate(q, 2D, (s, p) -> s + p.n)"
+    estimates = f"named_struct('prior', {new_prior}, 'yes', {rates(votes_if_yes, 'p.w')}, 'no', {rates(votes_if_no, '(p.n - p.w)')})"
+    start = f"named_struct('prior', {prior}D, 'yes', {flat(votes_if_yes)}, 'no', {flat(votes_if_no)})"
+    votes = F.array(*((F.expr(f"pattern div {3**k}") % 3).cast("int") for k in range(n_rules)))
+    row = patterns.select("pattern", votes.alias("votes"), F.col("n").cast("double").alias("n")).agg(F.array_sort(F.collect_list(F.struct("pattern", "votes", "n"))).alias("patterns"))
     fitted = row.withColumn("e", F.expr(f"aggregate(sequence(1, {rounds}), {start}, (e, t) -> aggregate(array({weighed}), e, (old, q) -> {estimates}))"))
     scored = f"transform(patterns, p -> named_struct('pattern', p.pattern, 'posterior', 1 / (1 + exp(-({log_odds}))), 'prior', e.prior, 'yes', e.yes, 'no', e.no))"
     return fitted.select(F.explode(F.expr(scored)).alias("p")).select("p.*")
