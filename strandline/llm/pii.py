@@ -172,5 +172,5 @@ def find(documents: DataFrame, least: float = 0.9) -> DataFrame:
         ordered = F.array_sort(F.transform(spans, lambda c: F.struct(c["start"], c["kind"], c["end"])))
         return F.concat_ws(",", F.transform(ordered, lambda c: F.concat_ws(":", F.get(F.array(*map(F.lit, KINDS)), c["kind"]), c["start"], c["end"])))
 
-    counts = [F.size(F.filter("base", lambda c, k=k: c["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [F.expr(f"size(filter(base, c -> c.kind = {k}))").cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return apart.select("doc_id", *counts, F.sha2(text(F.col("base")), 256).alias("base_sha256"), text(F.concat("base", "more")).alias("spans"))

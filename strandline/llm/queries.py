@@ -30,6 +30,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import near_dedup
+
+    return near_dedup.groups(_table(spark, sf_dir, "documents"), shingle_words=4)
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import secrets
 
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_language_id,
         op2_best_fit_packing,
+        op3_near_dedup,
         op4_secret_scan,
         op5_personal_data,
         op6_exact_dedup,
