@@ -26,7 +26,7 @@ _BEFORE = tuple(chr(c) + " " for c in range(0x3001) if chr(c).isspace())
 _ODD = ("<|", "\x1c", "\x1d", "\x1e", "\x1f", "\x85")
 
 #: Characters that are cut together.
-GROUP = 4_000_000
+GROUP = 8_000_000
 
 _LOADED: dict[str, Any] = {}
 
@@ -54,7 +54,8 @@ class _Pieces(dict):
         """Ids of one word of the pre-tokenizer."""
         found = self.words.get(word)
         if found is None:
-            letters = word.encode().decode("latin-1").translate(self.letters)
+            plain = word.isascii() and word[1:].isalnum() and word[0] == " "
+            letters = "\u0120" + word[1:] if plain else word.encode().decode("latin-1").translate(self.letters)
             found = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
             if len(self.words) >= self.most:
                 self.words.clear()
@@ -66,6 +67,8 @@ class _Pieces(dict):
             ids = self.whole(" " + piece)
         elif piece.isalpha():
             ids = self.word(" " + piece)
+        elif piece[-1:] in (".", ",") and piece[:-1].isalpha():
+            ids = self.word(" " + piece[:-1]) + self.word(piece[-1])
         else:
             ids = b"".join(map(self.word, _WORD.findall(" " + piece)))
         if len(piece) <= 64:
@@ -78,7 +81,7 @@ class _Pieces(dict):
 class Encoder:
     """Encodes texts; holds one tokenizer and at most ``most`` memoised pieces and words."""
 
-    def __init__(self, path: str, most: int = 500_000) -> None:
+    def __init__(self, path: str, most: int = 350_000) -> None:
         from tokenizers import Tokenizer
 
         self.pieces = _Pieces(Tokenizer.from_file(path), most)
