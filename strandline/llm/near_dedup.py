@@ -6,9 +6,10 @@ signature from one permutation per shingle: the values of a shingle over the slo
 lowers the variance, and a shingle stops at the highest rank that any slot still holds. Bands of slots give bucket keys.
 
 Within a bucket, each class is first compared with the smallest class of the bucket only, and confirmed links are merged
-by star contraction. Classes of one bucket that are then still apart are compared in pairs. In a bucket with many of them,
-as a common passage makes, they are paired by shared rare shingles instead: of each set, the rarest shingles, so many
-that two sets at the similarity must share one. Every link is confirmed on the full sets. With 40 bands of 5 slots, a pair at similarity 0.8 meets in no band once in 8 million pairs.
+by star contraction. All classes of buckets in which some are then still apart are paired by shared rare shingles: among the
+rarest of each set, so many that two sets at the similarity must share one, in places that leave enough shingles after
+it. So neither a common passage nor a large group of copies of copies makes all pairs. Every link is confirmed on the full
+sets. With 40 bands of 5 slots, a pair at similarity 0.8 meets in no band once in 8 million pairs.
 
 Defined results: null texts, and texts without words, have no shingles and are linked with nothing; texts with fewer words
 than a shingle have one, the whole sequence; repeated rows are linked with each other; a row with a null id is linked like
@@ -194,7 +195,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _prefixes(texts: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
-    """Members once for each of their rarest shingles, so many that two sets at the similarity share one."""
+    """Members once for each of their rarest shingles, with its rank: two sets at the similarity share one of them."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,14 +208,26 @@ def _prefixes(texts: DataFrame, members: DataFrame, size: int, percent: int) ->
     counts = keep(every.groupBy("key").agg(F.count("*").alias("docs")), "near-counts")
     ranked = every.join(counts, "key").withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("docs", "key")))
     short = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
-    return ranked.where("docs > 1").join(members, "id").where(F.col("rank") <= short).select("key", *members.columns)
+    return ranked.where("docs > 1").join(members, "id").where(F.col("rank") <= short).select("key", "rank", *members.columns)
 
 
-def groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80, full_bucket: int = 2000) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every document: its group is all it reaches over links.
+def _sharing(rare: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different roots that share a rare shingle, where its ranks leave enough shingles to reach the similarity.
 
-    ``full_bucket``: from so many pairs of members and groups on, a bucket's members are paired by rare shingles instead.
+    Of two sets at the similarity, the first shared shingle in the common order has at least the needed overlap from its
+    rank on in both; in the smaller set it lies among even fewer.
     """
+    nearest = F.col("n_shingles") - F.ceil(F.col("n_shingles") * (2 * percent) / (100 + percent)) + 1
+    x, y = rare.alias("x"), rare.where(F.col("rank") <= nearest).alias("y")
+    n, m = F.col("x.n_shingles"), F.col("y.n_shingles")
+    overlap = F.ceil((n + m) * percent / (100 + percent))
+    left = F.least(n - F.col("x.rank"), m - F.col("y.rank")) + 1
+    meet = (F.col("x.key") == F.col("y.key")) & ((n > m) | ((n == m) & (F.col("x.id") < F.col("y.id")))) & (F.col("x.root") != F.col("y.root")) & (left >= overlap) & _alike("x", "y", percent)
+    return x.join(y, meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
+def groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every document: its group is all it reaches over links."""
     rows = keep(sketches(documents, shingle_words), "near-rows")
     by_set = rows.where("n_shingles > 0").groupBy("n_shingles", "high", "low").agg(
         F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("one"), F.count("*").alias("copies")
@@ -239,17 +252,10 @@ def groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80, full
 
     members = placed.select("key", "id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     members = keep(members.join(facts, "id"), "near-members")
-    crowd = members.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("roots")).where("roots > 1")
-    mixed = keep(crowd.select("key", (F.col("n") * F.col("roots") > full_bucket).alias("full")), "near-mixed")
-    few = keep(members.join(mixed.where("NOT full").select("key"), "key"), "near-few")
-    full = members.join(mixed.where("full").select("key"), "key").drop("key").dropDuplicates(["id"])
-    rare = keep(_prefixes(texts, keep(full, "near-full"), shingle_words, percent), "near-rare")
-    more = []
-    for part in (few, rare):
-        x, y = part.alias("x"), part.alias("y")
-        meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.root") != F.col("y.root")) & _alike("x", "y", percent)
-        more.append(x.join(y, meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
-    links = links.union(keep(confirmed(more[0].union(more[1]).distinct(), texts, shingle_words, percent), "near-links"))
+    mixed = keep(members.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key"), "near-mixed")
+    apart = keep(members.join(mixed, "key").drop("key").dropDuplicates(["id"]), "near-apart")
+    rare = keep(_prefixes(texts, apart, shingle_words, percent), "near-rare")
+    links = links.union(keep(confirmed(_sharing(rare, percent), texts, shingle_words, percent), "near-links"))
     roots = keep(components(links), "near-roots")
 
     grouped = classes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
