@@ -51,14 +51,15 @@ def identities(documents: DataFrame, block_size: int = 2048, hash_bits: int = 64
     def hashed(block: Column) -> Column:
         return F.xxhash64(block) if hash_bits == 64 else F.pmod(F.xxhash64(block), F.lit(1 << hash_bits))
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", normalised(F.col("text")).alias("norm"))
+    own = F.col("row") if "row" in documents.columns else F.monotonically_increasing_id()
+    rows = documents.select(own.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", normalised(F.col("text")).alias("norm"))
     distinct = rows.select(F.explode(blocks(F.col("norm"), block_size)).alias("block")).select(hashed(F.col("block")).alias("hash"), "block").distinct()
     shared = distinct.groupBy("hash").count().where("count > 1").select("hash")
     contested = sorted(r["hash"] for r in shared.collect())  # hashes of two different blocks: none are expected
     in_doubt = F.array(*map(F.lit, contested)).cast("array<long>")
     cut = keep(
         rows.withColumn("blocks", blocks(F.col("norm"), block_size)).select(
-            F.monotonically_increasing_id().alias("row"),
+            "row",
             "doc_id",
             F.length(F.coalesce("text", F.lit(""))).alias("n_chars"),
             F.sha2("norm", 256).alias("text_sha256"),
@@ -90,6 +91,17 @@ def identities(documents: DataFrame, block_size: int = 2048, hash_bits: int = 64
 def dedup(documents: DataFrame, block_size: int = 2048, hash_bits: int = 64) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 for each row: of equal texts the longest as written, then the
     smallest doc_id, stays."""
+    return _decided(documents, block_size, hash_bits).drop("row")
+
+
+def survivors(documents: DataFrame, block_size: int = 2048) -> DataFrame:
+    """The documents that stay, with all their columns."""
+    rows = keep(documents.withColumn("__row", F.monotonically_increasing_id()), "dedup-documents")
+    dropped = _decided(rows.select(F.col("__row").alias("row"), "doc_id", "text"), block_size).where("NOT kept")
+    return rows.join(dropped.select(F.col("row").alias("__row")), "__row", "left_anti").select(*documents.columns)
+
+
+def _decided(documents: DataFrame, block_size: int = 2048, hash_bits: int = 64) -> DataFrame:
     rows = keep(identities(documents, block_size, hash_bits), "dedup-rows")
     rank = F.struct("n_chars", F.col("doc_id").isNotNull(), F.bitwise_not("doc_id"), F.bitwise_not("row"))
     groups = rows.groupBy("n_blocks", "name").agg(
@@ -97,6 +109,7 @@ def dedup(documents: DataFrame, block_size: int = 2048, hash_bits: int = 64) ->
     )
     copies = keep(groups.where("group_size > 1").select("n_blocks", "name", "group_size", "best.row", "best.doc_id").toDF("n_blocks", "name", "group_size", "keep_row", "keep_id"), "dedup-groups")
     return rows.join(copies, ["n_blocks", "name"], "left").select(
+        "row",
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).alias("group_size"),

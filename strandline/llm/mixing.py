@@ -70,7 +70,7 @@ def schedule(spark: SparkSession, wanted: DataFrame, n_slots: int) -> DataFrame:
     return slots.withColumn("cell", F.shiftright("point", 31 - LOOKUP_BITS)).join(cells, "cell").where("point >= low AND point < high").select("slot", "k")
 
 
-def mix(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, block_words: int = 32, cell_rows: int = 4096) -> DataFrame:
+def mix(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, block_words: int = 32, cell_rows: int = 1024) -> DataFrame:
     """``row`` (of the input as read), doc_id, size, source, source_size, target of the source, and taken words of every document."""
     spark = documents.sparkSession
     sized = keep(
@@ -80,7 +80,7 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int
     return mix_sized(spark, sized, weights, most, block_words, cell_rows)
 
 
-def mix_sized(spark: SparkSession, sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, block_words: int = 32, cell_rows: int = 4096) -> DataFrame:
+def mix_sized(spark: SparkSession, sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, block_words: int = 32, cell_rows: int = 1024) -> DataFrame:
     """As ``mix``, from rows (row, doc_id, source, size) kept in a table."""
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     wanted = keep(targets(sizes, weights, most), "mix-targets")

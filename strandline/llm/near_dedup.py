@@ -226,11 +226,24 @@ def _sharing(rare: DataFrame, percent: int) -> DataFrame:
     return x.join(y, meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
+def _first() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+
+
+def distinct(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group, that with the smallest doc_id (then text hash), with all columns; rows that agree in both
+    are left to exact dedup."""
+    found = groups(documents, shingle_words, percent).where("NOT first").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    same = F.col("__id").eqNullSafe(documents["doc_id"].cast("long")) & (F.col("__hash") == F.xxhash64(documents["text"]))
+    return documents.join(keep(found, "near-dropped"), same, "left_anti")
+
+
 def groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every document: its group is all it reaches over links."""
+    """doc_id, text_hash, first, n_shingles, component_id and kept for every document: its group is all it reaches over
+    links, and ``first`` marks the one document of it that stays."""
     rows = keep(sketches(documents, shingle_words), "near-rows")
     by_set = rows.where("n_shingles > 0").groupBy("n_shingles", "high", "low").agg(
-        F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("one"), F.count("*").alias("copies")
+        F.min("doc_id").alias("least_id"), F.min(_first()).alias("one"), F.count("*").alias("copies")
     )
     classes = keep(by_set.withColumn("id", F.monotonically_increasing_id()), "near-classes")
     one = classes.select("id", F.col("one.doc_id").alias("one_id"), F.col("one.text_hash").alias("one_hash"))
@@ -259,13 +272,15 @@ def groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> D
     roots = keep(components(links), "near-roots")
 
     grouped = classes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    grouped = keep(grouped.where((F.col("copies") > 1) | (F.col("root") != F.col("id"))).select("n_shingles", "high", "low", "least_id", "root").union(
-        classes.join(roots.select(F.col("root").alias("id")).distinct(), "id", "left_semi").where("copies = 1").select("n_shingles", "high", "low", "least_id", "id")
+    grouped = keep(grouped.where((F.col("copies") > 1) | (F.col("root") != F.col("id"))).select("n_shingles", "high", "low", "least_id", "one", "root").union(
+        classes.join(roots.select(F.col("root").alias("id")).distinct(), "id", "left_semi").where("copies = 1").select("n_shingles", "high", "low", "least_id", "one", "id")
     ), "near-grouped")
-    smallest = keep(grouped.groupBy("root").agg(F.min("least_id").alias("component_id")), "near-smallest")
-    found = keep(grouped.join(smallest, "root").select("n_shingles", "high", "low", "component_id", F.lit(True).alias("grouped")), "near-found")
+    smallest = keep(grouped.groupBy("root").agg(F.min("least_id").alias("component_id"), F.min("one").alias("first")), "near-smallest")
+    found = keep(grouped.join(smallest, "root").select("n_shingles", "high", "low", "component_id", "first", F.lit(True).alias("grouped")), "near-found")
     return rows.join(found, ["n_shingles", "high", "low"], "left").select(
         "doc_id",
+        "text_hash",
+        F.coalesce(F.col("first") == _first(), F.lit(True)).alias("first"),
         "n_shingles",
         F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("grouped"), F.col("doc_id").eqNullSafe(F.col("component_id"))).otherwise(F.lit(True)).alias("kept"),

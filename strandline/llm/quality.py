@@ -25,9 +25,11 @@ SPACE, WORD, SYMBOL = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]", r"[#*$%&|<>]"
 MIN_WORDS, MOST_REPEATED_PERCENT = 50, 50
 
 
-def features(documents: DataFrame) -> DataFrame:
-    """Counts for each document, whole texts."""
-    text = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+def features(documents: DataFrame, carry: bool = False) -> DataFrame:
+    """Counts for each document, whole texts; ``carry``: with the row itself as the struct ``document``."""
+    rest = [F.struct(*documents.columns).alias("document")] if carry else []
+    more = ["document"] if carry else []
+    text = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *rest)
     bare = text.withColumn("bare", F.regexp_replace("text", SPACE, ""))
     words = bare.withColumn("words", F.filter(F.split("text", SPACE), lambda w: w != "")).withColumn("lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)))
     n = F.size("words")
@@ -36,7 +38,7 @@ def features(documents: DataFrame) -> DataFrame:
         F.when(n >= 3, F.transform(F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))), lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)))).otherwise(F.array().cast("array<long>")),
     )
     counted = windows.select(
-        "doc_id", "windows",
+        "doc_id", "windows", *more,
         n.cast("long").alias("n_words"),
         F.length("bare").cast("long").alias("word_chars"),
         F.regexp_count("bare", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
@@ -58,7 +60,7 @@ def features(documents: DataFrame) -> DataFrame:
     covered = F.aggregate(
         F.transform("starts", lambda s, j: F.least(F.lit(3), F.coalesce(F.get("starts", j + 1) - s, F.lit(3)))), F.lit(0).cast("long"), lambda a, x: a + x
     )
-    return twice.select("doc_id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_closed_lines", "n_letters", "n_upper", "n_exclaimed", covered.alias("n_repeat_words"))
+    return twice.select(*more, "doc_id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_closed_lines", "n_letters", "n_upper", "n_exclaimed", covered.alias("n_repeat_words"))
 
 
 def rules() -> dict[str, tuple[Column, Column]]:
@@ -85,19 +87,28 @@ def rules() -> dict[str, tuple[Column, Column]]:
     }
 
 
+def _failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
+
+
+def _fitted(patterned: DataFrame, rounds: int) -> DataFrame:
+    counts = patterned.groupBy("pattern").agg(F.count("*").alias("n"))
+    return keep(posteriors(counts, len(rules()), rounds).select("pattern", "posterior"), "quality-posteriors")
+
+
 def judge(documents: DataFrame, threshold: float = 0.5, rounds: int = 30) -> DataFrame:
     """doc_id, counts, base_failed, posterior and kept for each document."""
     counted = keep(features(documents).withColumn("pattern", vote_pattern(list(rules().values()))), "quality-features")
-    fitted = keep(posteriors(counted.groupBy("pattern").agg(F.count("*").alias("n")), len(rules()), rounds).select("pattern", "posterior"), "quality-posteriors")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    return counted.join(F.broadcast(fitted), "pattern").select(  # at most 3 ** 9 patterns
+    return counted.join(F.broadcast(_fitted(counted, rounds)), "pattern").select(  # at most 3 ** 9 patterns
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & (F.col("posterior") >= threshold)).alias("kept"), "posterior",
+        _failed().alias("base_failed"), (~_failed() & (F.col("posterior") >= threshold)).alias("kept"), "posterior",
     )
 
 
-def accepted(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents that ``judge`` keeps, with all their columns."""
-    rows = keep(documents.withColumn("__row", F.monotonically_increasing_id()), "quality-rows")
-    verdicts = judge(rows.select(F.col("__row").alias("doc_id"), "text"), threshold).where("kept").select(F.col("doc_id").alias("__row"))
-    return rows.join(verdicts, "__row").select(*(rows[c] for c in documents.columns))
+def accepted(documents: DataFrame, threshold: float = 0.5, rounds: int = 30) -> DataFrame:
+    """The documents that ``judge`` keeps, with all their columns. Counts are taken twice instead of moving texts."""
+    votes = vote_pattern(list(rules().values()))
+    fitted = _fitted(features(documents).select(votes.alias("pattern")), rounds)
+    judged = features(documents, carry=True).withColumn("pattern", votes).join(F.broadcast(fitted), "pattern")  # at most 3 ** 9 patterns
+    # one predicate over both sides: pushed below the join, it would repeat the counts' nested expressions
+    return judged.where(F.when(_failed(), 0.0).otherwise(1.0) * F.col("posterior") >= threshold).select("document.*")

@@ -33,7 +33,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import near_dedup
 
-    return near_dedup.groups(_table(spark, sf_dir, "documents"), shingle_words=4)
+    return near_dedup.groups(_table(spark, sf_dir, "documents"), shingle_words=4).drop("text_hash", "first")
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
