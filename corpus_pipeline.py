@@ -1,24 +1,47 @@
-"""The corpus pipeline: stages from raw documents to packed sequences."""
+"""The corpus pipeline, from raw documents to packed sequences: each stage works on the table its predecessor wrote."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import packing
+from strandline.llm import exact_dedup, mixing, near_dedup, packing, quality
 from strandline.llm.queries import vocabulary
+from strandline.llm.store import keep
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.accepted(docs)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.survivors(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.distinct(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.copies(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary())
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("exact dedup", exact_copies),
+    ("MinHash near-dedup", near_copies),
+    ("source mixing", source_mix),
+    ("best-fit packing", sequences),
+]
+
+#: Expectation-maximisation, union-find and token ids are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strandline.llm.store import keep
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
