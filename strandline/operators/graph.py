@@ -231,6 +231,8 @@ def cycles(links: DataFrame, depth: int = 20, limit: int | None = 100) -> DataFr
         found.append(paths.where("start = at").select("start", F.lit(k).alias("length"), "trail"))
         if k == depth:
             break
+        if paths.isEmpty():
+            break
         grown = paths.join(edges_, paths["at"] == edges_["src_id"]).where(~F.array_contains("trail", F.col("edge")))
         paths = grown.select("start", F.col("dst_id").alias("at"), F.concat("trail", F.array("edge")).alias("trail"))
     out = found[0]
