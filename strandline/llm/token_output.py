@@ -33,7 +33,7 @@ LAYOUT = {
     "parquet.enable.dictionary#doc_id": "false",
     "parquet.enable.dictionary#local_start": "false",
     "parquet.enable.dictionary#n_tokens": "false",
-    "compression": "zstd",
+    "compression": "snappy",
 }
 
 _FILE = "doc_id long, file int, local_start long, n_tokens long, ids array<int>"

@@ -38,53 +38,64 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(others)}
 
 
-class _Pieces(dict):
-    """Piece after a space -> its ids as little-endian bytes; cleared when it holds ``most`` pieces."""
+class _Words:
+    """Ids, as little-endian bytes, of pieces after a space: a memo of words, cleared when it holds ``most``."""
 
     def __init__(self, tokenizer: Any, most: int) -> None:
-        super().__init__()
         self.tokenizer, self.model, self.most = tokenizer, tokenizer.model, most
         self.letters = {b: ord(c) for b, c in _byte_letters().items()}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.inner: dict[str, bytes] = {}
+        self.tails = {c: self.whole(c) for c in ".,"}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def word(self, word: str) -> bytes:
-        """Ids of one word of the pre-tokenizer."""
-        found = self.words.get(word)
+    def merged(self, word: str) -> bytes:
+        """Ids of one word of the pre-tokenizer, merged by the library's model."""
+        plain = word[0] == " " and word.isascii() and word[1:].isalnum()
+        letters = "\u0120" + word[1:] if plain else word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def part(self, word: str) -> bytes:
+        if word[0] == " " and word[1:].isalpha():
+            return self.piece(word[1:])
+        found = self.inner.get(word)
         if found is None:
-            plain = word.isascii() and word[1:].isalnum() and word[0] == " "
-            letters = "\u0120" + word[1:] if plain else word.encode().decode("latin-1").translate(self.letters)
-            found = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-            if len(self.words) >= self.most:
-                self.words.clear()
-            self.words[word] = found
+            found = self.merged(word)
+            if len(word) <= 64:
+                if len(self.inner) >= self.most // 4:
+                    self.inner.clear()
+                self.inner[word] = found
         return found
 
-    def __missing__(self, piece: str) -> bytes:
+    def piece(self, piece: str) -> bytes:
+        """Ids of a space and the piece."""
+        found = self.known.get(piece)
+        if found is not None:
+            return found
         if not piece.isascii() and max(piece) >= "\u0250":
-            ids = self.whole(" " + piece)
-        elif piece.isalpha():
-            ids = self.word(" " + piece)
-        elif piece[-1:] in (".", ",") and piece[:-1].isalpha():
-            ids = self.word(" " + piece[:-1]) + self.word(piece[-1])
-        else:
-            ids = b"".join(map(self.word, _WORD.findall(" " + piece)))
-        if len(piece) <= 64:
-            if len(self) >= self.most:
-                self.clear()
-            self[piece] = ids
-        return ids
+            return self.whole(" " + piece)
+        if piece.isalpha():
+            found = self.merged(" " + piece)
+            if len(piece) <= 64:
+                if len(self.known) >= self.most:
+                    self.known.clear()
+                self.known[piece] = found
+            return found
+        tail = self.tails.get(piece[-1:])
+        if tail is not None and piece[:-1].isalpha():
+            return self.piece(piece[:-1]) + tail
+        return b"".join(map(self.part, _WORD.findall(" " + piece)))
 
 
 class Encoder:
-    """Encodes texts; holds one tokenizer and at most ``most`` memoised pieces and words."""
+    """Encodes texts; holds one tokenizer and at most ``most`` memoised words."""
 
-    def __init__(self, path: str, most: int = 350_000) -> None:
+    def __init__(self, path: str, most: int = 600_000) -> None:
         from tokenizers import Tokenizer
 
-        self.pieces = _Pieces(Tokenizer.from_file(path), most)
+        self.words = _Words(Tokenizer.from_file(path), most)
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; none for a null or empty text.
@@ -105,15 +116,15 @@ class Encoder:
         heads, tails = [], []
         for text in texts:
             if any(x in text for x in _ODD) or any(x in text for x in _BEFORE) and _DOUBTFUL.search(text):
-                head, tail = self.pieces.whole(text), None
+                head, tail = self.words.whole(text), None
             else:
                 first, space, rest = text.partition(" ")
-                head, tail = self.pieces.whole(first) if first else b"", rest if space else None
+                head, tail = self.words.whole(first) if first else b"", rest if space else None
             heads.append(head)
             tails.append(tail)
         cut = pc.split_pattern(pa.array(tails, pa.large_string()), " ")
         coded = cut.flatten().dictionary_encode()
-        known = pa.array(list(map(self.pieces.__getitem__, coded.dictionary.to_pylist())), pa.large_binary())
+        known = pa.array(list(map(self.words.piece, coded.dictionary.to_pylist())), pa.large_binary())
         ids = known.take(coded.indices)
         data, places = memoryview(ids.buffers()[2] or b""), np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1) if len(ids) else np.zeros(1, np.int64)
         lengths = pc.fill_null(pc.list_value_length(cut), 0).to_numpy()
