@@ -45,13 +45,13 @@ def _same(a: DataFrame, b: DataFrame, columns: list[str]) -> Column:
     return reduce(lambda x, y: x & y, (a[c].eqNullSafe(b[c]) for c in columns))
 
 
-def identities(documents: DataFrame, block_size: int = 2048, hash_bits: int = 64) -> DataFrame:
-    """row, doc_id, n_chars of the text as it is, text_sha256, n_blocks and name: equal texts have equal (n_blocks, name)."""
+def identities(documents: DataFrame, block_size: int = 2048, hash_bits: int = 64, row: str | None = None) -> DataFrame:
+    """row (numbered here, or taken from the column ``row``), doc_id, n_chars of the text as it is, text_sha256, n_blocks and name: equal texts have equal (n_blocks, name)."""
 
     def hashed(block: Column) -> Column:
         return F.xxhash64(block) if hash_bits == 64 else F.pmod(F.xxhash64(block), F.lit(1 << hash_bits))
 
-    own = F.col("row") if "row" in documents.columns else F.monotonically_increasing_id()
+    own = F.col(row) if row else F.monotonically_increasing_id()
     rows = documents.select(own.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", normalised(F.col("text")).alias("norm"))
     distinct = rows.select(F.explode(blocks(F.col("norm"), block_size)).alias("block")).select(hashed(F.col("block")).alias("hash"), "block").distinct()
     shared = distinct.groupBy("hash").count().where("count > 1").select("hash")
@@ -97,12 +97,12 @@ def dedup(documents: DataFrame, block_size: int = 2048, hash_bits: int = 64) ->
 def survivors(documents: DataFrame, block_size: int = 2048) -> DataFrame:
     """The documents that stay, with all their columns."""
     rows = keep(documents.withColumn("__row", F.monotonically_increasing_id()), "dedup-documents")
-    dropped = _decided(rows.select(F.col("__row").alias("row"), "doc_id", "text"), block_size).where("NOT kept")
+    dropped = _decided(rows, block_size, row="__row").where("NOT kept")
     return rows.join(dropped.select(F.col("row").alias("__row")), "__row", "left_anti").select(*documents.columns)
 
 
-def _decided(documents: DataFrame, block_size: int = 2048, hash_bits: int = 64) -> DataFrame:
-    rows = keep(identities(documents, block_size, hash_bits), "dedup-rows")
+def _decided(documents: DataFrame, block_size: int = 2048, hash_bits: int = 64, row: str | None = None) -> DataFrame:
+    rows = keep(identities(documents, block_size, hash_bits, row), "dedup-rows")
     rank = F.struct("n_chars", F.col("doc_id").isNotNull(), F.bitwise_not("doc_id"), F.bitwise_not("row"))
     groups = rows.groupBy("n_blocks", "name").agg(
         F.count("*").alias("group_size"), F.max_by(F.struct("row", "doc_id"), rank).alias("best")

@@ -95,22 +95,30 @@ def train(documents: DataFrame, sample: int = 2000, generated: int = 2000) -> li
             counts[1][p] += 1
     logs = []
     for own in counts:
+        single = [sum(own[now::_SIZE]) + 0.5 for now in range(_SIZE)]
+        share = [x / sum(single) for x in single]
         model = []
         for last in range(_SIZE):
-            row = own[last * _SIZE : (last + 1) * _SIZE]
-            total = sum(row) + 0.5 * _SIZE
-            model += [math.log((x + 0.5) / total) for x in row]
+            # a pair seen once is taken as not seen, so that no word vouches for itself; the rest goes by single characters
+            row = [max(0.0, x - 1) for x in own[last * _SIZE : (last + 1) * _SIZE]]
+            model += [math.log((x + 5 * p) / (sum(row) + 5)) for x, p in zip(row, share, strict=True)]
         logs.append(model)
     return [b - a for a, b in zip(*logs, strict=True)]
 
 
+def _mixed(word: str) -> bool:
+    """Letters with digits, or both cases after the first letter: keys are, words in capitals and numbers aren't."""
+    rest = word[1:]
+    return any(c.isalpha() for c in word) and (any(c.isdigit() for c in word) or rest.lower() != rest != rest.upper())
+
+
 def random_spans(text: str, spans: list[Span], ratio: list[float], least: float, least_mean: float) -> list[Span]:
     """Spans of kind ``random`` outside the given ones: words with letters whose ratio passes both thresholds."""
     found = []
     for m in TOKEN.finditer(text):
         word = m[0]
         score = sum(map(ratio.__getitem__, _pairs(word)))
-        if score >= least and score >= least_mean * len(word) and not word.isdigit() and any(c.isalpha() for c in word) and _outside(m, spans):
+        if score >= least and score >= least_mean * len(word) and _mixed(word) and _outside(m, spans):
             found.append((m.start(), 3, m.end()))
     return found
 
