@@ -73,8 +73,9 @@ def betweenness(nodes: DataFrame, links: DataFrame, most_edges: int = 5_000_000)
 
 
 def communities(nodes: DataFrame, links: DataFrame, rounds: int = 12, keep: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
-    """(id, community_id) by moves of greatest modularity gain, as Louvain's first phase makes them, all nodes of one half at a
-    time: in each round the nodes of one parity of their hash move to the neighbouring community that gains most.
+    """(id, community_id) by moves of greatest modularity gain, as Louvain's first phase makes them, one half of the nodes at a
+    time: in each round, those that a hash of node and round picks move to the neighbouring community that gains most, so
+    that two neighbours don't keep changing places.
     """
     both = links.where("src_id <> dst_id").select("src_id", "dst_id").union(links.where("src_id <> dst_id").select("dst_id", "src_id"))
     weights = both.groupBy("src_id", "dst_id").agg(F.count("*").cast("double").alias("w"))
@@ -89,7 +90,7 @@ def communities(nodes: DataFrame, links: DataFrame, rounds: int = 12, keep: Call
         rest = F.col("tot") - F.when(F.col("to") == F.col("c"), F.col("k")).otherwise(0.0)
         gain = F.col("inside") - F.col("k") * rest / total
         best = judged.groupBy("id").agg(F.max(F.struct(F.round(gain, 9).alias("g"), (F.col("to") == F.col("c")).alias("stay"), F.col("to"))).alias("b"))
-        moves = best.where(F.pmod(F.xxhash64("id"), F.lit(2)) == r % 2).select("id", "b.to")
+        moves = best.where(F.pmod(F.xxhash64("id", F.lit(r)), F.lit(2)) == 0).select("id", "b.to")
         state = state.join(moves, "id", "left").select("id", F.coalesce("to", "c").alias("c"))
         state = keep(state, r) if keep else state
     named = state.groupBy("c").agg(F.min("id").alias("community_id"))

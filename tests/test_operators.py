@@ -161,7 +161,7 @@ def test_measures_of_known_graphs(spark):
     ranks = {r["id"]: r["rank"] for r in analytics.pagerank(nodes, path, 10, keep=cut).collect()}
     assert ranks[5] > ranks[4] > ranks[1] == pytest.approx(0.15)
     two = spark.createDataFrame([(1, 2), (2, 3), (1, 3), (4, 5), (3, 4)], "src_id int, dst_id int")
-    group = {r["id"]: r["community_id"] for r in analytics.communities(nodes, two, rounds=4, keep=cut).collect()}
+    group = {r["id"]: r["community_id"] for r in analytics.communities(nodes, two, rounds=7, keep=cut).collect()}
     assert group[4] == group[5] and set(group) == {1, 2, 3, 4, 5}
 
 
