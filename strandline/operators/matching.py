@@ -7,6 +7,8 @@ earlier decisions are folded in order; all others are decided row by row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,16 +61,23 @@ def _decide(chain: Column) -> Column:
         hits = F.filter(state["decided"], lambda d: d["pos"] == position)
         return F.element_at(F.concat(F.array(F.lit(None).cast("int")), F.transform(hits, lambda d: d["year"])), -1)
 
-    def step(state: Column, m: Column) -> Column:
-        neighbours = F.array(year_at(state, m["pos"] - 1), year_at(state, m["pos"] + 1))
-        kept = F.filter(m["cands"], lambda c: (c["stage"] != "fuzzy") | plausible(c["year"], neighbours))
+    def pool_of(kept: Column) -> Column:
         exact, fuzzy, cross = (_of(kept, stage) for stage in ("exact", "fuzzy", "crossref"))
-        pool = F.when(F.size(exact) > 0, exact).when(F.size(fuzzy) > 0, fuzzy).otherwise(cross)
-        best = F.get(pool, 0)
-        accepted = F.coalesce(best["score"] >= CONFIDENCE, F.lit(False))
-        decided = F.when(accepted, F.concat(state["decided"], F.array(F.struct(m["pos"].alias("pos"), best["year"].alias("year"))))).otherwise(state["decided"])
-        row = F.struct(m["mention_id"].alias("mention_id"), F.when(accepted, best).alias("best"), pool.alias("pool"))
-        return F.struct(decided.alias("decided"), F.concat(state["out"], F.array(row)).alias("out"))
+        return F.when(F.size(exact) > 0, exact).when(F.size(fuzzy) > 0, fuzzy).otherwise(cross)
+
+    def step(state: Column, m: Column) -> Column:
+        def decide(pool: Column) -> Column:
+            best = F.get(pool, 0)
+            accepted = F.coalesce(best["score"] >= CONFIDENCE, F.lit(False))
+            more = F.array(F.struct(m["pos"].alias("pos"), best["year"].alias("year")))
+            row = F.struct(m["mention_id"].alias("mention_id"), F.when(accepted, best).alias("best"), pool.alias("pool"))
+            return F.struct(F.when(accepted, F.concat(state["decided"], more)).otherwise(state["decided"]).alias("decided"), F.concat(state["out"], F.array(row)).alias("out"))
+
+        def filtered(years: Column) -> Column:
+            return F.filter(m["cands"], lambda c: (c["stage"] != "fuzzy") | plausible(c["year"], years))
+
+        years = F.array(year_at(state, m["pos"] - 1), year_at(state, m["pos"] + 1))
+        return _let(years, lambda y: _let(filtered(y), lambda kept: _let(pool_of(kept), decide)))
 
     cand = "struct<cand:bigint,stage:string,score:double,year:int>"
     start = F.struct(
@@ -78,6 +87,11 @@ def _decide(chain: Column) -> Column:
     return F.aggregate(chain, start, step)["out"]
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _of(cands: Column, stage: str) -> Column:
     return F.filter(cands, lambda c: c["stage"] == stage)
 
