@@ -149,7 +149,7 @@ def _hashed(documents: DataFrame) -> DataFrame:
 
 def _alike(a: str, b: str, percent: int, limit: int = 48) -> Column:
     """Whether sizes allow the similarity, and bits differ in few enough places: at 0.8, more than ``limit`` of 200 differ
-    once in 10 ** 10 pairs. A pattern of the join's condition, so other pairs are never made."""
+    in fewer than one of 10 ** 8 pairs. A pattern of the join's condition, so other pairs are never made."""
     n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
     apart = sum((F.bit_count(F.get(f"{a}.bits", k).bitwiseXOR(F.get(f"{b}.bits", k))) for k in range(4)), F.lit(0))
     return (100 * n >= percent * m) & (100 * m >= percent * n) & (apart <= limit)
