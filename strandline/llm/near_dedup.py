@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from .store import keep
 
 BANDS, ROWS = 40, 5
+#: Rare shingles of a set up to which each of its rows carries the list of all of them.
+LISTED = 64
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C55
 _UNIT = pow(_BASE, -1, 1 << 64)
@@ -208,7 +210,11 @@ def _prefixes(texts: DataFrame, members: DataFrame, size: int, percent: int) ->
     counts = keep(every.groupBy("key").agg(F.count("*").alias("docs")), "near-counts")
     ranked = every.join(counts, "key").withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("docs", "key")))
     short = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
-    return ranked.where("docs > 1").join(members, "id").where(F.col("rank") <= short).select("key", "rank", *members.columns)
+    rarest = ranked.where("docs > 1").join(members, "id").where(F.col("rank") <= short).select("key", "rank", *members.columns)
+    rarest = keep(rarest, "near-rarest")
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("rank", "key"))), lambda s: s["key"])
+    lists = rarest.groupBy("id").agg(F.count("*").alias("n"), listed.alias("listed")).where(F.col("n") <= LISTED)
+    return rarest.join(lists.select("id", "listed"), "id", "left")
 
 
 def _sharing(rare: DataFrame, percent: int) -> DataFrame:
@@ -222,7 +228,9 @@ def _sharing(rare: DataFrame, percent: int) -> DataFrame:
     n, m = F.col("x.n_shingles"), F.col("y.n_shingles")
     overlap = F.ceil((n + m) * percent / (100 + percent))
     left = F.least(n - F.col("x.rank"), m - F.col("y.rank")) + 1
-    meet = (F.col("x.key") == F.col("y.key")) & ((n > m) | ((n == m) & (F.col("x.id") < F.col("y.id")))) & (F.col("x.root") != F.col("y.root")) & (left >= overlap) & _alike("x", "y", percent)
+    # where both lists are short, a pair is made at its first shared shingle only; else at each, and made distinct after
+    first = F.coalesce(F.get(F.array_intersect("x.listed", "y.listed"), 0) == F.col("x.key"), F.lit(True))
+    meet = (F.col("x.key") == F.col("y.key")) & ((n > m) | ((n == m) & (F.col("x.id") < F.col("y.id")))) & (F.col("x.root") != F.col("y.root")) & (left >= overlap) & _alike("x", "y", percent) & first
     return x.join(y, meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
