@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import keep
+from .store import keep, modest_batches
 
 BANDS, ROWS = 40, 5
 #: Rare shingles of a set up to which each of its rows carries the list of all of them.
@@ -146,7 +146,7 @@ def sketches(documents: DataFrame, size: int, bands: int = BANDS, rows: int = RO
 
 
 def _hashed(documents: DataFrame) -> DataFrame:
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return modest_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
 
 def _alike(a: str, b: str, percent: int, limit: int = 48) -> Column:

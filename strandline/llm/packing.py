@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import keep
+from .store import keep, modest_batches
 from .tokens import encoder
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, local_rank long"
@@ -113,7 +113,7 @@ def pieces(documents: DataFrame, vocabulary: str, capacity: int = 2048, end_id:
             columns = zip(*out, strict=True) if out else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.spark_partition_id().alias("part")).mapInArrow(cut, _PIECES)
+    return modest_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.spark_partition_id().alias("part")).mapInArrow(cut, _PIECES)
 
 
 def pack(documents: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:

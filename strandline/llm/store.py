@@ -38,3 +38,12 @@ def keep_path(df: DataFrame, name: str, options: dict[str, str] | None = None) -
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     return path
+
+
+def modest_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, after the session's Arrow batches are made small enough for whole texts: a batch is held in memory on both sides
+    of the pipe to Python."""
+    spark = df.sparkSession
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import keep, keep_path
+from .store import keep, keep_path, modest_batches
 from .tokens import encoder
 
 #: Parquet settings: format version 2 delta-codes integers that are not dictionary-coded; page indexes are always written.
@@ -63,7 +63,7 @@ def write(documents: DataFrame, vocabulary: str, end_id: int = 2, layout: dict[s
                 )
 
     ordered = (
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        modest_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
         .select("doc_id", F.spark_partition_id().alias("file"), "text")
@@ -101,4 +101,4 @@ def checksums(tokens: DataFrame) -> DataFrame:
                 ["doc_id", "start", "n_tokens", "ids_crc32"],
             )
 
-    return tokens.select("doc_id", "start", "ids").mapInArrow(sums, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return modest_batches(tokens).select("doc_id", "start", "ids").mapInArrow(sums, "doc_id long, start long, n_tokens long, ids_crc32 long")

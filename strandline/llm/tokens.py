@@ -26,7 +26,7 @@ _BEFORE = tuple(chr(c) + " " for c in range(0x3001) if chr(c).isspace())
 _ODD = ("<|", "\x1c", "\x1d", "\x1e", "\x1f", "\x85")
 
 #: Characters that are cut together.
-GROUP = 8_000_000
+GROUP = 4_000_000
 
 _LOADED: dict[str, Any] = {}
 
@@ -92,7 +92,7 @@ class _Words:
 class Encoder:
     """Encodes texts; holds one tokenizer and at most ``most`` memoised words."""
 
-    def __init__(self, path: str, most: int = 600_000) -> None:
+    def __init__(self, path: str, most: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         self.words = _Words(Tokenizer.from_file(path), most)
@@ -131,6 +131,8 @@ class Encoder:
         ends = places[np.concatenate([[0], np.cumsum(lengths)])].tolist()
         for head, low, high in zip(heads, ends, ends[1:]):
             yield head + data[low:high]
+        del cut, coded, known, ids, data, places
+        pa.default_memory_pool().release_unused()
 
 
 def encoder(path: str) -> Encoder:
