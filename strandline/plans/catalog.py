@@ -250,8 +250,7 @@ def crossref_block_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def disambiguate_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mentions: names of lineitems' nations, in chains of orders; biographies: nations."""
-    s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
-    l = table(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 0")
+    s, n, l = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation"), table(spark, sf_dir, "lineitem")
     named = l.join(s, l["l_suppkey"] == s["s_suppkey"]).join(n, s["s_nationkey"] == n["n_nationkey"])
     order = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*ORDER))
     name = F.when(F.col("l_linenumber") % 3 == 0, F.concat("n_name", F.lit("X"))).otherwise(F.col("n_name"))
