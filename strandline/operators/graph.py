@@ -220,25 +220,32 @@ def coverage(groups: DataFrame, members: DataFrame, key: str, member: str, expec
     return counted.withColumn("deviation", F.when(F.col(expected) != 0, F.abs(F.col("actual") - F.col(expected)) * 100.0 / F.col(expected)))
 
 
-def cycles(links: DataFrame, depth: int = 20, limit: int | None = 100) -> DataFrame:
+def cycles(links: DataFrame, depth: int = 20, limit: int | None = 100, keep: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
     """Paths (src, dst) of at most ``depth`` edges, none of them twice, that come back to their start: one join a step,
-    and only paths that can still grow go on."""
+    and only paths that can still grow go on. Of more than ``limit``, the shortest count, by start and trail: once there are
+    so many, longer ones can't be among them. ``keep`` may cut lineage between steps.
+    """
     edges_ = links.select(F.col("src_id"), F.col("dst_id")).distinct()
     edges_ = edges_.withColumn("edge", F.concat_ws(">", F.col("src_id").cast("string"), F.col("dst_id").cast("string")))
     paths = edges_.select(F.col("src_id").alias("start"), F.col("dst_id").alias("at"), F.array("edge").alias("trail"))
-    found = []
+    found, n = [], 0
     for k in range(1, depth + 1):
         found.append(paths.where("start = at").select("start", F.lit(k).alias("length"), "trail"))
         if k == depth:
             break
         if paths.isEmpty():
             break
+        if limit:
+            n += found[-1].count()
+            if n >= limit:
+                break
         grown = paths.join(edges_, paths["at"] == edges_["src_id"]).where(~F.array_contains("trail", F.col("edge")))
         paths = grown.select("start", F.col("dst_id").alias("at"), F.concat("trail", F.array("edge")).alias("trail"))
+        paths = keep(paths, k) if keep else paths
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
-    return out.orderBy("length", "start").limit(limit) if limit else out
+    return out.orderBy("length", "start", "trail").limit(limit) if limit else out
 
 
 Classifier = Callable[[DataFrame], bool]

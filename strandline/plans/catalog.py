@@ -134,6 +134,12 @@ def cycle_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.cycles(links, depth=3, limit=None).groupBy("start", "length").agg(F.count("*").alias("n"))
 
 
+@query()
+def chain_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's check: cycles of up to 20 edges in the whole graph of chains, at most 100 of them, the shortest first."""
+    return graph.cycles(_edges(spark, sf_dir), keep=cut).select(F.col("start").alias("id"), "length", F.array_join("trail", ",").alias("trail"))
+
+
 @query("""WITH b AS (SELECT o_custkey AS id, o_orderkey AS ord, o_orderpriority AS priority, CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS price FROM orders)
 SELECT id, arg_max(priority, ord) AS priority, arg_max(price, ord) FILTER (price IS NOT NULL) AS price, max(ord) AS ord FROM b GROUP BY 1""")
 def node_merge_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:

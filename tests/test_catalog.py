@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+from strandline.operators import graph
 from strandline.plans import catalog
 
 
@@ -43,3 +44,22 @@ def test_disambiguate_full_resolves_every_chain(spark, tmp_path):
     )
     found = catalog.disambiguate_full(spark, at).collect()
     assert {(r["name_ar"], r["n_aliases"], r["n_sources"], r["mention_count"]) for r in found} == resolved(lines)
+
+
+LINES = "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long, l_shipdate string, l_extendedprice double"
+
+
+def test_chain_integrity_finds_long_cycles_of_the_whole_graph(spark, tmp_path):
+    around = [3, 45, 7, 92, 11, 300, 5, 41]
+    pairs = list(zip(around, around[1:] + around[:1], strict=True)) + [(41, 1000), (1000, 2000)]
+    lines = [(o, k + 1, s, 1, "1995-01-01", 1.0) for o, pair in enumerate(pairs) for k, s in enumerate(pair)]
+    found = catalog.chain_integrity(spark, stored(spark, tmp_path, lineitem=(lines, LINES))).collect()
+    assert [(r["id"], r["length"]) for r in found] == [(s, 8) for s in sorted(around)]
+
+
+def test_cycles_stop_at_the_limit_without_a_loss(spark):
+    edges = spark.createDataFrame([(a, b) for a in range(3) for b in range(3) if a != b], "src_id int, dst_id int")
+    every = sorted((r["length"], r["start"], r["trail"]) for r in graph.cycles(edges, limit=None).collect())
+    assert len(every) > 20
+    for limit in (1, 6, 7, 20, len(every) + 1):
+        assert [(r["length"], r["start"], r["trail"]) for r in graph.cycles(edges, limit=limit).collect()] == every[:limit]
