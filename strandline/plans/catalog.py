@@ -211,7 +211,7 @@ def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = table(spark, sf_dir, "conversations").select(
         F.concat_ws(":", F.lit("sunnah"), "role", "conv_id", "turn").alias("source_id"), F.lit("sunnah").alias("source_corpus"), F.col("role").alias("collection_name"),
-        F.col("conv_id").cast("int").alias("book_number"), F.col("turn").cast("int").alias("hadith_number"), F.col("text").alias("matn_en"), F.substring("text", 1, 120).alias("isnad_raw_en"),
+        F.col("conv_id").cast("int").alias("book_number"), F.col("turn").cast("int").alias("hadith_number"), F.col("text").alias("matn_en"), F.col("text").alias("isnad_raw_en"),
         F.when(F.col("turn") % 2 == 0, "sahih").alias("grade"), F.lit("sunni").alias("sect"),
     )
     return schemas.conform(rows, "hadiths")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 
 from strandline.operators import graph
@@ -63,3 +64,13 @@ def test_cycles_stop_at_the_limit_without_a_loss(spark):
     assert len(every) > 20
     for limit in (1, 6, 7, 20, len(every) + 1):
         assert [(r["length"], r["start"], r["trail"]) for r in graph.cycles(edges, limit=limit).collect()] == every[:limit]
+
+
+def test_fan_out_reads_chains_to_their_end(spark, tmp_path):
+    text = "Narrated by " + "Abd al-Rahman ibn " * 8 + "Awf from Umar ibn al-Khattab from Abu Hurairah"
+    assert text.index("Awf") > 120
+    at = stored(spark, tmp_path, conversations=([(1, 0, "user", text)], "conv_id long, turn int, role string, text string"))
+    nodes, edges = catalog.fan_out_nodes(spark, at).collect(), catalog.fan_out_edges(spark, at).collect()
+    names = {json.loads(r["props"])["name_en"] for r in nodes if r["label"] == "Narrator"}
+    assert names == {"by " + "Abd al-Rahman ibn " * 8 + "Awf", "Umar ibn al-Khattab", "Abu Hurairah"}
+    assert sorted(json.loads(r["props"])["position_in_chain"] for r in edges if r["label"] == "TRANSMITTED_TO") == [0, 1]
