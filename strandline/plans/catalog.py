@@ -186,7 +186,16 @@ _EN = r"\b(?:Narrated|reported\s+by|on\s+the\s+authority\s+of|from|who\s+heard\s
 @query(rf"""SELECT doc_id, p - 1 AS position, name FROM (SELECT doc_id, generate_subscripts(parts, 1) AS p, unnest(parts) AS raw FROM (SELECT doc_id, regexp_split_to_array(text, '(?i){_EN}') AS parts FROM documents WHERE lang = 'en' AND regexp_matches(text, '(?i)\bfrom\b')))
 , LATERAL (SELECT nullif(regexp_replace(regexp_replace(raw, '^\s+|\s+$', '', 'g'), '[.,;:!?()]+$', ''), '') AS name) WHERE name IS NOT NULL""")
 def en_chain_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where("lang = 'en'").where(F.col("text").rlike(r"(?i)\bfrom\b"))
+    return _en_chains(table(spark, sf_dir, "documents").where("lang = 'en'").where(F.col("text").rlike(r"(?i)\bfrom\b")))
+
+
+@query()
+def en_chain_extract_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``en_chain_extract``, of every English text: those with other delimiters only, and those with none, which are one name."""
+    return _en_chains(table(spark, sf_dir, "documents").where("lang = 'en'"))
+
+
+def _en_chains(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.explode(chains.spans(F.col("text"), "en")).alias("s")).select("doc_id", F.col("s.position").cast("long").alias("position"), "s.name")
 
 
