@@ -2,9 +2,11 @@
 
 A page's text nodes are grouped by their path of block tags from the root. For each path, the text length and the
 punctuation per node are summed over the page; both series are smoothed along the page, fused by their geometric mean and
-compared with the page's level: paths above it hold content. The content element is the innermost one that holds
-nearly all text of content paths, and its blocks are the main text: so short paragraphs and headings of an article stay,
-and long notices outside it go. Elements whose tag, role, class or id names a menu, header, footer, sidebar, notice,
+compared with the page's level: paths above it hold content. From the innermost element that holds nearly all text of
+content paths, the content element is the outermost article or main around it; without one, the lowest element around it
+that holds all blocks of content paths and isn't a part of a text, such as a list. If it has no h1, the nearest element
+around it that begins with one takes its place. Its blocks are the main text: so short paragraphs, headings and nested
+parts of an article stay, and long notices outside it go. Elements whose tag, role, class or id names a menu, header, footer, sidebar, notice,
 advert, form, script, style or reader comment never count.
 
 Defined results: a null or empty page and a page without text have an empty text; null ids and repeated rows are extracted
@@ -39,6 +41,8 @@ INLINE = frozenset(
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Elements that never hold main text.
 APART = frozenset("head nav footer aside form button fieldset dialog menu audio video datalist".split())
+#: Elements that are parts of a text and never the whole of one.
+PARTS = frozenset("p li td th dd dt blockquote tr h1 h2 h3 h4 h5 h6 pre ul ol dl table thead tbody tfoot section figure header hgroup details".split())
 _NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promo(?:tion)?s?|banners?|cookies?|consent|gdpr|notices?|alerts?|newsletter|"
     r"subscribe|subscription|signup|sign-up|nav|navbar|navigation|menus?|breadcrumbs?|masthead|footers?|sidebars?|side-bar|aside|widgets?|related|recommended|"
@@ -50,7 +54,7 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
     tag: str
     parent: Element | None
@@ -188,8 +192,14 @@ def content_paths(found: list[Block], level: float = 0.5) -> set[str]:
     return {p for p in score if score[p] >= level * mean}
 
 
+def _upwards(element: Element | None) -> Iterator[Element]:
+    while element is not None:
+        yield element
+        element = element.parent
+
+
 def main_text(page: str | None, share: float = 0.8) -> str:
-    """The page's main text: blocks of the innermost element that holds ``share`` of the text of content paths."""
+    """The page's main text: blocks of the article around the innermost element that holds ``share`` of the text of content paths."""
     found = blocks(page or "")
     if not found:
         return ""
@@ -202,14 +212,17 @@ def main_text(page: str | None, share: float = 0.8) -> str:
                 up.content += len(b.text)
                 up = up.parent
     holders: dict[int, Element] = {}
+    first: dict[int, Block] = {}
     for b in found:
         up = b.element
         while up is not None and id(up) not in holders:
-            holders[id(up)] = up
+            holders[id(up)], first[id(up)] = up, b
             up = up.parent
     whole = max((e for e in holders.values() if e.content >= share * total), key=lambda e: e.depth)
-    while whole.tag in ("p", "li", "td", "th", "dd", "dt", "blockquote", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "pre") and whole.parent is not None:
-        whole = whole.parent
+    around = [e for e in _upwards(whole) if e.tag in ("article", "main")]
+    whole = around[-1] if around else next(e for e in _upwards(whole) if e.parent is None or e.content >= total and e.tag not in PARTS)
+    if not any(b.element.tag == "h1" and whole in _upwards(b.element) for b in found):
+        whole = next((e for e in _upwards(whole) if first[id(e)].element.tag == "h1"), whole)
 
     def inside(element: Element | None) -> bool:
         while element is not None and element is not whole:

@@ -149,3 +149,24 @@ def test_pages(spark):
     assert found[0]["text"] == "Head & line\n\nFirst, a sentence.\n\nSecond bold text, here."
     assert [r["text"] for r in found[1:]] == ["", "", "plain, text", "a\n\nb<", "deep, text.", "<"]
     assert all(r["n_chars"] == len(r["text"]) for r in found)
+
+
+LONG = " ".join(["A sentence of the article, of some length, with marks."] * 12)
+AROUND = "<html><body><nav><a>Home</a></nav>{}<footer>End, of page.</footer></body></html>"
+
+
+@pytest.mark.parametrize(
+    ("markup", "parts"),
+    [
+        (f"<article><h1>Head</h1><p>The lead, short.</p><div><p>{LONG}</p><p>{LONG}</p></div></article>", ["Head", "The lead, short.", LONG, LONG]),
+        (f"<div><p>Before, this.</p><ul><li>{LONG}</li><li>{LONG}</li></ul></div>", ["Before, this.", LONG, LONG]),
+        (f"<div><h1>Head</h1><p>Intro.</p><section><p>{LONG}</p></section></div>", ["Head", "Intro.", LONG]),
+        (f"<div><p>Intro.</p><table><tr><td>{LONG}</td></tr></table><p>After, that.</p></div>", ["Intro.", LONG, "After, that."]),
+        (f"<div><div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><div><p>{LONG}</p></div></div>", [LONG] * 6),
+        (f"<main><article><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article><article><p>{LONG}</p></article></main>", [LONG] * 6),
+        (f"<div><p>{LONG[:200]}</p></div><article><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></article>", ["Head", LONG, LONG]),
+        (f"<div><a>One</a></div><div><h1>Head</h1><div><p>{LONG}</p></div></div>", ["Head", LONG]),
+    ],
+)
+def test_articles_with_nested_containers_are_whole(markup, parts):
+    assert html_text.main_text(AROUND.format(markup)).split("\n\n") == parts
