@@ -72,29 +72,55 @@ def betweenness(nodes: DataFrame, links: DataFrame, most_edges: int = 5_000_000)
     return nodes.select("id").distinct().join(parts, "id", "left").select("id", F.coalesce("part", F.lit(0.0)).alias("betweenness"))
 
 
-def communities(nodes: DataFrame, links: DataFrame, rounds: int = 12, keep: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
-    """(id, community_id) by moves of greatest modularity gain, as Louvain's first phase makes them, one half of the nodes at a
-    time: in each round, those that a hash of node and round picks move to the neighbouring community that gains most, so
-    that two neighbours don't keep changing places.
+def communities(nodes: DataFrame, links: DataFrame, rounds: int | None = None, keep: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
+    """(id, community_id) by moves of greatest modularity gain, as Louvain's first phase makes them, until no node gains by a
+    move (or for ``rounds``). At first, the half of the nodes that a hash of node and round picks move at once, as long as that
+    raises modularity. Then the moves are made that gain most for both the community they leave and the one they enter: no two
+    of these share a community, so their gains add up, modularity only rises, and the rounds end.
     """
     both = links.where("src_id <> dst_id").select("src_id", "dst_id").union(links.where("src_id <> dst_id").select("dst_id", "src_id"))
     weights = both.groupBy("src_id", "dst_id").agg(F.count("*").cast("double").alias("w"))
+    weights = keep(weights, 0) if keep else weights
     strength = weights.groupBy("src_id").agg(F.sum("w").alias("k"))
     total = weights.agg(F.coalesce(F.sum("w"), F.lit(1.0))).first()[0]
-    state = nodes.select("id").distinct().withColumn("c", F.col("id"))
-    for r in range(rounds):
-        held = state.join(strength, F.col("id") == F.col("src_id"), "left").select("id", "c", F.coalesce("k", F.lit(0.0)).alias("k"))
-        size = held.groupBy("c").agg(F.sum("k").alias("tot"))
-        near = weights.join(held.select(F.col("id").alias("dst_id"), F.col("c").alias("to")), "dst_id").groupBy("src_id", "to").agg(F.sum("w").alias("inside"))
-        judged = held.join(near, F.col("id") == F.col("src_id")).join(size.select(F.col("c").alias("to"), "tot"), "to")
-        rest = F.col("tot") - F.when(F.col("to") == F.col("c"), F.col("k")).otherwise(0.0)
-        gain = F.col("inside") - F.col("k") * rest / total
-        best = judged.groupBy("id").agg(F.max(F.struct(F.round(gain, 9).alias("g"), (F.col("to") == F.col("c")).alias("stay"), F.col("to"))).alias("b"))
-        moves = best.where(F.pmod(F.xxhash64("id", F.lit(r)), F.lit(2)) == 0).select("id", "b.to")
-        state = state.join(moves, "id", "left").select("id", F.coalesce("to", "c").alias("c"))
-        state = keep(state, r) if keep else state
-    named = state.groupBy("c").agg(F.min("id").alias("community_id"))
-    return state.join(named, "c").select("id", "community_id")
+    start = nodes.select("id").distinct().join(strength, F.col("id") == F.col("src_id"), "left").select("id", F.col("id").alias("c"), F.coalesce("k", F.lit(0.0)).alias("k"))
+
+    gains = (F.col("to") != F.col("c")) & (F.col("more") > 1.5e-9)
+
+    def judge(state: DataFrame, r: int) -> tuple[DataFrame, float]:
+        """Each node with its best community, what that gains over its own, and the modularity of the state."""
+        size = state.groupBy("c").agg(F.sum("k").alias("tot"))
+        near = weights.join(state.select(F.col("id").alias("dst_id"), F.col("c").alias("to")), "dst_id").select(F.col("src_id").alias("id"), "to", "w")
+        near = near.union(state.select("id", F.col("c").alias("to"), F.lit(0.0).alias("w"))).groupBy("id", "to").agg(F.sum("w").alias("inside"))
+        judged = state.join(near, "id").join(size.select(F.col("c").alias("to"), "tot"), "to").withColumn("stay", F.col("to") == F.col("c"))
+        rest = F.col("tot") - F.when(F.col("stay"), F.col("k")).otherwise(0.0)
+        judged = judged.withColumn("g", F.round(F.col("inside") - F.col("k") * rest / total, 9))
+        best = judged.groupBy("id", "c", "k").agg(F.max(F.struct("g", "stay", "to")).alias("b"), F.max(F.when(F.col("stay"), F.struct("g", "inside"))).alias("own"))
+        best = best.select("id", "c", "k", F.col("b.to").alias("to"), (F.col("b.g") - F.col("own.g")).alias("more"), F.col("own.inside").alias("inside"))
+        best = keep(best, r) if keep else best.cache()
+        inside, apart = best.agg(F.coalesce(F.sum("inside"), F.lit(0.0))).first()[0], size.agg(F.coalesce(F.sum(F.col("tot") * F.col("tot")), F.lit(0.0))).first()[0]
+        return best, inside / total - apart / total / total
+
+    best, modularity = judge(start, 0)
+    r, halves = 0, True
+    while rounds is None or r < rounds:
+        gaining = best.where(gains)
+        if gaining.isEmpty():
+            break
+        r += 1
+        if halves:
+            moving = F.pmod(F.xxhash64("id", F.lit(r)), F.lit(2)) == 0
+            tried, reached = judge(best.select("id", F.when(gains & moving, F.col("to")).otherwise(F.col("c")).alias("c"), "k"), r)
+            halves = reached > modularity
+            best, modularity = (tried, reached) if halves else (best, modularity)
+            continue
+        rank = F.struct("more", "id")
+        first = gaining.select(F.explode(F.array("c", "to")).alias("x"), rank.alias("rank")).groupBy("x").agg(F.max("rank").alias("rank"))
+        leads = gaining.join(first.select(F.col("x").alias("c"), F.col("rank.id").alias("a")), "c").join(first.select(F.col("x").alias("to"), F.col("rank.id").alias("b")), "to")
+        moves = leads.where("a = id AND b = id").select("id", F.col("to").alias("into"))
+        best, modularity = judge(best.join(moves, "id", "left").select("id", F.coalesce("into", "c").alias("c"), "k"), r)
+    named = best.groupBy("c").agg(F.min("id").alias("community_id"))
+    return best.join(named, "c").select("id", "community_id")
 
 
 #: Longest life and the years around a compilation.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import casts, ids, similarity, text
 from ..operators import analytics, chains, graph, matching, parallels, quality
 from ..sources import parsers, readers
-from .lineage import cut
+from .lineage import cut, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -177,7 +177,7 @@ def betweenness(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def louvain(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"))
-    return analytics.communities(nodes, _edges(spark, sf_dir), rounds=4, keep=cut)
+    return analytics.communities(nodes, _edges(spark, sf_dir), keep=stored)
 
 
 _EN = r"\b(?:Narrated|reported\s+by|on\s+the\s+authority\s+of|from|who\s+heard\s+from)\b"

@@ -3,16 +3,33 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
-def cut(df: DataFrame, _round: int = 0) -> DataFrame:
-    """A reliable checkpoint in the shared folder of the session; in local mode without one, in a temporary folder."""
+def _folder(df: DataFrame) -> str:
     context = df.sparkSession.sparkContext
     folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
     if folder is None and not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='strandline-')}")
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame, _round: int = 0) -> DataFrame:
+    """A reliable checkpoint in the shared folder of the session; in local mode without one, in a temporary folder."""
+    _folder(df)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, _round: int = 0) -> DataFrame:
+    """As ``cut``, by a table written there and read again: a checkpoint keeps the constraints of its plan, and many rounds
+    of joins make those grow until the driver's memory is full. The table is removed when the driver ends."""
+    context = df.sparkSession.sparkContext
+    path = f"{_folder(df)}/round-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

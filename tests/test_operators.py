@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.operators import analytics, chains, graph, matching, parallels, quality
-from strandline.plans.lineage import cut
+from strandline.plans.lineage import cut, stored
 from strandline.sources import schemas
 
 HADITHS = [
@@ -202,3 +202,19 @@ def test_lag(spark):
     ends = spark.createDataFrame([("s", 0, 10), ("s", 1, 5)], "stage string, partition int, offset int")
     done = spark.createDataFrame([("s", 0, 4), ("s", 1, -1)], "stage string, partition int, offset int")
     assert {r["stage"]: r["lag"] for r in analytics.lag(ends, done).collect()} == {"s": 11, None: 11}
+
+
+def test_communities_run_until_no_node_gains(spark):
+    rng = np.random.default_rng(7)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 30, (160, 2)) if a != b]
+    nodes = spark.createDataFrame([(i,) for i in range(31)], "id int")
+    found = {r["id"]: r["community_id"] for r in analytics.communities(nodes, spark.createDataFrame(pairs, "src_id int, dst_id int"), keep=stored).collect()}
+    weights = np.zeros((31, 31))
+    for a, b in pairs:
+        weights[a, b] += 1
+        weights[b, a] += 1
+    strength, total = weights.sum(1), weights.sum()
+    for i in range(31):
+        gain = lambda c: sum(weights[i, j] - strength[i] * strength[j] / total for j in range(31) if j != i and found[j] == c)  # noqa: B023, E731
+        assert all(gain(found[j]) <= gain(found[i]) + 1e-6 for j in range(31) if weights[i, j] > 0)
+    assert sorted(found) == list(range(31))
