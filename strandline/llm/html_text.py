@@ -1,13 +1,18 @@
 """Main text of web pages by tag-path ratios.
 
-A page's text nodes are grouped by their path of block tags from the root. For each path, the text length and the
-punctuation per node are summed over the page; both series are smoothed along the page, fused by their geometric mean and
-compared with the page's level: paths above it hold content. From the innermost element that holds nearly all text of
-content paths, the content element is the outermost article or main around it; without one, the lowest element around it
-that holds all blocks of content paths and isn't a part of a text, such as a list. If it has no h1, the nearest element
-around it that begins with one takes its place. Its blocks are the main text: so short paragraphs, headings and nested
-parts of an article stay, and long notices outside it go. Elements whose tag, role, class or id names a menu, header, footer, sidebar, notice,
-advert, form, script, style or reader comment never count.
+A page's text nodes are grouped by their path of block tags from the root. For each path, the unlinked text length and the
+punctuation per node are summed over the page. Both series are smoothed along the page, near nodes counting more the
+closer they are in the tree, and fused by their geometric mean; a path's score is the mean over its nodes. Two thresholds
+on the scores, both relative to the page's own level, select the content nodes: nodes of strong paths are content, and so
+are nodes of weak paths that lie in the strong ones' container, so that headings, short paragraphs and captions stay.
+The container is the lowest element around all strong nodes that isn't itself a part of a text, such as a list; it grows to
+the article or main around it, and to the nearest element that begins with an h1 if it has none. In a body without one,
+weak nodes count between strong nodes and as headings before them.
+
+Elements that are menus, footers, sidebars, forms, scripts and styles by their tag or role, and hidden ones, never count.
+Names in classes and ids are weights only: a named element's nodes form paths of their own with a lower score, unless it holds
+the page's h1 or main or, if it isn't named after comments, an article, or most of the text of a page without any of these.
+Nodes in an article or main weigh more.
 
 Defined results: a null or empty page and a page without text have an empty text; null ids and repeated rows are extracted
 each; broken markup is read as browsers do in the main (missing end tags, stray end tags, unquoted values); further
@@ -27,32 +32,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<[!?/][^>]*>", re.DOTALL
+    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<[!?/][^>]*>", re.DOTALL
 )
-_LOOSE = re.compile(r"<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>[^>]*)>")
+_LOOSE = re.compile(r"<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>[^>]*)>")
 _ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math canvas object select".split())
+#: Elements whose content isn't markup; that of a textarea is text, that of the others is never shown.
+RAW = frozenset("script style textarea title noscript template iframe canvas".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt mroot munder mover munderover semantics annotation svg g text tspan desc object".split()
 )
 #: A start tag of the key ends an open element of the value.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Elements that never hold main text.
 APART = frozenset("head nav footer aside form button fieldset dialog menu audio video datalist".split())
 #: Elements that are parts of a text and never the whole of one.
-PARTS = frozenset("p li td th dd dt blockquote tr h1 h2 h3 h4 h5 h6 pre ul ol dl table thead tbody tfoot section figure header hgroup details".split())
+PARTS = frozenset("p li td th dd dt blockquote tr h1 h2 h3 h4 h5 h6 pre ul ol dl table thead tbody tfoot section figure figcaption header hgroup details".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
+#: Names of boilerplate, as words of classes and ids; those after comments first.
+_COMMENTS = r"comments?|commentlist|disqus|respond|repl(?:y|ies)"
 _NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promo(?:tion)?s?|banners?|cookies?|consent|gdpr|notices?|alerts?|newsletter|"
-    r"subscribe|subscription|signup|sign-up|nav|navbar|navigation|menus?|breadcrumbs?|masthead|footers?|sidebars?|side-bar|aside|widgets?|related|recommended|"
-    r"shar(?:e|ing)|social|comments?|disqus|respond|repl(?:y|ies)|login|search|popup|modal|overlay|pager|pagination|toolbar|skip-link|site-header|page-header|topbar)(?=$|[\s_-])",
+    rf"(?:^|[\s_-])(?:(?P<comments>{_COMMENTS})|ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promo(?:tion)?s?|banners?|cookies?|consent|gdpr|notices?|alerts?|"
+    r"newsletter|subscribe|subscription|signup|sign-up|nav|navbar|navigation|menus?|breadcrumbs?|masthead|footers?|sidebars?|side-bar|aside|widgets?|related|recommended|"
+    r"shar(?:e|ing)|social|login|search|popup|modal|overlay|pager|pagination|toolbar|skip-link|site-header|page-header|topbar)(?=$|[\s_-])",
     re.IGNORECASE,
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 
+#: Weights of named elements and of articles; what linked text counts; what a step in the tree beyond siblings takes away.
+NAMED_WEIGHT, ARTICLE_WEIGHT, LINKED, STEP = 0.02, 8.0, 0.1, 0.5
+#: Thresholds of strong and weak paths, as parts of the page's level, and how far nodes smooth each other.
+STRONG, WEAK, REACH = 0.5, 0.03, 2
+
 
 @dataclass(eq=False)
 class Element:
@@ -60,8 +75,12 @@ class Element:
     parent: Element | None
     apart: bool
     depth: int
-    path: str
-    content: float = 0.0
+    named: str = ""
+    weight: float = 1.0
+    path: int = 0
+    chars: int = 0
+    content: int = 0
+    holds: set[str] = field(default_factory=set)
 
 
 @dataclass
@@ -70,44 +89,57 @@ class Block:
 
     element: Element
     parts: list[str] = field(default_factory=list)
+    linked: int = 0
     text: str = ""
 
 
-def _apart(tag: str, rest: str, parent: Element) -> bool:
-    if parent.apart or tag in APART:
-        return True
-    if tag == "header":
+def _attributes(rest: str) -> dict[str, str]:
+    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)}
+
+
+def _hidden(known: dict[str, str]) -> bool:
+    return "hidden" in known or known.get("aria-hidden") == "true" or bool(_HIDDEN.search(known.get("style", "")))
+
+
+def _element(tag: str, rest: str, parent: Element) -> Element:
+    apart, named = parent.apart or tag in APART, ""
+    if tag == "header" and not apart:
         up: Element | None = parent
         while up is not None and up.tag not in ("article", "main"):
             up = up.parent
-        if up is None:
-            return True
-    if "=" not in rest and "hidden" not in rest:
-        return False
-    known = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)}
-    if "hidden" in known or known.get("aria-hidden") == "true" or _HIDDEN.search(known.get("style", "")):
-        return True
-    if known.get("role", "").lower() in _ROLES:
-        return True
-    return tag not in ("html", "body", "article", "main") and bool(_NAMED.search(known.get("class", "")) or _NAMED.search(known.get("id", "")))
+        apart = up is None
+    if not apart and ("=" in rest or "hidden" in rest):
+        known = _attributes(rest)
+        apart = _hidden(known) or known.get("role", "").lower() in _ROLES
+        if tag not in ("html", "body", "article", "main"):
+            m = _NAMED.search(known.get("class", "")) or _NAMED.search(known.get("id", ""))
+            named = "" if m is None else "comments" if m["comments"] else "other"
+    return Element(tag, parent, apart, parent.depth + 1, named)
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's blocks outside apart elements, in page order."""
-    root = Element("#root", None, False, 0, "")
+    """The page's blocks outside apart elements, in page order; character references are decoded in each stretch of text."""
+    root = Element("#root", None, False, 0)
     at, open_, found, low = root, [root], [], 0
     now = Block(root)
+    links = 0
+    unseen: tuple[str, int] = ("", 0)  # an inline element that isn't shown, and how many of its tag are open in it
+    unclosed: set[str] = set()
+    last = page.rfind(">")
 
     def flush(element: Element) -> Block:
         if now.parts:
-            now.text = " ".join(html.unescape("".join(now.parts)).split())
+            now.text = " ".join("".join(now.parts).split())
             if now.text:
                 found.append(now)
         return Block(element)
 
     def add(text: str) -> None:
-        if text and not at.apart:
+        if text and not at.apart and not unseen[1]:
+            text = html.unescape(text)
             now.parts.append(text)
+            if links:
+                now.linked += len(text)
 
     while low < len(page):
         start = page.find("<", low)
@@ -115,6 +147,9 @@ def blocks(page: str) -> list[Block]:
             add(page[low:])
             break
         add(page[low:start])
+        if start > last and not page.startswith("<!--", start):
+            add(page[start:])
+            break
         m = _MARKUP.match(page, start) or _LOOSE.match(page, start)
         if m is None:
             add("<")
@@ -127,23 +162,36 @@ def blocks(page: str) -> list[Block]:
             add(" ")
         elif m["end"]:
             if tag in INLINE:
+                if tag == "a":
+                    links = max(0, links - 1)
+                if tag == unseen[0]:
+                    unseen = (tag, unseen[1] - 1) if unseen[1] > 1 else ("", 0)
                 continue
             for k in range(len(open_) - 1, 0, -1):
                 if open_[k].tag == tag:
                     at = open_[k].parent or root
                     del open_[k:]
-                    now = flush(at)
+                    now, unseen, links = flush(at), ("", 0), 0
                     break
-        elif tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, low) if not m["rest"].endswith("/") else None
-            low = close.end() if close else low if m["rest"].endswith("/") else len(page) if tag in ("script", "style") else low
-        elif tag in VOID:
+        elif tag in RAW and not m["rest"].endswith("/"):
+            close = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, low)
+            if close is None:
+                unclosed.add(tag)
+            if tag == "textarea":
+                add(page[low : close.start() if close else len(page)])
+            low = close.end() if close else len(page) if tag in ("script", "style", "textarea") else low
+        elif tag in VOID or tag in RAW:
             if tag == "hr":
                 now = flush(at)
         elif tag in INLINE:
-            if not at.apart and ("=" in m["rest"] or "hidden" in m["rest"]) and _apart(tag, m["rest"], at):
-                close = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, low)
-                low = close.end() if close else low
+            if m["rest"].endswith("/"):
+                continue
+            if tag == "a":
+                links = 1  # links don't nest
+            if tag == unseen[0]:
+                unseen = (tag, unseen[1] + 1)
+            elif not unseen[1] and not at.apart and ("=" in m["rest"] or "hidden" in m["rest"]) and _hidden(_attributes(m["rest"])):
+                unseen = (tag, 1)
         else:
             closing = ENDS.get(tag, frozenset())
             for k in range(len(open_) - 1, 0, -1):
@@ -151,85 +199,151 @@ def blocks(page: str) -> list[Block]:
                 if name == "p" or name in closing:
                     at = open_[k].parent or root
                     del open_[k:]
-                elif name in ("ul", "ol", "dl", "table", "div", "section", "article", "body") or name not in ("p", "tbody", "thead"):
+                elif name not in ("tbody", "thead"):
                     break
-            at = Element(tag, at, _apart(tag, m["rest"], at), at.depth + 1, f"{at.path}/{tag}")
+            at = _element(tag, m["rest"], at)
             open_.append(at)
-            now = flush(at)
+            now, unseen, links = flush(at), ("", 0), 0
         if now.element is not at and not now.parts:
             now = Block(at)
     flush(root)
     return found
 
 
-def _smooth(values: list[float]) -> list[float]:
-    kernel = [math.exp(-0.5 * d * d) for d in (-2, -1, 0, 1, 2)]
-    out = []
-    for i in range(len(values)):
-        near = [(kernel[d + 2], values[i + d]) for d in (-2, -1, 0, 1, 2) if 0 <= i + d < len(values)]
-        out.append(sum(k * v for k, v in near) / sum(k for k, _ in near))
-    return out
-
-
-def content_paths(found: list[Block], level: float = 0.5) -> set[str]:
-    """Paths whose fused ratio reaches ``level`` times the mean over the page's text."""
-    lengths: dict[str, list[float]] = {}
-    for b in found:
-        sums = lengths.setdefault(b.element.path, [0.0, 0.0, 0.0])
-        sums[0] += len(b.text)
-        sums[1] += len(_PUNCTUATION.findall(b.text))
-        sums[2] += 1
-    ratio = {p: (chars / n, (marks + 1) / n) for p, (chars, marks, n) in lengths.items()}
-    long = _smooth([ratio[b.element.path][0] for b in found])
-    marks = _smooth([ratio[b.element.path][1] for b in found])
-    fused: dict[str, list[float]] = {}
-    for b, x, y in zip(found, long, marks, strict=True):
-        own = ratio[b.element.path]
-        fused.setdefault(b.element.path, []).append(math.sqrt(math.sqrt(x * own[0]) * math.sqrt(y * own[1])))
-    score = {p: sum(v) / len(v) for p, v in fused.items()}
-    total = sum(s[0] for s in lengths.values())
-    mean = sum(score[p] * lengths[p][0] for p in score) / total
-    return {p for p in score if score[p] >= level * mean}
-
-
 def _upwards(element: Element | None) -> Iterator[Element]:
     while element is not None:
         yield element
         element = element.parent
 
 
-def main_text(page: str | None, share: float = 0.8) -> str:
-    """The page's main text: blocks of the article around the innermost element that holds ``share`` of the text of content paths."""
-    found = blocks(page or "")
-    if not found:
-        return ""
-    paths, total = content_paths(found), 0.0
+def _elements(found: list[Block]) -> list[Element]:
+    """The elements around the blocks, each after those around it."""
+    seen: dict[int, Element] = {}
+    for b in found:
+        chain = []
+        for e in _upwards(b.element):
+            if id(e) in seen:
+                break
+            chain.append(e)
+        seen.update((id(e), e) for e in reversed(chain))
+    return list(seen.values())
+
+
+def weigh(found: list[Block], named: float = NAMED_WEIGHT, article: float = ARTICLE_WEIGHT) -> None:
+    """Give each element its weight and its path: the same tags and the same named steps from the root make one path."""
+    elements, paths = _elements(found), {}
+    for b in found:
+        b.element.chars += len(b.text)
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.chars += e.chars
+            e.parent.holds |= e.holds
+            if e.tag in ("h1", "main", "article"):
+                e.parent.holds.add(e.tag)
+    landmarks, total = {"h1", "main", "article"}, sum(len(b.text) for b in found)
+    marked = any(e.tag in landmarks for e in elements)
+    for e in elements:
+        above = e.parent
+        if above is None:
+            continue
+        cleared = e.holds & {"h1", "main"} or e.named != "comments" and ("article" in e.holds or not marked and 2 * e.chars > total)
+        mark = bool(e.named) and not cleared
+        e.weight = above.weight * (named if mark and above.weight >= 1 else 1.0) * (article if e.tag in ("article", "main") and above.weight == 1.0 else 1.0)
+        e.path = paths.setdefault((above.path, e.tag, mark), len(paths) + 1)
+
+
+def _distance(a: Element, b: Element) -> int:
+    """Steps in the tree from one element to the other."""
+    steps = 0
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent or a
+        else:
+            b = b.parent or b
+        steps += 1
+    return steps
+
+
+def _smooth(values: list[list[float]], elements: list[Element]) -> list[list[float]]:
+    """Each series smoothed along the page; nodes further apart in the tree than siblings count less."""
+    n, out = len(elements), [[0.0] * len(elements) for _ in values]
+    for i in range(n):
+        kernel = [
+            (j, math.exp(-0.5 * (j - i) ** 2) * STEP ** max(0, _distance(elements[i], elements[j]) - 2))
+            for j in range(max(0, i - REACH), min(n, i + REACH + 1))
+        ]
+        total = sum(k for _, k in kernel)
+        for series, smoothed in zip(values, out, strict=True):
+            smoothed[i] = sum(k * series[j] for j, k in kernel) / total
+    return out
+
+
+def path_scores(found: list[Block]) -> dict[int, float]:
+    """The fused, weighted ratio of each path, as a part of the page's level: the mean of the scores, each weighing as its text."""
+    sums: dict[int, list[float]] = {}
     for b in found:
-        if b.element.path in paths:
-            up: Element | None = b.element
-            total += len(b.text)
-            while up is not None:
-                up.content += len(b.text)
-                up = up.parent
-    holders: dict[int, Element] = {}
+        own = sums.setdefault(b.element.path, [0.0, 0.0, 0.0])
+        own[0] += len(b.text) - (1 - LINKED) * min(b.linked, len(b.text))
+        own[1] += len(_PUNCTUATION.findall(b.text))
+        own[2] += 1
+    ratio = {p: (chars / n, (marks + 1) / n) for p, (chars, marks, n) in sums.items()}
+    pairs = [ratio[b.element.path] for b in found]
+    long, marks = _smooth([[x for x, _ in pairs], [y for _, y in pairs]], [b.element for b in found])
+    fused: dict[int, list[float]] = {}
+    for b, (x, y), u, v in zip(found, pairs, long, marks, strict=True):
+        fused.setdefault(b.element.path, []).append(b.element.weight * math.sqrt(math.sqrt(x * u) * math.sqrt(y * v)))
+    score = {p: sum(v) / len(v) for p, v in fused.items()}
+    weight = {b.element.path: b.element.weight for b in found}
+    level = sum(score[p] * sums[p][0] * weight[p] for p in score) / max(1e-9, sum(sums[p][0] * weight[p] for p in score))
+    return {p: s / level if level else 1.0 for p, s in score.items()}
+
+
+def _container(strong: list[Block], found: list[Block]) -> Element:
+    for e in _elements(found):
+        e.content = 0
+    for b in strong:
+        for e in _upwards(b.element):
+            e.content += 1
     first: dict[int, Block] = {}
     for b in found:
-        up = b.element
-        while up is not None and id(up) not in holders:
-            holders[id(up)], first[id(up)] = up, b
-            up = up.parent
-    whole = max((e for e in holders.values() if e.content >= share * total), key=lambda e: e.depth)
-    around = [e for e in _upwards(whole) if e.tag in ("article", "main")]
-    whole = around[-1] if around else next(e for e in _upwards(whole) if e.parent is None or e.content >= total and e.tag not in PARTS)
-    if not any(b.element.tag == "h1" and whole in _upwards(b.element) for b in found):
+        for e in _upwards(b.element):
+            first.setdefault(id(e), b)
+    around = list(_upwards(strong[0].element))
+    whole = next(e for e in around if e.content == len(strong) and e.tag not in PARTS)
+    articles = [e for e in _upwards(whole) if e.tag in ("article", "main")]
+    if articles:
+        return articles[-1]
+    if whole.tag not in ("body", "html", "#root") and "h1" not in whole.holds:
         whole = next((e for e in _upwards(whole) if first[id(e)].element.tag == "h1"), whole)
+    return whole
 
-    def inside(element: Element | None) -> bool:
-        while element is not None and element is not whole:
-            element = element.parent
-        return element is whole
 
-    return "\n\n".join(b.text for b in found if inside(b.element))
+def select(found: list[Block]) -> list[Block]:
+    """The content nodes among weighed blocks, by the two thresholds on their paths' scores."""
+    if not found:
+        return []
+    scores = path_scores(found)
+    strong = [b for b in found if scores[b.element.path] >= STRONG]
+    whole, ids = _container(strong, found), {id(b) for b in strong}
+    at = [k for k, b in enumerate(found) if id(b) in ids]
+    loose = whole.tag in ("body", "html", "#root")
+    lead = at[0]
+    while loose and lead > 0 and found[lead - 1].element.tag in HEADINGS:
+        lead -= 1
+
+    def joins(k: int, b: Block) -> bool:
+        if scores[b.element.path] < WEAK or not any(e is whole for e in _upwards(b.element)):
+            return False
+        return not loose or lead <= k <= at[-1] or any(e.tag in ("article", "main") and e.content for e in _upwards(b.element))
+
+    return [b for k, b in enumerate(found) if id(b) in ids or joins(k, b)]
+
+
+def main_text(page: str | None) -> str:
+    """The page's main text: its content nodes, two line ends between them."""
+    found = blocks(page or "")
+    weigh(found)
+    return "\n\n".join(b.text for b in select(found))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -170,3 +170,75 @@ AROUND = "<html><body><nav><a>Home</a></nav>{}<footer>End, of page.</footer></bo
 )
 def test_articles_with_nested_containers_are_whole(markup, parts):
     assert html_text.main_text(AROUND.format(markup)).split("\n\n") == parts
+
+
+@pytest.mark.parametrize(
+    ("markup", "parts"),
+    [
+        # boilerplate that no name or tag gives away
+        (f"<div>Read more of our offers</div><div><h1>Head</h1><p>{LONG}</p><p>Short, this.</p><p>{LONG}</p></div><div>All of it at half the price</div>", ["Head", LONG, "Short, this.", LONG]),
+        (f"<ul><li><a href=a>First of them</a><li><a href=b>Second of them</a></ul><div><p>{LONG}</p><p>{LONG}</p></div>", [LONG, LONG]),
+        (f"<div><p>{LONG}</p><p>{LONG}</p><ul><li><a href=x>Another page to see</a><li><a href=x>And one more page</a><li><a href=x>The last of the pages</a></ul></div>", [LONG, LONG]),
+        # names are weights only
+        (f'<div class="content has-sidebar"><p>{LONG}</p><p>{LONG}</p></div>', [LONG, LONG]),
+        (f'<div id="page" class="layout right-sidebar"><article><h1>H</h1><p>{LONG}</p></article></div>', ["H", LONG]),
+        (f'<div id="page" class="layout right-sidebar"><h1>H</h1><p>{LONG}</p><div class="sidebar"><p>Elsewhere, this.</p></div></div>', ["H", LONG]),
+        (f"<article><h1>H</h1><p>{LONG}</p><section class=comments><article><p>{LONG}</p></article><article><p>Nice.</p></article></section></article>", ["H", LONG]),
+        # a short article against a long notice
+        ("<div class=ad>A long notice of many words, with commas, and stops. And more of it, and more.</div><article><h1>Tiny</h1><p>A text.</p></article>", ["Tiny", "A text."]),
+        # nothing else is cut
+        (f"<article><p>{LONG}</p><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> and <svg><text>two</text></svg>.</p><p><select><option>One<option>Two</select></p></article>", [LONG, "Let x=2 and two.", "One", "Two"]),
+        (f"<article><p>{LONG}</p><textarea>a &lt; b</textarea><object>shown <b>here</b></object></article>", [LONG, "a < bshown here"]),
+        (f"<article><p>{LONG}</p><p>a &am<b>p;</b> &amp;lt; b<span hidden>no <span>no</span> no</span>, c</p></article>", [LONG, "a &amp; &lt; b, c".replace("&amp;", "&amp;"[:3] + "p;")]),
+    ],
+)
+def test_path_scores_select_the_nodes(markup, parts):
+    assert html_text.main_text(AROUND.format(markup)).split("\n\n") == parts
+
+
+def test_path_scores_equal_plain_ones(spark):
+    """Scores by the formula, from the paths as lists of elements, without shared sums."""
+    for (page,) in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").limit(20).collect():
+        found = html_text.blocks(page)
+        html_text.weigh(found)
+        chains = [[id(e) for e in html_text._upwards(b.element)][::-1] for b in found]
+        names = [tuple(e.tag + "!" * (e.weight < 1) for e in html_text._upwards(b.element)) for b in found]
+
+        def mean(values, name):
+            own = [v for v, n in zip(values, names, strict=True) if n == name]
+            return sum(own) / len(own)
+
+        chars, marks = [len(b.text) - 0.9 * b.linked for b in found], [len(re.findall("[.,;:!?]", b.text)) for b in found]
+        x, y = [mean(chars, n) for n in names], [mean(marks, n) + 1 / names.count(n) for n in names]
+        nodes = []
+        for i in range(len(found)):
+            kernel = {}
+            for j in range(max(0, i - 2), min(len(found), i + 3)):
+                shared = sum(a == b for a, b in zip(chains[i], chains[j]))
+                kernel[j] = np.exp(-((i - j) ** 2) / 2) * 0.5 ** max(0, len(chains[i]) + len(chains[j]) - 2 * shared - 2)
+            u, v = (sum(k * s[j] for j, k in kernel.items()) / sum(kernel.values()) for s in (x, y))
+            nodes.append(found[i].element.weight * (x[i] * u * y[i] * v) ** 0.25)
+        score = [mean(nodes, n) for n in names]
+        weights = [c * b.element.weight for c, b in zip(chars, found, strict=True)]
+        level = sum(s * w for s, w in zip(score, weights, strict=True)) / sum(weights)
+        got = html_text.path_scores(found)
+        assert np.allclose([got[b.element.path] for b in found], [s / level for s in score])
+
+
+def test_pages_give_their_articles(spark):
+    """On whole table ``pages``: the blocks of the article element, and without help from names or from article tags nearly so."""
+    pages = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    alone = 0
+    for page in pages:
+        article = re.search("<article>.*</article>", page, re.DOTALL)
+        want = "\n\n".join(b.text for b in html_text.blocks(article[0] if article else page))
+        found = html_text.blocks(page)
+        assert html_text.main_text(page) == want and want != "\n\n".join(b.text for b in found)
+        html_text.weigh(found, named=1.0, article=1.0)
+        alone += "\n\n".join(b.text for b in html_text.select(found)) == want
+    assert alone >= 0.7 * len(pages)
+
+
+def test_broken_markup_takes_time_in_proportion():
+    for bit in ("<noscript>a", "<textarea>", "<div>a", "<b hidden>a", "<a", "</p>x", "<p>x", "<li>y", "<template>z"):
+        assert isinstance(html_text.main_text(bit * 3_000), str)
