@@ -1,9 +1,9 @@
 """Quality by weak supervision, in DataFrame operations only.
 
-Each rule votes good or bad on a document or abstains. Documents fall into vote patterns, at most 3 ** rules of them;
-expectation-maximisation over the counted patterns estimates how many documents are good and how often each rule's votes
-are right, without labels. A document stays if its pattern's posterior probability of being good is
-at least the threshold, unless a hard limit (too few words, mostly repeated) rejects it.
+Each rule votes good or bad on a document, or abstains between its two thresholds. Documents fall into vote patterns, at most
+3 ** rules of them; expectation-maximisation over the counted patterns of documents within the hard limits estimates how
+many of these are good and how often each rule's votes are right, without labels. A document stays if its pattern's posterior probability
+of being good is at least the threshold, whichever rules vote bad, unless a hard limit (too few words, mostly repeated) rejects it.
 
 Repeated three-word windows are found within each row: windows become 64-bit hashes, and only rows where one repeats
 sort them. No row leaves its task, and only counts of patterns are shuffled.
@@ -44,7 +44,7 @@ def features(documents: DataFrame, carry: bool = False) -> DataFrame:
         F.regexp_count("bare", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.size(F.filter("lines", lambda x: x.rlike(r"[.!?\"'”…][\x20\x09-\x0D]*$"))).cast("long").alias("n_closed_lines"),
+        F.size(F.filter("lines", lambda x: x.rlike(r"[.!?\"'”…][\x20\x09-\x0D]*\z"))).cast("long").alias("n_closed_lines"),
         F.regexp_count("bare", F.lit(r"\p{L}")).cast("long").alias("n_letters"),
         F.regexp_count("bare", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
         F.regexp_count("bare", F.lit("!!")).cast("long").alias("n_exclaimed"),
@@ -64,51 +64,51 @@ def features(documents: DataFrame, carry: bool = False) -> DataFrame:
 
 
 def rules() -> dict[str, tuple[Column, Column]]:
-    """Name -> (votes bad, votes good); neither: abstains.
-
-    Rules that find a defect abstain where there is none, as one defect is enough for a bad document.
-    """
+    """Name -> (votes bad, votes good); neither: abstains. Each rule has a threshold of its own on either side."""
     words, chars, lines, letters = F.col("n_words"), F.col("word_chars"), F.col("n_lines"), F.col("n_letters")
-    never = F.lit(False)
-    clean = (
-        (20 * F.col("n_symbols") <= words) & (100 * F.col("n_repeat_words") <= 40 * words) & (10 * F.col("n_upper") <= 3 * letters)
-        & (50 * F.col("n_exclaimed") <= words) & (5 * F.col("n_dup_lines") <= 2 * lines) & (2 * letters >= chars)
-    )
+    symbols, repeated, copied, upper = F.col("n_symbols"), F.col("n_repeat_words"), F.col("n_dup_lines"), F.col("n_upper")
     return {
-        "symbols": (10 * F.col("n_symbols") > words, never),
-        "repeated_windows": (100 * F.col("n_repeat_words") > 45 * words, never),
-        "repeated_lines": (2 * F.col("n_dup_lines") > lines, never),
-        "capitals": (10 * F.col("n_upper") > 4 * letters, never),
-        "exclamations": (10 * F.col("n_exclaimed") > words, never),
-        "letters": (5 * letters < 2 * chars, never),
-        "word_length": ((chars > 12 * words) | (2 * chars < 5 * words), never),
-        "open_lines": ((lines >= 5) & (10 * F.col("n_closed_lines") < lines), never),
-        "clean": (never, clean),
+        "symbols": (10 * symbols > words, 50 * symbols <= words),
+        "repeated_windows": (5 * repeated > words, 20 * repeated <= words),
+        "repeated_lines": (4 * copied > lines, 10 * copied <= lines),
+        "capitals": (10 * upper > 3 * letters, 10 * upper <= letters),
+        "exclamations": (20 * F.col("n_exclaimed") > words, 200 * F.col("n_exclaimed") <= words),
+        "letters": (10 * letters < 7 * chars, 10 * letters >= 9 * chars),
+        "word_length": ((chars > 12 * words) | (chars < 2 * words), (2 * chars >= 7 * words) & (chars <= 7 * words)),
+        "open_lines": (10 * F.col("n_closed_lines") < lines, 10 * F.col("n_closed_lines") >= 8 * lines),
     }
 
 
+#: Where the estimates start: rates of bad votes, abstentions and good votes on good and on bad documents.
+START = {"prior": 0.8, "votes_if_yes": (0.05, 0.25, 0.7), "votes_if_no": (0.4, 0.3, 0.3)}
+
+
 def _failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
 
 
-def _fitted(patterned: DataFrame, rounds: int) -> DataFrame:
-    counts = patterned.groupBy("pattern").agg(F.count("*").alias("n"))
-    return keep(posteriors(counts, len(rules()), rounds).select("pattern", "posterior"), "quality-posteriors")
+def _voted(counted: DataFrame) -> DataFrame:
+    return counted.withColumn("pattern", vote_pattern(list(rules().values())))
+
+
+def _fitted(voted: DataFrame, rounds: int) -> DataFrame:
+    """Posterior of each pattern of votes, estimated from the documents within the hard limits."""
+    counts = voted.groupBy("pattern").agg(F.sum(F.when(_failed(), 0).otherwise(1)).alias("n"))
+    return keep(posteriors(counts, len(rules()), rounds, **START).select("pattern", "posterior"), "quality-posteriors")
 
 
 def judge(documents: DataFrame, threshold: float = 0.5, rounds: int = 30) -> DataFrame:
     """doc_id, counts, base_failed, posterior and kept for each document."""
-    counted = keep(features(documents).withColumn("pattern", vote_pattern(list(rules().values()))), "quality-features")
-    return counted.join(F.broadcast(_fitted(counted, rounds)), "pattern").select(  # at most 3 ** 9 patterns
+    voted = keep(_voted(features(documents)), "quality-features")
+    return voted.join(F.broadcast(_fitted(voted, rounds)), "pattern").select(  # at most 3 ** 8 patterns
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         _failed().alias("base_failed"), (~_failed() & (F.col("posterior") >= threshold)).alias("kept"), "posterior",
     )
 
 
 def accepted(documents: DataFrame, threshold: float = 0.5, rounds: int = 30) -> DataFrame:
-    """The documents that ``judge`` keeps, with all their columns. Counts are taken twice instead of moving texts."""
-    votes = vote_pattern(list(rules().values()))
-    fitted = _fitted(features(documents).select(votes.alias("pattern")), rounds)
-    judged = features(documents, carry=True).withColumn("pattern", votes).join(F.broadcast(fitted), "pattern")  # at most 3 ** 9 patterns
-    # one predicate over both sides: pushed below the join, it would repeat the counts' nested expressions
-    return judged.where(F.when(_failed(), 0.0).otherwise(1.0) * F.col("posterior") >= threshold).select("document.*")
+    """The documents that ``judge`` keeps, with all their columns. Documents are written once beside their votes, so that
+    counts are taken once."""
+    voted = keep(_voted(features(documents, carry=True)).select("document", "pattern", "n_words", "n_repeat_words"), "quality-votes")
+    judged = voted.join(F.broadcast(_fitted(voted, rounds)), "pattern")  # at most 3 ** 8 patterns
+    return judged.where(~_failed() & (F.col("posterior") >= threshold)).select("document.*")

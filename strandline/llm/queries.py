@@ -57,7 +57,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality
 
-    return quality.judge(_table(spark, sf_dir, "documents"))
+    return quality.judge(_table(spark, sf_dir, "documents")).drop("posterior")
 
 
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,8 +94,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_token_output,
     )
 }
+#: Counts, votes and the rounds of expectation-maximisation over the counted patterns of votes.
+_QUALITY_SQL = r"""
+    WITH RECURSIVE t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS bare FROM documents),
+    w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+    u AS (SELECT doc_id, unnest(words) AS a, unnest(range(1, len(words) + 1)) AS i FROM w),
+    h AS (SELECT doc_id, i, a, lead(a) OVER o AS b, lead(a, 2) OVER o AS c FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM h WHERE c IS NOT NULL),
+    r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM g, range(3) AS o(k) WHERE n > 1 GROUP BY doc_id),
+    f AS (SELECT w.doc_id, len(words)::BIGINT AS n_words, length(bare)::BIGINT AS word_chars, length(bare) - length(regexp_replace(bare, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(list_filter(lines, lambda x: regexp_matches(x, '[.!?"''”…][\x20\x09-\x0D]*\z'))) AS n_closed_lines,
+        length(bare) - length(regexp_replace(bare, '\p{L}', '', 'g')) AS n_letters, length(bare) - length(regexp_replace(bare, '\p{Lu}', '', 'g')) AS n_upper,
+        (length(bare) - length(replace(bare, '!!', ''))) // 2 AS n_exclaimed, coalesce(r.n_repeat_words, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
+    v AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, [
+        CASE WHEN 10 * n_symbols > n_words THEN 0 WHEN 50 * n_symbols <= n_words THEN 2 ELSE 1 END,
+        CASE WHEN 5 * n_repeat_words > n_words THEN 0 WHEN 20 * n_repeat_words <= n_words THEN 2 ELSE 1 END,
+        CASE WHEN 4 * n_dup_lines > n_lines THEN 0 WHEN 10 * n_dup_lines <= n_lines THEN 2 ELSE 1 END,
+        CASE WHEN 10 * n_upper > 3 * n_letters THEN 0 WHEN 10 * n_upper <= n_letters THEN 2 ELSE 1 END,
+        CASE WHEN 20 * n_exclaimed > n_words THEN 0 WHEN 200 * n_exclaimed <= n_words THEN 2 ELSE 1 END,
+        CASE WHEN 10 * n_letters < 7 * word_chars THEN 0 WHEN 10 * n_letters >= 9 * word_chars THEN 2 ELSE 1 END,
+        CASE WHEN word_chars > 12 * n_words OR word_chars < 2 * n_words THEN 0 WHEN 2 * word_chars >= 7 * n_words AND word_chars <= 7 * n_words THEN 2 ELSE 1 END,
+        CASE WHEN 10 * n_closed_lines < n_lines THEN 0 WHEN 10 * n_closed_lines >= 8 * n_lines THEN 2 ELSE 1 END] AS votes FROM f),
+    p AS MATERIALIZED (SELECT list({'v': votes, 'n': n}) AS ps FROM (SELECT votes, (count(*) FILTER (NOT base_failed))::DOUBLE AS n FROM v GROUP BY votes)),
+    em AS (SELECT 0 AS t, 0.8::DOUBLE AS prior, list_transform(range(24), lambda k: [0.05, 0.25, 0.7][k % 3 + 1]::DOUBLE) AS yes, list_transform(range(24), lambda k: [0.4, 0.3, 0.3][k % 3 + 1]::DOUBLE) AS no
+      UNION ALL SELECT t + 1, (1 + list_sum(list_transform(q, lambda x: x.w))) / (2 + list_sum(list_transform(q, lambda x: x.n))),
+        list_transform(range(24), lambda k: (2 * [0.05, 0.25, 0.7][k % 3 + 1] + list_sum(list_transform(q, lambda x: CASE WHEN x.v[k // 3 + 1] = k % 3 THEN x.w ELSE 0 END))) / (2 + list_sum(list_transform(q, lambda x: x.w)))),
+        list_transform(range(24), lambda k: (2 * [0.4, 0.3, 0.3][k % 3 + 1] + list_sum(list_transform(q, lambda x: CASE WHEN x.v[k // 3 + 1] = k % 3 THEN x.n - x.w ELSE 0 END))) / (2 + list_sum(list_transform(q, lambda x: x.n - x.w))))
+      FROM (SELECT t, list_transform(ps, lambda x: {'v': x.v, 'n': x.n, 'w': x.n / (1 + exp(-(ln(prior / (1 - prior)) + list_sum(list_transform(range(8), lambda j: ln(yes[3 * j + x.v[j + 1] + 1] / no[3 * j + x.v[j + 1] + 1]))))))}) AS q FROM em, p WHERE t < 30))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+      NOT base_failed AND ln(prior / (1 - prior)) + list_sum(list_transform(range(8), lambda j: ln(yes[3 * j + votes[j + 1] + 1] / no[3 * j + votes[j + 1] + 1]))) >= 0 AS kept
+    FROM v, em WHERE em.t = 30"""
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_quality_rules": _QUALITY_SQL,
     "op6_exact_dedup": r"""
         WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS n_chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents),
         r AS (SELECT *, first_value(doc_id) OVER (PARTITION BY norm ORDER BY n_chars DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM n)

@@ -116,6 +116,9 @@ def test_quality_separates_labelled_documents(spark):
     joined = quality.judge(docs).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("NOT base_failed")
     counts = {(r["quality"], r["kept"]): r["count"] for r in joined.groupBy("quality", "kept").count().collect()}
     assert counts.get((1, False), 0) <= 0.01 * counts[1, True] and counts.get((0, True), 0) <= 0.05 * counts[0, False]
+    # unlike a filter in which all rules must pass, documents with a bad vote stay, and good ones are among them
+    votes = quality.keep(quality._voted(quality.features(docs)), "votes").withColumn("digits", F.conv("pattern", 10, 3)).withColumn("bad", F.lpad("digits", len(quality.rules()), "0").contains("0"))
+    assert joined.join(votes.select("doc_id", "bad"), "doc_id").where("bad AND kept AND quality = 1").count() > 0
     kept = quality.accepted(docs)
     assert kept.columns == docs.columns and kept.count() == quality.judge(docs).where("kept").count()
 
