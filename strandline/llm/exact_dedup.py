@@ -96,9 +96,9 @@ def dedup(documents: DataFrame, block_size: int = 2048, hash_bits: int = 64) ->
 
 def survivors(documents: DataFrame, block_size: int = 2048) -> DataFrame:
     """The documents that stay, with all their columns."""
-    rows = keep(documents.withColumn("__row", F.monotonically_increasing_id()), "dedup-documents")
-    dropped = _decided(rows, block_size, row="__row").where("NOT kept")
-    return rows.join(dropped.select(F.col("row").alias("__row")), "__row", "left_anti").select(*documents.columns)
+    rows = keep(documents.select(F.struct(*documents.columns).alias("document"), F.monotonically_increasing_id().alias("row")), "dedup-documents")
+    dropped = keep(_decided(rows.select("row", "document.doc_id", "document.text"), block_size, row="row").where("NOT kept").select("row"), "dedup-dropped")
+    return rows.join(dropped, "row", "left_anti").select("document.*")
 
 
 def _decided(documents: DataFrame, block_size: int = 2048, hash_bits: int = 64, row: str | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ Within a bucket, each class is first compared with the smallest class of the buc
 by star contraction. All classes of buckets in which some are then still apart are paired by shared rare shingles: among the
 rarest of each set, so many that two sets at the similarity must share one, in places that leave enough shingles after
 it. So neither a common passage nor a large group of copies of copies makes all pairs. Every link is confirmed on the full
-sets. With 40 bands of 5 slots, a pair at similarity 0.8 meets in no band once in 8 million pairs.
+sets. Bands and rows follow from the similarity: at 0.8, 40 bands of 5 slots, a pair meets in no band once in 8 million pairs.
 
 Defined results: null texts, and texts without words, have no shingles and are linked with nothing; texts with fewer words
 than a shingle have one, the whole sequence; repeated rows are linked with each other; a row with a null id is linked like
@@ -19,6 +19,7 @@ handled whole, one batch of them in memory.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .store import keep, modest_batches
 
-BANDS, ROWS = 40, 5
+SLOTS = 200
 #: Rare shingles of a set up to which each of its rows carries the list of all of them.
 LISTED = 64
 _U = np.uint64
@@ -116,8 +117,9 @@ def _bits(signature: np.ndarray) -> np.ndarray:
     return np.packbits(one, axis=1).view(np.int64)
 
 
-def sketches(documents: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def sketches(documents: DataFrame, size: int, percent: int = 80) -> DataFrame:
     """doc_id, text_hash, n_shingles, the digest of the set (high, low), its band keys and bits, for every document."""
+    bands, rows = banding(percent)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -149,9 +151,33 @@ def _hashed(documents: DataFrame) -> DataFrame:
     return modest_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
 
-def _alike(a: str, b: str, percent: int, limit: int = 48) -> Column:
-    """Whether sizes allow the similarity, and bits differ in few enough places: at 0.8, more than ``limit`` of 200 differ
-    in fewer than one of 10 ** 8 pairs. A pattern of the join's condition, so other pairs are never made."""
+def banding(percent: int, slots: int = SLOTS, risk: float = 2e-7) -> tuple[int, int]:
+    """Bands, and rows of each: so many rows that a pair at the similarity meets in no band with at most the risk."""
+    rows = max((r for r in range(1, slots + 1) if (1 - (percent / 100) ** r) ** (slots // r) <= risk), default=1)
+    return slots // rows, rows
+
+
+def most_apart(percent: int, slots: int = SLOTS, risk: float = 1e-8) -> int:
+    """The most places in which the bits of two sets at the similarity differ, but for one pair in 1 / ``risk``.
+
+    A bit differs with probability (1 - similarity) / 2 a slot; the bound is that of independent slots, and those of
+    SuperMinHash vary less. It is the smallest number whose binomial tail is at most the risk; at a low similarity it lets all pass.
+    """
+    p = (1 - percent / 100) / 2
+    tail, k = 0.0, slots
+    while k > 0:
+        tail += math.exp(math.lgamma(slots + 1) - math.lgamma(k + 1) - math.lgamma(slots - k + 1) + k * math.log(p) + (slots - k) * math.log1p(-p)) if p > 0 else 0.0
+        if tail > risk:
+            break
+        k -= 1
+    return k
+
+
+def _alike(a: str, b: str, percent: int) -> Column:
+    """Whether sizes allow the similarity, and bits differ in few enough places. A pattern of the join's condition, so
+    other pairs are never made."""
+    bands, rows = banding(percent)
+    limit = most_apart(percent, bands * rows)
     n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
     apart = sum((F.bit_count(F.get(f"{a}.bits", k).bitwiseXOR(F.get(f"{b}.bits", k))) for k in range(4)), F.lit(0))
     return (100 * n >= percent * m) & (100 * m >= percent * n) & (apart <= limit)
@@ -241,15 +267,16 @@ def _first() -> Column:
 def distinct(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, that with the smallest doc_id (then text hash), with all columns; rows that agree in both
     are left to exact dedup."""
-    found = groups(documents, shingle_words, percent).where("NOT first").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    same = F.col("__id").eqNullSafe(documents["doc_id"].cast("long")) & (F.col("__hash") == F.xxhash64(documents["text"]))
-    return documents.join(keep(found, "near-dropped"), same, "left_anti")
+    found = keep(groups(documents, shingle_words, percent).where("NOT first").select("doc_id", "text_hash"), "near-dropped")
+    rows = documents.select(F.struct(*documents.columns).alias("document"))
+    same = F.col("dropped.doc_id").eqNullSafe(F.col("document.doc_id").cast("long")) & (F.col("dropped.text_hash") == F.xxhash64("document.text"))
+    return rows.join(found.alias("dropped"), same, "left_anti").select("document.*")
 
 
 def groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, text_hash, first, n_shingles, component_id and kept for every document: its group is all it reaches over
     links, and ``first`` marks the one document of it that stays."""
-    rows = keep(sketches(documents, shingle_words), "near-rows")
+    rows = keep(sketches(documents, shingle_words, percent), "near-rows")
     by_set = rows.where("n_shingles > 0").groupBy("n_shingles", "high", "low").agg(
         F.min("doc_id").alias("least_id"), F.min(_first()).alias("one"), F.count("*").alias("copies")
     )

@@ -125,7 +125,21 @@ _QUALITY_SQL = r"""
       NOT base_failed AND ln(prior / (1 - prior)) + list_sum(list_transform(range(8), lambda j: ln(yes[3 * j + votes[j + 1] + 1] / no[3 * j + votes[j + 1] + 1]))) >= 0 AS kept
     FROM v, em WHERE em.t = 30"""
 
+#: Words taken by the definition: a source's slots read its stream, in hashed order, up to the target and from the start again.
+_MIXING_SQL = r"""
+    WITH d AS (SELECT doc_id, source, len([x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''])::BIGINT AS size FROM documents),
+    h AS (SELECT *, ('0x' || substr(md5(concat_ws('|', coalesce(doc_id::VARCHAR, ''), size::VARCHAR, coalesce(source, ''))), 1, 15))::BIGINT AS turn FROM d),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM d GROUP BY source),
+    o AS (SELECT *, row_number() OVER w AS place, (sum(source_size) OVER () - (sum(3 * source_size) OVER w - 3 * source_size))::DOUBLE / (sum(weight) OVER () - (sum(weight) OVER w - weight)) AS unit
+        FROM s WINDOW w AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+    u AS (SELECT coalesce(arg_min(unit, place), 1e300) AS unit FROM o WHERE unit * weight <= 3 * source_size),
+    t AS (SELECT source, source_size, least(3 * source_size, u.unit * weight)::DOUBLE AS target, round(least(3 * source_size, u.unit * weight))::BIGINT AS given FROM s, u),
+    p AS (SELECT h.*, source_size, target, given, (sum(size) OVER (PARTITION BY h.source ORDER BY turn, doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS before
+        FROM h JOIN t ON h.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, size, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE given // source_size * size + greatest(0, least(size, given - given // source_size * source_size - before)) END::BIGINT AS taken FROM p"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op9_source_mixing": _MIXING_SQL,
     "op7_quality_rules": _QUALITY_SQL,
     "op6_exact_dedup": r"""
         WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS n_chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents),
