@@ -1,10 +1,11 @@
 """Secret scan: three fixed patterns, and character Markov models that tell random strings from ordinary identifiers.
 
-Both models hold log-probabilities of a character after another. The model of ordinary identifiers is trained on long
-words of a sample of documents (labelled ordinary where no pattern matches them), that of random strings on the values that
-the patterns find there and on generated keys. The sample holds ``sample`` documents or about so, chosen by hash; its
+Both models hold log-probabilities of a character after another, and are trained from labelled samples. Ordinary are the long words of a sample of
+documents outside the patterns, and identifiers: neighbouring words of these documents and common words of programs, joined as programs
+join them (camelCase, snake_case, CONSTANTS, paths). Random are the values that the patterns find there and generated keys of
+each usual alphabet. The sample holds ``sample`` documents or about so, chosen by hash; its
 counts are at most two alphabets squared, whatever the corpus. A long word is a secret of kind ``random`` if its
-log-likelihood ratio and its mean per character pass both thresholds; pattern spans always stay.
+log-likelihood ratio and its mean per character pass both thresholds, a higher mean for letters of one case; numbers aren't judged. Pattern spans always stay.
 
 Defined results: a null or empty text has no spans; null ids and repeated rows are scanned each; further columns are
 ignored; an empty table gives no rows. Texts are read whole, one at a time in memory.
@@ -16,8 +17,10 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +35,16 @@ KINDS = ("assign", "access", "hex", "random")
 
 #: Long words that the models judge.
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Words that identifiers are made of, and how many words of a sampled text become identifiers.
+PARTS = (
+    "get set add put new is has on to by id all max min map key log run url api app xml http json html css sql usr var lib bin etc opt src tmp dev log home local share include version "
+    "name type value index count size list item node element class object model view user group role file path data date time text line page form field table row column query result "
+    "request response client server session service handler factory manager builder parser reader writer buffer stream event state status error message option config default custom "
+    "create update delete remove insert select search find load save open close start stop read write send receive parse format convert validate check test build make init create "
+    "first last next previous current total number string array integer float double boolean null empty valid enabled visible active python java script module package function method "
+    "national international organization development management information technology university government application environment communication administration program project"
+).split()
+WORDS_OF_A_TEXT = 40
 #: Characters of the models; place 0 stands for all others and for the start.
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _PLACE = {c: i + 1 for i, c in enumerate(LETTERS)}
@@ -51,6 +64,9 @@ def pattern_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+_WORD = re.compile(r"[A-Za-z]{2,12}")
+
+
 def _pairs(word: str) -> Iterator[int]:
     last = 0
     for c in word:
@@ -59,11 +75,36 @@ def _pairs(word: str) -> Iterator[int]:
         last = now
 
 
-def _outside(token: re.Match[str], spans: list[Span]) -> bool:
-    return all(token.end() <= s[0] or token.start() >= s[2] for s in spans)
+class _Covered:
+    """Which stretches of a text the given spans, in order of their starts, touch."""
+
+    def __init__(self, spans: Sequence[Span]) -> None:
+        self.starts = [s[0] for s in spans]
+        self.ends = list(accumulate((s[2] for s in spans), max))
+
+    def touches(self, start: int, end: int) -> bool:
+        k = bisect_left(self.starts, end)
+        return k > 0 and self.ends[k - 1] > start
+
 
+def identifier(words: Sequence[str], style: int) -> str:
+    """The words joined as programs join them."""
+    lower = [w.lower() for w in words]
+    if style == 0:
+        return lower[0] + "".join(w.capitalize() for w in lower[1:])
+    if style == 1:
+        return "".join(w.capitalize() for w in lower)
+    if style == 2:
+        return "".join(w.upper() if len(w) < 4 else w.capitalize() for w in lower)
+    return ("_".join(lower), "_".join(lower).upper(), "-".join(lower), "/" + "/".join(lower), lower[0].upper() + str(19 + len(words)) + "".join(w.capitalize() for w in lower[1:]))[style - 3]
 
-def train(documents: DataFrame, sample: int = 2000, generated: int = 2000) -> list[float]:
+
+STYLES = 8
+#: Alphabets of generated keys.
+ALPHABETS = ("0123456789abcdef", "0123456789ABCDEF", LETTERS[26:62], LETTERS[:26] + LETTERS[52:62], LETTERS[:62], LETTERS[:64], LETTERS[:62] + "_-", LETTERS[26:52])
+
+
+def train(documents: DataFrame, sample: int = 2000, generated: int = 8000) -> list[float]:
     """Log-likelihood ratio, random against ordinary, of each pair of characters."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,9 +113,13 @@ def train(documents: DataFrame, sample: int = 2000, generated: int = 2000) -> li
             for text in batch.column(0).to_pylist():
                 text = text or ""
                 spans = pattern_spans(text)
+                covered = _Covered(spans)
                 for m in TOKEN.finditer(text):
-                    if _outside(m, spans):
+                    if not covered.touches(m.start(), m.end()):
                         seen.update((0, p) for p in _pairs(m[0]))
+                words = [m[0] for m, _ in zip(_WORD.finditer(text), range(WORDS_OF_A_TEXT), strict=False)]
+                for k in range(0, len(words) - 3, 4):
+                    seen.update((0, p) for p in _pairs(identifier(words[k : k + 4], k // 4 % STYLES)))
                 for start, _, end in spans:
                     for m in TOKEN.finditer(text, start, end):
                         seen.update((1, p) for p in _pairs(m[0]))
@@ -88,11 +133,17 @@ def train(documents: DataFrame, sample: int = 2000, generated: int = 2000) -> li
     counts = [[0.0] * (_SIZE * _SIZE) for _ in range(2)]
     for r in rows:
         counts[r["random"]][r["pair"]] += r["n"]
-    keys = random.Random(7)
+    draw = random.Random(7)
     for k in range(generated):
-        letters = ("0123456789abcdef", LETTERS[26:62], LETTERS[:62], LETTERS[:64])[k % 4]
-        for p in _pairs("".join(keys.choice(letters) for _ in range(32))):
+        for p in _pairs("".join(draw.choices(ALPHABETS[k % len(ALPHABETS)], k=32))):
             counts[1][p] += 1
+        digits = str(draw.randint(0, 99)) if k % 5 == 0 else ""
+        for p in _pairs(identifier(draw.choices(PARTS, k=draw.randint(2, 5)), k % STYLES) + digits):
+            counts[0][p] += 1
+        if k % 10 == 0:  # words with dates
+            day = f"{draw.randint(1990, 2040)}-{draw.randint(1, 12):02}-{draw.randint(1, 31):02}"
+            for p in _pairs(f"{day}T{draw.randint(0, 23):02}-{draw.randint(0, 59):02}-{draw.randint(0, 59):02}Z" if k % 20 else f"{draw.choice(PARTS)}-{day}"):
+                counts[0][p] += 1
     logs = []
     for own in counts:
         single = [sum(own[now::_SIZE]) + 0.5 for now in range(_SIZE)]
@@ -106,19 +157,16 @@ def train(documents: DataFrame, sample: int = 2000, generated: int = 2000) -> li
     return [b - a for a, b in zip(*logs, strict=True)]
 
 
-def _mixed(word: str) -> bool:
-    """Letters with digits, or both cases after the first letter: keys are, words in capitals and numbers aren't."""
-    rest = word[1:]
-    return any(c.isalpha() for c in word) and (any(c.isdigit() for c in word) or rest.lower() != rest != rest.upper())
-
-
-def random_spans(text: str, spans: list[Span], ratio: list[float], least: float, least_mean: float) -> list[Span]:
-    """Spans of kind ``random`` outside the given ones: words with letters whose ratio passes both thresholds."""
-    found = []
+def random_spans(text: str, spans: list[Span], ratio: list[float], least: float, least_mean: float, least_plain: float) -> list[Span]:
+    """Spans of kind ``random`` outside the given ones: words with letters whose ratio passes the thresholds."""
+    found, covered = [], _Covered(spans)
     for m in TOKEN.finditer(text):
         word = m[0]
         score = sum(map(ratio.__getitem__, _pairs(word)))
-        if score >= least and score >= least_mean * len(word) and _mixed(word) and _outside(m, spans):
+        if score < least or score < least_mean * len(word) or not any(c.isalpha() for c in word):
+            continue
+        mixed = any(c.isdigit() for c in word) or word[1:].lower() != word[1:] != word[1:].upper()
+        if (mixed or score >= least_plain * len(word)) and not covered.touches(m.start(), m.end()):
             found.append((m.start(), 3, m.end()))
     return found
 
@@ -127,7 +175,7 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
-def scan(documents: DataFrame, sample: int = 2000, least: float = 12.0, least_mean: float = 0.6) -> DataFrame:
+def scan(documents: DataFrame, sample: int = 2000, least: float = 10.0, least_mean: float = 0.45, least_plain: float = 0.8) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256 and spans of every document."""
     ratio = documents.sparkSession.sparkContext.broadcast(train(documents, sample))
 
@@ -135,7 +183,7 @@ def scan(documents: DataFrame, sample: int = 2000, least: float = 12.0, least_me
         model = ratio.value
         for batch in batches:
             base = [pattern_spans(t or "") for t in batch.column(1).to_pylist()]
-            every = [sorted(b + random_spans(t or "", b, model, least, least_mean)) for t, b in zip(batch.column(1).to_pylist(), base, strict=True)]
+            every = [sorted(b + random_spans(t or "", b, model, least, least_mean, least_plain)) for t, b in zip(batch.column(1).to_pylist(), base, strict=True)]
             counts = [pa.array([sum(s[1] == k for s in b) for b in base], pa.int64()) for k in range(3)]
             digests = pa.array([hashlib.sha256(joined(b).encode()).hexdigest() for b in base], pa.string())
             yield pa.RecordBatch.from_arrays(

@@ -21,8 +21,10 @@ def posteriors(
     prior: float = 0.8,
     votes_if_yes: tuple[float, float, float] = (0.02, 0.48, 0.5),
     votes_if_no: tuple[float, float, float] = (0.35, 0.6, 0.05),
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """From (pattern, n): pattern, posterior probability of yes, and the estimates (prior, yes, no) behind it.
+    """From (pattern, n): pattern, posterior probability of yes, and the estimates (prior, yes, no) behind it; apart for each
+    value of the columns ``by``, which come first.
 
     ``yes`` and ``no`` hold, for each rule, the probabilities that it votes no, abstains or votes yes on true and on
     false cases: its accuracy and its coverage, as a rule that finds defects abstains more often where there are none.
@@ -46,7 +48,7 @@ def posteriors(
     estimates = f"named_struct('prior', {new_prior}, 'yes', {rates(votes_if_yes, 'p.w')}, 'no', {rates(votes_if_no, '(p.n - p.w)')})"
     start = f"named_struct('prior', {prior}D, 'yes', {flat(votes_if_yes)}, 'no', {flat(votes_if_no)})"
     votes = F.array(*((F.expr(f"pattern div {3**k}") % 3).cast("int") for k in range(n_rules)))
-    row = patterns.select("pattern", votes.alias("votes"), F.col("n").cast("double").alias("n")).agg(F.array_sort(F.collect_list(F.struct("pattern", "votes", "n"))).alias("patterns"))
+    row = patterns.select(*by, "pattern", votes.alias("votes"), F.col("n").cast("double").alias("n")).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("pattern", "votes", "n"))).alias("patterns"))
     fitted = row.withColumn("e", F.expr(f"aggregate(sequence(1, {rounds}), {start}, (e, t) -> aggregate(array({weighed}), e, (old, q) -> {estimates}))"))
     scored = f"transform(patterns, p -> named_struct('pattern', p.pattern, 'posterior', 1 / (1 + exp(-({log_odds}))), 'prior', e.prior, 'yes', e.yes, 'no', e.no))"
-    return fitted.select(F.explode(F.expr(scored)).alias("p")).select("p.*")
+    return fitted.select(*by, F.explode(F.expr(scored)).alias("p")).select(*by, "p.*")

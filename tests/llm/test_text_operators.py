@@ -97,6 +97,61 @@ def test_personal_data(spark, odd):
     assert pii.find(odd).count() == len(ODD) and pii.find(odd.limit(0)).count() == 0
 
 
+def test_personal_data_beyond_the_base_patterns(spark):
+    """Recall and precision of the spans that the method adds, on labelled documents."""
+    rng = random.Random(31)
+    name = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(4, 9)))
+    number = lambda sep: f"{rng.randint(200, 999)}{sep}{rng.randint(200, 999)}{sep}{rng.randint(1000, 9999)}"
+    rows, want = [], {}
+    for i in range(900):
+        kind = i % 9
+        before, value, after, personal = [
+            ("Write an email to ", f"{name()} (at) {name()} (dot) {rng.choice(['com', 'org', 'de', 'fr', 'se'])}", ", please.", True),
+            ("Contact: ", f"{name()}[at]{name()}.{rng.choice(['com', 'net', 'br'])}", " or us.", True),
+            ("Call ", number("-"), " now.", True),
+            ("phone: (212) ", number("-")[4:], " at night.", True),
+            ("see part ", number("."), "x of it.", False),
+            ("the invoice ", number("-"), " is open.", False),
+            ("mail ", f"{name()}@{name()}.com", " for it.", None),
+            ("call ", f"+1 ({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}", " for it.", None),
+            ("as said ", f"{name()} [at] {name()}.{rng.choice(['zzz', 'qqx', 'noneof'])}", "3 there.", False),
+        ][kind]
+        rows.append((i, f"{name()} {before}{value}{after} {name()}."))
+        if personal is not None:
+            want[i] = personal
+    found = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hits = {i for i in want if found[i]}
+    true = {i for i, personal in want.items() if personal}
+    assert len(hits & true) >= 0.9 * len(true) and len(hits - true) <= 0.05 * len(hits)
+
+
+def test_many_matches_in_one_text(spark):
+    text = "1.2.3.4 a@b.co " * 5_000
+    found = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    assert (found["n_ip"], found["n_email"]) == (5_000, 5_000)
+    assert secrets.scan(spark.createDataFrame([(1, "token=abcdef " * 20_000)], "doc_id long, text string")).collect()[0]["n_assign"] == 20_000
+
+
+#: Words of identifiers that the models are not trained on.
+HELD_OUT = (
+    "abstract account address agent amount anchor animation argument asset attribute author balance binding block border branch browser cache calendar callback camera channel chart child cluster "
+    "command comment component connection constant container content context controller counter country currency cursor customer decimal delegate dependency device dialog digest directory"
+).split()
+
+
+def test_secret_models_on_held_out_samples(spark):
+    """Recall on keys of each alphabet, and false alarms on identifiers of words held out."""
+    rng = random.Random(77)
+    ratio = secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    hit = lambda word: bool(secrets.random_spans(word, [], ratio, 10.0, 0.45, 0.8))
+    for letters in secrets.ALPHABETS:
+        assert sum(hit("".join(rng.choices(letters, k=rng.randint(20, 40)))) for _ in range(300)) >= 0.95 * 300, letters
+    words = [secrets.identifier(rng.choices(HELD_OUT, k=rng.randint(2, 4)), k % secrets.STYLES) for k in range(1600)]
+    words = [w for w in words if len(w) >= 16]
+    assert len(words) > 800 and sum(map(hit, words)) <= 0.03 * len(words)
+    assert not any(map(hit, ["getElementByIdAndClassName", "XMLHttpRequestFactory", "/usr/local/lib/python3", "COVID19VaccinationProgram", "4111111111111111", "2024-01-31T12-30-00Z"]))
+
+
 def test_rules_agree_with_brute_force(spark, odd):
     rng = random.Random(4)
     rows = [(i, "".join(rng.choices(["a ", "b ", "c ", "#", "\n", "a b c ", "\t", "é"], k=40))) for i in range(150)]
