@@ -35,7 +35,9 @@ GRADE_RULES = (
     (("صحيح", "sahih", "authentic"), "sahih"),
     (("حسن", "hasan", "good"), "hasan"),
 )
+#: What marks a collection as shia, and suffixes of files of vocalised text.
 SHIA_INDICATORS = ("nahj", "kafi", "tahdhib", "istibsar", "man-la")
+VOCALISED = r"(?i)[-_]?(?:tashkeel|diacritics|with[-_]?diacritics)"
 
 _OPEN, _CLOSE = "\ue000", "\ue001"
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
@@ -85,14 +87,27 @@ def match_spans(text: Column, pattern: str) -> Column:
     lengths of the pieces in between add up."""
     plain = F.regexp_replace(text, f"[{_OPEN}{_CLOSE}]", "\ufffd")
     pieces = F.split(F.regexp_replace(plain, pattern, f"{_OPEN}$0{_CLOSE}"), _OPEN)
-    start = F.struct(F.length(F.get(pieces, 0)).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("found"))
 
-    def step(s: Column, piece: Column) -> Column:
-        size = F.instr(piece, _CLOSE) - 1
-        found = F.array(F.struct(s["at"].alias("start"), (s["at"] + size).alias("end")))
-        return F.struct((s["at"] + F.length(piece) - 1).alias("at"), F.concat(s["found"], found).alias("found"))
+    def places(parts: Column) -> Column:
+        """Sums in blocks of about the root of their number, so that n matches take n ** 1.5 steps."""
 
-    return F.aggregate(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), start, step)["found"]
+        def step(s: Column, piece: Column) -> Column:
+            size = F.instr(piece, _CLOSE) - 1
+            found = F.array(F.struct(s["at"].alias("start"), (s["at"] + size).alias("end")))
+            return F.struct((s["at"] + F.length(piece) - 1).alias("at"), F.concat(s["found"], found).alias("found"))
+
+        def block(s: Column, part: Column) -> Column:
+            own = F.aggregate(part, F.struct(s["at"].alias("at"), F.array().cast(spans).alias("found")), step)
+            return F.get(F.transform(F.array(own), lambda o: F.struct(o["at"].alias("at"), F.concat(s["found"], F.array(o["found"])).alias("found"))), 0)
+
+        rest = F.size(parts) - 1
+        each = F.greatest(F.lit(16), F.ceil(F.sqrt(rest)).cast("int"))
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(rest / each).cast("int") - 1), lambda k: F.slice(parts, k * each + 2, each))
+        start = F.struct(F.length(F.get(parts, 0)).alias("at"), F.array().cast(f"array<{spans}>").alias("found"))
+        return F.when(rest > 0, F.flatten(F.aggregate(blocks, start, block)["found"])).otherwise(F.array().cast(spans))
+
+    spans = "array<struct<start:int,end:int>>"
+    return F.get(F.transform(F.array(pieces), places), 0)
 
 
 def transmission_phrases(text: Column) -> Column:
@@ -145,8 +160,9 @@ def edition_collection(name: Column) -> Column:
 
 
 def file_collection(name: Column) -> Column:
-    """A file's collection: its name without a suffix for vocalised text and without its ending."""
-    return F.regexp_replace(F.regexp_replace(F.lower(name), r"\.[a-z0-9]+$", ""), r"[_-]?(?:mushakkala|tashkeel|with[_-]tashkeel|diacritics)[_-]?.*$", "")
+    """A file's collection: its name without its ending and without a suffix for vocalised text; the case stays."""
+    stem = F.regexp_replace(name, r"\.[^.]+$", "")
+    return F.coalesce(F.nullif(F.regexp_replace(F.regexp_replace(stem, VOCALISED, ""), "^[-_ ]+|[-_ ]+$", ""), F.lit("")), stem)
 
 
 def normalize_grade(raw: Column) -> Column:

@@ -20,7 +20,11 @@ def english_spans(isnad: Column) -> Column:
 
 def arabic_spans(isnad: Column) -> Column:
     """The name before the first phrase, then one after each phrase; blank ones take no position. Without phrases, the text."""
-    phrases = text.transmission_phrases(isnad)
+    bound = F.struct(isnad.alias("isnad"), text.transmission_phrases(isnad).alias("phrases"))
+    return F.get(F.transform(F.array(bound), lambda b: _cut_at(b["isnad"], b["phrases"])), 0)
+
+
+def _cut_at(isnad: Column, phrases: Column) -> Column:
     whole = text.normalize_arabic(isnad)
     alone = F.when(whole != "", F.array(F.struct(whole.alias("name"), F.lit(None).cast("string").alias("method"))))
 
@@ -29,8 +33,8 @@ def arabic_spans(isnad: Column) -> Column:
 
     first = F.struct(cut(F.lit(0), F.get(phrases, 0)["start"]).alias("name"), F.lit(None).cast("string").alias("method"))
     rest = F.transform(phrases, lambda p, i: F.struct(cut(p["end"], F.coalesce(F.get(phrases, i + 1)["start"], F.length(isnad))).alias("name"), p["label"].alias("method")))
-    spans = F.when(F.size(phrases) > 0, F.concat(F.array(first), rest)).otherwise(F.coalesce(alone, F.array().cast("array<struct<name:string,method:string>>")))
-    named = F.filter(spans, lambda s: s["name"].isNotNull())
+    found = F.when(F.size(phrases) > 0, F.concat(F.array(first), rest)).otherwise(F.coalesce(alone, F.array().cast("array<struct<name:string,method:string>>")))
+    named = F.filter(found, lambda s: s["name"].isNotNull())
     return F.transform(named, lambda s, i: F.struct(s["name"].alias("name"), i.alias("position"), s["method"].alias("method")))
 
 

@@ -77,10 +77,14 @@ def narrated(mentions: DataFrame) -> DataFrame:
     return edges(first, "NARRATED", ("Narrator", F.col("first_id")), ("Hadith", ids.hadith_id(F.col("hadith_id"))))
 
 
-def appears_in(staged: DataFrame) -> DataFrame:
+def appears_in(staged: DataFrame, order: str | None = None) -> DataFrame:
+    """One edge for each hadith and collection; of each fact the last by ``order`` that isn't null, the greatest without one."""
     target = F.concat_ws("", F.lit("col:"), F.concat_ws(":", "source_corpus", "collection_name"))
-    found = edges(staged, "APPEARS_IN", ("Hadith", ids.hadith_id(F.col("source_id"))), ("Collection", target), "book_number", "chapter_number", F.col("hadith_number").alias("hadith_number_in_book"))
-    return found.dropDuplicates(["src_id", "dst_id"])
+    kept = {"book_number": "book_number", "chapter_number": "chapter_number", "hadith_number_in_book": "hadith_number"}
+    pairs = staged.select(ids.hadith_id(F.col("source_id")).alias("src"), target.alias("dst"), *(F.col(c).alias(n) for n, c in kept.items()), *([order] if order else []))
+    place = F.col(order) if order else F.struct(*kept)
+    latest = [F.max_by(n, F.when(F.col(n).isNotNull(), place)).alias(n) for n in kept]
+    return edges(pairs.groupBy("src", "dst").agg(*latest), "APPEARS_IN", ("Hadith", F.col("src")), ("Collection", F.col("dst")), *kept)
 
 
 def parallel_of(links: DataFrame) -> DataFrame:
@@ -103,42 +107,52 @@ def graded_by(staged: DataFrame) -> DataFrame:
 # ---- fan-out of raw rows ----
 
 
-def fan_out(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes (the first of each id stays) and edges of staged rows: streaming identities, English chains before Arabic ones."""
+def fan_out(rows: DataFrame, order: str = "source_id") -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of staged rows: streaming identities, English chains before Arabic ones. Of nodes with the same id the first
+    stays, by ``order`` and the place in the row. Rows are read once for the nodes and once for the edges, and chains are cut once."""
     hid, cid = ids.hadith_id(F.col("source_id")), ids.stream_collection_id(F.col("collection_name"))
     english = F.coalesce(F.col("isnad_raw_en"), F.lit("")) != ""
     spans = F.when(english, chains.spans(F.col("isnad_raw_en"), "en")).otherwise(chains.spans(F.col("isnad_raw_ar"), "ar"))
-    base = rows.select("*", hid.alias("hid"), cid.alias("cid"), english.alias("english"), spans.alias("spans"), F.monotonically_increasing_id().alias("ord"))
-    people = base.select("ord", "hid", "english", F.posexplode("spans").alias("k", "s"))
-    name_en, name_ar = F.when(F.col("english"), F.col("s.name")), F.when(~F.col("english"), F.col("s.name"))
-    people = people.withColumn("nid", ids.stream_narrator_id(name_en, text.normalize_arabic(name_ar)))
-    chain = people.groupBy("hid", "ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "nid"))), lambda s: s["nid"]).alias("members"))
-    chained = base.join(chain, ["hid", "ord"], "left").withColumn("members", F.coalesce("members", F.array().cast("array<string>")))
-    graded = base.where("grade <> ''")
-    gid = F.concat(F.lit("grd:"), F.col("hid"))
-    found = [
-        nodes(base, "Hadith", F.col("hid"), "matn_ar", "matn_en", "isnad_raw_ar", "isnad_raw_en", "grade", text.normalize_grade(F.col("grade")).alias("grade_normalized"), "source_corpus", "sect", "collection_name", "chapter_name_ar", "chapter_name_en"),
-        nodes(base, "Collection", F.col("cid"), F.col("collection_name").alias("name_en"), "sect", "source_corpus"),
-        nodes(people, "Narrator", F.col("nid"), name_en.alias("name_en"), name_ar.alias("name_ar"), text.normalize_arabic(name_ar).alias("name_ar_normalized"), F.col("s.method").alias("transmission_method")),
-        nodes(chained, "Chain", F.concat(F.lit("chn:"), ids.sha1_24(F.concat_ws("|", "hid", "members"))), F.col("hid").alias("hadith_id"), F.lit(0).alias("chain_index"), F.size("members").alias("chain_length"), (F.size("members") > 0).alias("is_complete"), F.col("members").alias("narrator_ids")),
-        nodes(graded, "Grading", gid, F.col("hid").alias("hadith_id"), "grade", text.normalize_grade(F.col("grade")).alias("grade_normalized"), F.col("collection_name").alias("scholar_name")),
+    base = rows.withColumns({"hid": hid, "cid": cid, "english": english, "spans": spans, "place": F.col(order)})
+
+    def named(s: Column) -> Column:
+        en, ar = F.when(F.col("english"), s["name"]), F.when(~F.col("english"), s["name"])
+        plain = text.normalize_arabic(ar)
+        return F.struct(ids.stream_narrator_id(en, plain).alias("nid"), en.alias("name_en"), ar.alias("name_ar"), plain.alias("name_ar_normalized"), s["method"].alias("transmission_method"))
+
+    people = base.withColumn("people", F.transform("spans", named)).withColumn("members", F.transform("people", lambda s: s["nid"]))
+    graded = F.coalesce(F.col("grade") != "", F.lit(False))
+    gid, grade = F.concat(F.lit("grd:"), F.col("hid")), text.normalize_grade(F.col("grade")).alias("grade_normalized")
+
+    def node(label: str, node_id: Column, *columns: Column | str) -> Column:
+        return F.struct(F.lit(label).alias("label"), node_id.alias("id"), props(*columns).alias("props"))
+
+    def edge(label: str, src: tuple[str, Column], dst: tuple[str, Column], *columns: Column | str) -> Column:
+        own = props(*columns) if columns else F.lit("{}")
+        return F.struct(F.lit(label).alias("label"), src[1].alias("src_id"), F.lit(src[0]).alias("src_label"), dst[1].alias("dst_id"), F.lit(dst[0]).alias("dst_label"), own.alias("props"))
+
+    size, chain_id = F.size("members"), F.concat(F.lit("chn:"), ids.sha1_24(F.concat_ws("|", "hid", "members")))
+    one = [
+        node("Hadith", F.col("hid"), "matn_ar", "matn_en", "isnad_raw_ar", "isnad_raw_en", "grade", grade, "source_corpus", "sect", "collection_name", "chapter_name_ar", "chapter_name_en"),
+        node("Collection", F.col("cid"), F.col("collection_name").alias("name_en"), "sect", "source_corpus"),
+        node("Chain", chain_id, F.col("hid").alias("hadith_id"), F.lit(0).alias("chain_index"), size.alias("chain_length"), (size > 0).alias("is_complete"), F.col("members").alias("narrator_ids")),
+        F.when(graded, node("Grading", gid, F.col("hid").alias("hadith_id"), "grade", grade, F.col("collection_name").alias("scholar_name"))),
     ]
-    all_nodes = found[0]
-    for more in found[1:]:
-        all_nodes = all_nodes.unionByName(more)
-    following = F.lead("nid").over(Window.partitionBy("hid", "ord").orderBy("k"))
-    index = F.row_number().over(Window.partitionBy("hid", "ord").orderBy("k")) - 1
-    pairs = people.withColumn("next", following).withColumn("idx", index).where("next IS NOT NULL")
-    links = [
-        edges(base, "APPEARS_IN", ("Hadith", F.col("hid")), ("Collection", F.col("cid")), "book_number", "chapter_number", F.col("hadith_number").alias("hadith_number_in_book")),
-        edges(pairs, "TRANSMITTED_TO", ("Narrator", F.col("nid")), ("Narrator", F.col("next")), F.col("idx").alias("position_in_chain"), F.col("hid").alias("hadith_id")),
-        edges(chained.where("size(members) > 0"), "NARRATED", ("Narrator", F.get("members", 0)), ("Hadith", F.col("hid"))),
-        edges(graded, "GRADED_BY", ("Hadith", F.col("hid")), ("Grading", gid)),
+    narrators_ = F.transform("people", lambda s: node("Narrator", s["nid"], s["name_en"].alias("name_en"), s["name_ar"].alias("name_ar"), s["name_ar_normalized"].alias("name_ar_normalized"), s["transmission_method"].alias("transmission_method")))
+    every = people.select("place", F.posexplode(F.concat(F.array(*one), narrators_)).alias("k", "n")).where("n IS NOT NULL")
+    all_nodes = every.groupBy("n.label", "n.id").agg(F.min_by("n.props", F.struct("place", "k", "n.props")).alias("props"))
+
+    following = F.transform(
+        F.when(size > 1, F.sequence(F.lit(0), size - 2)).otherwise(F.array().cast("array<int>")),
+        lambda k: edge("TRANSMITTED_TO", ("Narrator", F.get("members", k)), ("Narrator", F.get("members", k + 1)), k.alias("position_in_chain"), F.col("hid").alias("hadith_id")),
+    )
+    single = [
+        edge("APPEARS_IN", ("Hadith", F.col("hid")), ("Collection", F.col("cid")), "book_number", "chapter_number", F.col("hadith_number").alias("hadith_number_in_book")),
+        F.when(size > 0, edge("NARRATED", ("Narrator", F.get("members", 0)), ("Hadith", F.col("hid")))),
+        F.when(graded, edge("GRADED_BY", ("Hadith", F.col("hid")), ("Grading", gid))),
     ]
-    all_edges = links[0]
-    for more in links[1:]:
-        all_edges = all_edges.unionByName(more)
-    return all_nodes.groupBy("label", "id").agg(F.min("props").alias("props")), all_edges
+    all_edges = people.select(F.explode(F.concat(F.array(*single), following)).alias("e")).where("e IS NOT NULL").select("e.*")
+    return all_nodes, all_edges
 
 
 # ---- upserts ----

@@ -27,26 +27,29 @@ def exact_matches(names: DataFrame, bios: DataFrame) -> DataFrame:
 
 
 def fuzzy_matches(names: DataFrame, bios: DataFrame) -> DataFrame:
-    """Same first two letters, distance at most 2, ratio at least 80."""
+    """Same first two letters, distance at most 2, ratio at least 80. Blocks are of two letters and a length: each name joins
+    the lengths within the distance."""
     a, b = F.col("name"), F.col("name_ar_normalized")
-    block = (text.prefix_key(a) == text.prefix_key(b)) & (F.abs(F.length(a) - F.length(b)) <= MAX_DISTANCE) & similarity.within_distance(a, b, MAX_DISTANCE)
-    near = names.join(bios.where("name_ar_normalized <> ''"), block).withColumn("ratio", similarity.indel_ratio(a, b))
-    return near.where(F.col("ratio") >= FUZZY_RATIO).select("name", "cand", F.lit("fuzzy").alias("stage"), F.round(F.col("ratio") / 100, 4).alias("score"), F.lit(2).alias("branch"))
+    lengths = F.explode(F.sequence(F.length(a) - MAX_DISTANCE, F.length(a) + MAX_DISTANCE))
+    left = names.select("name", text.prefix_key(a).alias("block"), lengths.alias("size"))
+    right = bios.where("name_ar_normalized <> ''").select("cand", "name_ar_normalized", text.prefix_key(b).alias("block"), F.length(b).alias("size"))
+    near = left.join(right, ["block", "size"]).where(similarity.within_distance(a, b, MAX_DISTANCE)).withColumn("ratio", similarity.indel_ratio_batched(a, b))
+    return near.where(F.col("ratio") >= FUZZY_RATIO).select("name", "cand", F.lit("fuzzy").alias("stage"), F.bround(F.col("ratio") / 100, 4).alias("score"), F.lit(2).alias("branch"))
 
 
 def crossref_matches(names: DataFrame, bios: DataFrame) -> DataFrame:
     """Same first two letters, candidate with an external id, ratio at least 60."""
     a, b = F.col("name"), F.col("name_ar_normalized")
     block = (text.prefix_key(a) == text.prefix_key(b)) & (similarity.ratio_bound(a, b) >= CROSSREF_RATIO)
-    near = names.join(bios.where("name_ar_normalized <> '' AND external_id <> ''"), block).withColumn("ratio", similarity.indel_ratio(a, b))
-    return near.where(F.col("ratio") >= CROSSREF_RATIO).select("name", "cand", F.lit("crossref").alias("stage"), F.round(F.col("ratio") / 100, 4).alias("score"), F.lit(3).alias("branch"))
+    near = names.join(bios.where("name_ar_normalized <> '' AND external_id <> ''"), block).withColumn("ratio", similarity.indel_ratio_batched(a, b))
+    return near.where(F.col("ratio") >= CROSSREF_RATIO).select("name", "cand", F.lit("crossref").alias("stage"), F.bround(F.col("ratio") / 100, 4).alias("score"), F.lit(3).alias("branch"))
 
 
 def unblocked_fuzzy(names: DataFrame, bios: DataFrame) -> DataFrame:
     """The fuzzy stage without blocks: every pair, as a yardstick for tests."""
     a, b = F.col("name"), F.col("name_ar_normalized")
     near = names.crossJoin(bios.where("name_ar_normalized <> ''")).where(similarity.within_distance(a, b)).withColumn("ratio", similarity.indel_ratio(a, b))
-    return near.where(F.col("ratio") >= FUZZY_RATIO).select("name", "cand", F.round(F.col("ratio") / 100, 4).alias("score"))
+    return near.where(F.col("ratio") >= FUZZY_RATIO).select("name", "cand", F.bround(F.col("ratio") / 100, 4).alias("score"))
 
 
 def _decide(chain: Column) -> Column:
@@ -61,10 +64,6 @@ def _decide(chain: Column) -> Column:
         hits = F.filter(state["decided"], lambda d: d["pos"] == position)
         return F.element_at(F.concat(F.array(F.lit(None).cast("int")), F.transform(hits, lambda d: d["year"])), -1)
 
-    def pool_of(kept: Column) -> Column:
-        exact, fuzzy, cross = (_of(kept, stage) for stage in ("exact", "fuzzy", "crossref"))
-        return F.when(F.size(exact) > 0, exact).when(F.size(fuzzy) > 0, fuzzy).otherwise(cross)
-
     def step(state: Column, m: Column) -> Column:
         def decide(pool: Column) -> Column:
             best = F.get(pool, 0)
@@ -77,7 +76,7 @@ def _decide(chain: Column) -> Column:
             return F.filter(m["cands"], lambda c: (c["stage"] != "fuzzy") | plausible(c["year"], years))
 
         years = F.array(year_at(state, m["pos"] - 1), year_at(state, m["pos"] + 1))
-        return _let(years, lambda y: _let(filtered(y), lambda kept: _let(pool_of(kept), decide)))
+        return _let(years, lambda y: _let(filtered(y), lambda kept: _let(_pool(kept), decide)))
 
     cand = "struct<cand:bigint,stage:string,score:double,year:int>"
     start = F.struct(
@@ -87,6 +86,22 @@ def _decide(chain: Column) -> Column:
     return F.aggregate(chain, start, step)["out"]
 
 
+def _pool(kept: Column) -> Column:
+    """The candidates of the first stage that has any."""
+    exact, fuzzy, cross = (_of(kept, stage) for stage in ("exact", "fuzzy", "crossref"))
+    return F.when(F.size(exact) > 0, exact).when(F.size(fuzzy) > 0, fuzzy).otherwise(cross)
+
+
+def _decide_alone(cands: Column) -> Column:
+    """The decision on a mention that depends on no other."""
+
+    def decide(pool: Column) -> Column:
+        best = F.get(pool, 0)
+        return F.struct(F.when(F.coalesce(best["score"] >= CONFIDENCE, F.lit(False)), best).alias("best"), pool.alias("pool"))
+
+    return _let(_pool(cands), decide)
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often the body uses it."""
     return F.get(F.transform(F.array(value), body), 0)
@@ -112,8 +127,13 @@ def resolve(mentions: DataFrame, bios: DataFrame) -> tuple[DataFrame, DataFrame,
     lists = found.groupBy("name").agg(F.transform(ordered, lambda c: F.struct(c["cand"], c["stage"], c["score"], c["year"])).alias("cands"))
     none = F.array().cast("array<struct<cand:bigint,stage:string,score:double,year:int>>")
     placed = named.join(lists, "name", "left").withColumn("cands", F.coalesce("cands", none))
+    # only chains with a fuzzy candidate that has a year depend on earlier decisions
+    fuzzy_year = lists.where(F.exists("cands", lambda c: (c["stage"] == "fuzzy") & c["year"].isNotNull())).select("name")
+    folded = named.join(fuzzy_year, "name", "left_semi").select("hadith_id").distinct()
     chain = F.array_sort(F.collect_list(F.struct("ord", F.col("position_in_chain").alias("pos"), "mention_id", "cands")))
-    decided = placed.groupBy("hadith_id").agg(chain.alias("chain")).select(F.explode(_decide(F.col("chain"))).alias("d")).select("d.*")
+    in_order = placed.join(folded, "hadith_id", "left_semi").groupBy("hadith_id").agg(chain.alias("chain")).select(F.explode(_decide(F.col("chain"))).alias("d")).select("d.*")
+    alone = placed.join(folded, "hadith_id", "left_anti").select("mention_id", _decide_alone(F.col("cands")).alias("d")).select("mention_id", "d.best", "d.pool")
+    decided = in_order.unionByName(alone)
     facts = named.select("mention_id", "mention_text", "source_corpus", "ord")
     rows = decided.join(facts, "mention_id")
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import casts, ids, similarity, text
 from ..operators import analytics, chains, graph, matching, parallels, quality
-from ..sources import parsers, readers
-from .lineage import cut, stored
+from ..sources import parsers, readers, schemas
+from .lineage import cut, folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,24 +119,13 @@ def coverage_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(groups.select("n_nationkey", "n_name"), "n_nationkey")
 
 
-_CYCLE_EDGES = "SELECT DISTINCT o_custkey % 40 AS src_id, l_suppkey % 40 AS dst_id FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_custkey % 40 <> l_suppkey % 40 AND (o_custkey * 7 + l_suppkey) % 11 = 0"
-
-
-@query(f"""WITH RECURSIVE e AS ({_CYCLE_EDGES}), p(start, pos, length, trail) AS (
-SELECT src_id, dst_id, 1, [src_id::VARCHAR || '>' || dst_id::VARCHAR] FROM e UNION ALL
-SELECT p.start, e.dst_id, p.length + 1, list_append(p.trail, e.src_id::VARCHAR || '>' || e.dst_id::VARCHAR) FROM p JOIN e ON e.src_id = p.pos
-WHERE p.length < 3 AND NOT list_contains(p.trail, e.src_id::VARCHAR || '>' || e.dst_id::VARCHAR))
-SELECT start, length, count(*) AS n FROM p WHERE start = pos GROUP BY 1, 2""")
-def cycle_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o, l = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    joined = o.join(l, o["o_orderkey"] == l["l_orderkey"]).where("o_custkey % 40 <> l_suppkey % 40 AND (o_custkey * 7 + l_suppkey) % 11 = 0")
-    links = joined.select((F.col("o_custkey") % 40).alias("src_id"), (F.col("l_suppkey") % 40).alias("dst_id"))
-    return graph.cycles(links, depth=3, limit=None).groupBy("start", "length").agg(F.count("*").alias("n"))
-
-
-@query()
+@query(f"""WITH e AS (SELECT DISTINCT src_id, dst_id, src_id::VARCHAR || '>' || dst_id::VARCHAR AS edge FROM ({_EDGES_SQL})),
+c AS (SELECT src_id AS id, 1 AS length, [edge] AS trail FROM e WHERE src_id = dst_id UNION ALL
+SELECT a.src_id, 2, [a.edge, b.edge] FROM e a JOIN e b ON b.src_id = a.dst_id AND b.dst_id = a.src_id WHERE a.edge <> b.edge)
+SELECT id, length, array_to_string(trail, ',') AS trail FROM c ORDER BY length, id, trail LIMIT 100""")
 def chain_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's check: cycles of up to 20 edges in the whole graph of chains, at most 100 of them, the shortest first."""
+    """Cycles of up to 20 edges in the whole graph of chains, at most 100 of them, the shortest first. The
+    SQL stops at two edges: these graphs are so dense that the first 100 are never longer."""
     return graph.cycles(_edges(spark, sf_dir), keep=cut).select(F.col("start").alias("id"), "length", F.array_join("trail", ",").alias("trail"))
 
 
@@ -181,43 +170,82 @@ def louvain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _EN = r"\b(?:Narrated|reported\s+by|on\s+the\s+authority\s+of|from|who\s+heard\s+from)\b"
+#: White space as Unicode has it, at the ends of a text; and the rules of names.
+_ENDS = r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+$"
 
 
-@query(rf"""SELECT doc_id, p - 1 AS position, name FROM (SELECT doc_id, generate_subscripts(parts, 1) AS p, unnest(parts) AS raw FROM (SELECT doc_id, regexp_split_to_array(text, '(?i){_EN}') AS parts FROM documents WHERE lang = 'en' AND regexp_matches(text, '(?i)\bfrom\b')))
-, LATERAL (SELECT nullif(regexp_replace(regexp_replace(raw, '^\s+|\s+$', '', 'g'), '[.,;:!?()]+$', ''), '') AS name) WHERE name IS NOT NULL""")
-def en_chain_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _en_chains(table(spark, sf_dir, "documents").where("lang = 'en'").where(F.col("text").rlike(r"(?i)\bfrom\b")))
+def _name_sql(raw: str) -> str:
+    return rf"nullif(regexp_replace(regexp_replace({raw}, '{_ENDS}', '', 'g'), '[.,;:!?()]+$', ''), '')"
 
 
-@query()
-def en_chain_extract_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``en_chain_extract``, of every English text: those with other delimiters only, and those with none, which are one name."""
-    return _en_chains(table(spark, sf_dir, "documents").where("lang = 'en'"))
+@query(rf"""SELECT doc_id, p - 1 AS position, name FROM (SELECT doc_id, generate_subscripts(parts, 1) AS p, unnest(parts) AS raw FROM (SELECT doc_id, regexp_split_to_array(text, '(?i){_EN}') AS parts FROM documents WHERE lang = 'en'))
+, LATERAL (SELECT {_name_sql("raw")} AS name) WHERE name IS NOT NULL""")
+def en_chain_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").where("lang = 'en'")
+    return docs.select("doc_id", F.explode(chains.spans(F.col("text"), "en")).alias("s")).select("doc_id", F.col("s.position").cast("long").alias("position"), "s.name")
 
 
-def _en_chains(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.explode(chains.spans(F.col("text"), "en")).alias("s")).select("doc_id", F.col("s.position").cast("long").alias("position"), "s.name")
+_PLAIN_AR = r"trim(regexp_replace({}, '[\s\p{{Z}}\x1c-\x1f\x85]+', ' ', 'g'))"
 
 
-@query()
+@query(rf"""WITH d AS (SELECT doc_id, unnest([source, lang, text]) AS raw, unnest([0, 1, 2]) AS k, unnest(['haddathana', 'an', 'qala']) AS method FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL),
+n AS (SELECT *, {_name_sql(_PLAIN_AR.format("raw"))} AS name FROM d)
+SELECT doc_id, name, (row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1)::BIGINT AS position, method FROM n WHERE name IS NOT NULL""")
 def ar_chain_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "nation").select("n_nationkey", F.concat(F.lit("حدثنا محمد بن "), "n_name", F.lit(" عن علي قال ")).alias("isnad"))
-    return rows.select("n_nationkey", F.explode(chains.spans(F.col("isnad"), "ar")).alias("s")).select("n_nationkey", "s.*")
+    """Whole documents as the last name of a chain with three Arabic phrases."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("حدثنا "), "source", F.lit(" عن "), "lang", F.lit(" قال "), "text").alias("isnad"))
+    found = rows.select("doc_id", F.explode(chains.spans(F.col("isnad"), "ar")).alias("s"))
+    return found.select("doc_id", "s.name", F.col("s.position").cast("long").alias("position"), "s.method")
 
 
-@query()
+def _json_sql(**fields: str) -> str:
+    """A JSON object of the SQL expressions that aren't null."""
+    return "'{' || concat_ws(',', " + ", ".join(f"""'"{k}":' || to_json({v})::VARCHAR""" for k, v in fields.items()) + ") || '}'"
+
+
+_FAN_SQL = rf"""WITH c AS (SELECT concat_ws(':', 'sunnah', role, conv_id, turn) AS sid, 'hdt:' || concat_ws(':', 'sunnah', role, conv_id, turn) AS hid, 'col:' || trim(regexp_replace(lower(role), '[^a-z0-9]+', '_', 'g'), '_') AS cid,
+    role, conv_id::INTEGER AS book, turn::INTEGER AS number, text, CASE WHEN turn % 2 = 0 THEN 'sahih' END AS grade FROM conversations),
+s AS (SELECT sid, hid, generate_subscripts(parts, 1) AS p, unnest(parts) AS raw FROM (SELECT sid, hid, regexp_split_to_array(text, '(?i){_EN}') AS parts FROM c WHERE text <> '')),
+m AS (SELECT sid, hid, name, 'nar:' || substr(sha1('en:' || lower(trim(name, ' ')) || '|ar:'), 1, 24) AS nid, row_number() OVER (PARTITION BY sid ORDER BY p) - 1 AS k FROM (SELECT sid, hid, p, {_name_sql("raw")} AS name FROM s) WHERE name IS NOT NULL),
+l AS (SELECT sid, list(nid ORDER BY k) AS members FROM m GROUP BY 1),
+b AS (SELECT c.*, coalesce(members, []) AS members FROM c LEFT JOIN l USING (sid)),
+nodes AS (
+    SELECT sid, 0 AS k, 'Hadith' AS label, hid AS id, {_json_sql(matn_en="text", isnad_raw_en="text", grade="grade", grade_normalized="coalesce(grade, 'unknown')", source_corpus="'sunnah'", sect="'sunni'", collection_name="role")} AS props FROM b
+    UNION ALL SELECT sid, 1, 'Collection', cid, {_json_sql(name_en="role", sect="'sunni'", source_corpus="'sunnah'")} FROM b
+    UNION ALL SELECT sid, 2, 'Chain', 'chn:' || substr(sha1(array_to_string(list_prepend(hid, members), '|')), 1, 24), {_json_sql(hadith_id="hid", chain_index="0", chain_length="len(members)", is_complete="len(members) > 0", narrator_ids="members")} FROM b
+    UNION ALL SELECT sid, 3, 'Grading', 'grd:' || hid, {_json_sql(hadith_id="hid", grade="grade", grade_normalized="grade", scholar_name="role")} FROM b WHERE grade IS NOT NULL
+    UNION ALL SELECT sid, 4 + k, 'Narrator', nid, {_json_sql(name_en="name")} FROM m),
+first AS (SELECT label, id, props FROM nodes QUALIFY row_number() OVER (PARTITION BY label, id ORDER BY sid, k, props) = 1)"""
+
+
+@query(f"{_FAN_SQL} SELECT * FROM first")
 def fan_out_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.fan_out(_staged(spark, sf_dir))[0]
 
 
-@query()
+@query(f"""{_FAN_SQL} SELECT 'APPEARS_IN' AS label, hid AS src_id, 'Hadith' AS src_label, cid AS dst_id, 'Collection' AS dst_label, {_json_sql(book_number="book", hadith_number_in_book="number")} AS props FROM b
+UNION ALL SELECT 'NARRATED', members[1], 'Narrator', hid, 'Hadith', '{{}}' FROM b WHERE len(members) > 0
+UNION ALL SELECT 'GRADED_BY', hid, 'Hadith', 'grd:' || hid, 'Grading', '{{}}' FROM b WHERE grade IS NOT NULL
+UNION ALL SELECT 'TRANSMITTED_TO', nid, 'Narrator', next, 'Narrator', {_json_sql(position_in_chain="k", hadith_id="hid")} FROM (SELECT *, lead(nid) OVER (PARTITION BY sid ORDER BY k) AS next FROM m) WHERE next IS NOT NULL""")
 def fan_out_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.fan_out(_staged(spark, sf_dir))[1]
 
 
-def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..sources import schemas
+@query(f"{_FAN_SQL} SELECT label, count(*) AS n FROM first GROUP BY 1")
+def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain of four streaming queries over one batch of all conversations, from its message to the graph; nodes of each label."""
+    from ..streaming import stages
+
+    layout = stages.Layout(folder(spark, "stream"))
+    _staged(spark, sf_dir).write.parquet(f"{layout.root}/raw/b1")
+    stages.publish(spark, layout, stages.TOPICS[0], "b1", "sunnah", f"{layout.root}/raw/b1", 1)
+    work = {"dedup": stages.dedup(), "enrich": stages.enrich(), "normalize": stages.normalize(), "ingest": stages.ingest(layout)}
+    for name in stages.STAGES:
+        stages.start(spark, layout, name, work[name]).awaitTermination()
+    return stages.current_graph(spark, layout)[0].groupBy("label").agg(F.count("*").alias("n"))
 
+
+def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select(
         F.concat_ws(":", F.lit("sunnah"), "role", "conv_id", "turn").alias("source_id"), F.lit("sunnah").alias("source_corpus"), F.col("role").alias("collection_name"),
         F.col("conv_id").cast("int").alias("book_number"), F.col("turn").cast("int").alias("hadith_number"), F.col("text").alias("matn_en"), F.col("text").alias("isnad_raw_en"),
@@ -226,15 +254,61 @@ def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.conform(rows, "hadiths")
 
 
+# ---- parsers: files written from the tables, then parsed ----
+
+
+def _csv(rows: DataFrame, path: str) -> str:
+    rows.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    return path
+
+
+_LK_BOOKS = "CASE turn % 3 WHEN 0 THEN 'bukhari' WHEN 1 THEN 'abu_dawud' END"
+
+
+@query(rf"""SELECT 'lk:' || book || ':' || conv_id || ':' || turn AS source_id, book AS collection_name, md5(coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(t, '<[^>]+>', '', 'g'), '&[a-zA-Z]+;|&#[0-9]+;', '', 'g'), '{_ENDS}', '', 'g'), ''), '')) AS matn_digest, role AS grade
+FROM (SELECT *, {_LK_BOOKS} AS book, '<b>' || regexp_replace(text, '[\n\r"\\]', ' ', 'g') || '</b>&nbsp;' AS t FROM conversations) WHERE book IS NOT NULL""")
+def parse_lk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first source's layout of a folder for each book; a third folder is unknown and left out."""
+    root, rows = folder(spark, "lk"), table(spark, sf_dir, "conversations")
+    values = {"Chapter_Number": F.col("conv_id"), "Hadith_number": F.col("turn"), "English_Matn": F.concat(F.lit("<b>"), F.regexp_replace("text", r'[\n\r"\\]', " "), F.lit("</b>&nbsp;")), "English_Grade": F.col("role")}
+    columns = [values.get(c, F.lit(None)).cast("string").alias(c) for c in parsers.LK_COLUMNS]
+    for k, name in enumerate(("bukhari", "abudaud", "other")):
+        _csv(rows.where(F.col("turn") % 3 == k).select(*columns), f"{root}/{name}")
+    hadiths, _, _ = parsers.lk(spark, root)
+    return hadiths.select("source_id", "collection_name", F.md5(F.coalesce("matn_en", F.lit(""))).alias("matn_digest"), "grade")
+
+
+@query("""SELECT 'x:S' || s_suppkey AS bio_id, s_name AS name_ar, lower(s_name) AS name_en, (s_suppkey % 300)::INTEGER AS death_year_ah, CASE WHEN s_suppkey % 2 = 0 THEN 'thiqa' END AS trustworthiness, 'x' AS source FROM supplier""")
+def parse_bios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Biographies under other names of the columns, each twice; the first stays."""
+    k = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), k).alias("Narrator_ID"), F.col("s_name").alias("Narrator"), F.lower("s_name").alias("English_Name"), (k % 300).alias("Death"), F.when(k % 2 == 0, "thiqa").alias("Jarh_Tadil"))
+    twice = rows.unionByName(rows.withColumn("Death", F.lit(7).cast("long"))).coalesce(1)
+    found = parsers.bios(spark, _csv(twice, f"{folder(spark, 'bios')}/b"), "x")
+    return found.select("bio_id", "name_ar", "name_en", "death_year_ah", "trustworthiness", "source")
+
+
+@query("""SELECT source_id, matn_ar, isnad_raw_ar, grade FROM (SELECT 'sanadset:sanadset:' || c_nationkey || ':' || c_custkey || ':' || (row_number() OVER (ORDER BY c_custkey) - 1) AS source_id, c_name AS matn_ar,
+CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment || ' عن ' || c_nationkey END AS isnad_raw_ar, CASE WHEN c_custkey % 5 > 0 THEN 'sahih' END AS grade FROM customer)""")
+def parse_sanadset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tagged texts; every third has only the note that it has no chain."""
+    k = F.col("c_custkey")
+    sanad = F.when(k % 3 == 0, F.lit("No SANAD")).otherwise(F.concat(F.lit("<NAR>"), "c_mktsegment", F.lit("</NAR> عن <NAR>"), "c_nationkey", F.lit("</NAR>")))
+    text_ = F.concat(F.lit("<SANAD>"), sanad, F.lit("</SANAD><MATN>"), "c_name", F.lit("</MATN>"))
+    rows = table(spark, sf_dir, "customer").select(k.alias("hadith_id"), F.col("c_nationkey").alias("book_id"), text_.alias("hadith"), F.when(k % 5 > 0, "sahih").otherwise("nan").alias("grade"))
+    hadiths, _ = parsers.sanadset(spark, _csv(rows.coalesce(1).sortWithinPartitions("hadith_id"), f"{folder(spark, 'sanadset')}/s"))
+    return hadiths.select("source_id", "matn_ar", "isnad_raw_ar", "grade")
+
+
 # ---- matching ----
 
 
-@query("""WITH n AS (SELECT DISTINCT n_name AS name FROM nation), b AS (SELECT n_nationkey AS cand, n_name AS name_ar_normalized, lower(n_name) || ' ' AS name_en FROM nation)
+@query("""WITH n AS (SELECT DISTINCT c_name AS name FROM customer), b AS (SELECT c_custkey AS cand, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS name_ar_normalized, lower(c_name) || ' ' AS name_en FROM customer)
 SELECT name, cand, branch FROM (SELECT name, cand, 0 AS branch FROM n JOIN b ON name = name_ar_normalized UNION ALL SELECT name, cand, 1 FROM n JOIN b ON lower(name) = lower(trim(name_en)))""")
 def exact_match_two_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation")
-    bios = nation.select(F.col("n_nationkey").alias("cand"), F.col("n_name").alias("name_ar_normalized"), F.concat(F.lower("n_name"), F.lit(" ")).alias("name_en"))
-    return matching.exact_matches(nation.select(F.col("n_name").alias("name")).distinct(), bios).select("name", "cand", "branch")
+    people = table(spark, sf_dir, "customer")
+    bios = people.select(F.col("c_custkey").alias("cand"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).alias("name_ar_normalized"), F.concat(F.lower("c_name"), F.lit(" ")).alias("name_en"))
+    return matching.exact_matches(people.select(F.col("c_name").alias("name")).distinct(), bios).select("name", "cand", "branch")
 
 
 @query("""WITH n AS (SELECT DISTINCT p_name AS a FROM part), b AS (SELECT DISTINCT p_name AS b FROM part)
@@ -290,14 +364,16 @@ def temporal_gap_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.where(similarity.plausible_gap(F.col("y"), F.col("before"), 2, 4))
 
 
-@query("""WITH a AS (SELECT c_nationkey AS k, c_custkey AS ord, c_mktsegment AS x FROM customer), r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ord) AS nth FROM a)
-SELECT k, count(*) AS mention_count, arg_min(x, ord) AS first_x, (SELECT string_agg(x, ',' ORDER BY o) FROM (SELECT x, min(ord) AS o FROM r q WHERE q.k = r.k AND nth > 1 GROUP BY x)) AS aliases FROM r GROUP BY k""")
+@query("""WITH a AS (SELECT c_nationkey::VARCHAR AS k, c_custkey AS ord, c_mktsegment AS x, c_name AS bio FROM customer), r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ord) AS nth FROM a)
+SELECT k AS canonical_id, count(*)::INTEGER AS mention_count, arg_min(bio, ord) AS name_ar, coalesce((SELECT string_agg(x, ',' ORDER BY o) FROM (SELECT x, min(ord) AS o FROM r q WHERE q.k = r.k AND nth > 1 GROUP BY x)), '') AS aliases, count(DISTINCT bio)::INTEGER AS n_sources FROM r GROUP BY k""")
 def canonical_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k"), F.col("c_custkey").alias("ord"), F.col("c_mktsegment").alias("x"))
-    ranked = rows.withColumn("nth", F.row_number().over(Window.partitionBy("k").orderBy("ord")))
-    later = F.array_sort(F.collect_list(F.when(F.col("nth") > 1, F.struct("ord", "x"))))
-    found = ranked.groupBy("k").agg(F.count("*").alias("mention_count"), F.min_by("x", "ord").alias("first_x"), F.array_distinct(F.transform(later, lambda s: s["x"])).alias("a"))
-    return found.select("k", "mention_count", "first_x", F.when(F.size("a") > 0, F.array_join("a", ",")).alias("aliases"))
+    none = F.lit(None).cast("string")
+    accepted = table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").cast("string").alias("canonical_id"), F.col("c_custkey").alias("ord"), F.col("c_mktsegment").alias("mention_text"), F.lit("").alias("norm_name"), F.col("c_name").alias("bio_id"), F.col("c_name").alias("name_ar"),
+        *(none.alias(c) for c in ("name_en", "generation", "gender", "trustworthiness", "external_id")), *(none.cast("int").alias(c) for c in ("birth_year_ah", "death_year_ah")),
+    )
+    found = matching.canonical_people(accepted)
+    return found.select("canonical_id", "mention_count", "name_ar", F.array_join("aliases", ",").alias("aliases"), F.size("source_ids").alias("n_sources"))
 
 
 # ---- vectors ----
@@ -373,11 +449,15 @@ def compiler_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- joins ----
 
 
-@query("""SELECT d.doc_id, coalesce(CASE WHEN d.doc_id % 3 = 0 THEN d.lang END, l.q) AS filled FROM documents d LEFT JOIN (SELECT doc_id, max(quality)::VARCHAR AS q FROM labels GROUP BY 1) l ON l.doc_id = d.doc_id""")
+@query("""WITH s AS (SELECT source, doc_id, max(lang) FILTER (doc_id % 2 = 0) AS chapter FROM documents WHERE source IS NOT NULL GROUP BY 1, 2)
+SELECT 'fawaz:' || d.doc_id AS source_id, coalesce(CASE WHEN d.doc_id % 3 = 0 THEN d.lang END, s.chapter) AS chapter_name_en, CASE WHEN s.source IS NULL THEN NULL ELSE (d.doc_id % 7)::INTEGER END AS book_number FROM documents d LEFT JOIN s ON s.source = d.source AND s.doc_id = d.doc_id""")
 def enrich_fill_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.col("lang")).alias("lang"))
-    right = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").cast("string").alias("q"))
-    return docs.join(right, "doc_id", "left").select("doc_id", F.coalesce("lang", "q").alias("filled"))
+    docs, k = table(spark, sf_dir, "documents"), F.col("doc_id")
+    common = [F.col("source").alias("collection_name"), k.cast("int").alias("hadith_number")]
+    editions = schemas.conform(docs.select(F.concat(F.lit("fawaz:"), k).alias("source_id"), *common, F.when(k % 3 == 0, F.col("lang")).alias("chapter_name_en")), "hadiths")
+    one = docs.where("source IS NOT NULL").groupBy("source", "doc_id").agg(F.max(F.when(k % 2 == 0, F.col("lang"))).alias("lang"))
+    scraped = schemas.conform(one.select(F.concat(F.lit("sunnah:"), k).alias("source_id"), *common, (k % 7).cast("int").alias("book_number"), F.col("lang").alias("chapter_name_en")), "hadiths")
+    return parsers.enrich_metadata(editions, scraped).select("source_id", "chapter_name_en", "book_number")
 
 
 @query("""WITH e AS (SELECT conv_id, turn AS number, text FROM conversations WHERE role = 'user'), a AS (SELECT conv_id, turn - 1 AS number, text, turn AS ord FROM conversations WHERE role = 'assistant'),
@@ -493,16 +573,12 @@ def id_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query("""SELECT s_suppkey, 'nar:' || substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab89ab89ab89ab', instr('0123456789abcdef', substr(h, 17, 1)), 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS canonical_id
+FROM (SELECT s_suppkey, sha1(unhex('a1b2c3d4e5f67890abcdef1234567890') || encode(s_name)) AS h FROM supplier)""")
 def uuid5_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", ids.canonical_id(F.col("s_name")).alias("canonical_id"))
 
 
-@query("""SELECT doc_id, list_filter(['sunnah' || CASE WHEN doc_id % 2 = 0 THEN ':x' ELSE '' END], lambda s: false) AS nothing FROM documents WHERE false""")
-def empty_result(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").where("false").select("doc_id", F.array().cast("array<string>").alias("nothing"))
-
-
 @query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'unknown corpus' WHEN 2 THEN 'no collection segment' ELSE 'empty segment,doubled corpus' END AS problems FROM events""")
 def id_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("event_id") % 4

@@ -97,7 +97,7 @@ def reset(spark: SparkSession, root: str, paths: list[str], confirmation: str, a
         raise ValueError(f"confirmation must be one of {', '.join(CONFIRMATIONS)}")
     if scope == "all" and not dry_run and token != TOKEN:
         raise PermissionError("a full reset needs its token")
-    if any(".." in p.split("/") for p in paths):
+    if any(".." in p.split("/") or not p.strip("/. ") for p in paths):
         raise ValueError("paths must stay under the root")
     done = [p for p in paths if dry_run or _delete(spark, f"{root}/{p}")]
     audit.write(spark, "reset", scope, confirmation, dry_run, ",".join(done))

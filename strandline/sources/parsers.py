@@ -10,47 +10,68 @@ from pyspark.sql import functions as F
 from ..functions import casts, ids, text
 from . import readers, schemas
 
-#: English name, compilation year and reference count of the collections of the first source.
+#: English name, compiler, compilation year and reference count of the collections of the first source.
 LK_COLLECTIONS = {
-    "bukhari": ("Sahih al-Bukhari", 256, 7563), "muslim": ("Sahih Muslim", 261, 7563), "abu_dawud": ("Sunan Abu Dawud", 275, 5274),
-    "tirmidhi": ("Jami at-Tirmidhi", 279, 3956), "nasai": ("Sunan an-Nasai", 303, 5758), "ibn_majah": ("Sunan Ibn Majah", 273, 4341),
-}
+    "bukhari": ("Sahih al-Bukhari", "Muhammad ibn Ismail al-Bukhari", 256, 7563),
+    "muslim": ("Sahih Muslim", "Muslim ibn al-Hajjaj", 261, 7563),
+    "abu_dawud": ("Sunan Abu Dawud", "Abu Dawud al-Sijistani", 275, 5274),
+    "tirmidhi": ("Jami' al-Tirmidhi", "Abu Isa al-Tirmidhi", 279, 3956),
+    "nasai": ("Sunan al-Nasa'i", "Ahmad ibn Shu'ayb al-Nasa'i", 303, 5758),
+    "ibn_majah": ("Sunan Ibn Majah", "Ibn Majah al-Qazwini", 273, 4341),
+}
+#: Collections of the first source by the names of its files, and else of its folders.
+LK_FILES = {"albukhari": "bukhari", "almuslim": "muslim", "abudawud": "abu_dawud", "altirmidhi": "tirmidhi", "alnasai": "nasai", "ibnmajah": "ibn_majah"}
+LK_FOLDERS = {"bukhari": "bukhari", "muslim": "muslim", "abudaud": "abu_dawud", "tirmizi": "tirmidhi", "nesai": "nasai", "ibnmaja": "ibn_majah"}
 #: Fixed value: columns of the first source's files.
 LK_COLUMNS = (
     "Chapter_Number Chapter_English Chapter_Arabic Section_Number Section_English Section_Arabic Hadith_number English_Hadith English_Isnad "
     "English_Matn Arabic_Hadith Arabic_Isnad Arabic_Matn Arabic_Comment English_Grade Arabic_Grade"
 ).split()
-#: Header names under which a biography table may call its columns.
+#: Header names under which a biography table may call its columns.
 BIO_HEADERS = {
-    "bio_id": ("id", "narrator_id", "scholar_indx", "index"),
-    "name_en": ("name", "name_en", "english_name", "full_name"),
-    "name_ar": ("name_ar", "arabic_name", "name_arabic"),
-    "gender": ("gender", "sex"),
-    "bio_text": ("bio", "biography", "description", "text"),
-    "birth_year_ah": ("birth_year_ah", "birth_year", "born"),
-    "death_year_ah": ("death_year_ah", "death_year", "died"),
-    "birth_location": ("birth_place", "birth_location"),
-    "death_location": ("death_place", "death_location"),
-    "generation": ("generation", "tabaqa", "grade"),
-    "trustworthiness": ("trustworthiness", "reliability", "rank"),
-    "kunya": ("kunya",),
-    "nisba": ("nisba",),
+    "name_ar": ("name", "narrator_name", "name_ar", "narrator"),
+    "name_en": ("english_name", "name_en", "name_english"),
+    "kunya": ("kunya", "kunyah"),
+    "nisba": ("nisba", "nisbah"),
     "laqab": ("laqab",),
+    "birth_year_ah": ("birth_year", "birth", "birth_year_ah"),
+    "death_year_ah": ("death_year", "death", "death_year_ah"),
+    "birth_location": ("birth_location", "birth_place"),
+    "death_location": ("death_location", "death_place"),
+    "generation": ("generation", "tabaqa", "tabaqat"),
+    "gender": ("gender", "sex"),
+    "trustworthiness": ("trustworthiness", "rank", "grade", "jarh_tadil", "reliability"),
+    "bio_text": ("bio", "biography", "bio_text", "description"),
+    "bio_id": ("id", "narrator_id", "external_id"),
 }
 
 
 def by_synonym(df: DataFrame, synonyms: dict[str, Sequence[str]]) -> dict[str, Column]:
-    """For each field the column whose header is one of its names, whatever the case; null if there is none."""
-    headers = {c.strip().lower(): c for c in df.columns}
-    return {f: next((F.col(f"`{headers[n]}`") for n in (f, *names) if n in headers), F.lit(None).cast("string")) for f, names in synonyms.items()}
+    """For each field the last column whose header is one of its names, whatever the case; null if there is none."""
+    found = {f: [c for c in df.columns if c.strip().lower() in names] for f, names in synonyms.items()}
+    return {f: F.col(f"`{cs[-1]}`") if cs else F.lit(None).cast("string") for f, cs in found.items()}
+
+
+def _mapped(values: dict[str, str], key: Column) -> Column:
+    return F.try_element_at(F.create_map(*(F.lit(x) for pair in values.items() for x in pair)), key)
+
+
+def collections(hadiths: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """One row for each collection of staged hadiths, with the number of them; ``names``: (collection_name, name_en) where a
+    source has names of its own."""
+    counted = hadiths.groupBy("source_corpus", "collection_name", "sect").agg(F.count("*").alias("total_hadiths"))
+    if names is not None:
+        counted = counted.join(names.dropDuplicates(["collection_name"]), "collection_name", "left")
+    name = F.coalesce("name_en", "collection_name") if names is not None else F.col("collection_name")
+    return schemas.conform(counted.withColumn("name_en", name).withColumn("collection_id", ids.source_id(F.col("source_corpus"), F.col("collection_name"))), "collections")
 
 
 def lk(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Hadiths, mentions and collections of ``<book>.csv`` or ``<Book>/Chapter*.csv`` files."""
-    raw = readers.good_rows(readers.csv(spark, f"{folder}/", columns=LK_COLUMNS).withColumn("path", F.col("_metadata.file_path")))
-    parts = F.split("path", "/")
-    file, parent = F.regexp_replace(F.element_at(parts, -1), r"\.csv$", ""), F.element_at(parts, -2)
-    collection = text.collection_slug(F.when(F.lower(file).startswith("chapter"), parent).otherwise(file))
+    """Hadiths, mentions and collections of files whose own or whose folder's name is that of a collection; others are left out."""
+    raw = readers.good_rows(readers.csv(spark, f"{folder}/", columns=LK_COLUMNS, file=True, recursive=True))
+    parts = F.split("file.path", "/")
+    file, parent = F.lower(F.regexp_replace(F.element_at(parts, -1), r"\.[^.]+$", "")), F.lower(F.element_at(parts, -2))
+    collection = F.coalesce(_mapped(LK_FILES, file), _mapped(LK_FOLDERS, parent))
     field = {c: text.strip_html(F.col(c)) for c in LK_COLUMNS}
     rows = raw.select(
         F.lit("lk").alias("source_corpus"), collection.alias("collection_name"),
@@ -59,22 +80,19 @@ def lk(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFram
         field["Arabic_Hadith"].alias("full_text_ar"), field["English_Hadith"].alias("full_text_en"), F.coalesce(field["English_Grade"], field["Arabic_Grade"]).alias("grade"),
         field["Chapter_Arabic"].alias("chapter_name_ar"), field["Chapter_English"].alias("chapter_name_en"), F.lit("sunni").alias("sect"),
     )
-    rows = rows.withColumn("source_id", ids.source_id("lk", F.col("collection_name"), F.col("chapter_number"), F.col("hadith_number")))
-    facts = F.create_map(*(F.lit(x) for k, v in LK_COLLECTIONS.items() for x in (k, f"{v[0]}|{v[1]}|{v[2]}")))
-    known = F.split(F.try_element_at(facts, F.col("collection_name")), r"\|")
-    collections = rows.groupBy("collection_name").count().select(
-        F.concat(F.lit("lk:"), "collection_name").alias("collection_id"), F.coalesce(F.get(known, 0), "collection_name").alias("name_en"),
-        F.get(known, 1).cast("int").alias("compilation_year_ah"), F.lit("sunni").alias("sect"), F.col("count").alias("total_hadiths"), F.lit("lk").alias("source_corpus"),
-    )
+    rows = rows.where("collection_name IS NOT NULL").withColumn("source_id", ids.source_id("lk", F.col("collection_name"), F.col("chapter_number"), F.col("hadith_number")))
+    facts = spark.createDataFrame([(k, *v[:3]) for k, v in LK_COLLECTIONS.items()], "collection_name string, name_en string, compiler_name string, compilation_year_ah int")
+    counted = rows.groupBy("collection_name").agg(F.count("*").alias("total_hadiths")).join(F.broadcast(facts), "collection_name")
+    known = counted.withColumn("collection_id", F.concat(F.lit("lk:"), "collection_name")).withColumn("sect", F.lit("sunni")).withColumn("source_corpus", F.lit("lk"))
     from ..operators import chains
 
     hadiths = schemas.conform(rows, "hadiths")
-    return hadiths, schemas.conform(chains.mentions(hadiths, ("en", "ar")), "narrator_mentions"), schemas.conform(collections, "collections")
+    return hadiths, schemas.conform(chains.mentions(hadiths, ("en", "ar")), "narrator_mentions"), schemas.conform(known, "collections")
 
 
 def sanadset(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Hadiths and mentions of tagged texts; an isnad of only a note that there is none is null."""
-    raw = readers.csv(spark, path).withColumn("file", F.col("_metadata.file_name")).withColumn("mid", F.monotonically_increasing_id())
+    raw = readers.csv(spark, path, file=True).withColumn("mid", F.monotonically_increasing_id())
     numbered = raw.withColumn("row", F.row_number().over(Window.partitionBy("file").orderBy("mid")) - 1)
     sanad = text.tag_body(F.col("hadith"), "SANAD")
     chain = F.when(~F.lower(sanad).isin("no sanad", ""), sanad)
@@ -147,9 +165,13 @@ def fawaz(spark: SparkSession, folder: str) -> DataFrame:
     """English and Arabic editions of a collection, merged by number."""
     files = readers.json_array(spark, f"{folder}/*-*.json", _EDITION)
     edition = F.regexp_replace("file_name", r"\.json$", "")
-    rows = files.select(F.split(edition, "-")[0].alias("lang"), text.edition_collection(edition).alias("collection_name"), text.detect_sect(edition).alias("sect"), F.posexplode("hadiths").alias("ord", "h"))
+    rows = files.select(F.split(edition, "-")[0].alias("lang"), text.edition_collection(edition).alias("collection_name"), text.detect_sect(F.concat_ws(" ", F.coalesce("metadata.name", F.lit("")), edition)).alias("sect"), F.posexplode("hadiths").alias("ord", "h"))
     rows = rows.select("lang", "collection_name", "sect", "ord", casts.safe_int(F.col("h.hadithnumber")).alias("hadith_number"), F.col("h.text").alias("text"), F.when(F.size("h.grades") > 0, F.to_json("h.grades")).alias("grades"))
-    merged = merge_editions(rows.where("lang = 'eng'"), rows.where("lang = 'ara'"), ["collection_name", "sect", "hadith_number"], "ord")
+    english = rows.where("lang = 'eng'")
+    # the sect is that of the English edition, where there is one
+    sects = english.groupBy("collection_name").agg(F.min("sect").alias("own"))
+    arabic = rows.where("lang = 'ara'").join(sects, "collection_name", "left").withColumn("sect", F.coalesce("own", "sect")).drop("own")
+    merged = merge_editions(english, arabic, ["collection_name", "sect", "hadith_number"], "ord")
     out = merged.select(
         F.lit("fawaz").alias("source_corpus"), "collection_name", "hadith_number", "sect", F.col("grades").alias("grade"),
         F.col("text_ar").alias("matn_ar"), F.col("text_en").alias("matn_en"), F.col("text_ar").alias("full_text_ar"), F.col("text_en").alias("full_text_en"),
@@ -161,6 +183,12 @@ def fawaz(spark: SparkSession, folder: str) -> DataFrame:
 _API_ITEM = "hadithNumber string, bookNumber string, chapterNumber string, hadith array<struct<lang:string,body:string>>, body string, grades array<struct<grade:string>>, chapterTitle string"
 
 
+def fawaz_names(spark: SparkSession, folder: str) -> DataFrame:
+    """(collection_name, name_en) as English editions name themselves."""
+    files = readers.json_array(spark, f"{folder}/eng-*.json", _EDITION)
+    return files.select(text.edition_collection(F.regexp_replace("file_name", r"\.json$", "")).alias("collection_name"), F.col("metadata.name").alias("name_en"))
+
+
 def sunnah_api(spark: SparkSession, folder: str) -> DataFrame:
     """Cached pages of an API: bodies by language, grades as one value or a list."""
     items = readers.json_array(spark, f"{folder}/*_hadiths.json", _API_ITEM)
@@ -178,8 +206,8 @@ _SCRAPED_ITEM = "hadith_number string, book_number string, chapter_number string
 
 
 def sunnah_scraped(spark: SparkSession, folder: str) -> DataFrame:
-    """Scraped lists; grades split at semicolons."""
-    items = readers.json_array(spark, f"{folder}/*.json", _SCRAPED_ITEM)
+    """Scraped lists, without the manifest; grades split at semicolons."""
+    items = readers.json_array(spark, f"{folder}/*.json", _SCRAPED_ITEM).where("file_name <> 'manifest.json' AND file_name NOT LIKE '.%'")
     grades = F.transform(F.split("grade", ";"), text.strip)
     rows = items.select(
         F.lit("sunnah").alias("source_corpus"), F.regexp_replace("file_name", r"\.json$", "").alias("collection_name"),
@@ -192,10 +220,10 @@ def sunnah_scraped(spark: SparkSession, folder: str) -> DataFrame:
 
 def open_hadith(spark: SparkSession, path: str) -> DataFrame:
     """Files without headers: number and text; a missing number is the row's place."""
-    raw = readers.csv(spark, path, header=False).withColumn("file", F.col("_metadata.file_name")).withColumn("mid", F.monotonically_increasing_id())
+    raw = readers.csv(spark, path, header=False, file=True).withColumn("mid", F.monotonically_increasing_id())
     row = F.row_number().over(Window.partitionBy("file").orderBy("mid"))
     rows = raw.select(
-        F.lit("open_hadith").alias("source_corpus"), text.file_collection(F.col("file")).alias("collection_name"), F.coalesce(casts.safe_int(F.col("_c0")), row).alias("hadith_number"),
+        F.lit("open_hadith").alias("source_corpus"), text.file_collection(F.col("file.name")).alias("collection_name"), F.coalesce(casts.safe_int(F.col("_c0")), row).alias("hadith_number"),
         casts.safe_str(F.col("_c1")).alias("full_text_ar"), F.lit("sunni").alias("sect"),
     )
     rows = rows.withColumn("matn_ar", F.col("full_text_ar")).withColumn("source_id", ids.source_id("open_hadith", F.col("collection_name"), F.col("hadith_number")))

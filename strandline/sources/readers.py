@@ -30,31 +30,49 @@ def row_count(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).count()
 
 
-def _decodes(content: Column, encoding: str) -> Column:
-    """Whether bytes survive a round trip through an encoding."""
-    return F.encode(F.decode(content, encoding), encoding) == content
+def not_utf8(spark: SparkSession, path: str, recursive: bool = False) -> list[str]:
+    """Files with a line that isn't valid UTF-8: files are read line by line, in splits, and only their names come back."""
+    lines = spark.read.option("recursiveFileLookup", str(recursive).lower()).text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    return sorted(r["file"] for r in lines.where(~F.is_valid_utf8("value")).select("file").distinct().collect())
 
 
 def csv_encoding(spark: SparkSession, path: str) -> str:
     """UTF-8 if every file is valid in it (with or without a mark), else Latin-1."""
-    valid = F.is_valid_utf8(F.col("content").cast("string"))
-    bad = spark.read.format("binaryFile").load(path).where(~valid)
-    return "ISO-8859-1" if not bad.isEmpty() else "UTF-8"
-
-
-def csv(spark: SparkSession, path: str, header: bool = True, bad_rows: str = "PERMISSIVE", columns: Sequence[str] | None = None) -> DataFrame:
-    """CSV as strings. With ``columns``, rows of another width go to ``_corrupt_record`` (PERMISSIVE) or away (DROPMALFORMED)."""
-    reader = spark.read.option("encoding", csv_encoding(spark, path)).option("multiLine", "true").option("escape", '"').option("mode", bad_rows)
-    if columns:
-        fields = ", ".join(f"`{c}` string" for c in columns)
-        corrupt = ", _corrupt_record string" if bad_rows == "PERMISSIVE" else ""
-        reader = reader.schema(fields + corrupt).option("columnNameOfCorruptRecord", "_corrupt_record")
-    df = reader.option("header", str(header).lower()).csv(path)
-    return df.toDF(*(c.lstrip("﻿") for c in df.columns))
+    return "ISO-8859-1" if not_utf8(spark, path) else "UTF-8"
+
+
+def csv(
+    spark: SparkSession, path: str, header: bool = True, bad_rows: str = "PERMISSIVE", columns: Sequence[str] | None = None, file: bool = False, recursive: bool = False
+) -> DataFrame:
+    """CSV as strings, each file as UTF-8 if it is valid in it, else as Latin-1. With ``columns``, rows of another width go to
+    ``_corrupt_record`` (PERMISSIVE) or away (DROPMALFORMED). ``file``: with the path and name of each row's file as the struct ``file``."""
+
+    def read(encoding: str) -> DataFrame:
+        reader = spark.read.option("encoding", encoding).option("multiLine", "true").option("escape", '"').option("mode", bad_rows).option("recursiveFileLookup", str(recursive).lower())
+        if columns:
+            fields = ", ".join(f"`{c}` string" for c in columns)
+            corrupt = ", _corrupt_record string" if bad_rows == "PERMISSIVE" else ""
+            reader = reader.schema(fields + corrupt).option("columnNameOfCorruptRecord", "_corrupt_record")
+        return reader.option("header", str(header).lower()).csv(path)
+
+    latin = not_utf8(spark, path, recursive)
+    place = F.col("_metadata.file_path")
+    own = [F.struct(place.alias("path"), F.col("_metadata.file_name").alias("name")).alias("file")] if file else []
+    df = read("UTF-8")
+    names = [c.lstrip("\ufeff") for c in df.columns] + (["file"] if file else [])
+    if not latin:
+        return df.select("*", *own).toDF(*names)
+    both = df.where(~place.isin(latin)).select("*", *own).toDF(*names)
+    other = read("ISO-8859-1")
+    return both.unionByName(other.where(place.isin(latin)).select("*", *own).toDF(*[c.lstrip("\ufeff") for c in other.columns], *(["file"] if file else [])), allowMissingColumns=True)
 
 
 def good_rows(df: DataFrame) -> DataFrame:
-    return df.where("_corrupt_record IS NULL").drop("_corrupt_record") if "_corrupt_record" in df.columns else df
+    """Rows of the right width. The test also reads a first column, as CSV can't be asked for corrupt records alone."""
+    if "_corrupt_record" not in df.columns:
+        return df
+    first = F.length(F.coalesce(F.col(f"`{df.columns[0]}`"), F.lit(""))) >= 0
+    return df.where(F.col("_corrupt_record").isNull() & first).drop("_corrupt_record")
 
 
 def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -100,30 +118,45 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     return files.select(name.alias("name"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"), F.md5("content").alias("md5"), F.sha2("content", 256).alias("sha256"))
 
 
-class _Page(InputPartition):
-    def __init__(self, url: str) -> None:
-        self.url = url
+class _Pages(InputPartition):
+    """Pages ``first``, ``first + step``, ... of an API."""
+
+    def __init__(self, first: int, step: int) -> None:
+        self.first, self.step = first, step
 
 
 class _PagesReader(DataSourceReader):
+    """Pages are asked for until one is empty, the total is reached or ``max_pages`` are read, by as many readers as ``readers``, which take turns."""
+
     def __init__(self, options: dict[str, str]) -> None:
         self.options = options
 
     def partitions(self) -> Sequence[InputPartition]:
-        first, last = int(self.options.get("first", 1)), int(self.options["pages"])
-        limit = self.options.get("limit", "100")
-        return [_Page(f"{self.options['url']}?page={k}&limit={limit}") for k in range(first, last + 1)]
+        first, readers = int(self.options.get("first", 1)), int(self.options.get("readers", 1))
+        return [_Pages(first + k, readers) for k in range(readers)]
+
+    def _fetch(self, url: str) -> Any:
+        with urllib.request.urlopen(url, timeout=60) as answer:  # type: ignore[attr-defined]
+            return json.load(answer)
 
     def read(self, partition: InputPartition) -> Iterator[tuple[str, str]]:
-        key = self.options.get("key", "data")
-        with urllib.request.urlopen(partition.url, timeout=60) as answer:  # type: ignore[attr-defined]
-            found = json.load(answer)
-        for item in found[key] if isinstance(found, dict) else found:
-            yield partition.url, json.dumps(item, ensure_ascii=False)
+        o = self.options
+        key, limit, first = o.get("key", "data"), int(o.get("limit", "50")), int(o.get("first", 1))
+        last = first + int(o.get("pages", o.get("max_pages", "1000"))) - 1
+        for page in range(partition.first, last + 1, partition.step):
+            url = f"{o['url']}{'&' if '?' in o['url'] else '?'}{o.get('page_param', 'page')}={page}&{o.get('limit_param', 'limit')}={limit}"
+            found = self._fetch(url)
+            items, total = (found.get(key, []), found.get(o.get("total_key", "total"))) if isinstance(found, dict) else (found, None)
+            if not items:
+                return
+            for item in items:
+                yield url, json.dumps(item, ensure_ascii=False)
+            if total is not None and (page - first) * limit + len(items) >= int(total):
+                return
 
 
 class PaginatedJson(DataSource):
-    """``spark.read.format("paginated_json")``: one partition for each page of a JSON API; rows (page_url, item)."""
+    """``spark.read.format("paginated_json")``: pages of a JSON API until there are no more; rows (page_url, item)."""
 
     @classmethod
     def name(cls) -> str:

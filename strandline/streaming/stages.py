@@ -7,6 +7,7 @@ checkpoint row: a crash in between leads to the same files once more. What fails
 
 from __future__ import annotations
 
+import json
 import traceback
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -84,7 +85,7 @@ def handle(layout: Layout, stage: str, work: Work, next_topic: str | None, batch
             mark.coalesce(1).write.mode("append").parquet(layout.checkpoints)
             counts["handled"] += 1
         except Exception as error:  # a batch that fails must not stop the stream
-            letter = (stage, datetime.now(timezone.utc), type(error).__name__, str(error)[:2000], traceback.format_exc()[-8000:], None)
+            letter = (stage, datetime.now(timezone.utc), type(error).__name__, str(error)[:2000], traceback.format_exc()[-8000:], json.dumps(m.asDict(), default=str))
             spark.createDataFrame([letter], LETTER).coalesce(1).write.mode("append").parquet(layout.topic(DEAD_LETTERS))
             counts["failed"] += 1
     return counts
@@ -140,7 +141,9 @@ def normalize() -> Work:
     """Nodes and edges of complete rows, one folder each."""
 
     def work(rows: DataFrame, target: str, source: str) -> DataFrame:
-        nodes, links = graph.fan_out(schemas.drop_incomplete(schemas.conform(rows, "hadiths"), "hadiths"))
+        complete = schemas.drop_incomplete(schemas.conform(rows, "hadiths"), "hadiths").withColumn("row", F.monotonically_increasing_id())
+        complete.write.mode("overwrite").parquet(f"{target}-rows")  # the order of the rows, given once
+        nodes, links = graph.fan_out(rows.sparkSession.read.parquet(f"{target}-rows"), order="row")
         part = nodes.select(F.lit("node").alias("kind"), "label", "id", F.lit(None).cast("string").alias("src_id"), F.lit(None).cast("string").alias("src_label"), F.lit(None).cast("string").alias("dst_id"), F.lit(None).cast("string").alias("dst_label"), "props")
         part = part.unionByName(links.select(F.lit("edge").alias("kind"), "label", F.lit(None).cast("string").alias("id"), "src_id", "src_label", "dst_id", "dst_label", "props"))
         part.write.mode("overwrite").partitionBy("kind", "label").parquet(target)
@@ -149,10 +152,10 @@ def normalize() -> Work:
     return work
 
 
-def ingest(layout: Layout, labels_as_in_batch: bool = False) -> Work:
+def ingest(layout: Layout) -> Work:
     """Merges a batch into the graph: nodes first, then edges, all of which need their nodes; each merge is a new version."""
     root = f"{layout.root}/graph"
-    node_schema, edge_schema = "label string, id string, props string, ord long", "label string, src_id string, src_label string, dst_id string, dst_label string, props string, ord long"
+    node_schema, edge_schema = "label string, id string, props string, ord struct<version: bigint, place: bigint>", "label string, src_id string, src_label string, dst_id string, dst_label string, props string, ord struct<version: bigint, place: bigint>"
 
     def version(spark: SparkSession) -> int:
         return read_or_empty(spark, f"{root}/versions", "version long").agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
@@ -160,22 +163,30 @@ def ingest(layout: Layout, labels_as_in_batch: bool = False) -> Work:
     def work(rows: DataFrame, target: str, source: str) -> DataFrame:
         spark = rows.sparkSession
         now = version(spark)
-        new_nodes = graph.shape_props(rows.where("kind = 'node'").select("label", "id", "props"), schemas.NODE_PROPS).withColumn("ord", F.lit(now + 1).cast("long"))
-        new_edges = graph.shape_props(rows.where("kind = 'edge'").select("label", "src_id", "src_label", "dst_id", "dst_label", "props"), schemas.EDGE_PROPS).withColumn("ord", F.lit(now + 1).cast("long"))
+        # later batches come after earlier ones, and rows of a batch in their order
+        rows.withColumn("place", F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{root}/batch")
+        rows = spark.read.parquet(f"{root}/batch")
+        order = F.struct(F.lit(now + 1).cast("long").alias("version"), "place")
+        new_nodes = graph.shape_props(rows.where("kind = 'node'").select("label", "id", "props", "place"), schemas.NODE_PROPS).withColumn("ord", order).drop("place")
+        new_edges = graph.shape_props(rows.where("kind = 'edge'").select("label", "src_id", "src_label", "dst_id", "dst_label", "props", "place"), schemas.EDGE_PROPS).withColumn("ord", order).drop("place")
         old_nodes, old_edges = read_or_empty(spark, f"{root}/v{now}/nodes", node_schema), read_or_empty(spark, f"{root}/v{now}/edges", edge_schema)
         merged = merge_props(old_nodes, new_nodes, ("label", "id"))
         good = graph.require_endpoints(new_edges, merged)
-        keys = ("label", "src_id", "src_label", "dst_id", "dst_label") + (("props",) if labels_as_in_batch else ())
+        keys = ("label", "src_id", "src_label", "dst_id", "dst_label")
         merged.write.mode("overwrite").parquet(f"{root}/v{now + 1}/nodes")
-        graph.merge_overwrite(old_edges, good, keys, "ord").write.mode("overwrite").parquet(f"{root}/v{now + 1}/edges")
+        merge_props(old_edges, good, keys).write.mode("overwrite").parquet(f"{root}/v{now + 1}/edges")
         spark.createDataFrame([(now + 1,)], "version long").coalesce(1).write.mode("append").parquet(f"{root}/versions")
-        return rows
+        for part in ("nodes", "edges"):  # the version before this one stays for readers
+            old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/v{now - 1}/{part}")
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+        return rows.drop("place")
 
     return work
 
 
 def merge_props(old: DataFrame, new: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Nodes whose property objects are merged name by name; a null or missing property never clears one."""
+    """Nodes or edges whose property objects are merged name by name, the last value first; a null or missing property never
+    clears one."""
     long = old.unionByName(new).select(*keys, "ord", F.explode_outer(F.from_json("props", "map<string,string>")).alias("name", "value"))
     latest = long.groupBy(*keys, "name").agg(F.max_by("value", F.when(F.col("value").isNotNull(), F.col("ord"))).alias("value"), F.max("ord").alias("ord"))
     entries = F.collect_list(F.when(F.col("value").isNotNull(), F.struct("name", "value")))

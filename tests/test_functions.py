@@ -91,3 +91,18 @@ def test_similarity(spark):
 def test_whitespace_is_unicode(spark):
     assert re.sub(r"\s+", " ", "a \x1cb") == "a b"
     assert one(spark, [("a \x1cb",)], "t string", text.clean_whitespace(F.col("t"))) == [("a b",)]
+
+
+def test_batched_ratio_equals_the_fold(spark):
+    import random
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcé ", k=rng.randint(0, 12))) for _ in range(60)]
+    pairs = spark.createDataFrame([(a, b) for a in words[:20] for b in words[20:]], "a string, b string")
+    both = pairs.select(similarity.indel_ratio(F.col("a"), F.col("b")).alias("x"), similarity.indel_ratio_batched(F.col("a"), F.col("b")).alias("y"))
+    assert both.where("abs(x - y) > 1e-9").isEmpty()
+
+
+def test_many_matches_in_one_text(spark):
+    spans = spark.createDataFrame([("ab " * 3000,)], "t string").select(F.explode(text.match_spans(F.col("t"), "ab")).alias("m")).select("m.*").collect()
+    assert [(r["start"], r["end"]) for r in spans] == [(3 * k, 3 * k + 2) for k in range(3000)]

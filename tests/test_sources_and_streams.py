@@ -58,13 +58,65 @@ def test_network_and_biographies(spark, tmp_path):
     chains_ = spark.createDataFrame([("h1", "N1,N2"), ("h2", "N2, N3"), ("h3", "N1,N1,N2,N3")], "id string, narrator_ids string")
     found = parsers.muhaddithat_edges(names, chains_)
     assert found.count() == 4 and {r["to_narrator_name"] for r in found.collect()} == {"B", "N3"}
-    bios = parsers.bios(spark, write(tmp_path, "n.csv", "ID,Name,Death_Year\nN1,Aisha,58\nN1,Again,1\nN2,,x\n"), "muhaddithat").orderBy("bio_id").collect()
-    assert [(r["bio_id"], r["name_en"], r["death_year_ah"]) for r in bios] == [("muhaddithat:N1", "Aisha", 58), ("muhaddithat:N2", None, None)]
+    bios = parsers.bios(spark, write(tmp_path, "n.csv", "ID,Name,Death,Grade,Kunyah\nN1,Aisha,58,thiqa,Umm\nN1,Again,1,,\nN2,,x,,\n"), "muhaddithat").orderBy("bio_id").collect()
+    assert [(r["bio_id"], r["name_ar"], r["death_year_ah"], r["trustworthiness"], r["kunya"]) for r in bios] == [("muhaddithat:N1", "Aisha", 58, "thiqa", "Umm"), ("muhaddithat:N2", None, None, None, None)]
+
+
+def test_collections_of_files_and_folders(spark, tmp_path):
+    head = ",".join(parsers.LK_COLUMNS)
+    row = "1,c,,,,,{n},,,text,,,,,sahih,"
+    for n, name in enumerate(("albukhari.csv", "nesai/Chapter1.csv", "Nesai/Chapter2.csv", "ibnmaja/Chapter9.csv", "unknown/x.csv")):
+        write(tmp_path, name, f"{head}\n{row.format(n=n)}\n")
+    hadiths, _, collections = parsers.lk(spark, str(tmp_path))
+    assert sorted(r["source_id"] for r in hadiths.collect()) == ["lk:bukhari:1:0", "lk:ibn_majah:1:3", "lk:nasai:1:1", "lk:nasai:1:2"]
+    found = {r["collection_id"]: (r["name_en"], r["compiler_name"], r["compilation_year_ah"], r["total_hadiths"]) for r in collections.collect()}
+    assert found.pop("lk:bukhari") == ("Sahih al-Bukhari", "Muhammad ibn Ismail al-Bukhari", 256, 1)
+    assert found == {"lk:nasai": ("Sunan al-Nasa'i", "Ahmad ibn Shu'ayb al-Nasa'i", 303, 2), "lk:ibn_majah": ("Sunan Ibn Majah", "Ibn Majah al-Qazwini", 273, 1)}
+
+
+def test_names_of_files_and_editions(spark, tmp_path):
+    for name in ("Musnad_Ahmad-tashkeel.csv", "Sunan-with-diacritics.csv", "tashkeel.csv"):
+        write(tmp_path / "open", name, "1,نص\n,ثان\n")
+    found = parsers.open_hadith(spark, str(tmp_path / "open"))
+    assert {(r["collection_name"], r["hadith_number"]) for r in found.collect()} == {(c, n) for c in ("Musnad_Ahmad", "Sunan", "tashkeel") for n in (1, 2)}
+    write(tmp_path / "ed", "eng-first.json", json.dumps({"metadata": {"name": "Al-Kafi Vol 1"}, "hadiths": [{"hadithnumber": 1, "text": "t", "grades": []}]}))
+    editions = parsers.fawaz(spark, str(tmp_path / "ed"))
+    assert [(r["collection_name"], r["sect"]) for r in editions.collect()] == [("first", "shia")]
+    named = parsers.collections(editions, parsers.fawaz_names(spark, str(tmp_path / "ed"))).first()
+    assert (named["collection_id"], named["name_en"], named["total_hadiths"], named["sect"]) == ("fawaz:first", "Al-Kafi Vol 1", 1, "shia")
+    write(tmp_path / "sc", "musnad.json", json.dumps([{"hadith_number": "3"}]))
+    write(tmp_path / "sc", "manifest.json", json.dumps([{"hadith_number": "9"}]))
+    scraped = parsers.sunnah_scraped(spark, str(tmp_path / "sc"))
+    assert [(r["collection_name"], r["hadith_number"]) for r in scraped.collect()] == [("musnad", 3)]
+    assert parsers.collections(scraped).first()["collection_id"] == "sunnah:musnad"
+
+
+def test_pages_end_when_empty_or_at_the_total():
+    pages = {1: {"data": [1, 2], "total": 3}, 2: {"data": [3], "total": 3}, 3: {"data": [4], "total": 3}}
+    asked = []
+
+    class Pages(readers._PagesReader):
+        def _fetch(self, url):
+            asked.append(url)
+            return self.answers(int(url.split("page=")[1].split("&")[0]))
+
+    reader = Pages({"url": "http://x/y", "limit": "2"})
+    reader.answers = lambda k: pages[k]
+    assert [i for _, i in reader.read(reader.partitions()[0])] == ["1", "2", "3"] and len(asked) == 2
+    reader.answers = lambda k: {"data": [k] * 2 if k < 4 else []}
+    assert len(list(reader.read(reader.partitions()[0]))) == 6
+    turns = Pages({"url": "http://x/y?a=1", "readers": "2", "limit": "2"})
+    turns.answers = lambda k: [k] if k < 6 else []
+    assert sorted(i for part in turns.partitions() for _, i in turns.read(part)) == list("12345")
 
 
 def test_encodings_and_bad_rows(spark, tmp_path):
     latin = write(tmp_path, "l.csv", "a,b\né,1\n", "latin-1")
     assert readers.csv_encoding(spark, latin) == "ISO-8859-1" and readers.csv(spark, latin).first()["a"] == "é"
+    mixed = tmp_path / "mixed"
+    write(mixed, "u.csv", "a,b\né,1\n")
+    write(mixed, "l.csv", "a,b\nü,2\n", "latin-1")
+    assert {(r["a"], r["b"], r["file"]["name"]) for r in readers.csv(spark, str(mixed), file=True).collect()} == {("é", "1", "u.csv"), ("ü", "2", "l.csv")}
     bad = write(tmp_path, "b.csv", "a,b\n1,2\n1,2,3\n")
     assert readers.good_rows(readers.csv(spark, bad, columns=["a", "b"]).cache()).count() == 1
 
@@ -105,12 +157,29 @@ def test_stages_replay_and_dead_letters(spark, tmp_path):
     assert edges.count() == 4
     letters = spark.read.parquet(layout.topic(stages.DEAD_LETTERS))
     assert {r["error_class"] for r in letters.collect()} == {"ValidationError", "AnalysisException"}
+    failed = json.loads(letters.where("error_class = 'AnalysisException'").first()["raw_payload"])
+    assert failed["batch_id"] == "b2" and failed["b2_path"].endswith("raw/missing") and failed["record_count"] == 1
     stages.publish(spark, layout, stages.TOPICS[0], "b1", "sunnah", f"{tmp_path}/raw/b1", 2)
     before = spark.read.parquet(layout.checkpoints).count()
     run(spark, layout, "dedup", work["dedup"])
     assert spark.read.parquet(layout.checkpoints).count() == before
 
 
+def test_ingest_keeps_the_last_value_that_is_not_null(spark, tmp_path):
+    layout = stages.Layout(str(tmp_path))
+    work = stages.ingest(layout)
+    rows = "kind string, label string, id string, src_id string, src_label string, dst_id string, dst_label string, props string"
+    node = lambda i, label, p: ("node", label, i, None, None, None, None, json.dumps(p))
+    edge = lambda p: ("edge", "APPEARS_IN", None, "h", "Hadith", "c", "Collection", json.dumps(p))
+    first = [node("h", "Hadith", {"grade": "a", "sect": "x"}), node("h", "Hadith", {"grade": "b"}), node("c", "Collection", {}), edge({"book_number": 1, "chapter_number": 5}), edge({"book_number": 2})]
+    second = [node("h", "Hadith", {"grade": None, "sect": "y"}), edge({"chapter_number": None, "hadith_number_in_book": 9})]
+    for batch in (first, second):
+        work(spark.createDataFrame(batch, rows).coalesce(1), "t", "s")
+    nodes, edges = stages.current_graph(spark, layout)
+    assert json.loads(nodes.where("id = 'h'").first()["props"]) == {"grade": "b", "sect": "y"}
+    assert {k: str(v) for k, v in json.loads(edges.first()["props"]).items()} == {"book_number": "2", "chapter_number": "5", "hadith_number_in_book": "9"} and edges.count() == 1
+
+
 def test_messages(spark):
     good = {"batch_id": "b", "source": "s", "b2_path": "p", "timestamp": "2024-01-01T00:00:00Z", "record_count": 0}
     raw = [json.dumps(good), json.dumps(good | {"extra": 1}), json.dumps(good | {"record_count": -1}), "nonsense", json.dumps({k: v for k, v in good.items() if k != "source"})]
@@ -124,6 +193,9 @@ def test_plans(spark, tmp_path):
     audit = pipeline.Audit(str(tmp_path / "audit"))
     (tmp_path / "raw").mkdir()
     assert pipeline.reset(spark, str(tmp_path), ["raw"], "yes-flag", audit, "stage", dry_run=True) == ["raw"] and (tmp_path / "raw").exists()
+    for path in ("", ".", "/", "a/.."):
+        with pytest.raises(ValueError):
+            pipeline.reset(spark, str(tmp_path), [path], "yes-flag", audit, "stage")
     with pytest.raises(PermissionError):
         pipeline.reset(spark, str(tmp_path), ["raw"], "api", audit, "all")
     assert pipeline.reset(spark, str(tmp_path), ["raw"], "api", audit, "all", token=pipeline.TOKEN) == ["raw"] and not (tmp_path / "raw").exists()
