@@ -138,7 +138,22 @@ _MIXING_SQL = r"""
         FROM h JOIN t ON h.source IS NOT DISTINCT FROM t.source)
     SELECT doc_id, size, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE given // source_size * size + greatest(0, least(size, given - given // source_size * source_size - before)) END::BIGINT AS taken FROM p"""
 
+#: All pairs that share a shingle, their similarity on full sets, and what each document reaches over links.
+_NEAR_SQL = r"""
+    WITH RECURSIVE w AS (SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS words FROM documents),
+    u AS (SELECT doc_id, unnest(words) AS a, unnest(range(1, len(words) + 1)) AS i, len(words) AS n FROM w),
+    h AS (SELECT doc_id, i, n, a, lead(a) OVER o AS b, lead(a, 2) OVER o AS c, lead(a, 3) OVER o AS d FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    s AS MATERIALIZED (SELECT DISTINCT doc_id, concat_ws(' ', a, b, c, d) AS shingle FROM h WHERE i <= greatest(n - 3, 1)),
+    n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY 1, 2),
+    l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+    e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r(id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.other),
+    c AS (SELECT id, min(other) AS component_id FROM r GROUP BY 1)
+    SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM documents JOIN c ON c.id = doc_id LEFT JOIN n USING (doc_id)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_near_dedup": _NEAR_SQL,
     "op9_source_mixing": _MIXING_SQL,
     "op7_quality_rules": _QUALITY_SQL,
     "op6_exact_dedup": r"""

@@ -35,6 +35,52 @@ def test_language_id(spark, odd):
     assert language_id.identify(odd).count() == len(ODD) and language_id.identify(odd.limit(0)).count() == 0
 
 
+def test_language_mixtures_equal_brute_force(spark):
+    """Trigrams as strings, expectation-maximisation to the end, and every set of languages: the set of the best penalised likelihood."""
+    import itertools
+    import math
+    import zlib
+
+    rng = random.Random(12)
+    langs = {lang: ["".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(60)] for lang, letters in (("aa", "abcdef"), ("bb", "defghi"), ("cc", "ghijka"))}
+    text = lambda lang, n: " ".join(rng.choices(langs[lang], k=n))
+    rows = [(i, text(lang, 40), lang) for i, lang in enumerate(list(langs) * 30)]
+    rows += [(1000 + i, text(a, 30) + " " + text(b, 20), None) for i, (a, b) in enumerate(list(itertools.permutations(langs, 2)) * 2)] + [(2000, " ".join(text(x, 25) for x in langs), None)]
+    grams = lambda word: [f"  {word} "[k : k + 3] if k else f" {word} "[0:2] for k in range(len(word) + 1)]
+    counts = {lang: collections.Counter() for lang in langs}
+    for i, t, lang in rows:
+        if lang and zlib.crc32(str(i).encode()) % 5:
+            for word in t.split():
+                counts[lang].update(grams(word))
+    buckets = 1 << 16
+    smooth = 0.5 * (len(set().union(*counts.values())) + 1) / buckets
+    total = {lang: sum(c.values()) + smooth * buckets for lang, c in counts.items()}
+    score = lambda lang, word: sum(math.log((counts[lang][g] + smooth) / total[lang]) for g in grams(word))
+    found = {r["doc_id"]: r for r in language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    for i, t, _ in rows[::9] + rows[90:]:
+        words = t.split()
+        table = np.array([[score(lang, word) for lang in langs] for word in words])
+        best = None
+        for n in (1, 2, 3):
+            for chosen in itertools.combinations(range(3), n):
+                part, share = table[:, chosen], np.full(n, 1 / n)
+                for _ in range(200):
+                    joint = np.exp(part - part.max(axis=1, keepdims=True)) * share
+                    share = (joint / joint.sum(axis=1, keepdims=True)).mean(axis=0)
+                value = (np.log((np.exp(part - part.max(axis=1, keepdims=True)) * share).sum(axis=1)) + part.max(axis=1)).sum() - (n - 1) * 3.0 * math.log(len(words) + 1)
+                if best is None or value > best[0]:
+                    best = (value, dict(zip([list(langs)[k] for k in chosen], share, strict=True)))
+        want = best[1]
+        assert set(found[i]["proportions"]) == set(want) and found[i]["lang_pred"] == max(want, key=want.get)
+        assert all(abs(found[i]["proportions"][k] - p) < 0.05 for k, p in want.items())
+
+
+def test_language_accuracy_on_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = language_id.identify(docs).where("held_out").join(docs.select("doc_id", "lang", "text"), "doc_id").where("lang IS NOT NULL AND text rlike '[a-z]{3}'")
+    assert found.where("lang_pred = lang").count() >= 0.99 * found.count() > 100
+
+
 def test_trigrams_do_not_depend_on_stretches():
     model = np.random.default_rng(0).standard_normal((1 << 10, 3)).astype(np.float32)
     text = "Ein Haus am See " * 80_000
