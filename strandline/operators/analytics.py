@@ -72,18 +72,37 @@ def betweenness(nodes: DataFrame, links: DataFrame, most_edges: int = 5_000_000)
     return nodes.select("id").distinct().join(parts, "id", "left").select("id", F.coalesce("part", F.lit(0.0)).alias("betweenness"))
 
 
-def communities(nodes: DataFrame, links: DataFrame, rounds: int | None = None, keep: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
-    """(id, community_id) by moves of greatest modularity gain, as Louvain's first phase makes them, until no node gains by a
-    move (or for ``rounds``). At first, the half of the nodes that a hash of node and round picks move at once, as long as that
-    raises modularity. Then the moves are made that gain most for both the community they leave and the one they enter: no two
-    of these share a community, so their gains add up, modularity only rises, and the rounds end.
-    """
+def communities(nodes: DataFrame, links: DataFrame, rounds: int | None = None, keep: Callable[[DataFrame, int], DataFrame] | None = None, levels: int | None = None) -> DataFrame:
+    """(id, community_id) by Louvain: nodes move until none gains, then communities become the nodes of a smaller graph, and so
+    on until no two of them join (or for ``levels``). A community has the smallest id of its nodes."""
     both = links.where("src_id <> dst_id").select("src_id", "dst_id").union(links.where("src_id <> dst_id").select("dst_id", "src_id"))
     weights = both.groupBy("src_id", "dst_id").agg(F.count("*").cast("double").alias("w"))
     weights = keep(weights, 0) if keep else weights
     strength = weights.groupBy("src_id").agg(F.sum("w").alias("k"))
     total = weights.agg(F.coalesce(F.sum("w"), F.lit(1.0))).first()[0]
-    start = nodes.select("id").distinct().join(strength, F.col("id") == F.col("src_id"), "left").select("id", F.col("id").alias("c"), F.coalesce("k", F.lit(0.0)).alias("k"))
+    state = nodes.select("id").distinct().join(strength, F.col("id") == F.col("src_id"), "left").select("id", F.coalesce("k", F.lit(0.0)).alias("k"))
+    belongs, level = None, 0
+    while levels is None or level < levels:
+        found = _moved(state, weights, total, rounds, keep)
+        found = keep(found, level) if keep else found.cache()
+        belongs = found if belongs is None else belongs.join(found.toDF("community_id", "above"), "community_id").select("id", F.col("above").alias("community_id"))
+        level += 1
+        if found.where("id <> community_id").isEmpty():
+            break
+        state = state.join(found, "id").groupBy(F.col("community_id").alias("id")).agg(F.sum("k").alias("k"))
+        ends = [found.toDF(f"{side}_id", side) for side in ("src", "dst")]
+        weights = weights.join(ends[0], "src_id").join(ends[1], "dst_id").where("src <> dst").groupBy(F.col("src").alias("src_id"), F.col("dst").alias("dst_id")).agg(F.sum("w").alias("w"))
+        state, weights = (keep(state, level), keep(weights, level)) if keep else (state, weights)
+    return belongs if belongs is not None else state.select("id", F.col("id").alias("community_id"))
+
+
+def _moved(nodes: DataFrame, weights: DataFrame, total: float, rounds: int | None, keep: Callable[[DataFrame, int], DataFrame] | None) -> DataFrame:
+    """(id, community_id) by moves of greatest modularity gain until no node gains by a
+    move (or for ``rounds``). At first, the half of the nodes that a hash of node and round picks move at once, as long as that
+    raises modularity. Then the moves are made that gain most for both the community they leave and the one they enter: no two
+    of these share a community, so their gains add up, modularity only rises, and the rounds end.
+    """
+    start = nodes.select("id", F.col("id").alias("c"), "k")
 
     gains = (F.col("to") != F.col("c")) & (F.col("more") > 1.5e-9)
 

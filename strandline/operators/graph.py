@@ -219,6 +219,16 @@ def shape_props(df: DataFrame, allowed: dict[str, str]) -> DataFrame:
     return df.withColumn("props", F.to_json(F.map_from_entries(F.filter(pairs, lambda e: F.array_contains(ok, e["key"])))))
 
 
+def with_topics(nodes_: DataFrame, topics: DataFrame, key: str = "id") -> DataFrame:
+    """Hadith nodes with the topics and scores found for them among their properties; other nodes, and those without topics, as they are."""
+    fields = [c for c in topics.columns if c.startswith("topic_")]
+    entries = F.map_from_entries(F.array_compact(F.array(*(F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("value"))) for c in fields))))
+    found = topics.dropDuplicates([key]).select(F.col(key).alias("topic_of"), F.lit("Hadith").alias("topic_label"), entries.alias("new"))
+    joined = nodes_.join(found, (F.col("id") == F.col("topic_of")) & (F.col("label") == F.col("topic_label")), "left")
+    rest = F.map_filter(F.from_json("props", "map<string,string>"), lambda k, _: ~k.isin(*fields))
+    return joined.withColumn("props", F.when(F.col("new").isNotNull(), F.to_json(F.map_concat(rest, "new"))).otherwise(F.col("props"))).select(*nodes_.columns)
+
+
 # ---- checks ----
 
 

@@ -664,7 +664,7 @@ def stream_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..streaming import messages
 
     good, _ = messages.split(messages.parse(_messages(spark, sf_dir)))
-    seen = good.where("CAST(batch_id AS BIGINT) % 2 = 1").select("batch_id").distinct()
+    seen = table(spark, sf_dir, "events").where("user_id % 2 = 1").select(F.col("user_id").cast("string").alias("batch_id")).distinct()
     fresh = good.join(seen, "batch_id", "left_anti")
     return fresh.groupBy("batch_id").agg(F.min(F.col("b2_path").cast("long")).cast("string").alias("first"))
 

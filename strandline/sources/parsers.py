@@ -90,10 +90,16 @@ def lk(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFram
     return hadiths, schemas.conform(chains.mentions(hadiths, ("en", "ar")), "narrator_mentions"), schemas.conform(known, "collections")
 
 
+def _numbered(raw: DataFrame) -> DataFrame:
+    """Rows with their place in their file: files of several lines a row aren't split, so their rows have consecutive numbers ``mid``."""
+    first = raw.groupBy(F.col("file.path").alias("path")).agg(F.min("mid").alias("first"))
+    return raw.join(first, F.col("file.path") == F.col("path")).withColumn("row", (F.col("mid") - F.col("first")).cast("int"))
+
+
 def sanadset(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Hadiths and mentions of tagged texts; an isnad of only a note that there is none is null."""
     raw = readers.csv(spark, path, file=True).withColumn("mid", F.monotonically_increasing_id())
-    numbered = raw.withColumn("row", F.row_number().over(Window.partitionBy("file").orderBy("mid")) - 1)
+    numbered = _numbered(raw)
     sanad = text.tag_body(F.col("hadith"), "SANAD")
     chain = F.when(~F.lower(sanad).isin("no sanad", ""), sanad)
     rows = numbered.select(
@@ -221,7 +227,8 @@ def sunnah_scraped(spark: SparkSession, folder: str) -> DataFrame:
 def open_hadith(spark: SparkSession, path: str) -> DataFrame:
     """Files without headers: number and text; a missing number is the row's place."""
     raw = readers.csv(spark, path, header=False, file=True).withColumn("mid", F.monotonically_increasing_id())
-    row = F.row_number().over(Window.partitionBy("file").orderBy("mid"))
+    raw = _numbered(raw)
+    row = F.col("row") + 1
     rows = raw.select(
         F.lit("open_hadith").alias("source_corpus"), text.file_collection(F.col("file.name")).alias("collection_name"), F.coalesce(casts.safe_int(F.col("_c0")), row).alias("hadith_number"),
         casts.safe_str(F.col("_c1")).alias("full_text_ar"), F.lit("sunni").alias("sect"),

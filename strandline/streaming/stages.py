@@ -8,6 +8,7 @@ checkpoint row: a crash in between leads to the same files once more. What fails
 from __future__ import annotations
 
 import json
+import time
 import traceback
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -46,6 +47,10 @@ class Layout:
     def checkpoints(self) -> str:
         return f"{self.root}/checkpoints"
 
+    @property
+    def metrics(self) -> str:
+        return f"{self.root}/metrics"
+
     def progress(self, stage: str) -> str:
         return f"{self.root}/progress/{stage}"
 
@@ -65,6 +70,15 @@ def publish(spark: SparkSession, layout: Layout, topic: str, batch_id: str, sour
     row.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("append").text(layout.topic(topic))
 
 
+METRICS = "worker string, batch_id string, records_processed long, duration_seconds double, errors int, error_class string, at timestamp"
+
+
+def measure(spark: SparkSession, layout: Layout, stage: str, batch_id: str, records: int | None, began: float, error: Exception | None = None) -> None:
+    """One row for each batch: its records, its time, and whether it failed."""
+    row = (stage, batch_id, records, time.monotonic() - began, int(error is not None), type(error).__name__ if error else None, datetime.now(timezone.utc))
+    spark.createDataFrame([row], METRICS).coalesce(1).write.mode("append").parquet(layout.metrics)
+
+
 def handle(layout: Layout, stage: str, work: Work, next_topic: str | None, batch: DataFrame) -> dict[str, int]:
     """One micro-batch of messages: counts of handled, skipped and failed ones."""
     spark = batch.sparkSession
@@ -76,6 +90,7 @@ def handle(layout: Layout, stage: str, work: Work, next_topic: str | None, batch
     todo = good.dropDuplicates(["batch_id"]).join(seen, "batch_id", "left_anti").orderBy("timestamp", "batch_id")
     counts = {"handled": 0, "failed": 0}
     for m in todo.toLocalIterator():  # a message stands for a batch of rows; the rows stay distributed
+        began = time.monotonic()
         try:
             target = f"{layout.output(stage)}/{m['batch_id']}"
             result = work(spark.read.parquet(m["b2_path"]), target, m["source"])
@@ -83,10 +98,12 @@ def handle(layout: Layout, stage: str, work: Work, next_topic: str | None, batch
                 publish(spark, layout, next_topic, m["batch_id"], m["source"], target, result.count())
             mark = spark.createDataFrame([(stage, m["batch_id"], datetime.now(timezone.utc))], CHECKPOINT)
             mark.coalesce(1).write.mode("append").parquet(layout.checkpoints)
+            measure(spark, layout, stage, m["batch_id"], m["record_count"], began)
             counts["handled"] += 1
         except Exception as error:  # a batch that fails must not stop the stream
             letter = (stage, datetime.now(timezone.utc), type(error).__name__, str(error)[:2000], traceback.format_exc()[-8000:], json.dumps(m.asDict(), default=str))
             spark.createDataFrame([letter], LETTER).coalesce(1).write.mode("append").parquet(layout.topic(DEAD_LETTERS))
+            measure(spark, layout, stage, m["batch_id"], None, began, error)
             counts["failed"] += 1
     return counts
 

@@ -208,7 +208,7 @@ def test_communities_run_until_no_node_gains(spark):
     rng = np.random.default_rng(7)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 30, (160, 2)) if a != b]
     nodes = spark.createDataFrame([(i,) for i in range(31)], "id int")
-    found = {r["id"]: r["community_id"] for r in analytics.communities(nodes, spark.createDataFrame(pairs, "src_id int, dst_id int"), keep=stored).collect()}
+    found = {r["id"]: r["community_id"] for r in analytics.communities(nodes, spark.createDataFrame(pairs, "src_id int, dst_id int"), keep=stored, levels=1).collect()}
     weights = np.zeros((31, 31))
     for a, b in pairs:
         weights[a, b] += 1
@@ -218,3 +218,21 @@ def test_communities_run_until_no_node_gains(spark):
         gain = lambda c: sum(weights[i, j] - strength[i] * strength[j] / total for j in range(31) if j != i and found[j] == c)  # noqa: B023, E731
         assert all(gain(found[j]) <= gain(found[i]) + 1e-6 for j in range(31) if weights[i, j] > 0)
     assert sorted(found) == list(range(31))
+
+
+def test_communities_join_over_levels(spark):
+    """A ring of cliques: joining whole communities gives at least the modularity of the first level."""
+    size, count = 4, 12
+    pairs = [(size * c + i, size * c + j) for c in range(count) for i in range(size) for j in range(i)] + [(size * c, size * ((c + 1) % count) + 1) for c in range(count)]
+    nodes, links = spark.createDataFrame([(i,) for i in range(size * count)], "id int"), spark.createDataFrame(pairs, "src_id int, dst_id int")
+
+    def modularity(found):
+        degree = {i: sum(i in p for p in pairs) for i in found}
+        total = 2 * len(pairs)
+        inside = sum(2 for a, b in pairs if found[a] == found[b]) / total
+        return inside - sum((sum(d for i, d in degree.items() if found[i] == c) / total) ** 2 for c in set(found.values()))
+
+    one, full = ({r["id"]: r["community_id"] for r in analytics.communities(nodes, links, keep=stored, levels=n).collect()} for n in (1, None))
+    assert modularity(full) >= modularity(one) - 1e-9 and modularity(full) > 0.7
+    assert all(len({full[size * c + i] for i in range(size)}) == 1 for c in range(count))
+    assert all(c == min(i for i in full if full[i] == c) for c in set(full.values()))

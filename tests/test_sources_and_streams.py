@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from strandline.operators import graph
 from strandline.plans import catalog, pipeline
 from strandline.sources import parsers, readers, schemas, sinks
 from strandline.streaming import messages, stages
@@ -157,6 +158,12 @@ def test_stages_replay_and_dead_letters(spark, tmp_path):
     assert edges.count() == 4
     letters = spark.read.parquet(layout.topic(stages.DEAD_LETTERS))
     assert {r["error_class"] for r in letters.collect()} == {"ValidationError", "AnalysisException"}
+    measured = spark.read.parquet(layout.metrics)
+    assert measured.where("errors = 1").count() == 1 and measured.where("errors = 0").count() == 4 and measured.where("duration_seconds <= 0").isEmpty()
+    topics = spark.createDataFrame([("hdt:sunnah:bukhari:2:7", "law", 0.5, None)], "id string, topic_1 string, topic_1_score float, topic_2 string")
+    written = graph.with_topics(nodes, topics)
+    props = json.loads(written.where("label = 'Hadith'").first()["props"])
+    assert (props["topic_1"], props["topic_1_score"], props["sect"]) == ("law", "0.5", "sunni") and "topic_2" not in props and written.count() == nodes.count()
     failed = json.loads(letters.where("error_class = 'AnalysisException'").first()["raw_payload"])
     assert failed["batch_id"] == "b2" and failed["b2_path"].endswith("raw/missing") and failed["record_count"] == 1
     stages.publish(spark, layout, stages.TOPICS[0], "b1", "sunnah", f"{tmp_path}/raw/b1", 2)
@@ -202,6 +209,23 @@ def test_plans(spark, tmp_path):
     assert audit.last(spark).count() == 2
 
 
+def test_command_line(spark, tmp_path, capsys):
+    from strandline import cli
+
+    assert cli.main(["queries"]) == 0 and "pagerank" in capsys.readouterr().out.split()
+    assert cli.main(["run", "topk", "--data", "/root/testdata/sf0.001", "--out", f"{tmp_path}/out"], spark) == 0
+    assert spark.read.parquet(f"{tmp_path}/out/topk").count() == 5
+    spark.range(10).write.parquet(f"{tmp_path}/staging/a.parquet")
+    (tmp_path / "base.json").write_text(json.dumps({"a": 20}))
+    staging = ["validate-staging", f"{tmp_path}/staging", "--baseline", f"{tmp_path}/base.json"]
+    assert cli.main(staging, spark) == 0 and cli.main([*staging, "--strict"], spark) == 1
+    assert cli.main([*staging, "--strict", "--drift-tolerance", "60"], spark) == 0
+    (tmp_path / "root" / "raw").mkdir(parents=True)
+    assert cli.main(["reset", f"{tmp_path}/root", "--stage", "raw", "--dry-run"], spark) == 0 and (tmp_path / "root" / "raw").exists()
+    assert cli.main(["reset", f"{tmp_path}/root", "--all", "--yes"], spark) == 0 and not (tmp_path / "root" / "raw").exists()
+    assert cli.main(["audit", f"{tmp_path}/root"], spark) == 0
+
+
 def test_every_query_has_a_callable_and_sql_names_match():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert set(catalog.ORACLE_SQL) <= set(catalog.QUERIES)
