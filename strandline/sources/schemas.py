@@ -6,30 +6,58 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def _struct(text: str) -> T.StructType:
-    """From ``name`` (string), ``name:type`` and, for columns that must not be null, a closing ``!``."""
-    fields = []
-    for item in text.split():
-        name, _, kind = item.rstrip("!").partition(":")
-        fields.append(T.StructField(name, T._parse_datatype_string(kind) if kind else T.StringType(), not item.endswith("!")))
-    return T.StructType(fields)
-
-
-HADITHS = "source_id! source_corpus! collection_name! book_number:int chapter_number:int hadith_number:int matn_ar matn_en isnad_raw_ar isnad_raw_en full_text_ar full_text_en grade chapter_name_ar chapter_name_en sect!"
-MENTIONS = "mention_id! source_hadith_id! source_corpus! position_in_chain:int! name_ar name_en name_ar_normalized transmission_method"
-BIOS = "bio_id! source! name_ar name_en name_ar_normalized name_en_normalized kunya nisba laqab birth_year_ah:int death_year_ah:int birth_location death_location generation gender trustworthiness bio_text external_id"
-COLLECTIONS = "collection_id! name_ar name_en! compiler_name compilation_year_ah:int sect! total_hadiths:int source_corpus!"
-NETWORK_EDGES = "from_narrator_name! to_narrator_name! hadith_id source! from_external_id to_external_id"
-RESOLVED = "mention_id! hadith_id! source_corpus! position_in_chain:int! name_raw name_normalized canonical_narrator_id transmission_method confidence:float"
-CANONICAL = "canonical_id! name_ar name_en name_ar_normalized aliases:array<string> birth_year_ah:int death_year_ah:int generation gender trustworthiness source_ids:array<string> external_id mention_count:int"
-AMBIGUOUS = "mention_id! mention_text! source_corpus! candidate_1_id candidate_1_name candidate_1_score:float candidate_1_stage candidate_2_id candidate_2_name candidate_2_score:float candidate_2_stage candidate_3_id candidate_3_name candidate_3_score:float candidate_3_stage"
-PARALLELS = "hadith_id_a! hadith_id_b! similarity_score:float! variant_type! cross_sect:boolean!"
-MERGE_LOG = "canonical_id! mention_id! mention_text merge_stage! score:float!"
-TOPICS = "source_id! topic_1 topic_1_score:float topic_2 topic_2_score:float topic_3 topic_3_score:float"
-NODES = "label! id! props!"
-EDGES = "label! src_id! src_label! dst_id! dst_label! props!"
-POINTER = "batch_id! source! b2_path! timestamp:timestamp record_count:int!"
+#: Columns of the tables, their types, and which must not be null.
+HADITHS = """
+    source_id string NOT NULL, source_corpus string NOT NULL, collection_name string NOT NULL, book_number int, chapter_number int, hadith_number int,
+    matn_ar string, matn_en string, isnad_raw_ar string, isnad_raw_en string, full_text_ar string, full_text_en string, grade string, chapter_name_ar
+    string, chapter_name_en string, sect string NOT NULL
+"""
+MENTIONS = """
+    mention_id string NOT NULL, source_hadith_id string NOT NULL, source_corpus string NOT NULL, position_in_chain int NOT NULL, name_ar string, name_en
+    string, name_ar_normalized string, transmission_method string
+"""
+BIOS = """
+    bio_id string NOT NULL, source string NOT NULL, name_ar string, name_en string, name_ar_normalized string, name_en_normalized string, kunya string,
+    nisba string, laqab string, birth_year_ah int, death_year_ah int, birth_location string, death_location string, generation string, gender string,
+    trustworthiness string, bio_text string, external_id string
+"""
+COLLECTIONS = """
+    collection_id string NOT NULL, name_ar string, name_en string NOT NULL, compiler_name string, compilation_year_ah int, sect string NOT NULL,
+    total_hadiths int, source_corpus string NOT NULL
+"""
+NETWORK_EDGES = """
+    from_narrator_name string NOT NULL, to_narrator_name string NOT NULL, hadith_id string, source string NOT NULL, from_external_id string,
+    to_external_id string
+"""
+RESOLVED = """
+    mention_id string NOT NULL, hadith_id string NOT NULL, source_corpus string NOT NULL, position_in_chain int NOT NULL, name_raw string, name_normalized
+    string, canonical_narrator_id string, transmission_method string, confidence float
+"""
+CANONICAL = """
+    canonical_id string NOT NULL, name_ar string, name_en string, name_ar_normalized string, aliases array<string>, birth_year_ah int, death_year_ah int,
+    generation string, gender string, trustworthiness string, source_ids array<string>, external_id string, mention_count int
+"""
+AMBIGUOUS = """
+    mention_id string NOT NULL, mention_text string NOT NULL, source_corpus string NOT NULL, candidate_1_id string, candidate_1_name string,
+    candidate_1_score float, candidate_1_stage string, candidate_2_id string, candidate_2_name string, candidate_2_score float, candidate_2_stage string,
+    candidate_3_id string, candidate_3_name string, candidate_3_score float, candidate_3_stage string
+"""
+PARALLELS = """
+    hadith_id_a string NOT NULL, hadith_id_b string NOT NULL, similarity_score float NOT NULL, variant_type string NOT NULL, cross_sect boolean NOT NULL
+"""
+MERGE_LOG = """
+    canonical_id string NOT NULL, mention_id string NOT NULL, mention_text string, merge_stage string NOT NULL, score float NOT NULL
+"""
+TOPICS = """
+    source_id string NOT NULL, topic_1 string, topic_1_score float, topic_2 string, topic_2_score float, topic_3 string, topic_3_score float
+"""
+NODES = "label string NOT NULL, id string NOT NULL, props string NOT NULL"
+EDGES = """
+    label string NOT NULL, src_id string NOT NULL, src_label string NOT NULL, dst_id string NOT NULL, dst_label string NOT NULL, props string NOT NULL
+"""
+POINTER = """
+    batch_id string NOT NULL, source string NOT NULL, b2_path string NOT NULL, timestamp timestamp, record_count int NOT NULL
+"""
 
 TABLES = {
     "hadiths": HADITHS, "narrator_mentions": MENTIONS, "narrators_bio": BIOS, "collections": COLLECTIONS, "network_edges": NETWORK_EDGES,
@@ -61,7 +89,7 @@ NODE_LABELS, EDGE_LABELS = tuple(NODE_PROPS), tuple(EDGE_PROPS)
 
 
 def schema(table: str) -> T.StructType:
-    return _struct(TABLES[table])
+    return T.StructType.fromDDL(TABLES[table])
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
