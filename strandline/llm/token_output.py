@@ -64,7 +64,7 @@ def write(documents: DataFrame, vocabulary: str, end_id: int = 2, layout: dict[s
 
     ordered = (
         modest_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange("doc_id")
+        .repartitionByRange("doc_id", F.monotonically_increasing_id())  # rows with the same id, or none, are dealt out too
         .sortWithinPartitions("doc_id", "text")
         .select("doc_id", F.spark_partition_id().alias("file"), "text")
     )
