@@ -326,12 +326,20 @@ def _part_bios(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return parts.select(F.concat(F.substring("p_name", 1, 3), F.lit("a"), F.substring("p_name", 4, 60)).alias("name")).distinct(), bios
 
 
-@query()
+#: Pairs of a block with their ratio: the longest common subsequence row by row, each row from whether letters agree.
+_RATIO_SQL = """WITH parts AS (SELECT p_name AS b, min(p_partkey) AS cand FROM part GROUP BY 1), n AS (SELECT DISTINCT substr(b, 1, 3) || 'a' || substr(b, 4, 60) AS name FROM parts),
+near AS (SELECT name, cand, b FROM n JOIN parts ON substr(name, 1, 2) = substr(b, 1, 2) WHERE b <> ''),
+masks AS (SELECT *, [[CASE WHEN substr(name, k, 1) = substr(b, j, 1) THEN 1 ELSE 0 END FOR j IN range(1, length(b) + 1)] FOR k IN range(1, length(name) + 1)] AS m, [0 FOR j IN range(length(b))] AS zeros FROM near),
+lcs AS (SELECT name, cand, b, list_last(list_reduce(list_prepend(zeros, m), lambda a, r: [list_max([CASE WHEN r[i] = 1 THEN coalesce(a[i - 1], 0) + 1 ELSE a[i] END FOR i IN range(1, j + 1)]) FOR j IN range(1, len(r) + 1)])) AS l FROM masks),
+r AS (SELECT name, cand, b, 200.0::DOUBLE * l / (length(name) + length(b)) AS ratio FROM lcs)"""
+
+
+@query(f"{_RATIO_SQL} SELECT name, cand, round_even(ratio / 100, 4) AS score FROM r WHERE abs(length(name) - length(b)) <= 2 AND levenshtein(name, b) <= 2 AND ratio >= 80")
 def fuzzy_block_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.fuzzy_matches(*_part_bios(spark, sf_dir)).select("name", "cand", "score")
 
 
-@query()
+@query(f"{_RATIO_SQL} SELECT name, cand, round_even(ratio / 100, 4) AS score FROM r WHERE ratio >= 60")
 def crossref_block_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.crossref_matches(*_part_bios(spark, sf_dir)).select("name", "cand", "score")
 
