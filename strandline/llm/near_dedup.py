@@ -72,8 +72,27 @@ def shingles(text: str | None, size: int) -> np.ndarray:
     return np.unique(_mix((sums[last] - sums[first]) * unit[first]))
 
 
-def signatures(sets: list[np.ndarray], slots: int) -> np.ndarray:
-    """SuperMinHash signatures of non-empty sets: one row per set. A value holds the rank in its top 8 bits, then the fraction."""
+#: Shingles that are worked on at once: each takes a place for every slot.
+AT_ONCE = 1 << 17
+
+
+def signatures(sets: list[np.ndarray], slots: int, most: int = AT_ONCE) -> np.ndarray:
+    """SuperMinHash signatures of non-empty sets: one row per set. As a signature is the least value of each slot over the
+    set's shingles, large sets are worked on in parts of ``most`` shingles, and small ones together up to so many."""
+    out = np.full((len(sets), slots), np.iinfo(np.uint64).max, np.uint64)
+    parts = [(k, s[low : low + most]) for k, s in enumerate(sets) for low in range(0, len(s), most)]
+    first, size = 0, 0
+    for last, (_, part) in enumerate([*parts, (-1, np.zeros(most + 1, np.uint64))]):
+        if size + len(part) > most and last > first:
+            own = [k for k, _ in parts[first:last]]
+            np.minimum.at(out, own, _signatures([p for _, p in parts[first:last]], slots))
+            first, size = last, 0
+        size += len(part)
+    return out
+
+
+def _signatures(sets: list[np.ndarray], slots: int) -> np.ndarray:
+    """Signatures of sets worked on together. A value holds the rank in its top 8 bits, then the fraction."""
     values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     out = np.full(len(sets) * slots, np.iinfo(np.uint64).max, np.uint64)
     places: np.ndarray | None = None
