@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import keep
+from .store import TEXTS, keep
 
 #: White space that does not count (fixed by the contract).
 SPACE = r"[\x20\x09-\x0D]+"
@@ -96,7 +96,7 @@ def dedup(documents: DataFrame, block_size: int = 2048, hash_bits: int = 64) ->
 
 def survivors(documents: DataFrame, block_size: int = 2048) -> DataFrame:
     """The documents that stay, with all their columns."""
-    rows = keep(documents.select(F.struct(*documents.columns).alias("document"), F.monotonically_increasing_id().alias("row")), "dedup-documents")
+    rows = keep(documents.select(F.struct(*documents.columns).alias("document"), F.monotonically_increasing_id().alias("row")), "dedup-documents", TEXTS)
     dropped = keep(_decided(rows.select("row", "document.doc_id", "document.text"), block_size, row="row").where("NOT kept").select("row"), "dedup-dropped")
     return rows.join(dropped, "row", "left_anti").select("document.*")
 

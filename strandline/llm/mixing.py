@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import keep
+from .store import TEXTS, keep
 
 #: Words of a text (fixed by the contract).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -152,7 +152,7 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int
 def copies(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, block_words: int = 1024) -> DataFrame:
     """The mix as rows in its order: each document as often as it is taken whole, where its first word has its place; a part
     counts from half of the document on. Rows are sorted over ranges of partitions, as written one file after the other."""
-    rows = keep(documents.select(F.struct(*documents.columns).alias("document"), F.monotonically_increasing_id().alias("row")), "mix-rows")
+    rows = keep(documents.select(F.struct(*documents.columns).alias("document"), F.monotonically_increasing_id().alias("row")), "mix-rows", TEXTS)
     sized = _numbered(rows)
     taken, _ = pieces(sized, weights, most, block_words)
     whole = taken.groupBy("row", "pass").agg(F.sum("words").alias("words"), F.max("size").alias("size"), F.min(F.when(F.col("start") == 0, F.struct("place", "offset"))).alias("at"))

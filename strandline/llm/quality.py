@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import keep
+from .store import TEXTS, keep
 from .weak_supervision import posteriors, vote_pattern
 
 #: Fixed by the contract: words, and characters that count as symbols.
@@ -109,6 +109,6 @@ def judge(documents: DataFrame, threshold: float = 0.5, rounds: int = 30) -> Dat
 def accepted(documents: DataFrame, threshold: float = 0.5, rounds: int = 30) -> DataFrame:
     """The documents that ``judge`` keeps, with all their columns. Documents are written once beside their votes, so that
     counts are taken once."""
-    voted = keep(_voted(features(documents, carry=True)).select("document", "pattern", "n_words", "n_repeat_words"), "quality-votes")
+    voted = keep(_voted(features(documents, carry=True)).select("document", "pattern", "n_words", "n_repeat_words"), "quality-votes", TEXTS)
     judged = voted.join(F.broadcast(_fitted(voted, rounds)), "pattern")  # at most 3 ** 8 patterns
     return judged.where(~_failed() & (F.col("posterior") >= threshold)).select("document.*")
