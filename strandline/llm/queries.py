@@ -79,6 +79,24 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.checksums(token_output.read(spark, folder, ("doc_id", "ids")))
 
 
+def op11_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import filter_audit
+
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import simhash
+
+    return simhash.groups(_table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import collocations
+
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_text,
         op9_source_mixing,
         op10_token_output,
+        op11_filter_interaction,
+        op12_simhash,
+        op13_collocations,
     )
 }
 #: Counts, votes and the rounds of expectation-maximisation over the counted patterns of votes.
@@ -152,10 +173,49 @@ _NEAR_SQL = r"""
     c AS (SELECT id, min(other) AS component_id FROM r GROUP BY 1)
     SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM documents JOIN c ON c.id = doc_id LEFT JOIN n USING (doc_id)"""
 
+#: Each document at each step of each order, by the filters that it fails.
+_AUDIT_SQL = r"""
+    WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT *, [x FOR x IN string_split_regex(t, '[\x20\x09-\x0D]+') IF x <> ''] AS words, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+    l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY 1),
+    f AS (SELECT part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+        concat(CASE WHEN len(words) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+          CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t) THEN 'C' END, CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+          CASE WHEN doc_id > least THEN 'E' END) AS failed FROM w LEFT JOIN l USING (doc_id)),
+    c AS MATERIALIZED (SELECT part, failed, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+    k AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+    o AS (SELECT a.k || b.k || c.k || d.k || e.k AS filter_order FROM k a, k b, k c, k d, k e WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+    s AS (SELECT filter_order, step::INTEGER AS step, filter_order[step] AS own, left(filter_order, step - 1) AS earlier FROM o, range(1, 6) AS r(step)),
+    x AS (SELECT *, contains(failed, own) AS fails, len(list_intersect(string_split(failed, ''), string_split(earlier, ''))) = 0 OR failed = '' AS alive FROM c, s),
+    g AS (SELECT part, filter_order, step, own, sum(n) FILTER (alive AND NOT fails) AS kept, sum(n) FILTER (alive AND fails) AS removed, sum(n) FILTER (fails AND NOT alive) AS redundant,
+        sum(n) FILTER (failed = own) AS unique_fails, sum(n) FILTER (alive AND fails AND good) AS good_lost, sum(n) FILTER (alive AND fails AND toxic) AS toxic_lost FROM x GROUP BY ALL)
+    SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+      coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+      coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley FROM g"""
+
+#: All phrases of two and three words counted as such, their cuts, and the longer phrases around them.
+_PHRASE_SQL = r"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS MATERIALIZED (SELECT lang, [x FOR x IN string_split_regex(piece, '[\x20\x09]+') IF x <> ''] AS words FROM p),
+    u AS MATERIALIZED (SELECT lang, words[i] AS x, words[i + 1] AS y, words[i + 2] AS z FROM (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w)),
+    f1 AS MATERIALIZED (SELECT lang, x, count(*) AS f FROM u GROUP BY ALL),
+    f2 AS MATERIALIZED (SELECT lang, x, y, count(*) AS f FROM u WHERE y IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+    f3 AS MATERIALIZED (SELECT lang, x, y, z, count(*) AS f FROM u WHERE z IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+    n AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY 1),
+    i AS (SELECT lang, x, y, max(f) AS around FROM (SELECT lang, x, y, f FROM f3 UNION ALL SELECT lang, y, z, f FROM f3) GROUP BY 1, 2, 3),
+    s AS (SELECT c.lang, c.x || ' ' || c.y AS phrase, c.f AS a, 1 AS k, l.f AS l, r.f AS r FROM f2 c JOIN f1 l ON l.lang = c.lang AND l.x = c.x JOIN f1 r ON r.lang = c.lang AND r.x = c.y
+          LEFT JOIN i ON i.lang = c.lang AND i.x = c.x AND i.y = c.y WHERE i.around IS NULL OR 100 * i.around < 50 * c.f
+        UNION ALL SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, c.f, 1, l.f, r.f FROM f3 c JOIN f1 l ON l.lang = c.lang AND l.x = c.x JOIN f2 r ON r.lang = c.lang AND r.x = c.y AND r.y = c.z
+        UNION ALL SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, c.f, 2, l.f, r.f FROM f3 c JOIN f2 l ON l.lang = c.lang AND l.x = c.x AND l.y = c.y JOIN f1 r ON r.lang = c.lang AND r.x = c.z),
+    t AS (SELECT s.lang, phrase, a, l, r, n.n, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM s JOIN n USING (lang) QUALIFY row_number() OVER (PARTITION BY s.lang, phrase ORDER BY score, k) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM t QUALIFY rank <= 2000"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_near_dedup": _NEAR_SQL,
     "op9_source_mixing": _MIXING_SQL,
     "op7_quality_rules": _QUALITY_SQL,
+    "op11_filter_interaction": _AUDIT_SQL,
+    "op13_collocations": _PHRASE_SQL,
     "op6_exact_dedup": r"""
         WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS n_chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents),
         r AS (SELECT *, first_value(doc_id) OVER (PARTITION BY norm ORDER BY n_chars DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM n)
