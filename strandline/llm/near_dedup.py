@@ -6,10 +6,12 @@ signature from one permutation per shingle: the values of a shingle over the slo
 lowers the variance, and a shingle stops at the highest rank that any slot still holds. Bands of slots give bucket keys.
 
 Within a bucket, each class is first compared with the smallest class of the bucket only, and confirmed links are merged
-by star contraction. All classes of buckets in which some are then still apart are paired by shared rare shingles: among the
-rarest of each set, so many that two sets at the similarity must share one, in places that leave enough shingles after
-it. So neither a common passage nor a large group of copies of copies makes all pairs. Every link is confirmed on the full
-sets. Bands and rows follow from the similarity: at 0.8, 40 bands of 5 slots, a pair meets in no band once in 8 million pairs.
+by star contraction. All classes of buckets in which some are then still apart meet by shared rare shingles: among the
+rarest of each set, so many that two sets at the similarity must share one. First, in rounds, each is compared with one
+other class for each of its rare shingles, a new one each round, until no round joins any more; a group whose members lie just
+below and just above the similarity comes together that way, in proportion to its size. Then those still apart are paired, in
+places that leave enough shingles after the shared one. So neither a common passage nor a large group of copies of copies makes all
+pairs. Every link is confirmed on the full sets. Bands and rows follow from the similarity: at 0.8, 40 bands of 5 slots, a pair meets in no band once in 8 million pairs.
 
 Defined results: null texts, and texts without words, have no shingles and are linked with nothing; texts with fewer words
 than a shingle have one, the whole sequence; repeated rows are linked with each other; a row with a null id is linked like
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,8 @@ from .store import keep, modest_batches
 SLOTS = 200
 #: Rare shingles of a set up to which each of its rows carries the list of all of them.
 LISTED = 64
+#: Rounds of single comparisons, at most, before what is still apart is paired.
+ROUNDS = 4
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C55
 _UNIT = pow(_BASE, -1, 1 << 64)
@@ -221,7 +226,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(out))
 
     first = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = first.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    both = modest_batches(first.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"))
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
@@ -262,6 +267,31 @@ def _prefixes(texts: DataFrame, members: DataFrame, size: int, percent: int) ->
     return rarest.join(lists.select("id", "listed"), "id", "left")
 
 
+def _around(rare: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes still apart: each with the one class that the turn picks for a rare shingle of it."""
+    one = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "root", "n_shingles", "bits")).alias("one")
+    mixed = rare.groupBy("key").agg(one, F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("key", "one.*")
+    x, y = rare.alias("x"), mixed.alias("y")
+    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & _alike("x", "y", percent)
+    return x.join(y, meet).select(F.col("y.id").alias("a"), F.col("x.id").alias("b")).distinct()
+
+
+def _joined(rare: DataFrame, texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Rounds of ``_around``: members with the roots they then have, and the links found."""
+    links: list[DataFrame] = []
+    for turn in range(ROUNDS):
+        found = keep(confirmed(_around(rare, turn, percent), texts, size, percent), "near-around")
+        if found.isEmpty():
+            break
+        links.append(found)
+        roots = rare.select("id", "root").distinct()
+        over = roots.toDF("a", "u"), roots.toDF("b", "v")
+        merged = components(found.join(over[0], "a").join(over[1], "b").select(F.col("u").alias("a"), F.col("v").alias("b")))
+        moved = merged.select(F.col("id").alias("root"), F.col("root").alias("after"))
+        rare = keep(rare.join(moved, "root", "left").withColumn("root", F.coalesce("after", "root")).drop("after"), "near-rare")
+    return rare, links
+
+
 def _sharing(rare: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different roots that share a rare shingle, where its ranks leave enough shingles to reach the similarity.
 
@@ -322,7 +352,8 @@ def groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> D
     mixed = keep(members.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key"), "near-mixed")
     apart = keep(members.join(mixed, "key").drop("key").dropDuplicates(["id"]), "near-apart")
     rare = keep(_prefixes(texts, apart, shingle_words, percent), "near-rare")
-    links = links.union(keep(confirmed(_sharing(rare, percent), texts, shingle_words, percent), "near-links"))
+    rare, more = _joined(rare, texts, shingle_words, percent)
+    links = reduce(DataFrame.union, [links, *more, keep(confirmed(_sharing(rare, percent), texts, shingle_words, percent), "near-links")])
     roots = keep(components(links), "near-roots")
 
     grouped = classes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))

@@ -77,10 +77,12 @@ def _plain(path: str) -> str:
     return re.sub("^[a-z0-9]+:/+", "/", path)
 
 
-def modest_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
-    """``df``, after the session's Arrow batches are made small enough for whole texts: a batch is held in memory on both sides
-    of the pipe to Python."""
+def modest_batches(df: DataFrame, rows: int = 1000, size: int = 16 << 20) -> DataFrame:
+    """``df``, after the session's Arrow batches are made small enough for whole texts, in rows and in bytes: a batch is held in
+    memory on both sides of the pipe to Python."""
     spark = df.sparkSession
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    for setting, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        now = spark.conf.get(f"spark.sql.execution.arrow.{setting}").rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{setting}", str(most))
     return df
