@@ -4,7 +4,8 @@ A fingerprint has a bit set where over half the 64-bit hashes of a text's shingl
 are one class. Fingerprints are cut into segments; if two differ in few bits, one segment differs in very few, so each
 fingerprint looks up the small Hamming ball around each of its segments in that segment's table, and complete distances decide.
 Of the two sides of a pair only the one whose lowest differing bit in the segment is 0 looks the other up. The number of
-segments follows from the number of fingerprints: more make fewer look-ups, fewer make longer keys and fewer chance matches.
+segments follows from the number of fingerprints: more make fewer look-ups, fewer make longer keys and so fewer chance
+matches, which are compared where they meet and make no rows.
 
 A group of near copies of one text would meet itself in all its pairs. So members of a table's bucket are compared with the
 bucket's smallest fingerprint first, and merged; then only buckets that hold fingerprints still apart are paired,
@@ -31,8 +32,8 @@ from .store import keep, modest_batches
 
 #: Hashes whose bits are counted at once.
 AT_ONCE = 1 << 16
-#: Chance matches of a fingerprint, over all its look-ups, up to which more segments are taken.
-CHANCE_MATCHES = 8
+#: A look-up is moved and sorted, a chance match is only compared: so many of these cost as much.
+MATCHES_A_LOOK_UP = 100
 
 
 def shingle_hashes(text: bytes | None, size: int) -> list[int]:
@@ -91,12 +92,14 @@ def masks(width: int, radius: int) -> list[int]:
 
 
 def best_segments(classes: int, distance: int) -> int:
-    """The most segments that still have balls to look up, if chance matches of a fingerprint stay few; else 2."""
-    for segments in range(max(2, distance), 2, -1):
-        chances = sum(len(masks(w, r)) / 2**w for w, r in zip(widths(segments), radii(distance, segments), strict=True))
-        if classes * chances / 2 <= CHANCE_MATCHES:
-            return segments
-    return 2
+    """The number of segments, all with balls to look up, that costs least for so many fingerprints."""
+
+    def cost(segments: int) -> float:
+        balls = [(w, masks(w, r)) for w, r in zip(widths(segments), radii(distance, segments), strict=True)]
+        looked_up = sum((1 + len(ball)) / 2 for _, ball in balls)
+        return MATCHES_A_LOOK_UP * looked_up + classes * sum(len(ball) / 2**w for w, ball in balls) / 2
+
+    return min(range(2, max(2, distance) + 1), key=cost)
 
 
 def look_ups(classes: DataFrame, distance: int, segments: int) -> DataFrame:
