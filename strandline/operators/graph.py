@@ -94,7 +94,7 @@ def parallel_of(links: DataFrame) -> DataFrame:
 
 def studied_under(network: DataFrame, canonical: DataFrame) -> DataFrame:
     known = canonical.select(F.explode("source_ids").alias("bio"), F.col("canonical_id").alias("cid"))
-    src = known.select(F.concat(F.lit("muhaddithat:"), F.regexp_replace("bio", "^[^:]*:", "")).alias("k"), "cid").dropDuplicates(["k"])
+    src = known.select(F.concat(F.lit("muhaddithat:"), F.regexp_replace("bio", "^[^:]*:", "")).alias("k"), "cid").groupBy("k").agg(F.min("cid").alias("cid"))
     named = network.withColumn("kf", F.concat_ws(":", "source", "from_external_id")).withColumn("kt", F.concat_ws(":", "source", "to_external_id"))
     joined = named.join(src.toDF("kf", "f"), "kf").join(src.toDF("kt", "t"), "kt")
     return edges(joined, "STUDIED_UNDER", ("Narrator", F.col("f")), ("Narrator", F.col("t")), "source").distinct()
@@ -107,9 +107,10 @@ def graded_by(staged: DataFrame) -> DataFrame:
 # ---- fan-out of raw rows ----
 
 
-def fan_out(rows: DataFrame, order: str = "source_id") -> tuple[DataFrame, DataFrame]:
+def fan_out(rows: DataFrame, order: str = "source_id", placed: bool = False) -> tuple[DataFrame, DataFrame]:
     """Nodes and edges of staged rows: streaming identities, English chains before Arabic ones. Of nodes with the same id the first
-    stays, by ``order`` and the place in the row. Rows are read once for the nodes and once for the edges, and chains are cut once."""
+    stays, by ``order`` and the place in the row. Rows are read once for the nodes and once for the edges, and chains are cut once.
+    ``placed``: each with its row's ``order`` as ``place``, and its number ``k`` in the row."""
     hid, cid = ids.hadith_id(F.col("source_id")), ids.stream_collection_id(F.col("collection_name"))
     english = F.coalesce(F.col("isnad_raw_en"), F.lit("")) != ""
     spans = F.when(english, chains.spans(F.col("isnad_raw_en"), "en")).otherwise(chains.spans(F.col("isnad_raw_ar"), "ar"))
@@ -140,7 +141,9 @@ def fan_out(rows: DataFrame, order: str = "source_id") -> tuple[DataFrame, DataF
     ]
     narrators_ = F.transform("people", lambda s: node("Narrator", s["nid"], s["name_en"].alias("name_en"), s["name_ar"].alias("name_ar"), s["name_ar_normalized"].alias("name_ar_normalized"), s["transmission_method"].alias("transmission_method")))
     every = people.select("place", F.posexplode(F.concat(F.array(*one), narrators_)).alias("k", "n")).where("n IS NOT NULL")
-    all_nodes = every.groupBy("n.label", "n.id").agg(F.min_by("n.props", F.struct("place", "k", "n.props")).alias("props"))
+    first = every.groupBy("n.label", "n.id").agg(F.min(F.struct("place", "k", "n.props")).alias("first"))
+    where = ["place", "k"] if placed else []
+    all_nodes = first.select("label", "id", "first.props", *(f"first.{c}" for c in where))
 
     following = F.transform(
         F.when(size > 1, F.sequence(F.lit(0), size - 2)).otherwise(F.array().cast("array<int>")),
@@ -151,7 +154,7 @@ def fan_out(rows: DataFrame, order: str = "source_id") -> tuple[DataFrame, DataF
         F.when(size > 0, edge("NARRATED", ("Narrator", F.get("members", 0)), ("Hadith", F.col("hid")))),
         F.when(graded, edge("GRADED_BY", ("Hadith", F.col("hid")), ("Grading", gid))),
     ]
-    all_edges = people.select(F.explode(F.concat(F.array(*single), following)).alias("e")).where("e IS NOT NULL").select("e.*")
+    all_edges = people.select("place", F.posexplode(F.concat(F.array(*single), following)).alias("k", "e")).where("e IS NOT NULL").select("e.*", *where)
     return all_nodes, all_edges
 
 
@@ -244,12 +247,66 @@ def coverage(groups: DataFrame, members: DataFrame, key: str, member: str, expec
     return counted.withColumn("deviation", F.when(F.col(expected) != 0, F.abs(F.col("actual") - F.col(expected)) * 100.0 / F.col(expected)))
 
 
+def _trimmed(edges_: DataFrame, keep: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+    """Edges without those that lead out of a node without a way in, or into one without a way out, until all others have both."""
+    n, before = edges_.count(), -1
+    while n and n != before:
+        sources, targets = edges_.select(F.col("src_id").alias("dst_id")).distinct(), edges_.select(F.col("dst_id").alias("src_id")).distinct()
+        edges_ = keep(edges_.join(targets, "src_id", "left_semi").join(sources, "dst_id", "left_semi").select("src_id", "dst_id"), 0)
+        before, n = n, edges_.count()
+    return edges_
+
+
+def strong_components(links: DataFrame, keep: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+    """(id, component, size) of every node that edges touch: nodes that reach each other share the smallest id among them.
+
+    Nodes on no cycle are peeled off, from both sides at once, so a graph without cycles ends there. In what is left, each node takes
+    the greatest id that reaches it; the nodes of a colour that reach back to the node it is named after are one component. Those
+    go, and the rest is trimmed again. A step is a join over edges; there are as many as the paths are long.
+    """
+    every = links.select("src_id", "dst_id").distinct()
+    nodes_ = keep(every.select(F.col("src_id").alias("id")).union(every.select("dst_id")).distinct(), 0)
+    left, found = _trimmed(keep(every.where("src_id <> dst_id"), 0), keep), []
+    while not left.isEmpty():
+        colours = left.select(F.col("src_id").alias("id")).distinct().withColumn("colour", F.col("id"))
+        changed = True
+        while changed:
+            arriving = left.join(colours.withColumnRenamed("id", "src_id"), "src_id").groupBy(F.col("dst_id").alias("id")).agg(F.max("colour").alias("new"))
+            after = keep(colours.join(arriving, "id", "left").select("id", F.greatest("colour", "new").alias("colour"), (F.col("new") > F.col("colour")).alias("grew")), 0)
+            changed, colours = not after.where("grew").isEmpty(), after.drop("grew")
+        a, b = colours.toDF("src_id", "colour"), colours.toDF("dst_id", "other")
+        inner = keep(left.join(a, "src_id").join(b, "dst_id").where("colour = other").select("src_id", "dst_id", "colour"), 0)
+        reached = frontier = keep(colours.where("id = colour"), 0)
+        while not frontier.isEmpty():
+            back = inner.join(frontier.select(F.col("id").alias("dst_id")), "dst_id", "left_semi").select(F.col("src_id").alias("id"), "colour").distinct()
+            frontier = keep(back.join(reached, "id", "left_anti"), 0)
+            reached = keep(reached.union(frontier), 0)
+        found.append(reached)
+        gone = reached.select("id")
+        rest = left.join(gone.toDF("src_id"), "src_id", "left_anti").join(gone.toDF("dst_id"), "dst_id", "left_anti")
+        left = _trimmed(keep(rest.select("src_id", "dst_id"), 0), keep)
+    grouped = nodes_.select("id", F.col("id").alias("colour")).limit(0)
+    for part in found:
+        grouped = grouped.union(part.select("id", "colour"))
+    least = grouped.groupBy("colour").agg(F.min("id").alias("component"), F.count("*").alias("size"))
+    named = grouped.join(least, "colour").select("id", "component", "size")
+    return nodes_.join(named, "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.coalesce("size", F.lit(1)).cast("long").alias("size"))
+
+
+def within_components(links: DataFrame, keep: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+    """Edges that lie on some cycle: those whose nodes are in the same component."""
+    found = keep(strong_components(links, keep).select("id", "component"), 0)
+    a, b = found.toDF("src_id", "component"), found.toDF("dst_id", "other")
+    return links.join(a, "src_id").join(b, "dst_id").where("component = other").select(*links.columns)
+
+
 def cycles(links: DataFrame, depth: int = 20, limit: int | None = 100, keep: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
     """Paths (src, dst) of at most ``depth`` edges, none of them twice, that come back to their start: one join a step,
-    and only paths that can still grow go on. Of more than ``limit``, the shortest count, by start and trail: once there are
+    over edges within strongly connected components only, and only paths that can still grow go on. Of more than ``limit``, the shortest count, by start and trail: once there are
     so many, longer ones can't be among them. ``keep`` may cut lineage between steps.
     """
     edges_ = links.select(F.col("src_id"), F.col("dst_id")).distinct()
+    edges_ = keep(within_components(edges_, keep), 0) if keep else edges_
     edges_ = edges_.withColumn("edge", F.concat_ws(">", F.col("src_id").cast("string"), F.col("dst_id").cast("string")))
     paths = edges_.select(F.col("src_id").alias("start"), F.col("dst_id").alias("at"), F.array("edge").alias("trail"))
     found, n = [], 0

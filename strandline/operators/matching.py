@@ -45,10 +45,40 @@ def crossref_matches(names: DataFrame, bios: DataFrame) -> DataFrame:
     return near.where(F.col("ratio") >= CROSSREF_RATIO).select("name", "cand", F.lit("crossref").alias("stage"), F.bround(F.col("ratio") / 100, 4).alias("score"), F.lit(3).alias("branch"))
 
 
+def deletions(word: Column, most: int = MAX_DISTANCE) -> Column:
+    """The word and all strings that up to ``most`` deletions leave of it, each once."""
+
+    def shorter(w: Column) -> Column:
+        places = F.when(F.length(w) > 0, F.sequence(F.lit(1), F.length(w))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
+
+    levels = [F.array(word)]
+    for _ in range(most):
+        levels.append(F.array_distinct(F.flatten(F.transform(levels[-1], shorter))))
+    return F.array_distinct(F.concat(*levels))
+
+
+def within_deletions(names: DataFrame, others: DataFrame, a: str, b: str, most: int = MAX_DISTANCE) -> DataFrame:
+    """All pairs of a row of ``names`` and one of ``others`` whose strings ``a`` and ``b`` are at most ``most`` edits apart.
+
+    Two such strings have a string in common that at most so many deletions leave of each, so they are joined on hashes of these
+    and on lengths, and the distance decides. Distinct strings are joined, then the rows. There are no blocks by first letters; a
+    string of n letters has about n * n / 2 keys.
+    """
+    x, y = names.select(a).where(F.col(a).isNotNull()).distinct(), others.select(b).where(F.col(b).isNotNull()).distinct()
+
+    def keyed(df: DataFrame, c: str) -> DataFrame:
+        return df.select(c, F.explode(F.array_distinct(F.transform(deletions(F.col(c), most), lambda d: F.xxhash64(d)))).alias("key"))
+
+    met = keyed(x, a).join(keyed(y, b), "key").where(F.abs(F.length(a) - F.length(b)) <= most).select(a, b).distinct()
+    near = met.where(similarity.within_distance(F.col(a), F.col(b), most))
+    return names.join(near, a).join(others, b)
+
+
 def unblocked_fuzzy(names: DataFrame, bios: DataFrame) -> DataFrame:
-    """The fuzzy stage without blocks: every pair, as a yardstick for tests."""
+    """The fuzzy stage without blocks: distance at most 2 and ratio at least 80, whatever the first letters."""
     a, b = F.col("name"), F.col("name_ar_normalized")
-    near = names.crossJoin(bios.where("name_ar_normalized <> ''")).where(similarity.within_distance(a, b)).withColumn("ratio", similarity.indel_ratio(a, b))
+    near = within_deletions(names, bios.where("name_ar_normalized <> ''"), "name", "name_ar_normalized").withColumn("ratio", similarity.indel_ratio_batched(a, b))
     return near.where(F.col("ratio") >= FUZZY_RATIO).select("name", "cand", F.bround(F.col("ratio") / 100, 4).alias("score"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import casts, ids, similarity, text
-from ..operators import analytics, chains, graph, matching, parallels, quality
+from ..operators import analytics, chains, embedding, graph, matching, parallels, quality, vector_index
 from ..sources import parsers, readers, schemas
 from .lineage import cut, folder, stored
 
@@ -129,6 +129,19 @@ def chain_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.cycles(_edges(spark, sf_dir), keep=cut).select(F.col("start").alias("id"), "length", F.array_join("trail", ",").alias("trail"))
 
 
+_LAST_STEPS_SQL = f"""SELECT DISTINCT from_id AS src_id, to_id AS dst_id FROM (SELECT l_partkey AS from_id, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY {_ORDER_SQL}) AS to_id, l_linenumber AS position FROM lineitem) WHERE to_id IS NOT NULL AND position >= 6"""
+
+
+@query(f"""WITH RECURSIVE e AS MATERIALIZED ({_LAST_STEPS_SQL}), n AS (SELECT src_id AS id FROM e UNION SELECT dst_id FROM e),
+r(s, t) AS (SELECT src_id, dst_id FROM e UNION SELECT r.s, e.dst_id FROM r JOIN e ON e.src_id = r.t),
+c AS (SELECT a.s AS id, min(a.t) AS component FROM r a JOIN r b ON b.s = a.t AND b.t = a.s GROUP BY 1), k AS (SELECT n.id, least(n.id, coalesce(component, n.id)) AS component FROM n LEFT JOIN c USING (id))
+SELECT id, component, count(*) OVER (PARTITION BY component) AS size FROM k""")
+def strong_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that follow each other at the end of the longest chains: a sparse graph with large and small components, and without most."""
+    steps = chains.pairs(table(spark, sf_dir, "lineitem"), "l_orderkey", ORDER, "l_partkey").where("position >= 6")
+    return graph.strong_components(steps.select(F.col("from_id").alias("src_id"), F.col("to_id").alias("dst_id")), keep=stored)
+
+
 @query("""WITH b AS (SELECT o_custkey AS id, o_orderkey AS ord, o_orderpriority AS priority, CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS price FROM orders)
 SELECT id, arg_max(priority, ord) AS priority, arg_max(price, ord) FILTER (price IS NOT NULL) AS price, max(ord) AS ord FROM b GROUP BY 1""")
 def node_merge_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,18 +255,27 @@ def fan_out_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.fan_out(_staged(spark, sf_dir))[1]
 
 
-@query(f"{_FAN_SQL} SELECT label, count(*) AS n FROM first GROUP BY 1")
+@query(f"""{_FAN_SQL}, links AS (SELECT sid, -1 AS k, 'APPEARS_IN' AS label, hid AS src, cid AS dst, {_json_sql(book_number="book", hadith_number_in_book="number")} AS props FROM b
+    UNION ALL SELECT sid, -1, 'NARRATED', members[1], hid, '{{}}' FROM b WHERE len(members) > 0 UNION ALL SELECT sid, -1, 'GRADED_BY', hid, 'grd:' || hid, '{{}}' FROM b WHERE grade IS NOT NULL
+    UNION ALL SELECT sid, k, 'TRANSMITTED_TO', nid, next, {_json_sql(position_in_chain="k", hadith_id="hid")} FROM (SELECT *, lead(nid) OVER (PARTITION BY sid ORDER BY k) AS next FROM m) WHERE next IS NOT NULL),
+last AS (SELECT label, src || '>' || dst AS id, props FROM links QUALIFY row_number() OVER (PARTITION BY label, src, dst ORDER BY sid DESC, k DESC) = 1),
+every AS (SELECT 'node' AS kind, * FROM first UNION ALL SELECT 'edge', * FROM last)
+SELECT kind, label, id, name, json_extract_string(props, '$."' || coalesce(nullif(name, ''), 'none') || '"') AS value FROM (SELECT *, unnest(CASE WHEN props = '{{}}' THEN [''] ELSE json_keys(props) END) AS name FROM every)""")
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chain of four streaming queries over one batch of all conversations, from its message to the graph; nodes of each label."""
+    """The chain of four streaming queries over one batch of all conversations in several files, from its message to the graph: each
+    property of each node and edge, of edges that come again the last one's; a row without a name for those that have none."""
     from ..streaming import stages
 
     layout = stages.Layout(folder(spark, "stream"))
-    _staged(spark, sf_dir).write.parquet(f"{layout.root}/raw/b1")
+    _staged(spark, sf_dir).repartitionByRange(5, "source_id").sortWithinPartitions("source_id").write.parquet(f"{layout.root}/raw/b1")
     stages.publish(spark, layout, stages.TOPICS[0], "b1", "sunnah", f"{layout.root}/raw/b1", 1)
     work = {"dedup": stages.dedup(), "enrich": stages.enrich(), "normalize": stages.normalize(), "ingest": stages.ingest(layout)}
     for name in stages.STAGES:
         stages.start(spark, layout, name, work[name]).awaitTermination()
-    return stages.current_graph(spark, layout)[0].groupBy("label").agg(F.count("*").alias("n"))
+    nodes, edges = stages.current_graph(spark, layout)
+    both = nodes.select(F.lit("node").alias("kind"), "label", "id", "props").union(edges.select(F.lit("edge"), "label", F.concat("src_id", F.lit(">"), "dst_id"), "props"))
+    found = both.select("kind", "label", "id", F.explode_outer(F.from_json("props", "map<string,string>")).alias("name", "value"))
+    return found.withColumn("name", F.coalesce("name", F.lit("")))
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,6 +353,14 @@ def fuzzy_block_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.where(similarity.within_distance(F.col("a"), F.col("b"))).select("a", "b", F.levenshtein("a", "b").cast("long").alias("distance"))
 
 
+@query("""SELECT a.c_name AS name, count(*) AS near FROM customer a JOIN customer b ON a.c_name <> b.c_name AND levenshtein(a.c_name, b.c_name) <= 2 GROUP BY 1""")
+def fuzzy_deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many other names are at most two edits from each customer's, of all pairs, without blocks."""
+    names = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"))
+    found = matching.within_deletions(names, names.select(F.col("name").alias("other")), "name", "other")
+    return found.where("name <> other").groupBy("name").agg(F.count("*").alias("near"))
+
+
 def _part_bios(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     parts = table(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_partkey").alias("cand"))
     bios = parts.select("cand", F.col("p_name").alias("name_ar_normalized"), F.lit(None).cast("string").alias("name_en"), F.concat(F.lit("x"), "cand").alias("external_id"))
@@ -415,6 +445,47 @@ def pair_tiers_cross_sect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parallels.links(pairs, corpora, 0.45, 0.40).select("hadith_id_a", "hadith_id_b", "variant_type", "cross_sect")
 
 
+def _index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, vector_index.Index]:
+    """All vectors, and their index as read back from disk."""
+    vectors, path = table(spark, sf_dir, "embeddings"), f"{folder(spark, 'vectors')}/index"
+    vector_index.build(vectors, "vec_id", "embedding", path, stored)
+    return vectors, vector_index.load(spark, path)
+
+
+@query(f"{_KNN_SQL} SELECT a, b, round(score, 4) AS score FROM t")
+def vector_index_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same links out of an index on disk, looked up in all cells that can hold one."""
+    vectors, index = _index(spark, sf_dir)
+    found = vector_index.search(index, vectors, "vec_id", "embedding", stored, threshold=0.35)
+    return vector_index.pairs(found).select("a", "b", F.round("score", 4).alias("score"))
+
+
+@query("""WITH s AS (SELECT a.vec_id AS id, b.vec_id AS partner, list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS score FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id AND a.vec_id % 100 = 0)
+SELECT id, partner, round(score, 4) AS score, row_number() OVER (PARTITION BY id ORDER BY score DESC, partner)::INTEGER AS rank FROM s QUALIFY rank <= 10""")
+def vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of all vectors for every vector whose id is divisible by 100."""
+    vectors, index = _index(spark, sf_dir)
+    found = vector_index.search(index, vectors.where("vec_id % 100 = 0"), "vec_id", "embedding", stored, k=10)
+    return found.select("id", "partner", F.round("score", 4).alias("score"), "rank")
+
+
+@query(r"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS word FROM documents), c AS MATERIALIZED (SELECT doc_id, word, count(*) AS tf FROM w GROUP BY ALL),
+d AS MATERIALIZED (SELECT word, 1 + ln((1.0::DOUBLE + (SELECT count(DISTINCT doc_id) FROM c)) / (1 + count(*))) AS idf, [('0x' || substr(md5(word), 4 * k + 1, 4))::INTEGER FOR k IN range(8)] AS chunks FROM c GROUP BY 1),
+x AS (SELECT doc_id, h % 128 AS place, sum((1 + ln(tf)) * idf * CASE WHEN h >= 32768 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS x FROM (SELECT doc_id, tf, idf, unnest(chunks) AS h FROM c JOIN d USING (word)) GROUP BY ALL),
+m AS (SELECT doc_id, map_from_entries(list((place, x))) AS m, sqrt(sum(x * x)) AS length FROM x GROUP BY 1 HAVING sum(x * x) > 0),
+v AS MATERIALIZED (SELECT doc_id AS id, [coalesce(m[p], 0) / length FOR p IN range(128)] AS v FROM m),
+s AS (SELECT a.id AS i, b.id AS j, list_inner_product(a.v, b.v) AS score FROM v a JOIN v b ON a.id <> b.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS k FROM s QUALIFY score >= 0.8), t AS (SELECT least(i, j) AS a, greatest(i, j) AS b, max(score) AS score FROM r WHERE k <= 50 GROUP BY 1, 2)
+SELECT a AS hadith_id_a, b AS hadith_id_b, CASE WHEN score >= 0.9 THEN 'verbatim' WHEN score >= 0.8 THEN 'close_paraphrase' ELSE 'thematic' END AS variant_type FROM t""")
+def embedded_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From texts to parallel links: vectors of all documents, then all pairs of them that are close paraphrases, by tier."""
+    docs = table(spark, sf_dir, "documents")
+    vectors = stored(embedding.embed(docs, "doc_id", "text"))
+    pairs = parallels.neighbours(vectors, "id", "v", threshold=0.8)
+    corpora = docs.select(F.col("doc_id").alias("id"), F.col("source").alias("source_corpus"))
+    return parallels.links(pairs, corpora).select("hadith_id_a", "hadith_id_b", "variant_type")
+
+
 @query("""WITH s AS (SELECT a.vec_id AS i, b.vec_id AS j, list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS score FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id AND a.label = b.label)
 SELECT i, j, k FROM (SELECT i, j, row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS k FROM s) WHERE k <= 3""")
 def top3_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -688,6 +759,25 @@ def stream_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fresh.groupBy("batch_id").agg(F.min(F.col("b2_path").cast("long")).cast("string").alias("first"))
 
 
+@query("""WITH RECURSIVE e AS MATERIALIZED (SELECT user_id, ts, min(event_id) AS event_id FROM events GROUP BY 1, 2),
+f(user_id, ts) AS (SELECT user_id, min(ts) FROM e GROUP BY 1 UNION ALL SELECT f.user_id, min(e.ts) FROM f JOIN e ON e.user_id = f.user_id AND e.ts >= f.ts + INTERVAL 2 DAY GROUP BY f.user_id)
+SELECT f.user_id, f.ts, event_id FROM f JOIN e USING (user_id, ts)""")
+def stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's first event, then the first at least two days after the one before it: keyed state with expiry over a
+    stream of all events, in two runs of the query, the second of which goes on from the first one's checkpoint."""
+    from datetime import timedelta
+
+    from ..streaming import once
+
+    events, root = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id"), folder(spark, "once")
+    middle = events.agg(F.expr("timestamp_micros(avg(unix_micros(ts))::bigint)").alias("m")).first()["m"]
+    for part in (F.col("ts") < F.lit(middle), F.col("ts") >= F.lit(middle)):
+        events.where(part).write.mode("append").parquet(f"{root}/in")
+        found = once.once(spark.readStream.schema(events.schema).parquet(f"{root}/in"), "user_id", "ts", timedelta(days=2), order=("event_id",))
+        once.start(found, lambda df, n: df.write.mode("overwrite").parquet(f"{root}/out/batch={n}"), f"{root}/progress").awaitTermination()
+    return spark.read.schema(events.schema).parquet(f"{root}/out").select("user_id", F.col("ts").cast(dict(table(spark, sf_dir, "events").dtypes)["ts"]).alias("ts"), "event_id")
+
+
 @query("""SELECT event_type AS stage, count(*) AS n FROM events WHERE NOT (ts < (SELECT max(ts) - INTERVAL 14 DAY FROM events) AND event_type IN (SELECT event_type FROM events GROUP BY 1 HAVING count(*) > 1000)) GROUP BY 1""")
 def checkpoint_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..streaming import stages

@@ -92,13 +92,13 @@ def schema(table: str) -> T.StructType:
     return T.StructType.fromDDL(TABLES[table])
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Exactly the table's columns, in order and cast; missing ones are null."""
+def conform(df: DataFrame, table: str, more: tuple[str, ...] = ()) -> DataFrame:
+    """Exactly the table's columns, in order and cast; missing ones are null. ``more``: columns of ``df`` that stay as they are."""
 
     def column(f: T.StructField) -> Column:
         return (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
 
-    return df.select(*(column(f) for f in schema(table)))
+    return df.select(*(column(f) for f in schema(table)), *more)
 
 
 def required(table: str) -> list[str]:

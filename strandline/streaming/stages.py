@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import analytics, graph, parallels
+from ..operators import analytics, graph, graph_store, parallels
 from ..sources import schemas
 from . import messages
 
@@ -87,13 +87,14 @@ def handle(layout: Layout, stage: str, work: Work, next_topic: str | None, batch
     letters = bad.select(F.lit(stage).alias("worker"), now.alias("failed_at"), F.lit("ValidationError").alias("error_class"), F.col("error").alias("error_message"), F.lit(None).cast("string").alias("error_traceback"), "raw_payload")
     letters.write.mode("append").parquet(layout.topic(DEAD_LETTERS))
     seen = read_or_empty(spark, layout.checkpoints, CHECKPOINT).where(F.col("stage") == stage).select("batch_id")
-    todo = good.dropDuplicates(["batch_id"]).join(seen, "batch_id", "left_anti").orderBy("timestamp", "batch_id")
+    earliest = good.groupBy("batch_id").agg(F.min(F.struct("timestamp", "b2_path", "source", "record_count")).alias("m")).select("batch_id", "m.*")
+    todo = earliest.join(seen, "batch_id", "left_anti").orderBy("timestamp", "batch_id")
     counts = {"handled": 0, "failed": 0}
     for m in todo.toLocalIterator():  # a message stands for a batch of rows; the rows stay distributed
         began = time.monotonic()
         try:
             target = f"{layout.output(stage)}/{m['batch_id']}"
-            result = work(spark.read.parquet(m["b2_path"]), target, m["source"])
+            result = work(placed(spark.read.parquet(m["b2_path"])), target, m["source"])
             if next_topic:
                 publish(spark, layout, next_topic, m["batch_id"], m["source"], target, result.count())
             mark = spark.createDataFrame([(stage, m["batch_id"], datetime.now(timezone.utc))], CHECKPOINT)
@@ -123,6 +124,11 @@ def kafka(spark: SparkSession, servers: str, topic: str, group: str) -> DataFram
     return reader.option("startingOffsets", "earliest").option("kafka.group.id", group).load().select(F.col("value").cast("string").alias("value"))
 
 
+def placed(rows: DataFrame) -> DataFrame:
+    """Rows of a batch with their place in it, by file name and row in the file, unless an earlier stage has given it."""
+    return rows if "place" in rows.columns else rows.withColumn("place", F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")))
+
+
 # ---- the work of each stage ----
 
 
@@ -155,48 +161,51 @@ def enrich(lexicon: dict[str, list[str]] | None = None) -> Work:
 
 
 def normalize() -> Work:
-    """Nodes and edges of complete rows, one folder each."""
+    """Nodes and edges of complete rows, one folder each, with the place of the row they come from and their number ``k`` in it."""
 
     def work(rows: DataFrame, target: str, source: str) -> DataFrame:
-        complete = schemas.drop_incomplete(schemas.conform(rows, "hadiths"), "hadiths").withColumn("row", F.monotonically_increasing_id())
-        complete.write.mode("overwrite").parquet(f"{target}-rows")  # the order of the rows, given once
-        nodes, links = graph.fan_out(rows.sparkSession.read.parquet(f"{target}-rows"), order="row")
-        part = nodes.select(F.lit("node").alias("kind"), "label", "id", F.lit(None).cast("string").alias("src_id"), F.lit(None).cast("string").alias("src_label"), F.lit(None).cast("string").alias("dst_id"), F.lit(None).cast("string").alias("dst_label"), "props")
-        part = part.unionByName(links.select(F.lit("edge").alias("kind"), "label", F.lit(None).cast("string").alias("id"), "src_id", "src_label", "dst_id", "dst_label", "props"))
+        complete = schemas.drop_incomplete(schemas.conform(rows, "hadiths", more=("place",)), "hadiths")
+        nodes, links = graph.fan_out(complete, order="place", placed=True)
+        none = F.lit(None).cast("string")
+        part = nodes.select(F.lit("node").alias("kind"), "label", "id", *(none.alias(c) for c in ("src_id", "src_label", "dst_id", "dst_label")), "props", "place", "k")
+        part = part.unionByName(links.select(F.lit("edge").alias("kind"), "label", none.alias("id"), "src_id", "src_label", "dst_id", "dst_label", "props", "place", "k"))
         part.write.mode("overwrite").partitionBy("kind", "label").parquet(target)
         return rows.sparkSession.read.parquet(target)
 
     return work
 
 
-def ingest(layout: Layout) -> Work:
-    """Merges a batch into the graph: nodes first, then edges, all of which need their nodes; each merge is a new version."""
-    root = f"{layout.root}/graph"
-    node_schema, edge_schema = "label string, id string, props string, ord struct<version: bigint, place: bigint>", "label string, src_id string, src_label string, dst_id string, dst_label string, props string, ord struct<version: bigint, place: bigint>"
+_ORD = "ord struct<version: bigint, file: string, row: bigint, k: int>"
+GRAPH = {
+    "nodes": graph_store.Table(f"label string, id string, props string, {_ORD}", ("label", "id")),
+    "edges": graph_store.Table(f"label string, src_id string, src_label string, dst_id string, dst_label string, props string, {_ORD}", ("label", "src_id", "src_label", "dst_id", "dst_label")),
+}
+
+
+def graph_of(layout: Layout, buckets: int = 64) -> graph_store.Store:
+    return graph_store.Store(f"{layout.root}/graph", GRAPH, buckets)
+
 
-    def version(spark: SparkSession) -> int:
-        return read_or_empty(spark, f"{root}/versions", "version long").agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+def ingest(layout: Layout, buckets: int = 64) -> Work:
+    """Merges a batch into the graph: nodes first, then edges, all of which need their nodes; both are one commit. Later batches come
+    after earlier ones, rows of a batch by their place, and what a row makes in its order."""
 
     def work(rows: DataFrame, target: str, source: str) -> DataFrame:
-        spark = rows.sparkSession
-        now = version(spark)
-        # later batches come after earlier ones, and rows of a batch in their order
-        rows.withColumn("place", F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{root}/batch")
-        rows = spark.read.parquet(f"{root}/batch")
-        order = F.struct(F.lit(now + 1).cast("long").alias("version"), "place")
-        new_nodes = graph.shape_props(rows.where("kind = 'node'").select("label", "id", "props", "place"), schemas.NODE_PROPS).withColumn("ord", order).drop("place")
-        new_edges = graph.shape_props(rows.where("kind = 'edge'").select("label", "src_id", "src_label", "dst_id", "dst_label", "props", "place"), schemas.EDGE_PROPS).withColumn("ord", order).drop("place")
-        old_nodes, old_edges = read_or_empty(spark, f"{root}/v{now}/nodes", node_schema), read_or_empty(spark, f"{root}/v{now}/edges", edge_schema)
-        merged = merge_props(old_nodes, new_nodes, ("label", "id"))
-        good = graph.require_endpoints(new_edges, merged)
-        keys = ("label", "src_id", "src_label", "dst_id", "dst_label")
-        merged.write.mode("overwrite").parquet(f"{root}/v{now + 1}/nodes")
-        merge_props(old_edges, good, keys).write.mode("overwrite").parquet(f"{root}/v{now + 1}/edges")
-        spark.createDataFrame([(now + 1,)], "version long").coalesce(1).write.mode("append").parquet(f"{root}/versions")
-        for part in ("nodes", "edges"):  # the version before this one stays for readers
-            old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/v{now - 1}/{part}")
-            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
-        return rows.drop("place")
+        spark, store = rows.sparkSession, graph_of(layout, buckets)
+        version = store.entry(spark)["version"] + 1
+        numbered = rows if "k" in rows.columns else rows.withColumn("k", F.lit(0))
+        if "place" not in rows.columns:  # rows that no stage has placed: as they are read
+            numbered = numbered.withColumn("place", F.struct(F.lit("").alias("file"), F.monotonically_increasing_id().alias("row")))
+        order = F.struct(F.lit(version).cast("long").alias("version"), F.col("place.file").alias("file"), F.col("place.row").alias("row"), F.col("k").cast("int").alias("k")).alias("ord")
+        new_nodes = graph.shape_props(numbered.where("kind = 'node'").select("label", "id", "props", order), schemas.NODE_PROPS)
+        new_edges = graph.shape_props(numbered.where("kind = 'edge'").select("label", "src_id", "src_label", "dst_id", "dst_label", "props", order), schemas.EDGE_PROPS)
+        ends = new_edges.select(F.col("src_label").alias("label"), F.col("src_id").alias("id")).union(new_edges.select("dst_label", "dst_id"))
+        known = store.read(spark, "nodes", only=store.touched(ends, "label", "id")).select("label", "id").union(new_nodes.select("label", "id"))
+        good = graph.require_endpoints(new_edges, known)
+        written = {"nodes": store.write(spark, "nodes", new_nodes, merge_props, version), "edges": store.write(spark, "edges", good, merge_props, version)}
+        store.commit(spark, version, written)
+        store.expire(spark)
+        return rows
 
     return work
 
@@ -211,9 +220,8 @@ def merge_props(old: DataFrame, new: DataFrame, keys: tuple[str, ...]) -> DataFr
 
 
 def current_graph(spark: SparkSession, layout: Layout) -> tuple[DataFrame, DataFrame]:
-    root = f"{layout.root}/graph"
-    n = read_or_empty(spark, f"{root}/versions", "version long").agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{root}/v{n}/nodes"), spark.read.parquet(f"{root}/v{n}/edges")
+    store = graph_of(layout)
+    return store.read(spark, "nodes"), store.read(spark, "edges")
 
 
 # ---- housekeeping ----
