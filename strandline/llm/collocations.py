@@ -239,7 +239,7 @@ def phrases(bundles: DataFrame, least: int, bins: int, most: int = PHRASES) -> D
         if keys:
             yield from sent(1 if parted else least)
 
-    routed = bundles.repartition(bins, "bin").sortWithinPartitions("bin", "lang")
+    routed = bundles.repartitionById(bins, "bin").sortWithinPartitions("bin", "lang")  # one bin a task
     mined = modest_batches(routed, 100).mapInArrow(work, "lang string, first string, second string, third string, a long")
     return mined.groupBy("lang", "first", "second", "third").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
 
