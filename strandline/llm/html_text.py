@@ -12,7 +12,11 @@ weak nodes count between strong nodes and as headings before them.
 Elements that are menus, footers, sidebars, forms, scripts and styles by their tag or role, and hidden ones, never count.
 Names in classes and ids are weights only: a named element's nodes form paths of their own with a lower score, unless it holds
 the page's h1 or main or, if it isn't named after comments, an article, or most of the text of a page without any of these.
-Nodes in an article or main weigh more.
+Nodes in an article or main weigh more. A table, figure, quotation or listing within one is part of it, whatever it is named.
+
+Reader comments without such a name are known by their run: three or more siblings alike in tag and class, after other text,
+each with a sign of an author or a date, or in an element named after a discussion. A footer without one is known by its
+copyright line, outside articles and after other text; it goes with the element around it. Buttons within a sentence stay in it.
 
 Defined results: a null or empty page and a page without text have an empty text; null ids and repeated rows are extracted
 each; broken markup is read as browsers do in the main (missing end tags, stray end tags, unquoted values); further
@@ -59,6 +63,14 @@ _NAMED = re.compile(
     r"shar(?:e|ing)|social|login|search|popup|modal|overlay|pager|pagination|toolbar|skip-link|site-header|page-header|topbar)(?=$|[\s_-])",
     re.IGNORECASE,
 )
+#: Names of elements that hold comments if what they hold is a run of alike elements, and of what signs a comment.
+_TALK = re.compile(r"(?:^|[\s_-])(?:discussions?|threads?|reactions?|responses?|talk|conversations?|reviews?|feedback|guestbook|community|readers?)(?=$|[\s_-])", re.IGNORECASE)
+_SIGNED = re.compile(r"(?:^|[\s_-])(?:authors?|users?|usernames?|byline|posted|posters?|avatars?|dates?|time|timestamps?|reply|said)(?=$|[\s_-])", re.IGNORECASE)
+_RIGHTS = re.compile(r"^(?:©|\(c\)\s|copyright\b)|\ball rights reserved\b|\balle rechte vorbehalten\b|\btous droits réservés\b|\btodos los derechos reservados\b", re.IGNORECASE)
+#: Elements that a comment is; how many of them make a run; the length up to which a line is a copyright line.
+_RUN_TAGS, RUN, RIGHTS_CHARS = frozenset("div li article section tr dd".split()), 3, 300
+#: Elements that are part of the article around them, and those in which a button is part of a sentence.
+_OWN, _SENTENCES = frozenset("table pre figure blockquote".split()), frozenset("p li td th dd dt h1 h2 h3 h4 h5 h6 figcaption blockquote".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
@@ -81,6 +93,12 @@ class Element:
     chars: int = 0
     content: int = 0
     holds: set[str] = field(default_factory=set)
+    inside: bool = False
+    kind: str = ""
+    talk: bool = False
+    signed: bool = False
+    first: int = -1
+    within: bool = False
 
 
 @dataclass
@@ -91,6 +109,7 @@ class Block:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
+    plain: bool = False
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -102,7 +121,8 @@ def _hidden(known: dict[str, str]) -> bool:
 
 
 def _element(tag: str, rest: str, parent: Element) -> Element:
-    apart, named = parent.apart or tag in APART, ""
+    apart, named, kind, talk, signed = parent.apart or tag in APART, "", "", False, False
+    inside = parent.inside or tag in ("article", "main")
     if tag == "header" and not apart:
         up: Element | None = parent
         while up is not None and up.tag not in ("article", "main"):
@@ -111,10 +131,12 @@ def _element(tag: str, rest: str, parent: Element) -> Element:
     if not apart and ("=" in rest or "hidden" in rest):
         known = _attributes(rest)
         apart = _hidden(known) or known.get("role", "").lower() in _ROLES
-        if tag not in ("html", "body", "article", "main"):
+        kind = known.get("class", "")
+        talk, signed = (bool(x.search(kind) or x.search(known.get("id", ""))) for x in (_TALK, _SIGNED))
+        if tag not in ("html", "body", "article", "main") and not (inside and tag in _OWN):
             m = _NAMED.search(known.get("class", "")) or _NAMED.search(known.get("id", ""))
             named = "" if m is None else "comments" if m["comments"] else "other"
-    return Element(tag, parent, apart, parent.depth + 1, named)
+    return Element(tag, parent, apart, parent.depth + 1, named, inside=inside, kind=kind, talk=talk, signed=signed)
 
 
 def blocks(page: str) -> list[Block]:
@@ -122,7 +144,7 @@ def blocks(page: str) -> list[Block]:
     root = Element("#root", None, False, 0)
     at, open_, found, low = root, [root], [], 0
     now = Block(root)
-    links = 0
+    links = pressed = 0
     unseen: tuple[str, int] = ("", 0)  # an inline element that isn't shown, and how many of its tag are open in it
     unclosed: set[str] = set()
     last = page.rfind(">")
@@ -130,7 +152,7 @@ def blocks(page: str) -> list[Block]:
     def flush(element: Element) -> Block:
         if now.parts:
             now.text = " ".join("".join(now.parts).split())
-            if now.text:
+            if now.text and now.plain:
                 found.append(now)
         return Block(element)
 
@@ -138,6 +160,7 @@ def blocks(page: str) -> list[Block]:
         if text and not at.apart and not unseen[1]:
             text = html.unescape(text)
             now.parts.append(text)
+            now.plain |= not pressed and bool(text.strip())
             if links:
                 now.linked += len(text)
 
@@ -161,6 +184,9 @@ def blocks(page: str) -> list[Block]:
         if tag == "br":
             add(" ")
         elif m["end"]:
+            if tag == "button" and pressed:
+                pressed = 0
+                continue
             if tag in INLINE:
                 if tag == "a":
                     links = max(0, links - 1)
@@ -171,7 +197,7 @@ def blocks(page: str) -> list[Block]:
                 if open_[k].tag == tag:
                     at = open_[k].parent or root
                     del open_[k:]
-                    now, unseen, links = flush(at), ("", 0), 0
+                    now, unseen, links, pressed = flush(at), ("", 0), 0, 0
                     break
         elif tag in RAW and not m["rest"].endswith("/"):
             close = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, low)
@@ -183,9 +209,12 @@ def blocks(page: str) -> list[Block]:
         elif tag in VOID or tag in RAW:
             if tag == "hr":
                 now = flush(at)
+        elif tag == "button" and at.tag in _SENTENCES and not at.apart:
+            pressed = 1
         elif tag in INLINE:
             if m["rest"].endswith("/"):
                 continue
+            at.signed |= tag == "time" or "=" in m["rest"] and bool(_SIGNED.search(_attributes(m["rest"]).get("class", "")))
             if tag == "a":
                 links = 1  # links don't nest
             if tag == unseen[0]:
@@ -203,7 +232,7 @@ def blocks(page: str) -> list[Block]:
                     break
             at = _element(tag, m["rest"], at)
             open_.append(at)
-            now, unseen, links = flush(at), ("", 0), 0
+            now, unseen, links, pressed = flush(at), ("", 0), 0, 0
         if now.element is not at and not now.parts:
             now = Block(at)
     flush(root)
@@ -229,8 +258,48 @@ def _elements(found: list[Block]) -> list[Element]:
     return list(seen.values())
 
 
+def _runs(found: list[Block], elements: list[Element]) -> list[Element]:
+    """Elements of reader comments, told by their run: alike, after other text, and signed or in one named after talk."""
+    alike: dict[tuple[int, str, str], list[Element]] = {}
+    for k, b in enumerate(found):
+        b.element.first = k if b.element.first < 0 else b.element.first
+    for e in reversed(elements):
+        up = e.parent
+        if up is not None:
+            up.first = e.first if up.first < 0 else min(up.first, e.first)
+            up.signed |= e.signed and up.tag in _RUN_TAGS and e.tag not in ("article", "section")
+    for e in elements:
+        if e.parent is not None and e.tag in _RUN_TAGS and e.first > 0:
+            alike.setdefault((id(e.parent), e.tag, e.kind), []).append(e)
+    out: list[Element] = []
+    for run in alike.values():
+        up = run[0].parent
+        if len(run) < RUN or not (up.talk or all(x.signed for x in run)) or any(x.holds & {"h1", "main"} for x in run):
+            continue
+        # what holds little else, such as a heading over them, goes with them
+        whole = up.tag not in ("body", "html", "#root", "article", "main") and up.first > 0 and 10 * sum(x.chars for x in run) >= 7 * up.chars
+        out += [up] if whole else run
+    return out
+
+
+def _without_rights(found: list[Block], elements: list[Element]) -> list[Block]:
+    """Blocks without unnamed footers: the element around a copyright line, unless the page's first text is in it."""
+    gone: set[int] = set()
+    for k, b in enumerate(found):
+        if k and not b.element.inside and len(b.text) <= RIGHTS_CHARS and _RIGHTS.search(b.text):
+            around = b.element.parent
+            whole = around is not None and around.first > 0 and around.tag not in ("body", "html", "#root") and not around.holds & {"h1", "article", "main"}
+            gone.add(id(around if whole else b.element))
+    if not gone:
+        return found
+    for e in elements:
+        e.within = id(e) in gone or (e.parent is not None and e.parent.within)
+    return [b for b in found if not b.element.within]
+
+
 def weigh(found: list[Block], named: float = NAMED_WEIGHT, article: float = ARTICLE_WEIGHT) -> None:
-    """Give each element its weight and its path: the same tags and the same named steps from the root make one path."""
+    """Give each element its weight and its path: the same tags and the same named steps from the root make one path. Blocks
+    of unnamed footers are taken out of ``found``."""
     elements, paths = _elements(found), {}
     for b in found:
         b.element.chars += len(b.text)
@@ -240,6 +309,9 @@ def weigh(found: list[Block], named: float = NAMED_WEIGHT, article: float = ARTI
             e.parent.holds |= e.holds
             if e.tag in ("h1", "main", "article"):
                 e.parent.holds.add(e.tag)
+    for e in _runs(found, elements):
+        e.named = e.named or "comments"
+    found[:] = _without_rights(found, elements)
     landmarks, total = {"h1", "main", "article"}, sum(len(b.text) for b in found)
     marked = any(e.tag in landmarks for e in elements)
     for e in elements:
@@ -299,22 +371,24 @@ def path_scores(found: list[Block]) -> dict[int, float]:
 
 
 def _container(strong: list[Block], found: list[Block]) -> Element:
-    for e in _elements(found):
-        e.content = 0
+    elements = _elements(found)
+    for e in elements:
+        e.content, e.first = 0, len(found)
     for b in strong:
-        for e in _upwards(b.element):
-            e.content += 1
-    first: dict[int, Block] = {}
-    for b in found:
-        for e in _upwards(b.element):
-            first.setdefault(id(e), b)
+        b.element.content += 1
+    for k, b in enumerate(found):
+        b.element.first = min(b.element.first, k)
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.content += e.content
+            e.parent.first = min(e.parent.first, e.first)
     around = list(_upwards(strong[0].element))
     whole = next(e for e in around if e.content == len(strong) and e.tag not in PARTS)
     articles = [e for e in _upwards(whole) if e.tag in ("article", "main")]
     if articles:
         return articles[-1]
     if whole.tag not in ("body", "html", "#root") and "h1" not in whole.holds:
-        whole = next((e for e in _upwards(whole) if first[id(e)].element.tag == "h1"), whole)
+        whole = next((e for e in _upwards(whole) if found[e.first].element.tag == "h1"), whole)
     return whole
 
 
@@ -331,10 +405,16 @@ def select(found: list[Block]) -> list[Block]:
     while loose and lead > 0 and found[lead - 1].element.tag in HEADINGS:
         lead -= 1
 
+    held: set[int] = set()  # elements in an article or main that has content
+    for e in _elements(found):
+        e.within = e is whole or (e.parent is not None and e.parent.within)
+        if e.tag in ("article", "main") and e.content or e.parent is not None and id(e.parent) in held:
+            held.add(id(e))
+
     def joins(k: int, b: Block) -> bool:
-        if scores[b.element.path] < WEAK or not any(e is whole for e in _upwards(b.element)):
+        if scores[b.element.path] < WEAK or not b.element.within:
             return False
-        return not loose or lead <= k <= at[-1] or any(e.tag in ("article", "main") and e.content for e in _upwards(b.element))
+        return not loose or lead <= k <= at[-1] or b.element.inside and id(b.element) in held
 
     return [b for k, b in enumerate(found) if id(b) in ids or joins(k, b)]
 

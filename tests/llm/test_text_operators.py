@@ -343,6 +343,82 @@ def test_pages_give_their_articles(spark):
     assert alone >= 0.7 * len(pages)
 
 
+COMMENT = "<div class=c><p>I think, for one, that number {} is great.</p></div>"
+
+
+@pytest.mark.parametrize(
+    ("markup", "parts"),
+    [
+        (f"<article><h1>T</h1><p>{LONG}</p><table class='widget'><tr><td>One cell, of it</td></tr></table><figure class='banner'><p>A figure, too.</p></figure></article>", ["T", LONG, "One cell, of it", "A figure, too."]),
+        (f"<article><h1>T</h1><p>{LONG}</p><div class='alert'><p>A notice, of the site.</p></div></article>", ["T", LONG]),
+        (f"<article><h1>T</h1><p>{LONG}</p><section class='discussion'><h2>Discussion</h2>{''.join(COMMENT.format(k) for k in range(15))}</section></article>", ["T", LONG]),
+        (f"<article><h1>T</h1><p>{LONG}</p><section id='discussion'><h2>Discussion</h2><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></section></article>", ["T", LONG, "Discussion", LONG, LONG, LONG]),
+        (f"<article><h1>T</h1><p>{LONG}</p><section>{''.join(f'<div><span class=author>U{k}</span><p>I think so, too, and {k}.</p></div>' for k in range(4))}</section></article>", ["T", LONG]),
+        (f"<article><h1>T</h1><p>{LONG}</p><p>Press <button>OK</button> to go on.</p><p><button>Subscribe</button></p></article>", ["T", LONG, "Press OK to go on."]),
+        (f"<div><h1>T</h1><p>{LONG}</p><p>Second, short.</p></div><div><p>About this site, and who makes it.</p><p>Copyright 2020 X, all rights reserved.</p></div>", ["T", LONG, "Second, short."]),
+        ("<div><h1>T</h1><p>One line, of it.</p><p>Another line, of it.</p></div><div><p>Copyright 2020 by the owner of this site, and of others, of which there are many; all rights reserved, here and there.</p></div>", ["T", "One line, of it.", "Another line, of it."]),
+        (f"<article><h1>T</h1><p>{LONG}</p><p>Copyright is a right, of authors.</p></article>", ["T", LONG, "Copyright is a right, of authors."]),
+    ],
+)
+def test_what_belongs_to_an_article(markup, parts):
+    assert html_text.main_text(AROUND.format(markup)).split("\n\n") == parts
+
+
+def plain_select(found):
+    """``select`` with the container and what lies in it found by climbing from each block."""
+    scores = html_text.path_scores(found)
+    strong = [b for b in found if scores[b.element.path] >= html_text.STRONG]
+    up = lambda b: list(html_text._upwards(b.element))
+    holds = lambda e: [b for b in found if any(x is e for x in up(b))]
+    whole = next(e for e in up(strong[0]) if all(any(x is e for x in up(b)) for b in strong) and e.tag not in html_text.PARTS)
+    articles = [e for e in html_text._upwards(whole) if e.tag in ("article", "main")]
+    if articles:
+        whole = articles[-1]
+    elif whole.tag not in ("body", "html", "#root") and not any(e.tag == "h1" for b in holds(whole) for e in up(b)):
+        whole = next((e for e in html_text._upwards(whole) if holds(e)[0].element.tag == "h1"), whole)
+    at = [k for k, b in enumerate(found) if b in strong]
+    lead = at[0]
+    loose = whole.tag in ("body", "html", "#root")
+    while loose and lead > 0 and found[lead - 1].element.tag in html_text.HEADINGS:
+        lead -= 1
+    full = lambda e: e.tag in ("article", "main") and any(b in strong for b in holds(e))
+    out = []
+    for k, b in enumerate(found):
+        inside = scores[b.element.path] >= html_text.WEAK and any(e is whole for e in up(b))
+        if b in strong or inside and (not loose or lead <= k <= at[-1] or any(full(e) for e in up(b))):
+            out.append(b.text)
+    return out
+
+
+def test_selection_equals_a_plain_one(spark):
+    rng = random.Random(3)
+    pages = [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").limit(15).collect()]
+    tags = ["div", "section", "article", "ul", "main", "div class=widget", "h1", "p", "p", "p", "h2", "li"]
+
+    def tree(depth):
+        tag = rng.choice(tags)
+        text = "Some words, of a text. " * rng.choice((1, 1, 5, 20)) if rng.random() < 0.6 else ""
+        inner = "".join(tree(depth - 1) for _ in range(rng.randint(0, 4))) if depth and tag.split()[0] not in ("p", "h1", "h2") else text or "x"
+        return f"<{tag}>{text}{inner}</{tag.split()[0]}>"
+
+    for page in pages + [f"<html><body>{''.join(tree(4) for _ in range(3))}</body></html>" for _ in range(150)]:
+        found = html_text.blocks(page)
+        html_text.weigh(found)
+        if found:
+            assert [b.text for b in html_text.select(found)] == plain_select(found)
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    spent = []
+    for n in (1000, 4000):
+        began = time.process_time()
+        html_text.main_text("<div>a, b." * n + "</div>c, d." * n)
+        spent.append(time.process_time() - began)
+    assert spent[1] < 10 * spent[0] + 0.5
+
+
 def test_broken_markup_takes_time_in_proportion():
     for bit in ("<noscript>a", "<textarea>", "<div>a", "<b hidden>a", "<a", "</p>x", "<p>x", "<li>y", "<template>z"):
         assert isinstance(html_text.main_text(bit * 3_000), str)
