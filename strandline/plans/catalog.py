@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import casts, ids, similarity, text
@@ -333,6 +333,103 @@ def parse_sanadset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hadiths.select("source_id", "matn_ar", "isnad_raw_ar", "grade")
 
 
+def _named(spark: SparkSession, files: DataFrame, where: str, end: str) -> str:
+    """Writes each row (name, value) as a file of that name with the given ending, into a new folder."""
+    root = folder(spark, where)
+    files.write.partitionBy("name").text(f"{root}-parts")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for part in system.globStatus(path(f"{root}-parts/name=*/part-*")):
+        name = part.getPath().getParent().getName().removeprefix("name=")
+        system.rename(part.getPath(), path(f"{root}/{name}{end}"))
+    system.deleteOnExit(path(f"{root}-parts"))
+    return root
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as items of files of two hundred: k, the file's number b, and texts."""
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.expr("c_custkey div 200").cast("string").alias("b"), "c_name", "c_mktsegment", "c_nationkey")
+
+
+def _list(item: Column) -> Column:
+    return F.to_json(F.array_sort(F.collect_list(item)))
+
+
+@query("""SELECT 'thaqalayn:' || CASE WHEN b % 2 = 0 THEN 'the_book_' || b ELSE 'other' END || ':' || b || ':' || k AS source_id, c_name AS matn_en, c_mktsegment AS matn_ar, CASE WHEN k % 3 > 0 THEN 'sahih' END AS grade, c_nationkey::INTEGER AS chapter_number, 'shia' AS sect
+FROM (SELECT *, c_custkey AS k, c_custkey // 200 AS b FROM customer)""")
+def parse_thaqalayn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Books in files of both shapes, wrapped with a name and plain lists, with each field under either of its names."""
+    rows, k = _customers(spark, sf_dir), F.col("k")
+    odd, own = k % 2 == 1, F.lit(None).cast("string")
+    item = F.struct(
+        F.when(odd, k).alias("hadithNumber"), F.when(~odd, k).alias("id"), F.when(odd, F.col("c_name")).alias("textEn"), F.when(~odd, F.col("c_name")).alias("englishText"), F.when(odd, F.col("c_mktsegment")).alias("textAr"),
+        F.when(~odd, F.col("c_mktsegment")).alias("arabicText"), F.when(odd & (k % 3 > 0), "sahih").alias("grade"), F.when(~odd & (k % 3 > 0), "sahih").alias("majlisiGrading"), F.col("c_nationkey").alias("chapterNumber"), F.lit("Other").alias("book"), own.alias("bookName"),
+    )
+    files = rows.groupBy("b").agg(_list(item).alias("items"))
+    value = F.when(F.col("b").cast("int") % 2 == 0, F.concat(F.lit('{"bookName": "The Book, '), "b", F.lit('", "data": '), "items", F.lit("}"))).otherwise(F.col("items"))
+    root = _named(spark, files.select(F.concat(F.lit("book_"), "b").alias("name"), value.alias("value")), "thaqalayn", ".json")
+    return parsers.thaqalayn(spark, f"{root}/*.json").select("source_id", "matn_en", "matn_ar", "grade", "chapter_number", "sect")
+
+
+@query("""SELECT 'fawaz:c' || (c_custkey // 200) || ':' || c_custkey AS source_id, CASE WHEN c_custkey % 3 <> 0 THEN c_name END AS matn_en, CASE WHEN c_custkey % 3 <> 1 THEN c_mktsegment END AS matn_ar,
+CASE WHEN (c_custkey // 200) % 2 = 0 THEN 'shia' ELSE 'sunni' END AS sect FROM customer""")
+def parse_fawaz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English and Arabic editions: a third of the numbers in one of them only; the sect is in the edition's name."""
+    k = F.col("k")
+    both = []
+    for lang, value, there in (("eng", "c_name", k % 3 != 0), ("ara", "c_mktsegment", k % 3 != 1)):
+        item = F.struct(k.alias("hadithnumber"), F.col(value).alias("text"), F.array().cast("array<struct<name:string,grade:string>>").alias("grades"))
+        name = F.when(F.col("b").cast("int") % 2 == 0, F.concat(F.lit("Al-Kafi "), "b")).otherwise(F.concat(F.lit("Sahih "), "b"))
+        files = _customers(spark, sf_dir).where(there).groupBy("b").agg(F.array_sort(F.collect_list(item)).alias("hadiths"))
+        both.append(files.select(F.concat(F.lit(f"{lang}-c"), "b").alias("name"), F.to_json(F.struct(F.struct(name.alias("name")).alias("metadata"), "hadiths")).alias("value")))
+    root = _named(spark, both[0].union(both[1]), "fawaz", ".json")
+    return parsers.fawaz(spark, root).select("source_id", "matn_en", "matn_ar", "sect")
+
+
+@query("""SELECT 'sunnah:c' || (c_custkey // 200) || ':' || c_nationkey || ':' || c_custkey AS source_id, c_name AS matn_en, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS matn_ar,
+CASE c_custkey % 3 WHEN 1 THEN 'sahih' WHEN 2 THEN '["sahih","hasan"]' END AS grade FROM customer""")
+def parse_sunnah_api(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of an API: bodies in both languages or one plain body, no grade, one, or a list."""
+    k = F.col("k")
+    body = lambda lang, value: F.struct(F.lit(lang).alias("lang"), F.col(value).alias("body"))
+    grade = lambda *g: F.array(*(F.struct(F.lit(x).alias("grade")) for x in g))
+    grades = F.when(k % 3 == 1, grade("sahih")).when(k % 3 == 2, grade("sahih", "hasan"))
+    item = F.struct(k.cast("string").alias("hadithNumber"), F.col("c_nationkey").cast("string").alias("bookNumber"), F.when(k % 2 == 0, F.array(body("en", "c_name"), body("ar", "c_mktsegment"))).alias("hadith"), F.when(k % 2 == 1, F.col("c_name")).alias("body"), grades.alias("grades"))
+    files = _customers(spark, sf_dir).groupBy("b").agg(_list(item).alias("value"))
+    root = _named(spark, files.select(F.concat(F.lit("c"), "b", F.lit("_hadiths")).alias("name"), "value"), "api", ".json")
+    return parsers.sunnah_api(spark, root).select("source_id", "matn_en", "matn_ar", "grade")
+
+
+@query("""SELECT 'sunnah:c' || (c_custkey // 200) || ':' || c_nationkey || ':0:' || c_custkey AS source_id, c_name AS matn_en, CASE WHEN c_custkey % 2 = 0 THEN 'sahih' ELSE '["sahih","hasan"]' END AS grade, c_mktsegment AS chapter_name_en FROM customer""")
+def parse_sunnah_scraped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scraped lists beside their manifest; grades in one string."""
+    k = F.col("k")
+    item = F.struct(k.cast("string").alias("hadith_number"), F.col("c_nationkey").cast("string").alias("book_number"), F.col("c_name").alias("text_en"), F.when(k % 2 == 0, "sahih").otherwise("sahih; hasan").alias("grade"), F.col("c_mktsegment").alias("chapter_name_en"))
+    files = _customers(spark, sf_dir).groupBy("b").agg(_list(item).alias("value")).select(F.concat(F.lit("c"), "b").alias("name"), "value")
+    manifest = files.groupBy().agg(F.lit("manifest").alias("name"), F.to_json(F.collect_list(F.struct(F.col("name").alias("hadith_number")))).alias("value"))
+    root = _named(spark, files.union(manifest), "scraped", ".json")
+    return parsers.sunnah_scraped(spark, root).select("source_id", "matn_en", "grade", "chapter_name_en")
+
+
+@query("""SELECT 'open_hadith:c' || (c_custkey // 200) || ':' || CASE WHEN c_custkey % 4 > 0 THEN c_custkey ELSE row_number() OVER (PARTITION BY c_custkey // 200 ORDER BY c_custkey) END AS source_id, c_name AS matn_ar, 'sunni' AS sect FROM customer""")
+def parse_open_hadith(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files without a header and with a suffix for vocalised texts; every fourth number is missing, so it is the row's place."""
+    line = F.concat(F.when(F.col("k") % 4 > 0, F.col("k").cast("string")).otherwise(F.lit("")), F.lit(',"'), "c_name", F.lit('"'))
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", line.alias("line")))), lambda x: x["line"]), "\n")
+    files = _customers(spark, sf_dir).groupBy("b").agg(lines.alias("value")).select(F.concat(F.lit("c"), "b", F.lit("-tashkeel")).alias("name"), "value")
+    return parsers.open_hadith(spark, _named(spark, files, "open", ".csv")).select("source_id", "matn_ar", "sect")
+
+
+@query(f"""WITH p AS ({_PAIRS_SQL}) SELECT l_orderkey::VARCHAR AS hadith_id, from_id::VARCHAR AS from_external_id, to_id::VARCHAR AS to_external_id, a.s_name AS from_narrator_name, b.s_name AS to_narrator_name
+FROM p JOIN supplier a ON a.s_suppkey = from_id JOIN supplier b ON b.s_suppkey = to_id WHERE from_id <> to_id""")
+def parse_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges between neighbours of comma-separated chains, one for each order."""
+    ordered = chains.ordered_ids(table(spark, sf_dir, "lineitem"), "l_orderkey", ORDER, "l_suppkey")
+    hadiths = ordered.select(F.col("l_orderkey").cast("string").alias("id"), F.array_join(F.col("member_ids").cast("array<string>"), ", ").alias("narrator_ids"))
+    narrators = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    return parsers.muhaddithat_edges(narrators, hadiths).select("hadith_id", "from_external_id", "to_external_id", "from_narrator_name", "to_narrator_name")
+
+
 # ---- matching ----
 
 
