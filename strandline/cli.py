@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from .operators import quality
+from .operators import validation
 from .plans import catalog, pipeline
 from .streaming import stages
 
@@ -27,7 +27,7 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--only", nargs="+", choices=stages.STAGES, default=list(stages.STAGES))
     staging = commands.add_parser("validate-staging", help="profile of the staging tables against a baseline")
     staging.add_argument("folder")
-    staging.add_argument("--baseline", help="JSON object of expected row counts")
+    staging.add_argument("--baseline", help="JSON object of expected row counts, or of metrics, by table")
     staging.add_argument("--drift-tolerance", type=float, default=30.0)
     staging.add_argument("--strict", action="store_true", help="fail if a table drifts")
     staging.add_argument("--output-json")
@@ -49,16 +49,17 @@ def _staging(spark: SparkSession, args: argparse.Namespace) -> int:
     expected = json.loads(Path(args.baseline).read_text()) if args.baseline else {}
     pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{args.folder}/*.parquet")
     found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
-    tables = sorted(f.getPath().toString() for f in found)
-    counts = {p.rsplit("/", 1)[-1].removesuffix(".parquet"): spark.read.parquet(p).count() for p in tables}
-    now, before = ([(k, int(v)) for k, v in x.items()] for x in (counts, expected))
-    kinds = "metric string, value long"
-    drifted = quality.drift(spark.createDataFrame(now, kinds), spark.createDataFrame(before, kinds), args.drift_tolerance).collect()
-    report = {"rows": counts, "drift": [r.asDict() for r in drifted], "passed": all(r["ok"] for r in drifted)}
-    print(json.dumps(report))
+    paths = {p.rsplit("/", 1)[-1].removesuffix(".parquet"): p for p in (f.getPath().toString() for f in found)}
+    rows = {}
+    for name, path in paths.items():
+        before = expected.get(name)
+        baseline = before if isinstance(before, dict) else {} if before is None else {"row_count": before}
+        rows[name] = validation.validate(spark.read.parquet(path), validation.table_of(name), baseline, args.drift_tolerance).collect()
+    result = validation.report(rows, args.strict)
+    print(validation.as_json(result))
     if args.output_json:
-        Path(args.output_json).write_text(json.dumps(report))
-    return int(args.strict and not report["passed"])
+        Path(args.output_json).write_text(validation.as_json(result))
+    return int(not result["passed"])
 
 
 def _reset(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import casts, ids, similarity, text
-from ..operators import analytics, chains, embedding, graph, matching, parallels, quality, vector_index
+from ..operators import analytics, chains, embedding, graph, matching, parallels, quality, validation, vector_index
 from ..sources import parsers, readers, schemas
 from .lineage import cut, folder, stored
 
@@ -287,6 +287,36 @@ def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.conform(rows, "hadiths")
 
 
+@query(f"""WITH c AS (SELECT concat_ws(':', 'sunnah', role, conv_id, turn) AS sid, * FROM conversations), m AS (SELECT count(*) AS n, count(*) - count(DISTINCT sid) AS d, count(*) FILTER (trim(coalesce(text, ''), E' \\t\\n\\r') = '') AS e FROM c),
+r AS (SELECT unnest([{{'c': 'row_count', 's': CASE WHEN n > 0 THEN 'PASS' ELSE 'FAIL' END, 'v': n::DOUBLE}}, {{'c': 'schema_conformance', 's': 'PASS', 'v': 0}},
+    {", ".join(f"{{'c': 'null_check_{c}', 's': 'PASS', 'v': 0}}" for c in ("source_id", "source_corpus", "collection_name", "sect"))},
+    {{'c': 'duplicate_ids', 's': CASE WHEN d = 0 THEN 'PASS' ELSE 'WARN' END, 'v': d}}, {{'c': 'empty_matn_ar', 's': 'WARN', 'v': n}}, {{'c': 'empty_matn_en', 's': CASE WHEN e * 100.0 / n < 50 THEN 'PASS' ELSE 'WARN' END, 'v': e}},
+    {{'c': 'book_coverage', 's': 'PASS', 'v': 100}}, {{'c': 'chapter_coverage', 's': 'PASS', 'v': 0}}, {{'c': 'drift_row_count', 's': CASE WHEN abs(n - 400) <= 120 THEN 'PASS' ELSE 'DRIFT' END, 'v': round(abs(n - 400) * 100.0::DOUBLE / 400, 2)}}]) AS r FROM m)
+SELECT r.c AS "check", r.s AS status, r.v::DOUBLE AS value FROM r""")
+def validation_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks of staged conversations, by one aggregation, with the number of rows against a baseline of 400."""
+    return validation.validate(_staged(spark, sf_dir), "hadiths", {"row_count": 400})
+
+
+_LOADED_SQL = f"""WITH c AS (SELECT 'hdt:' || concat_ws(':', 'sunnah', role, conv_id, turn) AS hid, 'grd:' || concat_ws(':', 'sunnah', role, conv_id, turn) AS gid, 'col:sunnah:' || role AS cid, role, conv_id::INTEGER AS book, turn::INTEGER AS number, text, CASE WHEN turn % 2 = 0 THEN 'sahih' END AS grade FROM conversations),
+every AS (SELECT 'Hadith' AS label, hid AS id, {_json_sql(matn_en="text", isnad_raw_en="text", grade="grade", grade_normalized="coalesce(grade, 'unknown')", source_corpus="'sunnah'", sect="'sunni'", collection_name="role")} AS props FROM c
+UNION ALL SELECT 'Grading', gid, {_json_sql(hadith_id="hid", grade="grade", grade_normalized="grade", scholar_name="role")} FROM c WHERE grade IS NOT NULL
+UNION ALL SELECT 'Collection', cid, {_json_sql(name_en="any_value(role)", sect="'sunni'", total_hadiths="count(*)::INTEGER", source_corpus="'sunnah'")} FROM c GROUP BY cid
+UNION ALL SELECT 'APPEARS_IN', hid || '>' || cid, {_json_sql(book_number="book", hadith_number_in_book="number")} FROM c UNION ALL SELECT 'GRADED_BY', hid || '>' || gid, '{{}}' FROM c WHERE grade IS NOT NULL)
+SELECT label, id, name, json_extract_string(props, '$."' || coalesce(nullif(name, ''), 'none') || '"') AS value FROM (SELECT *, unnest(CASE WHEN props = '{{}}' THEN [''] ELSE json_keys(props) END) AS name FROM every)"""
+
+
+@query(_LOADED_SQL)
+def load_nodes_and_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each property of the nodes and edges that the loaders make of staged conversations and their collections; a row without a
+    name for those that have none."""
+    staged = _staged(spark, sf_dir)
+    nodes = graph.hadiths(staged).union(graph.gradings(staged)).union(graph.collections(parsers.collections(staged)))
+    edges = graph.appears_in(staged).union(graph.graded_by(staged)).select("label", F.concat("src_id", F.lit(">"), "dst_id").alias("id"), "props")
+    found = nodes.union(edges).select("label", "id", F.explode_outer(F.from_json("props", "map<string,string>")).alias("name", "value"))
+    return found.withColumn("name", F.coalesce("name", F.lit("")))
+
+
 # ---- parsers: files written from the tables, then parsed ----
 
 

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.operators import embedding, graph, graph_store, matching, parallels, vector_index
+from strandline.operators import chains, embedding, graph, graph_store, matching, parallels, validation, vector_index
 from strandline.plans.lineage import stored
 from strandline.streaming import once, stages
 
@@ -203,3 +203,38 @@ def test_embeddings_are_unit_vectors_and_alike_for_copies(spark):
     alike = [found[k] @ found[k + 12] for k in range(12)]
     assert min(alike) > 0.9 > max(found[a] @ found[b] for a, b in itertools.combinations(range(12), 2)) + 0.2
     assert embedding.embed(rows.limit(0), "id", "text").count() == 0
+
+
+def test_validation_reads_a_table_once(spark, tmp_path, capsys):
+    from strandline import cli
+    from strandline.sources import schemas
+
+    rows = [("a:b:1", "lk", "b", "نص", "text", 1), ("a:b:1", "lk", "b", None, " \n", None), (None, "lk", "b", "latin", None, 2)]
+    df = schemas.conform(spark.createDataFrame(rows, "source_id string, source_corpus string, collection_name string, matn_ar string, matn_en string, book_number int").withColumn("sect", F.lit("sunni")), "hadiths")
+    df.write.parquet(f"{tmp_path}/s/hadiths_lk.parquet")
+    read = spark.read.parquet(f"{tmp_path}/s/hadiths_lk.parquet")
+    found = validation.validate(read, validation.table_of("hadiths_lk"), {"row_count": 2})
+    assert {r["check"]: (r["status"], r["value"]) for r in found.collect()} == {
+        "row_count": ("PASS", 3.0), "schema_conformance": ("PASS", 0.0), "null_check_source_id": ("FAIL", 33.33), "null_check_source_corpus": ("PASS", 0.0), "null_check_collection_name": ("PASS", 0.0), "null_check_sect": ("PASS", 0.0),
+        "duplicate_ids": ("WARN", 1.0), "arabic_encoding_matn_ar": ("WARN", 50.0), "empty_matn_ar": ("PASS", 1.0), "empty_matn_en": ("WARN", 2.0), "book_coverage": ("PASS", 66.67), "chapter_coverage": ("PASS", 0.0), "drift_row_count": ("DRIFT", 50.0),
+    }
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    nothing = {r["check"]: r["status"] for r in validation.validate(read.limit(0).drop("grade"), "hadiths").collect()}
+    assert nothing["row_count"] == nothing["schema_conformance"] == "FAIL" and "duplicate_ids" not in nothing and "book_coverage" not in nothing
+    (tmp_path / "base.json").write_text(json.dumps({"hadiths_lk": 3}))
+    assert cli.main(["validate-staging", f"{tmp_path}/s", "--baseline", f"{tmp_path}/base.json", "--output-json", f"{tmp_path}/out.json"], spark) == 1
+    written = json.loads((tmp_path / "out.json").read_text())
+    assert not written["passed"] and len(written["files"]["hadiths_lk"]["checks"]) == 13
+
+
+def test_mentions_of_all_corpora_in_their_order(spark):
+    """Parsed mentions where there are some, else those cut from chains; corpora without either are left out."""
+    hadith = "source_id string, source_corpus string, isnad_raw_en string, isnad_raw_ar string, full_text_en string, full_text_ar string"
+    sunnah = spark.createDataFrame([("sunnah:b:1", "sunnah", "Umar from Zayd", None, None, None), ("sunnah:b:2", "sunnah", None, None, "Ali from Amr", None)], hadith)
+    given = spark.createDataFrame([("sanadset:mention:s:0", "s", "sanadset", 0, "x", None, "x", None)], "mention_id string, source_hadith_id string, source_corpus string, position_in_chain int, name_ar string, name_en string, name_ar_normalized string, transmission_method string")
+    found = chains.consolidate({"sunnah": sunnah}, {"sanadset": given}).orderBy("src_ord", "hadith_id", "position_in_chain").collect()
+    assert [(r["hadith_id"], r["source_corpus"], r["position_in_chain"], r["name_raw"]) for r in found] == [
+        ("s", "sanadset", 0, "x"), ("sunnah:b:1", "sunnah", 0, "Umar"), ("sunnah:b:1", "sunnah", 1, "Zayd"), ("sunnah:b:2", "sunnah", 0, "Ali"), ("sunnah:b:2", "sunnah", 1, "Amr"),
+    ]
+    assert {r["canonical_narrator_id"] for r in found} == {None} and found[0]["src_ord"] < found[1]["src_ord"]
