@@ -5,7 +5,9 @@ documents outside the patterns, and identifiers: neighbouring words of these doc
 join them (camelCase, snake_case, CONSTANTS, paths). Random are the values that the patterns find there and generated keys of
 each usual alphabet. The sample holds ``sample`` documents or about so, chosen by hash; its
 counts are at most two alphabets squared, whatever the corpus. A long word is a secret of kind ``random`` if its
-log-likelihood ratio and its mean per character pass both thresholds, a higher mean for letters of one case; numbers aren't judged. Pattern spans always stay.
+log-likelihood ratio and its mean per character pass both thresholds, a higher mean for letters of one case. Not judged are numbers,
+UUIDs, words of few different characters or of characters in order, and words of three or more parts that are each short or letters with a
+number after them, as in names of platforms and in dates. Pattern spans always stay.
 
 Defined results: a null or empty text has no spans; null ids and repeated rows are scanned each; further columns are
 ignored; an empty table gives no rows. Texts are read whole, one at a time in memory.
@@ -96,7 +98,9 @@ def identifier(words: Sequence[str], style: int) -> str:
         return "".join(w.capitalize() for w in lower)
     if style == 2:
         return "".join(w.upper() if len(w) < 4 else w.capitalize() for w in lower)
-    return ("_".join(lower), "_".join(lower).upper(), "-".join(lower), "/" + "/".join(lower), lower[0].upper() + str(19 + len(words)) + "".join(w.capitalize() for w in lower[1:]))[style - 3]
+    number, at = str(sum(map(len, lower))), len(lower[-1]) % len(lower)
+    numbered = "".join(w.capitalize() + number * (k == at) for k, w in enumerate(lower))
+    return ("_".join(lower), "_".join(lower).upper(), "-".join(lower), "/" + "/".join(lower), numbered)[style - 3]
 
 
 STYLES = 8
@@ -140,10 +144,6 @@ def train(documents: DataFrame, sample: int = 2000, generated: int = 8000) -> li
         digits = str(draw.randint(0, 99)) if k % 5 == 0 else ""
         for p in _pairs(identifier(draw.choices(PARTS, k=draw.randint(2, 5)), k % STYLES) + digits):
             counts[0][p] += 1
-        if k % 10 == 0:  # words with dates
-            day = f"{draw.randint(1990, 2040)}-{draw.randint(1, 12):02}-{draw.randint(1, 31):02}"
-            for p in _pairs(f"{day}T{draw.randint(0, 23):02}-{draw.randint(0, 59):02}-{draw.randint(0, 59):02}Z" if k % 20 else f"{draw.choice(PARTS)}-{day}"):
-                counts[0][p] += 1
     logs = []
     for own in counts:
         single = [sum(own[now::_SIZE]) + 0.5 for now in range(_SIZE)]
@@ -157,13 +157,31 @@ def train(documents: DataFrame, sample: int = 2000, generated: int = 8000) -> li
     return [b - a for a, b in zip(*logs, strict=True)]
 
 
+_UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+_PARTS = re.compile(r"[-_/=+]+")
+_PLAIN = re.compile(r"[A-Za-z]?[a-z]*[0-9]{0,4}|[A-Z]+[0-9]{0,4}|.{0,5}")
+#: Different characters that a secret has at least; parts of a word that are enough to tell a name by.
+LEAST_DIFFERENT, NAME_PARTS = 7, 3
+
+
+def ordinary(word: str) -> bool:
+    """Whether a long word is no key by its shape alone."""
+    if len(set(word)) < LEAST_DIFFERENT or _UUID.fullmatch(word):
+        return True
+    steps = [ord(b) - ord(a) for a, b in zip(word, word[1:], strict=False)]
+    if 2 * max(steps.count(1), steps.count(-1)) >= len(steps):
+        return True
+    parts = [p for p in _PARTS.split(word) if p]
+    return len(parts) >= NAME_PARTS and all(_PLAIN.fullmatch(p) for p in parts)
+
+
 def random_spans(text: str, spans: list[Span], ratio: list[float], least: float, least_mean: float, least_plain: float) -> list[Span]:
     """Spans of kind ``random`` outside the given ones: words with letters whose ratio passes the thresholds."""
     found, covered = [], _Covered(spans)
     for m in TOKEN.finditer(text):
         word = m[0]
         score = sum(map(ratio.__getitem__, _pairs(word)))
-        if score < least or score < least_mean * len(word) or not any(c.isalpha() for c in word):
+        if score < least or score < least_mean * len(word) or not any(c.isalpha() for c in word) or ordinary(word):
             continue
         mixed = any(c.isdigit() for c in word) or word[1:].lower() != word[1:] != word[1:].upper()
         if (mixed or score >= least_plain * len(word)) and not covered.touches(m.start(), m.end()):

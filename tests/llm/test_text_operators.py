@@ -343,6 +343,22 @@ def test_pages_give_their_articles(spark):
     assert alone >= 0.7 * len(pages)
 
 
+def test_secrets_of_unseen_shapes(spark):
+    """Names, stamps and identifiers of shapes that the training doesn't make, and keys of a generator of its own."""
+    import base64
+    import uuid
+
+    rng = random.Random(77)
+    ratio = secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    hit = lambda word: bool(secrets.random_spans(word, [], ratio, 10.0, 0.45, 0.8))
+    quiet = ["sha512-x86_64-linux-gnu", "aarch64-unknown-linux-gnu", "A" * 20, "x" * 20, "abab" * 6, "=" * 30, "-" * 40, "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnop", "2024-01-31T10-20-30Z", "v1_2_3-beta4_build567", "0123456789abcdef0123"]
+    quiet += [str(uuid.UUID(int=rng.getrandbits(128))) for _ in range(40)] + [str(uuid.UUID(int=rng.getrandbits(128))).upper() for _ in range(40)]
+    assert [w for w in quiet if hit(w)] == []
+    raw = [rng.randbytes(rng.randint(18, 40)) for _ in range(300)]
+    keys = [base64.b64encode(r).decode() for r in raw] + [base64.urlsafe_b64encode(r).decode() for r in raw] + [base64.b32encode(r).decode() for r in raw] + ["sk_live_" + r.hex().upper() for r in raw]
+    assert sum(map(hit, keys)) >= 0.95 * len(keys)
+
+
 COMMENT = "<div class=c><p>I think, for one, that number {} is great.</p></div>"
 
 
