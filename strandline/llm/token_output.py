@@ -5,8 +5,8 @@
 ids are dictionary-coded; the sorted number columns are delta-coded. Row groups and pages are small and indexed, so
 a reader with a document or a column in mind skips the rest. ``read`` adds each file's place in the stream.
 
-Defined results: a null text has only the end id; null ids of documents come first; equal ids come in order of text;
-further columns are ignored; an empty table gives an empty table. Very long texts need memory for one text.
+Defined results: a null text has only the end id; null ids of documents come first; rows with the same id follow each other in
+any order; further columns are ignored; an empty table gives an empty table. Very long texts need memory for one text.
 """
 
 from __future__ import annotations
