@@ -5,8 +5,8 @@ centroid, in Parquet sorted by cell, beside a table of the cells. A search looks
 without a number of cells to probe it looks into all that can hold a partner at the threshold, so it is exact. That follows from
 angles: no member of a cell is nearer to a query than the centroid's angle less the widest angle of the cell.
 
-Cells are cut into parts of bounded size, and the queries of a cell too, so a cell that holds a third of all vectors is
-many groups. There are at most ``MOST_CELLS`` cells, whose table fits any machine; more vectors make larger cells, in more parts.
+Cells are cut into parts of bounded size, which stand on shelves, and the queries are cut into parts too, so a cell that holds a third of
+all vectors is many groups, and a query that wants all cells is copied once for each shelf. There are at most ``MOST_CELLS`` cells, whose table fits any machine; more vectors make larger cells, in more parts.
 """
 
 from __future__ import annotations
@@ -15,13 +15,14 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import partners
+
 MOST_CELLS, BLOCK_ROWS = 1 << 15, 2048
 
 
@@ -87,55 +88,60 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else values.reshape(0, 1)
 
 
-def search(index: Index, queries: DataFrame, key: str, vector: str, keep: Callable[[DataFrame], DataFrame], k: int = 50, threshold: float = -1.0, probes: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def search(index: Index, queries: DataFrame, key: str, vector: str, keep: Callable[[DataFrame], DataFrame], k: int = 50, threshold: float = -1.0, probes: int | None = None, block_rows: int = partners.PART_ROWS) -> DataFrame:
     """(id, partner, score, rank): the ``k`` best partners of each query with at least the threshold, by score and id, never itself.
 
-    ``probes``: how many of the nearest cells a query looks into; None: all that can hold such a partner.
+    ``probes``: how many of the nearest cells a query looks into; None: all that can hold such a partner. Cells stand on shelves in
+    order, large ones in parts on several. A query goes to each shelf with a cell that it wants once, however many it wants there.
     """
-    told = sorted(index.cells.collect(), key=lambda r: r["cell"])  # bounded by MOST_CELLS
-    kind = dict(queries.dtypes)[key]
-    if not told:
+    cells = sorted(index.cells.collect(), key=lambda r: r["cell"])  # bounded by MOST_CELLS
+    if not cells:
         return queries.limit(0).select(F.col(key).alias("id"), F.col(key).alias("partner"), F.lit(0.0).alias("score"), F.lit(1).alias("rank"))
-    names = np.array([r["cell"] for r in told], np.int32)
-    centers, widest = np.array([r["center"] for r in told]), np.arccos(np.clip([r["least"] for r in told], -1, 1))
+    names, n, parts = (np.array([r[c] for r in cells], np.int64) for c in ("cell", "n", "parts"))
+    centers, widest = np.array([r["center"] for r in cells]), np.arccos(np.clip([r["least"] for r in cells], -1, 1))
+    on = partners.shelf_rows(centers.shape[1], block_rows)
+    before = np.cumsum(n) - n
+    first, last = before // on, (before + (parts - 1) * n // parts) // on
+    shelves = int(last.max()) + 1
+    from_cell, to_cell = np.searchsorted(last, np.arange(shelves), "left"), np.searchsorted(first, np.arange(shelves), "right")
+
+    def wants(matrix: np.ndarray) -> np.ndarray:
+        product = matrix.astype(np.float64) @ centers.T
+        if probes is not None:
+            wanted = np.zeros(product.shape, bool)
+            np.put_along_axis(wanted, np.argsort(-product, axis=1, kind="stable")[:, :probes], True, axis=1)
+            return wanted
+        length = np.maximum(np.linalg.norm(matrix.astype(np.float64), axis=1, keepdims=True), 1e-12)
+        angle = np.maximum(np.arccos(np.clip(product / length, -1, 1)) - widest[None, :], 0)
+        return np.cos(angle) * length >= threshold - 1e-6
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, (1 << 22) // len(centers))
         for batch in batches:
-            matrix = _matrix(batch.column(1))
-            product = matrix @ centers.T
-            if probes is None:
-                length = np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
-                angle = np.maximum(np.arccos(np.clip(product / length, -1, 1)) - widest[None, :], 0)
-                wanted = [names[x] for x in np.cos(angle) * length >= threshold - 1e-6]
-            else:
-                wanted = names[np.argsort(-product, axis=1, kind="stable")[:, :probes]]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([list(map(int, w)) for w in wanted], pa.list_(pa.int32()))], ["id", "v", "cells"])
-
-    own = dict(queries.dtypes)[vector]
-    rows = queries.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).alias("v"))
-    probed = keep(rows.mapInArrow(probe, f"id {kind}, v {own}, cells array<int>"))
-    load_ = probed.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("query_parts"))
-    sizes = F.broadcast(index.cells.select("cell", "parts").join(load_, "cell"))  # a row for each cell
-    asked = probed.select("id", "v", F.explode("cells").alias("cell")).join(sizes, "cell")
-    asked = asked.select("id", "v", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.pmod(F.xxhash64("id"), F.col("query_parts")).cast("int").alias("query_part"))
-    held = index.vectors.join(sizes, "cell").select("id", "v", "cell", "part", F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1)).alias("query_part"))
-
-    def best(asking: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(asking) and len(there):
-            there = there.sort_values("id", kind="stable")
-            product = np.stack(asking["v"].to_numpy()).astype(np.float64) @ np.stack(there["v"].to_numpy()).astype(np.float64).T
-            ids = there["id"].to_numpy()
-            for row, i in enumerate(asking["id"].to_numpy()):
-                good = np.flatnonzero((product[row] >= threshold) & (ids != i))
-                good = good[np.argsort(-product[row, good], kind="stable")[:k]]
-                out.append(pd.DataFrame({"id": i, "partner": ids[good], "score": product[row, good]}))
-        return pd.concat(out) if out else pd.DataFrame({"id": asking["id"].iloc[:0], "partner": there["id"].iloc[:0], "score": np.zeros(0)})
-
-    by = ["cell", "part", "query_part"]
-    each = asked.groupBy(*by).cogroup(held.groupBy(*by)).applyInPandas(best, f"id {kind}, partner {kind}, score double")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.col("score").desc(), "partner"))
-    return each.withColumn("rank", rank).where(F.col("rank") <= k)
+            for low in range(0, batch.num_rows, step):
+                few = batch.slice(low, step)
+                sums = np.pad(np.cumsum(wants(partners.matrix(few.column(1))[0]), axis=1), ((0, 0), (1, 0)))
+                rows, shelf = np.nonzero(sums[:, to_cell] > sums[:, from_cell])
+                taken = few.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(shelf.astype(np.int32))], ["id", "v", "shelf"])
+
+    kind, own = dict(queries.dtypes)[key], dict(queries.dtypes)[vector]
+    rows = keep(queries.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).alias("v")))
+    query_parts = max(1, -(-rows.count() // block_rows))
+    asked = rows.mapInArrow(probe, f"id {kind}, v {own}, shelf int").withColumn("query_part", F.pmod(F.xxhash64("id"), F.lit(query_parts)).cast("int"))
+    stands = rows.sparkSession.createDataFrame([tuple(map(int, r)) for r in zip(names, before, n, parts)], "cell int, before long, n long, parts int")
+    shelf = F.floor((F.col("before") + F.floor(F.col("part") * F.col("n") / F.col("parts"))) / on).cast("int")
+    held = index.vectors.join(F.broadcast(stands), "cell").select("id", "v", "cell", shelf.alias("shelf"), F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))).alias("query_part"))
+
+    def work(asking: pa.Table, there: pa.Table) -> pa.Table:
+        there = there.sort_by("cell")
+        cell = there["cell"].to_numpy()
+        starts = np.flatnonzero(np.diff(cell, prepend=-1)) if len(cell) else np.zeros(0, np.int64)
+        places = np.searchsorted(names, cell[starts])
+        runs = list(zip(starts.tolist(), [*starts[1:].tolist(), len(cell)], strict=True)) if len(cell) else []
+        return partners.told(asking, there, partners.best(asking, there, k, threshold, runs, lambda m: wants(m)[:, places]))
+
+    return partners.ranked(partners.meet(asked, held, ["query_part", "shelf"], query_parts * shelves, work), k)
 
 
 def pairs(found: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.operators import chains, embedding, graph, graph_store, matching, parallels, validation, vector_index
+from strandline.operators import chains, embedding, graph, graph_store, matching, parallels, partners, validation, vector_index
 from strandline.plans.lineage import stored
 from strandline.streaming import once, stages
 
@@ -59,6 +59,39 @@ def test_few_probes_find_nine_in_ten(spark, index):
     assert len(found & want) >= 0.9 * len(want) and read.cells.count() >= 2 * 10
 
 
+def test_groups_are_bounded_and_keep_the_best_only(spark, index, monkeypatch):
+    """A query that wants every cell goes to each shelf once, and no more than its best leave a group."""
+    v, rows, path = index
+    monkeypatch.setattr(partners, "SHELF_NUMBERS", 24 * 200)
+    sizes, meet = [], partners.meet
+
+    def counted(asked, held, by, groups, work):
+        each = meet(asked, held, by, groups, work)
+        sizes.append((asked.count(), held.groupBy(*by).count().agg(F.max("count")).first()[0], each.count()))
+        return each
+
+    monkeypatch.setattr(partners, "meet", counted)
+    found = vector_index.search(vector_index.load(spark, path), rows, "id", "v", stored, k=5, threshold=-1.0, block_rows=100)
+    assert {(r["id"], r["partner"]) for r in found.collect()} == plain_best(v, 5, -1.0)
+    exact = partners.within(rows.where("v IS NOT NULL").select("id", "v", F.lit(0).alias("of")), 5, -1.0, part_rows=100)
+    assert {(r["id"], r["partner"]) for r in exact.collect()} == plain_best(v, 5, -1.0)
+    for asked, largest, left in sizes:
+        assert asked <= 1200 * 7 and largest <= 2 * 200 and left <= 5 * asked
+
+
+def test_partners_of_copies_come_by_id_and_null_vectors_last(spark):
+    """Equal vectors have equal scores wherever they stand in a group, so ids decide; a group with a label of its own."""
+    v = np.random.default_rng(4).standard_normal((3, 7))
+    rows = [(k, v[k % 3].tolist(), k % 2) for k in range(300)] + [(k, None, 2) for k in (900, 901, 902)] + [(903, v[0].tolist(), 2), (904, v[0].tolist(), None)]
+    found = {}
+    for r in partners.within(spark.createDataFrame(rows, "id long, v array<double>, of int"), 2).orderBy("id", "rank").collect():
+        found.setdefault(r["id"], []).append(r["partner"])
+    score = lambda a, b: -np.inf if rows[a][1] is None or rows[b][1] is None else sum(x * y for x, y in zip(rows[a][1], rows[b][1]))
+    for a, (k, _, of) in enumerate(rows):
+        others = sorted((b for b in range(len(rows)) if b != a and rows[b][2] == of and of is not None), key=lambda b: (-score(a, b), rows[b][0]))
+        assert found.get(k, []) == [rows[b][0] for b in others[:2]]
+
+
 def test_index_of_nothing_and_of_one(spark, tmp_path):
     none = spark.createDataFrame([], "id long, v array<double>")
     for n, rows in enumerate((none, spark.createDataFrame([(7, [1.0, 0.0])], none.schema), spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0])], none.schema))):
