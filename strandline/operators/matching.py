@@ -58,21 +58,42 @@ def deletions(word: Column, most: int = MAX_DISTANCE) -> Column:
     return F.array_distinct(F.concat(*levels))
 
 
+def masks(word: Column, most: int = MAX_DISTANCE) -> Column:
+    """The strings that ``most`` letters of the word, each replaced by a mark, leave in their places."""
+
+    def marked(w: Column) -> Column:
+        places = F.when(F.length(w) > 0, F.sequence(F.lit(1), F.length(w))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.lit("\0"), F.substring(w, i + 1, F.length(w))))
+
+    level = F.array(word)
+    for _ in range(most):
+        level = F.array_distinct(F.flatten(F.transform(level, marked)))
+    return level
+
+
 def within_deletions(names: DataFrame, others: DataFrame, a: str, b: str, most: int = MAX_DISTANCE) -> DataFrame:
     """All pairs of a row of ``names`` and one of ``others`` whose strings ``a`` and ``b`` are at most ``most`` edits apart.
 
-    Two such strings have a string in common that at most so many deletions leave of each, so they are joined on hashes of these
-    and on lengths, and the distance decides. Distinct strings are joined, then the rows. There are no blocks by first letters; a
-    string of n letters has about n * n / 2 keys.
+    If all edits replace letters, the strings agree but for at most so many marked places; else a letter is put in or left out, and
+    one of the two needs a deletion less than ``most`` to reach a string that the deletions leave of both. They are joined on hashes of
+    these, and the distance decides, before a pair that shares many is made one. Distinct strings are joined, then the rows. There are no
+    blocks by first letters; a string of n letters has about n * n keys. Spark takes the keys for a table as small as the strings
+    and would broadcast them, through the driver, or join them in one task, so the join is told to merge, in tasks by the number of strings.
     """
     x, y = names.select(a).where(F.col(a).isNotNull()).distinct(), others.select(b).where(F.col(b).isNotNull()).distinct()
+    tasks = max(1, -(-(x.count() + y.count()) // 1000))
+
+    def hashed(kind: Column) -> Callable[[Column], Column]:
+        return lambda d: F.xxhash64(kind, d)
 
-    def keyed(df: DataFrame, c: str) -> DataFrame:
-        return df.select(c, F.explode(F.array_distinct(F.transform(deletions(F.col(c), most), lambda d: F.xxhash64(d)))).alias("key"))
+    def keyed(df: DataFrame, c: str, left: int, right: int) -> DataFrame:
+        kinds = [masks(F.col(c), most), deletions(F.col(c), left), deletions(F.col(c), right)]
+        keys = [F.transform(kind, hashed(F.lit(n))) for n, kind in enumerate(kinds)]
+        return df.repartition(tasks, c).select(c, F.explode(F.array_distinct(F.concat(*keys))).alias("key")).repartition(tasks, "key")
 
-    met = keyed(x, a).join(keyed(y, b), "key").where(F.abs(F.length(a) - F.length(b)) <= most).select(a, b).distinct()
-    near = met.where(similarity.within_distance(F.col(a), F.col(b), most))
-    return names.join(near, a).join(others, b)
+    met = keyed(x, a, most - 1, most).join(keyed(y, b, most, most - 1).hint("merge"), "key").where(F.abs(F.length(a) - F.length(b)) <= most)
+    near = met.where(similarity.within_distance(F.col(a), F.col(b), most)).select(a, b).distinct()
+    return names.join(near.hint("merge"), a).join(others, b)
 
 
 def unblocked_fuzzy(names: DataFrame, bios: DataFrame) -> DataFrame:

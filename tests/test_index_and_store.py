@@ -226,6 +226,18 @@ def test_each_key_once_in_a_while(spark, tmp_path):
     assert sizes[2] <= sizes[1]
 
 
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_deletions_find_all_kinds_of_edits_and_are_not_broadcast(spark, most):
+    rng = random.Random(most)
+    words = sorted({"".join(rng.choice("ab1") for _ in range(rng.randrange(0, 7))) for _ in range(120)} | {"", "a", "ab\0", "\U0001f600b", "b\U0001f600"})
+    left, right = spark.createDataFrame([(w,) for w in words], "a string"), spark.createDataFrame([(w,) for w in words[::2]], "b string")
+    found = matching.within_deletions(left, right, "a", "b", most).select("a", "b")
+    want = left.crossJoin(right).where(F.levenshtein("a", "b") <= most)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "Generate" in plan and not any("Broadcast" in line for line in plan.splitlines() if plan.index(line) > plan.index("SortMergeJoin [key"))
+
+
 def test_embeddings_are_unit_vectors_and_alike_for_copies(spark):
     rng = random.Random(9)
     base = [" ".join(rng.choices([f"w{k}" for k in range(300)], k=80)) for _ in range(12)]
