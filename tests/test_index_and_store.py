@@ -100,6 +100,13 @@ def test_index_of_nothing_and_of_one(spark, tmp_path):
         assert vector_index.search(read, rows, "id", "v", stored, k=3).select("id").distinct().count() == (2 if n == 2 else 0)
 
 
+def test_no_number_of_a_projected_word_is_shuffled(spark):
+    """The rows of a word's eight chunks are made after the last exchange."""
+    rows = spark.createDataFrame([(1, "a b c"), (2, "b c d")], "id long, text string")
+    plan = embedding.embed(rows, "id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert 0 <= plan.index("Generate inline(") < plan.index("Exchange ")
+
+
 ROWS = "kind string, label string, id string, src_id string, src_label string, dst_id string, dst_label string, props string, place struct<file: string, row: bigint>, k int"
 
 
