@@ -162,36 +162,42 @@ def _of(cands: Column, stage: str) -> Column:
     return F.filter(cands, lambda c: c["stage"] == stage)
 
 
-def resolve(mentions: DataFrame, bios: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def resolve(mentions: DataFrame, bios: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Canonical people, ambiguous mentions with their three best candidates, and the log of accepted matches.
 
     ``mentions``: mention_id, hadith_id, source_corpus, position_in_chain, name_raw, name_normalized, and ``ord``, their order.
-    ``bios``: columns of biographies and ``cand``, their order.
+    ``bios``: columns of biographies and ``cand``, their order. ``keep`` stores what is used more than once: with the candidates of the
+    distinct names stored, Spark knows their size and broadcasts them if they are small. The mentions themselves are shuffled once, by chain.
     """
     raw = F.coalesce(F.nullif("name_normalized", F.lit("")), F.col("name_raw"))
     named = mentions.withColumn("mention_text", F.coalesce(raw, F.lit(""))).withColumn("name", text.normalize_arabic(F.col("mention_text")))
     names = named.where("name <> ''").select("name").distinct()
+    names = keep(names) if keep else names
     exact = exact_matches(names, bios)
     rest = names.join(exact.select("name").distinct(), "name", "left_anti")
     found = exact.union(fuzzy_matches(rest, bios)).union(crossref_matches(rest, bios)).join(bios.select("cand", "death_year_ah"), "cand")
     ordered = F.array_sort(F.collect_list(F.struct("branch", (-F.col("score")).alias("neg"), "cand", "stage", "score", F.col("death_year_ah").alias("year"))))
     lists = found.groupBy("name").agg(F.transform(ordered, lambda c: F.struct(c["cand"], c["stage"], c["score"], c["year"])).alias("cands"))
+    lists = keep(lists) if keep else lists
     none = F.array().cast("array<struct<cand:bigint,stage:string,score:double,year:int>>")
-    placed = named.join(lists, "name", "left").withColumn("cands", F.coalesce("cands", none))
-    # only chains with a fuzzy candidate that has a year depend on earlier decisions
-    fuzzy_year = lists.where(F.exists("cands", lambda c: (c["stage"] == "fuzzy") & c["year"].isNotNull())).select("name")
-    folded = named.join(fuzzy_year, "name", "left_semi").select("hadith_id").distinct()
-    chain = F.array_sort(F.collect_list(F.struct("ord", F.col("position_in_chain").alias("pos"), "mention_id", "cands")))
-    in_order = placed.join(folded, "hadith_id", "left_semi").groupBy("hadith_id").agg(chain.alias("chain")).select(F.explode(_decide(F.col("chain"))).alias("d")).select("d.*")
-    alone = placed.join(folded, "hadith_id", "left_anti").select("mention_id", _decide_alone(F.col("cands")).alias("d")).select("mention_id", "d.best", "d.pool")
-    decided = in_order.unionByName(alone)
-    facts = named.select("mention_id", "mention_text", "source_corpus", "ord")
-    rows = decided.join(facts, "mention_id")
+    facts = ["mention_id", "mention_text", "source_corpus", "ord"]
+    placed = named.select("hadith_id", "position_in_chain", "name", *facts).join(lists, "name", "left").withColumn("cands", F.coalesce("cands", none))
+    # only chains with a fuzzy candidate that has a year depend on earlier decisions; mentions of no chain are each alone
+    dependent = F.exists("cands", lambda c: (c["stage"] == "fuzzy") & c["year"].isNotNull())
+    chain = F.array_sort(F.collect_list(F.struct("ord", F.col("position_in_chain").alias("pos"), "mention_id", "cands", "mention_text", "source_corpus")))
+    chained = placed.where("hadith_id IS NOT NULL").groupBy("hadith_id").agg(chain.alias("chain"), F.max(dependent).alias("dependent"))
+    single = F.transform("chain", lambda m: F.struct(m["mention_id"].alias("mention_id"), _decide_alone(m["cands"]).alias("d")))
+    single = F.transform(single, lambda m: F.struct(m["mention_id"].alias("mention_id"), m["d"]["best"].alias("best"), m["d"]["pool"].alias("pool")))
+    both = F.zip_with("chain", F.when(F.col("dependent"), _decide(F.col("chain"))).otherwise(single), lambda m, d: F.struct(*(m[c].alias(c) for c in facts), d["best"].alias("best"), d["pool"].alias("pool")))
+    rows = chained.select(F.explode(both).alias("d")).select("d.*")
+    rows = rows.unionByName(placed.where("hadith_id IS NULL").select(*facts, _decide_alone(F.col("cands")).alias("d")).select(*facts, "d.best", "d.pool"))
 
     people = bios.withColumn("norm_name", F.coalesce(F.nullif("name_ar_normalized", F.lit("")), text.normalize_arabic(F.col("name_ar")), F.lit("")))
     people = people.withColumn("canonical_id", ids.canonical_id(F.when(F.col("norm_name") != "", F.col("norm_name")).otherwise(F.coalesce("name_en", F.lit("")))))
-    accepted = rows.where("best IS NOT NULL").withColumn("cand", F.col("best.cand")).join(people, "cand")
-    log = accepted.select("canonical_id", "mention_id", "mention_text", F.col("best.stage").alias("merge_stage"), F.col("best.score").cast("float").alias("score"))
+    accepted = rows.where("best IS NOT NULL").withColumn("cand", F.col("best.cand"))
+    slim = accepted.select("cand", "ord", "mention_text")
+    slim = (keep(slim) if keep else slim).join(people, "cand")
+    log = accepted.join(people.select("cand", "canonical_id"), "cand").select("canonical_id", "mention_id", "mention_text", F.col("best.stage").alias("merge_stage"), F.col("best.score").cast("float").alias("score"))
     by_rank = people.select("cand", "canonical_id", F.coalesce("name_ar", "name_en", F.lit("")).alias("cand_name"))
     top = rows.where("best IS NULL").select("mention_id", "mention_text", "source_corpus", F.posexplode_outer(F.slice(F.array_sort(F.transform("pool", lambda c, i: F.struct((-c["score"]).alias("neg"), i.alias("i"), c["cand"].alias("cand"), c["score"].alias("score"), c["stage"].alias("stage")))), 1, 3)).alias("k", "c"))
     top = top.select("mention_id", "mention_text", "source_corpus", "k", F.col("c.cand").alias("cand"), F.col("c.score").alias("score"), F.col("c.stage").alias("stage")).join(by_rank, "cand", "left")
@@ -201,18 +207,22 @@ def resolve(mentions: DataFrame, bios: DataFrame) -> tuple[DataFrame, DataFrame,
         for c, alias in (("canonical_id", "id"), ("cand_name", "name"), ("score", "score"), ("stage", "stage"))
     ]
     ambiguous = top.groupBy("mention_id", "mention_text", "source_corpus").agg(*fields)
-    return canonical_people(accepted), ambiguous, log
+    return canonical_people(slim), ambiguous, log
 
 
 def canonical_people(accepted: DataFrame) -> DataFrame:
-    """One record per person: facts of the first match, all biographies in order, and names of later mentions that differ."""
-    nth = F.row_number().over(Window.partitionBy("canonical_id").orderBy("ord"))
-    ranked = accepted.withColumn("nth", nth)
+    """One record per person: facts of the first match, all biographies in order, and names of later mentions that differ.
+
+    Mentions with the same biography and text are first counted as one, with where they come first and where first after the
+    person's first mention, so that what is shuffled and collected follows the distinct names."""
+    start = accepted.groupBy("canonical_id").agg(F.min("ord").alias("start"))
+    columns = ["canonical_id", "bio_id", "mention_text", "norm_name", "name_ar", "name_en", "birth_year_ah", "death_year_ah", "generation", "gender", "trustworthiness", "external_id"]
+    each = accepted.join(start, "canonical_id").groupBy(*columns).agg(F.min("ord").alias("ord"), F.min(F.when(F.col("ord") > F.col("start"), F.col("ord"))).alias("later"), F.count("*").alias("n"))
     first = F.struct("name_ar", "name_en", F.col("norm_name").alias("name_ar_normalized"), "birth_year_ah", "death_year_ah", "generation", "gender", "trustworthiness", "external_id")
-    alias = F.when((F.col("nth") > 1) & (F.col("mention_text") != "") & (F.col("mention_text") != F.col("norm_name")), F.struct("ord", F.col("mention_text").alias("x")))
+    alias = F.when(F.col("later").isNotNull() & (F.col("mention_text") != "") & (F.col("mention_text") != F.col("norm_name")), F.struct(F.col("later").alias("ord"), F.col("mention_text").alias("x")))
     values = lambda c: F.array_distinct(F.transform(F.array_sort(F.collect_list(c)), lambda s: s["x"]))
-    out = ranked.groupBy("canonical_id").agg(
-        F.min_by(first, "ord").alias("f"), values(alias).alias("aliases"), values(F.struct("ord", F.col("bio_id").alias("x"))).alias("source_ids"), F.count("*").cast("int").alias("mention_count")
+    out = each.groupBy("canonical_id").agg(
+        F.min_by(first, "ord").alias("f"), values(alias).alias("aliases"), values(F.struct("ord", F.col("bio_id").alias("x"))).alias("source_ids"), F.sum("n").cast("int").alias("mention_count")
     )
     return out.select("canonical_id", "f.name_ar", "f.name_en", "f.name_ar_normalized", "aliases", "f.birth_year_ah", "f.death_year_ah", "f.generation", "f.gender", "f.trustworthiness", "source_ids", "f.external_id", "mention_count")
 

@@ -339,3 +339,25 @@ def test_communities_in_blocks_end_where_no_node_gains(spark):
         gain = lambda c: sum(weights[i, j] - strength[i] * strength[j] / total for j in range(25) if j != i and found[names[j]] == c)  # noqa: B023, E731
         assert all(gain(found[names[j]]) <= gain(found[names[i]]) + 1e-6 for j in range(25) if weights[i, j] > 0)
     assert runs[0] == runs[1] and len(found) == 25
+
+
+def test_resolution_deals_mentions_out_once(spark, tmp_path):
+    """By their chains; a mention of no chain, or one whose id comes again, is decided once, and what is collected follows the names."""
+    rows = [("m0", "h", 0, "amar", 0), ("m1", "h", 1, "amar", 1), ("m1", "h", 2, "amar", 2), ("m2", None, 0, "amar", 3), ("m3", None, 1, "none", 4)]
+    m = spark.createDataFrame([(i, h, "lk", p, n, n, k) for i, h, p, n, k in rows], "mention_id string, hadith_id string, source_corpus string, position_in_chain int, name_raw string, name_normalized string, ord int")
+    m.write.parquet(f"{tmp_path}/m")
+    b = stored(spark.createDataFrame([(0, "bio-0", "amar", None, "amar", None, 59, None, None, None, None)], BIO))
+    canonical, ambiguous, log = matching.resolve(spark.read.parquet(f"{tmp_path}/m"), b, keep=stored)
+    assert [(r["name_ar"], r["mention_count"], r["aliases"], r["source_ids"]) for r in canonical.collect()] == [("amar", 4, [], ["bio-0"])]
+    assert sorted(r["mention_id"] for r in log.collect()) == ["m0", "m1", "m1", "m2"]
+    assert [r["mention_id"] for r in ambiguous.collect()] == ["m3"]
+    assert log._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") <= 1
+
+
+def test_aliases_are_of_later_mentions_in_their_order(spark):
+    rows = [("p", o, t, b) for o, t, b in [(1, "x", "b1"), (2, "z", "b2"), (3, "n", "b1"), (4, "x", "b1"), (5, "y", "b1"), (6, "z", "b1"), (7, "", "b1")]] + [("q", 1, "only", "b3")]
+    df = spark.createDataFrame(rows, "canonical_id string, ord int, mention_text string, bio_id string")
+    none = ["name_en", "generation", "gender", "trustworthiness", "external_id", "birth_year_ah", "death_year_ah"]
+    df = df.select("*", F.lit("n").alias("norm_name"), F.concat(F.lit("name "), "bio_id").alias("name_ar"), *(F.lit(None).cast("string").alias(c) for c in none))
+    found = {r["canonical_id"]: (r["name_ar"], r["aliases"], r["source_ids"], r["mention_count"]) for r in matching.canonical_people(df).collect()}
+    assert found == {"p": ("name b1", ["z", "x", "y"], ["b1", "b2"], 7), "q": ("name b3", [], ["b3"], 1)}
