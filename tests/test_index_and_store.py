@@ -6,7 +6,7 @@ import glob
 import itertools
 import json
 import random
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import numpy as np
 import pytest
@@ -290,3 +290,46 @@ def test_mentions_of_all_corpora_in_their_order(spark):
         ("s", "sanadset", 0, "x"), ("sunnah:b:1", "sunnah", 0, "Umar"), ("sunnah:b:1", "sunnah", 1, "Zayd"), ("sunnah:b:2", "sunnah", 0, "Ali"), ("sunnah:b:2", "sunnah", 1, "Amr"),
     ]
     assert {r["canonical_narrator_id"] for r in found} == {None} and found[0]["src_ord"] < found[1]["src_ord"]
+
+
+class _State:
+    """A value and timers that count the calls, each of which goes through a socket to Spark."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, [], 0
+
+    def __getattribute__(self, name):
+        if name in ("exists", "get", "update", "listTimers", "deleteTimer", "registerTimer"):
+            self.calls += 1
+        return object.__getattribute__(self, name)
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def listTimers(self):  # noqa: N802
+        return iter(self.timers)
+
+    def deleteTimer(self, timer):  # noqa: N802
+        self.timers.remove(timer)
+
+    def registerTimer(self, timer):  # noqa: N802
+        self.timers.append(timer)
+
+
+@pytest.mark.parametrize("order", ["n", "s"])
+def test_a_key_calls_its_state_no_more_than_needed(order):
+    import pandas as pd
+
+    worker = once.Once("ts", [order], 3_600_000_000)
+    worker.handle = worker.last = state = _State()
+    frame = lambda *rows: pd.DataFrame([(datetime(2024, 1, 1, h), n, f"s{n}") for h, n in rows], columns=["ts", "n", "s"])
+    run = lambda *frames: [n for out in worker.handleInputRows(("k",), iter(frames), None) for n in out["n"]]
+    assert run(frame((2, 3), (0, 2), (0, 1)), frame((0, 0))) == [0, 3] and state.calls <= 3 and len(state.timers) == 1
+    assert run(frame((2, 4))) == [] and state.calls <= 4 and len(state.timers) == 1
+    assert run(frame((3, 5))) == [5] and state.timers == [int(datetime(2024, 1, 1, 4).replace(tzinfo=timezone.utc).timestamp() * 1000)]
