@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from string import punctuation
 from typing import Any
 
 import numpy as np
@@ -21,10 +22,17 @@ import regex
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: A space with white space on both sides, or on its left at the end, need not begin a word.
 _DOUBTFUL = re.compile(r"\s (?:\s|\Z)")
-_BEFORE = tuple(chr(c) + " " for c in range(0x3001) if chr(c).isspace())
+_SPACES = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c != " ")
+_PLAIN = tuple(c for c in _SPACES if c.isascii())
+#: Finds characters that are left to the library.
+_FAR = re.compile("[^\0-\u024f]").search
 #: Added tokens may hold these, and characters that Python and the library class differently.
 _ODD = ("<|", "\x1c", "\x1d", "\x1e", "\x1f", "\x85")
 
+#: How byte-level BPE writes a space (fixed value).
+_SPACE = "\u0120"
+#: Characters of the longest words that are memoised.
+LONGEST = 64
 #: Characters that are cut together.
 GROUP = 4_000_000
 
@@ -39,23 +47,25 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Words:
-    """Ids, as little-endian bytes, of pieces after a space: a memo of words, cleared when it holds ``most``."""
+    """Ids, as little-endian bytes, of pieces after a space: a memo of words, and one of parts of mixed pieces.
+
+    A full half of the words becomes the older one, from which words in use come back, so frequent ones outlast rare ones.
+    """
 
     def __init__(self, tokenizer: Any, most: int) -> None:
-        self.tokenizer, self.model, self.most = tokenizer, tokenizer.model, most
+        self.tokenizer, self.model, self.half = tokenizer, tokenizer.model, most // 2
         self.letters = {b: ord(c) for b, c in _byte_letters().items()}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
-        self.tails = {c: self.whole(c) for c in ".,"}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def merged(self, word: str) -> bytes:
-        """Ids of one word of the pre-tokenizer, merged by the library's model."""
-        plain = word[0] == " " and word.isascii() and word[1:].isalnum()
-        letters = "\u0120" + word[1:] if plain else word.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+    def merged(self, word: str, lead: str = "") -> bytes:
+        """Ids of one word of the pre-tokenizer, after ``lead``, merged by the library's model."""
+        letters = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(lead + letters)]).tobytes()
 
     def part(self, word: str) -> bytes:
         if word[0] == " " and word[1:].isalpha():
@@ -63,8 +73,8 @@ class _Words:
         found = self.inner.get(word)
         if found is None:
             found = self.merged(word)
-            if len(word) <= 64:
-                if len(self.inner) >= self.most // 4:
+            if len(word) <= LONGEST:
+                if len(self.inner) >= self.half // 2:
                     self.inner.clear()
                 self.inner[word] = found
         return found
@@ -74,20 +84,32 @@ class _Words:
         found = self.known.get(piece)
         if found is not None:
             return found
-        if not piece.isascii() and max(piece) >= "\u0250":
+        if not piece.isascii() and _FAR(piece):
             return self.whole(" " + piece)
         if piece.isalpha():
-            found = self.merged(" " + piece)
-            if len(piece) <= 64:
-                if len(self.known) >= self.most:
-                    self.known.clear()
+            found = self.older.get(piece) or self.merged(piece, _SPACE)
+            if len(piece) <= LONGEST:
+                if len(self.known) >= self.half:
+                    self.known, self.older = {}, self.known
                 self.known[piece] = found
             return found
-        tail = self.tails.get(piece[-1:])
-        if tail is not None and piece[:-1].isalpha():
-            return self.piece(piece[:-1]) + tail
+        bare = piece.rstrip(punctuation)
+        if bare.isalpha():
+            return self.piece(bare) + self.part(piece[len(bare) :])
+        above, line, below = piece.partition("\n")
+        if above and below and not above[-1].isspace() and not below[0].isspace():
+            return self.piece(above) + self.part(line) + self.start(below)
         return b"".join(map(self.part, _WORD.findall(" " + piece)))
 
+    def start(self, piece: str) -> bytes:
+        """Ids of a piece that begins a line, which has no space before it."""
+        if piece.isalpha():
+            return self.part(piece)
+        bare = piece.rstrip(punctuation)
+        if bare.isalpha():
+            return self.part(bare) + self.part(piece[len(bare) :])
+        return b"".join(map(self.part, _WORD.findall(piece)))
+
 
 class Encoder:
     """Encodes texts; holds one tokenizer and at most ``most`` memoised words."""
@@ -115,7 +137,7 @@ class Encoder:
     def _group(self, texts: list[str]) -> Iterator[bytes]:
         heads, tails = [], []
         for text in texts:
-            if any(x in text for x in _ODD) or any(x in text for x in _BEFORE) and _DOUBTFUL.search(text):
+            if any(x in text for x in _ODD) or _spaced(text) and _DOUBTFUL.search(text):
                 head, tail = self.words.whole(text), None
             else:
                 first, space, rest = text.partition(" ")
@@ -124,17 +146,23 @@ class Encoder:
             tails.append(tail)
         cut = pc.split_pattern(pa.array(tails, pa.large_string()), " ")
         coded = cut.flatten().dictionary_encode()
-        known = pa.array(list(map(self.words.piece, coded.dictionary.to_pylist())), pa.large_binary())
-        ids = known.take(coded.indices)
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = [self.words.piece(p) if f is None else f for p, f in zip(pieces, map(self.words.known.get, pieces), strict=True)]
+        ids = pa.array(known, pa.large_binary()).take(coded.indices)
         data, places = memoryview(ids.buffers()[2] or b""), np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1) if len(ids) else np.zeros(1, np.int64)
         lengths = pc.fill_null(pc.list_value_length(cut), 0).to_numpy()
         ends = places[np.concatenate([[0], np.cumsum(lengths)])].tolist()
         for head, low, high in zip(heads, ends, ends[1:]):
             yield head + data[low:high]
-        del cut, coded, known, ids, data, places
+        del cut, coded, pieces, known, ids, data, places
         pa.default_memory_pool().release_unused()
 
 
+def _spaced(text: str) -> bool:
+    """Whether white space comes before a space; a pair is only sought where its first character is found."""
+    return "  " in text or any(x in text and x + " " in text for x in (_PLAIN if text.isascii() else _SPACES))
+
+
 def encoder(path: str) -> Encoder:
     """This worker's encoder for a vocabulary file, loaded once."""
     if path not in _LOADED:

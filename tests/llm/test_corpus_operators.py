@@ -33,6 +33,48 @@ def test_encoder_equals_the_library():
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_lines_and_runs_of_signs_are_encoded_without_a_pattern(monkeypatch):
+    """op10 and op2: such pieces are common; each was cut by a regular expression, at several times the cost of a word."""
+    from strandline.llm import tokens
+
+    class Cut:
+        def __init__(self):
+            self.seen = []
+
+        def findall(self, text, found=tokens._WORD.findall):
+            self.seen.append(text)
+            return found(text)
+
+    cut = Cut()
+    monkeypatch.setattr(tokens, "_WORD", cut)
+    tokenizer, rng = Tokenizer.from_file(vocabulary()), random.Random(2)
+    plain = ["then said.\nThe next", "so much### for *that*\nLine", "a über,\nÉté!! b", "one's don't it'\n's"]
+    bits = ["ab", "Zé", "'", "'s", ".", "$$", "_", "7", "²", "\n", "\n\n", "\t", "\xa0", " ", "ɐ", "ª"]
+    mixed = ["x " + "".join(rng.choices(bits, k=rng.randint(1, 7))) for _ in range(6000)]
+    for texts in (plain[:3], plain + mixed):
+        for text, ids in zip(texts, Encoder(vocabulary(), most=60).encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        if texts == plain[:3]:
+            assert cut.seen == [" *that*"]
+
+
+def test_frequent_words_outlast_rare_ones_in_the_memo():
+    encoder, merged = Encoder(vocabulary(), most=40), collections.Counter()
+    model = encoder.words.model
+
+    class Counting:
+        def tokenize(self, letters):
+            merged[letters] += 1
+            return model.tokenize(letters)
+
+    encoder.words.model = Counting()
+    letters = "abcdefghijklmnop"
+    for k in range(200):
+        rare = letters[k % 16] + "q" + letters[k // 16] + "x"
+        list(encoder.encode([f"the often {rare}"]))
+    assert merged["\u0120often"] == 1 and merged["\u0120aqax"] == 1
+
+
 def test_token_files_round_trip(spark, odd):
     tokenizer = Tokenizer.from_file(vocabulary())
     folder = token_output.write(odd, vocabulary())
