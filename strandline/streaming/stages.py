@@ -13,8 +13,9 @@ import traceback
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -212,11 +213,20 @@ def ingest(layout: Layout, buckets: int = 64) -> Work:
 
 def merge_props(old: DataFrame, new: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Nodes or edges whose property objects are merged name by name, the last value first; a null or missing property never
-    clears one."""
-    long = old.unionByName(new).select(*keys, "ord", F.explode_outer(F.from_json("props", "map<string,string>")).alias("name", "value"))
+    clears one. Only rows whose keys come again are taken apart by name; the others are moved as they are."""
+    both = old.unionByName(new)
+    again = both.groupBy(*keys).count().where("count > 1").select(*(F.col(c).alias(f"__{c}") for c in keys))
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys))
+    pairs = F.filter(F.map_entries(F.from_json("props", "map<string,string>")), lambda e: e["value"].isNotNull())
+    single = both.join(again, same, "left_anti").select(*keys, _object(F.coalesce(pairs, F.array().cast("array<struct<key:string,value:string>>"))).alias("props"), "ord")
+    long = both.join(again, same, "left_semi").select(*keys, "ord", F.explode_outer(F.from_json("props", "map<string,string>")).alias("name", "value"))
     latest = long.groupBy(*keys, "name").agg(F.max_by("value", F.when(F.col("value").isNotNull(), F.col("ord"))).alias("value"), F.max("ord").alias("ord"))
     entries = F.collect_list(F.when(F.col("value").isNotNull(), F.struct("name", "value")))
-    return latest.groupBy(*keys).agg(F.to_json(F.map_from_entries(F.array_sort(entries))).alias("props"), F.max("ord").alias("ord"))
+    return single.unionByName(latest.groupBy(*keys).agg(_object(entries).alias("props"), F.max("ord").alias("ord")))
+
+
+def _object(entries: Column) -> Column:
+    return F.to_json(F.map_from_entries(F.array_sort(entries)))
 
 
 def current_graph(spark: SparkSession, layout: Layout) -> tuple[DataFrame, DataFrame]:

@@ -144,6 +144,38 @@ def test_a_small_batch_leaves_most_of_the_graph(spark, tmp_path):
     assert store.read(spark, "nodes").where("id = 'n3'").first()["props"] == stages.merge_props(old, new, ("label", "id")).first()["props"]
 
 
+def generated(plan):
+    """Rows that the Generate operators of a plan that has run gave out."""
+    own = plan.metrics().apply("numOutputRows").value() if plan.nodeName() == "Generate" else 0
+    return own + sum(generated(plan.children().apply(k)) for k in range(plan.children().size()))
+
+
+def test_only_rows_whose_keys_come_again_are_taken_apart(spark):
+    """stream_fanout: nearly all nodes of a batch are new, and each was shuffled property by property."""
+    schema = stages.GRAPH["nodes"].schema
+    old = spark.createDataFrame([("Hadith", "a", '{"sect":"x","grade":"g"}', (1, "f", 0, 0))], schema)
+    rows = [("Hadith", f"n{k}", '{"sect":"y","grade":"g","matn_en":null}', (2, "f", k, 0)) for k in range(300)]
+    rows += [("Hadith", "a", '{"sect":null,"grade":"h"}', (2, "f", 500, 0)), ("Hadith", "bare", "{}", (2, "f", 501, 0)), ("Hadith", "none", None, (2, "f", 502, 0)), ("Hadith", None, '{"sect":"p"}', (2, "f", 503, 0)), ("Hadith", None, '{"grade":"q"}', (2, "f", 504, 0))]
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        merged = stages.merge_props(old, spark.createDataFrame(rows, schema), ("label", "id"))
+        found = {r["id"]: (r["props"], tuple(r["ord"])) for r in merged.collect()}
+        assert generated(merged._jdf.queryExecution().executedPlan()) <= 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(found) == 304 and found["n7"] == ('{"grade":"g","sect":"y"}', (2, "f", 7, 0))
+    assert found["a"] == ('{"grade":"h","sect":"x"}', (2, "f", 500, 0)) and found[None] == ('{"grade":"q","sect":"p"}', (2, "f", 504, 0))
+    assert found["bare"] == ("{}", (2, "f", 501, 0)) and found["none"] == ("{}", (2, "f", 502, 0))
+
+
+def test_edges_are_not_joined_again_once_no_endpoint_is_missing(spark):
+    known = spark.createDataFrame([("Narrator", "a"), ("Narrator", "b")], "label string, id string")
+    links = spark.createDataFrame([("TRANSMITTED_TO", "Narrator", "a", "Narrator", "b")], "label string, src_label string, src_id string, dst_label string, dst_id string")
+    good = graph.require_endpoints(links, known)
+    assert good.count() == 1 and "Join" not in good._jdf.queryExecution().executedPlan().toString()
+
+
 def test_of_two_writers_one_fails_and_nothing_of_a_failed_batch_is_seen(spark, tmp_path):
     store = graph_store.Store(str(tmp_path), {"t": graph_store.Table("k string, n long", ("k",))}, buckets=4)
     last = lambda old, new, keys: old.union(new).groupBy(*keys).agg(F.max("n").alias("n"))
