@@ -7,6 +7,7 @@ earlier decisions are folded in order; all others are decided row by row.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,55 +46,89 @@ def crossref_matches(names: DataFrame, bios: DataFrame) -> DataFrame:
     return near.where(F.col("ratio") >= CROSSREF_RATIO).select("name", "cand", F.lit("crossref").alias("stage"), F.bround(F.col("ratio") / 100, 4).alias("score"), F.lit(3).alias("branch"))
 
 
-def deletions(word: Column, most: int = MAX_DISTANCE) -> Column:
-    """The word and all strings that up to ``most`` deletions leave of it, each once."""
-
-    def shorter(w: Column) -> Column:
-        places = F.when(F.length(w) > 0, F.sequence(F.lit(1), F.length(w))).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
-
-    levels = [F.array(word)]
-    for _ in range(most):
-        levels.append(F.array_distinct(F.flatten(F.transform(levels[-1], shorter))))
-    return F.array_distinct(F.concat(*levels))
-
-
-def masks(word: Column, most: int = MAX_DISTANCE) -> Column:
-    """The strings that ``most`` letters of the word, each replaced by a mark, leave in their places."""
-
-    def marked(w: Column) -> Column:
-        places = F.when(F.length(w) > 0, F.sequence(F.lit(1), F.length(w))).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.lit("\0"), F.substring(w, i + 1, F.length(w))))
-
+def _shorter(word: Column, letters: int) -> Column:
+    """All strings that ``letters`` deletions leave of the word, each once; the empty one if it has no more."""
     level = F.array(word)
-    for _ in range(most):
-        level = F.array_distinct(F.flatten(F.transform(level, marked)))
+    for _ in range(letters):
+        places = lambda w: F.when(F.length(w) > 0, F.sequence(F.lit(1), F.length(w))).otherwise(F.array(F.lit(1)))
+        cut = lambda w: F.transform(places(w), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
+        level = F.array_distinct(F.flatten(F.transform(level, cut)))
     return level
 
 
+def _signature(word: Column, parts: int) -> Column:
+    """A number with some bits for each part of the word: part k has the letters in places k, k + parts, and so on."""
+    letters = F.transform(F.sequence(F.lit(1), F.greatest(F.length(word), F.lit(1))), lambda i: F.substring(word, i, F.lit(1)))
+    bits = 60 // parts
+    own = lambda k: F.array_join(F.filter(letters, lambda _, i: i % parts == k), "")
+    return sum((F.shiftleft(F.xxhash64(own(k)).bitwiseAND((1 << bits) - 1), k * bits) for k in range(1, parts)), F.xxhash64(own(0)).bitwiseAND((1 << bits) - 1))
+
+
+def _left_out(word: Column, lengths: list[int], most: int) -> Column:
+    """Hashes of the strings that a pair with this word and one of another of ``lengths`` share if letters are put in or left out between them: with ``e`` letters between
+    the lengths, the shorter loses ``most - e`` of them, or ``most - 1`` if e is 0, and the longer as many and ``e``."""
+    n, found = F.length(word), F.array().cast("array<bigint>")
+
+    def hashed_with(e: int) -> Callable[[Column], Column]:
+        return lambda d: F.xxhash64(d, F.greatest(n, n + e), F.least(n, n + e))
+
+    for e in range(-most, most + 1):
+        less = most - abs(e) if e else most - 1
+        if e or less:
+            hashed = F.transform(_shorter(word, less + max(-e, 0)), hashed_with(e))
+            found = F.concat(found, F.when(F.array_contains(F.lit(lengths), n + e), hashed).otherwise(F.array().cast("array<bigint>")))
+    return F.array_distinct(found)
+
+
+def _near(x: DataFrame, y: DataFrame, a: str, b: str, most: int) -> DataFrame:
+    """All pairs of a row of ``x`` and one of ``y`` (distinct strings) at most ``most`` edits apart, each once.
+
+    Strings of one length whose signatures differ in at most ``most`` of three times as many parts meet on the other parts, on the first choice of parts that covers
+    those; others that are near differ by letters put in or left out, and meet on the least hash of what deletions leave of both. So no pair is
+    made twice, none has to be made distinct, and pairs can be counted where they are met."""
+    parts = 3 * most
+    choices, bits = list(itertools.combinations(range(parts), most)), 60 // parts
+    first = [next((n for n, c in enumerate(choices) if all(k in c for k in range(parts) if m >> k & 1)), -1) for m in range(1 << parts)]
+    sizes = [[r[0] for r in df.select(F.length(c)).distinct().collect()] for df, c in ((x, a), (y, b))]
+
+    def keyed(df: DataFrame, c: str, lengths: list[int]) -> DataFrame:
+        word, outside = F.col(c), [(1 << 60) - 1 - sum(((1 << bits) - 1) << k * bits for k in choice) for choice in choices]
+        signed = df.withColumn("signature", _signature(word, parts))
+        same = F.when(F.array_contains(F.lit(lengths), F.length(word)), F.array(*(F.xxhash64(F.col("signature").bitwiseAND(o), F.length(word), F.lit(n)) for n, o in enumerate(outside))))
+        keys = F.concat(F.coalesce(same, F.transform(F.lit(list(range(len(choices)))), lambda _: F.lit(None).cast("bigint"))), _left_out(word, lengths, most))
+        dealt = signed.repartition(-(-tasks // 4), c).select(*df.columns, "signature", F.posexplode(keys).alias("n", "key")).where("key IS NOT NULL")
+        dealt = dealt.select("key", F.least("n", F.lit(len(choices))).cast("short").alias("n"), "signature", *df.columns).repartition(tasks, "key")
+        return dealt.withColumn("keys", F.when(F.col("n") == len(choices), _left_out(word, lengths, most)))
+
+    tasks = max(1, -(-(x.count() + y.count()) // 4000))
+    left = keyed(x, a, sizes[1])
+    right = keyed(y, b, sizes[0]).select("key", *(F.col(c).alias(f"{c}_") for c in ("n", "signature", "keys")), *y.columns)
+    apart = F.col("signature").bitwiseXOR(F.col("signature_"))
+    mask = sum((F.when(apart.bitwiseAND(((1 << bits) - 1) << k * bits) != 0, 1 << k).otherwise(0) for k in range(1, parts)), F.when(apart.bitwiseAND((1 << bits) - 1) != 0, 1).otherwise(0))
+    alike = (F.length(a) == F.length(b)) & (F.bit_count(mask) <= most)
+    chosen = F.when(F.col("n") < len(choices), F.get(F.lit(first), mask) == F.col("n")).otherwise(~alike)
+    # rows are dealt by key alone, so n is compared but not joined on
+    met = left.join(right.hint("merge"), "key").where((F.col("n") - F.col("n_") == 0) & chosen & similarity.within_distance(F.col(a), F.col(b), most))
+    met = met.where((F.col("n") < len(choices)) | (F.array_min(F.array_intersect("keys", "keys_")) == F.col("key")))
+    return met.select(*x.columns, *y.columns)
+
+
 def within_deletions(names: DataFrame, others: DataFrame, a: str, b: str, most: int = MAX_DISTANCE) -> DataFrame:
-    """All pairs of a row of ``names`` and one of ``others`` whose strings ``a`` and ``b`` are at most ``most`` edits apart.
+    """All pairs of a row of ``names`` and one of ``others`` whose strings ``a`` and ``b`` are at most ``most`` edits apart, without blocks by first letters.
 
-    If all edits replace letters, the strings agree but for at most so many marked places; else a letter is put in or left out, and
-    one of the two needs a deletion less than ``most`` to reach a string that the deletions leave of both. They are joined on hashes of
-    these, and the distance decides, before a pair that shares many is made one. Distinct strings are joined, then the rows. There are no
-    blocks by first letters; a string of n letters has about n * n keys. Spark takes the keys for a table as small as the strings
-    and would broadcast them, through the driver, or join them in one task, so the join is told to merge, in tasks by the number of strings.
-    """
+    Distinct strings are joined, on hashes, then the rows; the distance decides. Spark takes the keys for a table as small as the
+    strings and would broadcast them, through the driver, or join them in one task, so the join is told to merge, in tasks by the number of strings."""
     x, y = names.select(a).where(F.col(a).isNotNull()).distinct(), others.select(b).where(F.col(b).isNotNull()).distinct()
-    tasks = max(1, -(-(x.count() + y.count()) // 1000))
-
-    def hashed(kind: Column) -> Callable[[Column], Column]:
-        return lambda d: F.xxhash64(kind, d)
+    return names.join(_near(x, y, a, b, most).hint("merge"), a).join(others, b)
 
-    def keyed(df: DataFrame, c: str, left: int, right: int) -> DataFrame:
-        kinds = [masks(F.col(c), most), deletions(F.col(c), left), deletions(F.col(c), right)]
-        keys = [F.transform(kind, hashed(F.lit(n))) for n, kind in enumerate(kinds)]
-        return df.repartition(tasks, c).select(c, F.explode(F.array_distinct(F.concat(*keys))).alias("key")).repartition(tasks, "key")
 
-    met = keyed(x, a, most - 1, most).join(keyed(y, b, most, most - 1).hint("merge"), "key").where(F.abs(F.length(a) - F.length(b)) <= most)
-    near = met.where(similarity.within_distance(F.col(a), F.col(b), most)).select(a, b).distinct()
-    return names.join(near.hint("merge"), a).join(others, b)
+def near_counts(names: DataFrame, column: str, most: int = MAX_DISTANCE) -> DataFrame:
+    """(column, near): how many pairs of rows have the string on the left and another, at most ``most`` edits apart, on the right; strings without any are left out. Pairs are
+    counted where they are met and never shuffled."""
+    x = names.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
+    y = x.select(F.col(column).alias("other_"), F.col("rows").alias("others_"))
+    pairs = _near(x, y, column, "other_", most).where(F.col(column) != F.col("other_"))
+    return pairs.groupBy(column).agg(F.sum(F.col("rows") * F.col("others_")).alias("near"))
 
 
 def unblocked_fuzzy(names: DataFrame, bios: DataFrame) -> DataFrame:

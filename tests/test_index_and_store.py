@@ -277,6 +277,19 @@ def test_deletions_find_all_kinds_of_edits_and_are_not_broadcast(spark, most):
     assert "Generate" in plan and not any("Broadcast" in line for line in plan.splitlines() if plan.index(line) > plan.index("SortMergeJoin [key"))
 
 
+@pytest.mark.parametrize("most", [1, 2])
+def test_near_names_are_counted_where_they_are_met(spark, most):
+    """Rows count, equal strings don't; no pair is met twice and none is shuffled: after the join, counts by name are."""
+    rng = random.Random(most)
+    words = ["".join(rng.choice("ab1") for _ in range(rng.randrange(0, 8))) for _ in range(150)] + ["", "ababab", "bababa", "\U0001f600b", "b\U0001f600"] + [f"n{k:06}" for k in range(130)]
+    names = spark.createDataFrame([(w,) for w in words + [None]], "name string")
+    found = matching.near_counts(names, "name", most)
+    want = names.crossJoin(names.toDF("other")).where((F.col("name") != F.col("other")) & (F.levenshtein("name", "other") <= most)).groupBy("name").count()
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].split("SortMergeJoin")[0]
+    assert plan.count("Exchange") == 1 and plan.index("HashAggregate") < plan.index("Exchange") < plan.rindex("HashAggregate")
+
+
 def test_embeddings_are_unit_vectors_and_alike_for_copies(spark):
     rng = random.Random(9)
     base = [" ".join(rng.choices([f"w{k}" for k in range(300)], k=80)) for _ in range(12)]
