@@ -107,6 +107,30 @@ def test_no_number_of_a_projected_word_is_shuffled(spark):
     assert 0 <= plan.index("Generate inline(") < plan.index("Exchange ")
 
 
+def test_rows_of_common_words_are_not_shuffled(spark, monkeypatch):
+    """Vectors are the same however few words are common, also where a key comes again; texts are dealt once, and only rare words' rows go by word and back."""
+    rows = spark.createDataFrame([(1, "a b c a"), (2, "b c d"), (1, "e A"), (3, "f"), (4, "?")], "id long, text string")
+    vectors = []
+    for common in (0, 2, 100):
+        monkeypatch.setattr(embedding, "COMMON", common)
+        found = embedding.embed(rows, "id", "text", keep=stored)
+        vectors.append({r["id"]: r["v"] for r in found.collect()})
+    assert set(vectors[0]) == {1, 2, 3} and all(np.allclose(v[k], vectors[0][k]) for v in vectors[1:] for k in v)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    near = plan[: plan.index("Exchange hashpartitioning")]
+    assert "inline(" in near and "BroadcastHashJoin [word" in near and "SortMergeJoin [word" not in near
+
+
+def test_a_vector_is_sent_as_often_as_there_are_blocks(spark, monkeypatch):
+    v, sent, meet = np.random.default_rng(12).standard_normal((400, 8)), [], partners.meet
+    rows = spark.createDataFrame([(k, x.tolist(), 0) for k, x in enumerate(v)], "id long, v array<double>, of int")
+    monkeypatch.setattr(partners, "SHELF_NUMBERS", 8 * 100)
+    monkeypatch.setattr(partners, "meet", lambda asked, held, *rest: sent.append((asked.count(), held.count())) or meet(asked, held, *rest))
+    found = partners.within(rows, 4, -100.0, part_rows=10)
+    assert {(r["id"], r["partner"]) for r in found.collect()} == plain_best(v, 4, -100.0)
+    assert all(a + b == 400 * 9 for a, b in sent)  # 8 blocks; one meets itself
+
+
 ROWS = "kind string, label string, id string, src_id string, src_label string, dst_id string, dst_label string, props string, place struct<file: string, row: bigint>, k int"
 
 
