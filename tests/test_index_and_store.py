@@ -115,7 +115,7 @@ def test_rows_of_common_words_are_not_shuffled(spark, monkeypatch):
         monkeypatch.setattr(embedding, "COMMON", common)
         found = embedding.embed(rows, "id", "text", keep=stored)
         vectors.append({r["id"]: r["v"] for r in found.collect()})
-    assert set(vectors[0]) == {1, 2, 3} and all(np.allclose(v[k], vectors[0][k]) for v in vectors[1:] for k in v)
+    assert set(vectors[0]) == {1, 2, 3} and vectors[0] == vectors[1] == vectors[2]  # to the last bit, as copies have to be
     plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     near = plan[: plan.index("Exchange hashpartitioning")]
     assert "inline(" in near and "BroadcastHashJoin [word" in near and "SortMergeJoin [word" not in near
